@@ -138,3 +138,99 @@ FROM stg WHERE risk_tier IN ('CRITICAL', 'HIGH')"""
 SQL["daily_trend"] = BASE + f"""
 SELECT processing_date, risk_tier, count(*) AS loan_count, {r6('avg(risk_score)')} AS avg_risk_score
 FROM stg GROUP BY processing_date, risk_tier"""
+
+
+# ------------------------------------------------------------ analytics
+
+SQL["portfolio_stats"] = BASE + """
+SELECT count(*) AS total_loans,
+       coalesce(round(avg(risk_score), 3), 0.0) AS avg_risk_score,
+       coalesce(round(avg(CAST(loan_amount AS DOUBLE)), 0), 0.0) AS avg_loan_amount,
+       round(coalesce(sum(CASE WHEN risk_tier IN ('CRITICAL','HIGH') THEN CAST(loan_amount AS DOUBLE) END), 0.0)
+             / CAST(1e9 AS DOUBLE), 2) AS high_risk_exposure_billions,
+       max(processing_date) AS last_updated
+FROM stg"""
+
+SQL["tier_distribution"] = BASE + f"""
+, c AS (SELECT risk_tier, count(*) AS loan_count FROM stg GROUP BY risk_tier)
+SELECT risk_tier, loan_count,
+       {r6("CASE WHEN risk_tier IS NOT NULL THEN loan_count / sum(CASE WHEN risk_tier IS NOT NULL THEN loan_count END) OVER () END")} AS share
+FROM c"""
+
+SQL["totals_bounds"] = BASE + f"""
+SELECT count(*) AS total_loans, {r6('avg(risk_score)')} AS mean_risk_score,
+       round(sum(CAST(loan_amount AS DOUBLE)), 2) AS total_amount,
+       min(processing_date) AS min_date, max(processing_date) AS max_date,
+       min(CAST(loan_amount AS DOUBLE)) AS min_amount, max(CAST(loan_amount AS DOUBLE)) AS max_amount
+FROM stg"""
+
+SQL["top_critical"] = BASE + f"""
+SELECT loan_id, {r6('risk_score')} AS risk_score, risk_tier, CAST(loan_amount AS DOUBLE) AS loan_amount,
+       CAST(ltv AS DOUBLE) AS ltv, {r6('dti')} AS dti, CAST(interest_rate AS DOUBLE) AS interest_rate
+FROM stg WHERE risk_tier = 'CRITICAL'
+ORDER BY risk_score DESC, loan_id ASC LIMIT 10"""
+
+SQL["high_risk_head"] = BASE + f"""
+SELECT loan_id, {r6('risk_score')} AS risk_score, risk_tier, CAST(loan_amount AS DOUBLE) AS loan_amount
+FROM stg WHERE risk_tier IN ('CRITICAL', 'HIGH')
+ORDER BY risk_score DESC, loan_id ASC LIMIT 100"""
+
+SQL["segment_filter"] = BASE + """
+SELECT loan_id, state, CAST(loan_amount AS DOUBLE) AS loan_amount, risk_tier
+FROM stg WHERE state IN ('VA', 'MD')
+  AND CAST(loan_amount AS DOUBLE) BETWEEN CAST(10000.0 AS DOUBLE) AND CAST(60000.0 AS DOUBLE)"""
+
+_DESC = ["loan_amount", "ltv", "dti", "interest_rate", "risk_score"]
+SQL["describe_stats"] = BASE + ", long AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS metric, CAST({c} AS DOUBLE) AS v FROM stg" for c in _DESC) + f""")
+SELECT metric, count(v) AS count, {r6('avg(v)')} AS mean, {r6('stddev_samp(v)')} AS std,
+       {r6('min(v)')} AS min, {r6('quantile_cont(v, 0.25)')} AS q25, {r6('quantile_cont(v, 0.5)')} AS q50,
+       {r6('quantile_cont(v, 0.75)')} AS q75, {r6('max(v)')} AS max
+FROM long WHERE v IS NOT NULL GROUP BY metric"""
+
+_CORR = ["ltv", "dti", "interest_rate", "risk_score"]
+SQL["corr_matrix"] = BASE + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, {r6(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))')} AS corr FROM stg"
+    for a in _CORR for b in _CORR)
+
+SQL["daily_stats"] = BASE + f"""
+SELECT processing_date AS date, {r6('avg(risk_score)')} AS mean, {r6('max(risk_score)')} AS max,
+       {r6('min(risk_score)')} AS min
+FROM stg GROUP BY processing_date"""
+
+SQL["trend_delta"] = BASE + f"""
+, d AS (SELECT processing_date AS date, avg(risk_score) AS mean, max(risk_score) AS mx FROM stg GROUP BY 1),
+r AS (SELECT *, row_number() OVER (ORDER BY date DESC) AS rn FROM d),
+a AS (SELECT max(CASE WHEN rn = 1 THEN date END) AS latest_date,
+             max(CASE WHEN rn = 1 THEN mean END) AS latest,
+             coalesce(max(CASE WHEN rn = 2 THEN mean END), max(CASE WHEN rn = 1 THEN mean END)) AS previous
+      FROM r WHERE rn <= 2)
+SELECT latest_date, {r6('latest')} AS latest, {r6('previous')} AS previous, {r6('latest - previous')} AS delta,
+       {r6('(SELECT max(mx) FROM d)')} AS peak, {r6('latest * CAST(1.05 AS DOUBLE)')} AS projected_30d,
+       {r6('latest - CAST(0.45 AS DOUBLE)')} AS vs_benchmark
+FROM a"""
+
+SQL["state_tier_rollup"] = BASE + """
+SELECT state, risk_tier, round(sum(CAST(loan_amount AS DOUBLE)), 2) AS total_amount,
+       CAST(GROUPING(state, risk_tier) AS BIGINT) AS level
+FROM stg GROUP BY ROLLUP (state, risk_tier)"""
+
+SQL["box_by_type"] = BASE + f"""
+, q AS (SELECT loan_type_code, count(risk_score) AS n, min(risk_score) AS mn,
+               quantile_cont(risk_score, 0.25) AS q1, quantile_cont(risk_score, 0.5) AS med,
+               quantile_cont(risk_score, 0.75) AS q3, max(risk_score) AS mx
+        FROM stg GROUP BY loan_type_code)
+SELECT loan_type_code, n, {r6('mn')} AS min, {r6('q1')} AS q1, {r6('med')} AS median, {r6('q3')} AS q3,
+       {r6('mx')} AS max, {r6('q1 - CAST(1.5 AS DOUBLE) * (q3 - q1)')} AS lower_fence,
+       {r6('q3 + CAST(1.5 AS DOUBLE) * (q3 - q1)')} AS upper_fence
+FROM q"""
+
+_PROBES = [0.3, 0.45, 0.52, 0.6, 0.75, 0.85]
+SQL["pct_rank"] = BASE + " UNION ALL ".join(
+    f"SELECT {D(x)} AS score, {r6(f'avg(CASE WHEN risk_score < {D(x)} THEN 1.0 ELSE 0.0 END) * 100')} AS pct_rank FROM stg"
+    for x in _PROBES)
+
+SQL["exposure_by_tier"] = BASE + f"""
+SELECT risk_tier, count(*) AS loan_count, {r6('avg(CAST(loan_amount AS DOUBLE))')} AS avg_amount,
+       {r6('sum(CAST(loan_amount AS DOUBLE)) / CAST(1e9 AS DOUBLE)')} AS exposure_billions
+FROM stg GROUP BY risk_tier"""

@@ -71,3 +71,101 @@ def q_daily_trend(spark, sf_dir):
     d = marts.mart_daily_risk_trend(views.stg(spark, sf_dir))
     return d.select("processing_date", "risk_tier", "loan_count",
                     r6("avg_risk_score").alias("avg_risk_score"))
+
+
+# ------------------------------------------------------------ analytics
+
+from ..operators import analytics  # noqa: E402
+
+PCT_RANK_PROBES = [0.3, 0.45, 0.52, 0.6, 0.75, 0.85]
+SEGMENT_STATES = ("VA", "MD")
+SEGMENT_AMOUNT = (10000.0, 60000.0)
+
+
+@register("portfolio_stats")
+def q_portfolio_stats(spark, sf_dir):
+    return analytics.portfolio_stats(views.stg(spark, sf_dir))
+
+
+@register("tier_distribution")
+def q_tier_distribution(spark, sf_dir):
+    t = analytics.tier_distribution(views.stg(spark, sf_dir))
+    return t.select("risk_tier", "loan_count", r6("share").alias("share"))
+
+
+@register("totals_bounds")
+def q_totals_bounds(spark, sf_dir):
+    t = analytics.totals(views.stg(spark, sf_dir))
+    return t.select("total_loans", r6("mean_risk_score").alias("mean_risk_score"),
+                    F.round("total_amount", 2).alias("total_amount"), "min_date", "max_date",
+                    "min_amount", "max_amount")
+
+
+@register("top_critical")
+def q_top_critical(spark, sf_dir):
+    t = marts.top_critical(views.stg(spark, sf_dir), limit=10)
+    return t.select("loan_id", r6("risk_score").alias("risk_score"), "risk_tier", dbl("loan_amount"),
+                    dbl("ltv"), r6("dti").alias("dti"), dbl("interest_rate"))
+
+
+@register("high_risk_head")
+def q_high_risk_head(spark, sf_dir):
+    h = marts.high_risk_head(views.stg(spark, sf_dir), n=100)
+    return h.select("loan_id", r6("risk_score").alias("risk_score"), "risk_tier", dbl("loan_amount"))
+
+
+@register("segment_filter")
+def q_segment_filter(spark, sf_dir):
+    s = analytics.segment(views.stg(spark, sf_dir), SEGMENT_STATES, SEGMENT_AMOUNT)
+    return s.select("loan_id", "state", dbl("loan_amount"), "risk_tier")
+
+
+@register("describe_stats")
+def q_describe_stats(spark, sf_dir):
+    d = analytics.describe_stats(views.stg(spark, sf_dir))
+    return d.select(F.col("column").alias("metric"), "count",
+                    *[r6(c).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
+
+
+@register("corr_matrix")
+def q_corr_matrix(spark, sf_dir):
+    c = analytics.corr_matrix(views.stg(spark, sf_dir))
+    return c.select("a", "b", r6("corr").alias("corr"))
+
+
+@register("daily_stats")
+def q_daily_stats(spark, sf_dir):
+    d = analytics.daily_stats(views.stg(spark, sf_dir))
+    return d.select("date", r6("mean").alias("mean"), r6("max").alias("max"), r6("min").alias("min"))
+
+
+@register("trend_delta")
+def q_trend_delta(spark, sf_dir):
+    t = analytics.trend_delta(analytics.daily_stats(views.stg(spark, sf_dir)))
+    return t.select("latest_date", *[r6(c).alias(c) for c in t.columns[1:]])
+
+
+@register("state_tier_rollup")
+def q_state_tier_rollup(spark, sf_dir):
+    h = analytics.hierarchy_sum(views.stg(spark, sf_dir))
+    return h.select("state", "risk_tier", F.round("total_amount", 2).alias("total_amount"), "level")
+
+
+@register("box_by_type")
+def q_box_by_type(spark, sf_dir):
+    b = analytics.box_stats(views.stg(spark, sf_dir), by="loan_type_code")
+    return b.select("loan_type_code", "n", *[r6(c).alias(c) for c in
+                    ("min", "q1", "median", "q3", "max", "lower_fence", "upper_fence")])
+
+
+@register("pct_rank")
+def q_pct_rank(spark, sf_dir):
+    p = analytics.percentile_rank(views.stg(spark, sf_dir), PCT_RANK_PROBES)
+    return p.select("score", r6("pct_rank").alias("pct_rank"))
+
+
+@register("exposure_by_tier")
+def q_exposure_by_tier(spark, sf_dir):
+    e = analytics.exposure_by_tier(views.stg(spark, sf_dir))
+    return e.select("risk_tier", "loan_count", r6("avg_amount").alias("avg_amount"),
+                    r6("exposure_billions").alias("exposure_billions"))
