@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import HIGH_RISK_TIERS
+from ..schemas import GOLD_CARRY, HIGH_RISK_TIERS
 
 
 def stg_loan_risk_scores(gold: DataFrame, as_of_ts: str | Column | None = None) -> DataFrame:
@@ -21,7 +21,7 @@ def stg_loan_risk_scores(gold: DataFrame, as_of_ts: str | Column | None = None)
         ts = as_of_ts
     else:
         ts = F.lit(as_of_ts).cast("timestamp")
-    carry = [c for c in ("loan_id", "state", "county_code") if c in gold.columns]
+    carry = [c for c in GOLD_CARRY if c in gold.columns]
     return gold.select(
         *carry,
         "loan_amount", "ltv", "dti", "interest_rate", "income",

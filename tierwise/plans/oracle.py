@@ -49,13 +49,15 @@ raw_loans AS (
                      CAST(l_linenumber % 4 * 25 AS VARCHAR)) END AS interest_rate,
     CASE l_suppkey % 3 WHEN 0 THEN 'VA' WHEN 1 THEN 'MD' ELSE 'DC' END AS state,
     lpad(CAST(l_suppkey % 200 AS VARCHAR), 3, '0') AS county_code,
+    strftime(l_shipdate + to_hours(CAST(l_orderkey % 24 AS INTEGER)) + to_minutes(CAST(l_linenumber AS INTEGER)),
+             '%Y-%m-%dT%H:%M:%S') AS ingestion_timestamp,
     CAST(l_shipdate AS DATE) AS landed_date
   FROM lineitem
 )"""
 
 SILVER = """
 silver AS (
-  SELECT loan_id, state, county_code, action_taken, loan_type,
+  SELECT loan_id, state, county_code, ingestion_timestamp, action_taken, loan_type,
     CASE WHEN loan_amount = 'NA' THEN NULL ELSE TRY_CAST(loan_amount AS FLOAT) END AS loan_amount,
     CASE WHEN ltv = 'NA' THEN NULL ELSE TRY_CAST(ltv AS FLOAT) END AS ltv,
     CASE WHEN income = 'NA' THEN NULL ELSE TRY_CAST(income AS FLOAT) END AS income,
@@ -91,7 +93,7 @@ def _gold_cte(name: str, policy=GOLD, src: str = "silver") -> str:
 GOLD_CTE = _gold_cte("gold")
 STG = """
 stg AS (
-  SELECT loan_id, state, county_code, loan_amount, ltv, dti, interest_rate, income,
+  SELECT loan_id, state, county_code, ingestion_timestamp, loan_amount, ltv, dti, interest_rate, income,
          ltv_score, dti_score, rate_spread_score, macro_stress_score, risk_score, risk_tier,
          processing_date, action_taken AS action_code, loan_type AS loan_type_code
   FROM gold
@@ -234,3 +236,155 @@ SQL["exposure_by_tier"] = BASE + f"""
 SELECT risk_tier, count(*) AS loan_count, {r6('avg(CAST(loan_amount AS DOUBLE))')} AS avg_amount,
        {r6('sum(CAST(loan_amount AS DOUBLE)) / CAST(1e9 AS DOUBLE)')} AS exposure_billions
 FROM stg GROUP BY risk_tier"""
+
+
+# ------------------------------------------------------------ ingest
+
+SQL["rate_bps"] = f"""
+SELECT event_type AS series_id, ts, value,
+       {r6("coalesce((value - lag(value) OVER (PARTITION BY event_type ORDER BY ts)) * CAST(100.0 AS DOUBLE), CAST(0.0 AS DOUBLE))")} AS rate_change_bps
+FROM events WHERE value IS NOT NULL AND NOT isnan(value)"""
+
+_IND = {"click": "fed_funds_rate", "view": "treasury_yield_10yr", "purchase": "unemployment_rate", "signup": "cpi"}
+SQL["macro_snapshots"] = f"""
+WITH obs AS (
+  SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS date,
+         CASE event_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _IND.items())} END AS indicator,
+         value, ts AS seq
+  FROM events WHERE event_type IN ('click', 'view', 'purchase', 'signup')),
+w AS (
+  SELECT date, {', '.join(f"arg_max(value, seq) FILTER (WHERE indicator = '{v}') AS {v}" for v in _IND.values())}
+  FROM obs WHERE date IS NOT NULL AND date <> '' AND date >= '2020-01-01'
+    AND value IS NOT NULL AND NOT isnan(value)
+  GROUP BY date)
+SELECT date, {r6('fed_funds_rate')} AS fed_funds_rate, {r6('treasury_yield_10yr')} AS treasury_yield_10yr,
+       {r6('unemployment_rate')} AS unemployment_rate, {r6('cpi')} AS cpi,
+       {r6("least(greatest(fed_funds_rate / CAST(10.0 AS DOUBLE) * CAST(0.40 AS DOUBLE) + unemployment_rate / CAST(10.0 AS DOUBLE) * CAST(0.35 AS DOUBLE) + cpi / CAST(500.0 AS DOUBLE) * CAST(0.25 AS DOUBLE), CAST(0.0 AS DOUBLE)), CAST(1.0 AS DOUBLE))")} AS macro_stress_index
+FROM w
+WHERE fed_funds_rate IS NOT NULL AND treasury_yield_10yr IS NOT NULL AND unemployment_rate IS NOT NULL
+  AND cpi IS NOT NULL"""
+
+SQL["county_lookup"] = f"""
+WITH c AS (
+  SELECT concat(c_name, ' County, X') AS NAME, CAST(c_acctbal * 80 AS VARCHAR) AS home_t,
+         CAST(c_acctbal * 15 AS VARCHAR) AS inc_t, CAST(c_custkey % 1000 AS VARCHAR) AS occ_t,
+         CASE c_nationkey % 4 WHEN 0 THEN '51' WHEN 1 THEN '24' WHEN 2 THEN '11' ELSE '99' END AS state,
+         CAST(c_custkey AS VARCHAR) AS county
+  FROM customer),
+t AS (
+  SELECT concat(state, county) AS county_fips, trim(split_part(NAME, ',', 1)) AS county_name,
+         CASE WHEN TRY_CAST(home_t AS DOUBLE) >= 0 THEN TRY_CAST(home_t AS DOUBLE) END AS median_home_value,
+         CASE WHEN TRY_CAST(inc_t AS DOUBLE) >= 0 THEN TRY_CAST(inc_t AS DOUBLE) END AS median_income,
+         CASE WHEN TRY_CAST(occ_t AS DOUBLE) >= 0 THEN TRY_CAST(occ_t AS DOUBLE) END AS owner_occupied_units,
+         coalesce(CASE state WHEN '51' THEN 'VA' WHEN '24' THEN 'MD' WHEN '11' THEN 'DC' END, 'Unknown') AS state_code
+  FROM c),
+m AS (SELECT median(median_home_value) AS mh, median(median_income) AS mi, median(owner_occupied_units) AS mo FROM t),
+f AS (
+  SELECT county_fips, county_name, coalesce(median_home_value, mh) AS median_home_value,
+         coalesce(median_income, mi) AS median_income, coalesce(owner_occupied_units, mo) AS owner_occupied_units,
+         state_code
+  FROM t, m)
+SELECT county_fips, county_name, {r6('median_home_value')} AS median_home_value, {r6('median_income')} AS median_income,
+       {r6('owner_occupied_units')} AS owner_occupied_units, state_code,
+       {r6("least(greatest(least(median_income / CAST(150000.0 AS DOUBLE), CAST(1.0 AS DOUBLE)) * CAST(0.6 AS DOUBLE) + least(median_home_value / CAST(800000.0 AS DOUBLE), CAST(1.0 AS DOUBLE)) * CAST(0.4 AS DOUBLE), CAST(0.0 AS DOUBLE)), CAST(1.0 AS DOUBLE))")} AS county_risk_index
+FROM f"""
+
+
+# ------------------------------------------------------------ scenarios
+
+_VALID = """
+valid AS (
+  SELECT * FROM silver
+  WHERE loan_amount IS NOT NULL AND CAST(loan_amount AS DOUBLE) > 0 AND CAST(loan_amount AS DOUBLE) <= 10000000
+    AND ltv IS NOT NULL AND CAST(ltv AS DOUBLE) >= 0 AND CAST(ltv AS DOUBLE) <= 200
+    AND dti IS NOT NULL AND dti >= 0 AND dti <= 100
+    AND interest_rate IS NOT NULL AND CAST(interest_rate AS DOUBLE) >= 0 AND CAST(interest_rate AS DOUBLE) <= 30
+    AND income IS NOT NULL AND CAST(income AS DOUBLE) >= 0)"""
+
+SQL["api_scores"] = with_(RAW_LOANS, SILVER, _VALID, _gold_cte("api", API, "valid")) + f"""
+SELECT loan_id, ltv_score, dti_score, rate_spread_score, {r6('risk_score')} AS risk_score, risk_tier,
+       CASE risk_tier WHEN 'CRITICAL' THEN 'Immediate rejection recommended. Exceeds all risk thresholds.'
+                      WHEN 'HIGH' THEN 'Loan requires senior underwriter review. High default probability.'
+                      WHEN 'MEDIUM' THEN 'Standard underwriting process. Monitor LTV and DTI closely.'
+                      WHEN 'LOW' THEN 'Approve with standard terms. Low default risk.' END AS recommendation
+FROM api"""
+
+_RULES = [("loan_amount", "CAST(loan_amount AS DOUBLE) <= 0 OR CAST(loan_amount AS DOUBLE) > 10000000"),
+          ("ltv", "CAST(ltv AS DOUBLE) < 0 OR CAST(ltv AS DOUBLE) > 200"),
+          ("dti", "dti < 0 OR dti > 100"),
+          ("interest_rate", "CAST(interest_rate AS DOUBLE) < 0 OR CAST(interest_rate AS DOUBLE) > 30"),
+          ("income", "CAST(income AS DOUBLE) < 0")]
+_REASONS = [f"CASE WHEN {c} IS NULL OR {cond} THEN '{c} out of range' END" for c, cond in _RULES]
+SQL["validated_input"] = with_(RAW_LOANS, SILVER) + f"""
+SELECT loan_id, CAST({' + '.join(f'(CASE WHEN ({r}) IS NOT NULL THEN 1 ELSE 0 END)' for r in _REASONS)} AS INTEGER) AS n_reasons,
+       concat_ws(';', {', '.join(_REASONS)}) AS reasons
+FROM silver"""
+
+_REFRESH_MACRO = "least(greatest(CAST(5.25 AS DOUBLE) * CAST(0.1 AS DOUBLE) + CAST(3.9 AS DOUBLE) * CAST(0.05 AS DOUBLE) - CAST(2.1 AS DOUBLE) * CAST(0.05 AS DOUBLE), CAST(0.0 AS DOUBLE)), CAST(1.0 AS DOUBLE))"
+_REFRESHED = f"""
+ref_s AS (SELECT loan_id, {_REFRESH_MACRO} AS macro_stress_score,
+                 ltv_score * CAST(0.3 AS DOUBLE) + dti_score * CAST(0.25 AS DOUBLE) + rate_spread_score * CAST(0.25 AS DOUBLE)
+                 + {_REFRESH_MACRO} * CAST(0.2 AS DOUBLE) AS risk_score FROM gold),
+refreshed AS (SELECT *, CASE WHEN risk_score IS NULL THEN NULL WHEN risk_score < CAST(0.3 AS DOUBLE) THEN 'LOW'
+                 WHEN risk_score < CAST(0.6 AS DOUBLE) THEN 'MEDIUM' WHEN risk_score < CAST(0.85 AS DOUBLE) THEN 'HIGH'
+                 ELSE 'CRITICAL' END AS risk_tier FROM ref_s)"""
+SQL["refreshed_scores"] = BASE + "," + _REFRESHED + f"""
+SELECT loan_id, {r6('macro_stress_score')} AS macro_stress_score, {r6('risk_score')} AS risk_score, risk_tier
+FROM refreshed"""
+
+SQL["refresh_report"] = BASE + "," + _REFRESHED + """
+, b AS (SELECT risk_tier, count(*) AS before_count FROM gold GROUP BY risk_tier),
+a AS (SELECT risk_tier, count(*) AS after_count FROM refreshed GROUP BY risk_tier)
+SELECT coalesce(b.risk_tier, a.risk_tier) AS risk_tier, coalesce(before_count, 0) AS before_count,
+       coalesce(after_count, 0) AS after_count
+FROM b FULL OUTER JOIN a ON b.risk_tier = a.risk_tier"""
+
+_CONT = ("CAST(ltv AS DOUBLE) / CAST(100.0 AS DOUBLE) * CAST(0.3 AS DOUBLE) + dti / CAST(65.0 AS DOUBLE) * CAST(0.25 AS DOUBLE)"
+         " + CAST(interest_rate AS DOUBLE) / CAST(10.0 AS DOUBLE) * CAST(0.25 AS DOUBLE) + CAST(0.12 AS DOUBLE)")
+
+
+def _cont_tier(s: str) -> str:
+    return (f"CASE WHEN {s} IS NULL THEN NULL WHEN {s} < CAST(0.3 AS DOUBLE) THEN 'LOW' WHEN {s} < CAST(0.55 AS DOUBLE) "
+            f"THEN 'MEDIUM' WHEN {s} < CAST(0.75 AS DOUBLE) THEN 'HIGH' ELSE 'CRITICAL' END")
+
+
+SQL["continuous_scores"] = BASE + f"""
+, c AS (SELECT loan_id, {_CONT} AS s FROM stg)
+SELECT loan_id, {r6('s')} AS continuous_score, {_cont_tier('s')} AS continuous_tier FROM c"""
+
+SQL["contributions"] = BASE + f"""
+, h AS (SELECT * FROM stg WHERE risk_tier IN ('CRITICAL', 'HIGH'))
+SELECT loan_id, 'LTV' AS factor, {r6('CAST(ltv AS DOUBLE) / CAST(100.0 AS DOUBLE) * CAST(0.3 AS DOUBLE)')} AS impact FROM h
+UNION ALL SELECT loan_id, 'DTI', {r6('dti / CAST(65.0 AS DOUBLE) * CAST(0.25 AS DOUBLE)')} FROM h
+UNION ALL SELECT loan_id, 'Int Rate', {r6('CAST(interest_rate AS DOUBLE) / CAST(10.0 AS DOUBLE) * CAST(0.25 AS DOUBLE)')} FROM h
+UNION ALL SELECT loan_id, 'Macro Stress', CAST(0.12 AS DOUBLE) FROM h"""
+
+_WI = ("CAST(75.0 AS DOUBLE) / CAST(100.0 AS DOUBLE) * CAST(0.3 AS DOUBLE) + dti / CAST(65.0 AS DOUBLE) * CAST(0.25 AS DOUBLE)"
+       " + CAST(interest_rate AS DOUBLE) / CAST(10.0 AS DOUBLE) * CAST(0.25 AS DOUBLE) + CAST(0.12 AS DOUBLE)")
+SQL["what_if"] = BASE + f"""
+, c AS (SELECT loan_id, risk_tier, {_WI} AS s FROM stg),
+t AS (SELECT *, {_cont_tier('s')} AS new_tier FROM c)
+SELECT loan_id, risk_tier, {r6('s')} AS new_score, new_tier, new_tier <> risk_tier AS tier_changed FROM t"""
+
+SQL["rate_hike"] = BASE + f"""
+, m AS (SELECT avg(risk_score) AS mean_score FROM stg),
+h AS (SELECT * FROM (VALUES (0.0), (0.5), (1.0), (2.0), (5.0)) v(hike))
+SELECT CAST(hike AS DOUBLE) AS hike, {r6('mean_score')} AS mean_score,
+       {r6('mean_score + CASE WHEN hike > 0 THEN CAST(hike AS DOUBLE) / CAST(10.0 AS DOUBLE) * CAST(0.25 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END')} AS impacted_score
+FROM m, h"""
+
+SQL["critical_count"] = BASE + """
+SELECT CAST(count(*) FILTER (WHERE risk_tier = 'CRITICAL' AND processing_date = (SELECT max(processing_date) FROM stg)) AS BIGINT) AS critical_count
+FROM stg"""
+
+SQL["hourly_alerts"] = BASE + """
+, c AS (SELECT date_trunc('hour', CAST(ingestion_timestamp AS TIMESTAMP)) AS hour, count(*) AS current_count
+        FROM stg WHERE risk_tier = 'CRITICAL' GROUP BY 1),
+j AS (SELECT c.hour, c.current_count, coalesce(p.current_count, 0) AS previous_count
+      FROM c LEFT JOIN c p ON p.hour + INTERVAL 1 HOUR = c.hour)
+SELECT hour, current_count, previous_count, current_count - previous_count AS new_critical,
+       current_count > previous_count AS alert,
+       CASE WHEN current_count > previous_count THEN
+         printf('%d new CRITICAL risk loans detected at %s', current_count - previous_count,
+                strftime(hour, '%Y-%m-%d %H:%M:%S')) END AS message
+FROM j"""

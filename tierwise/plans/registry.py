@@ -169,3 +169,105 @@ def q_exposure_by_tier(spark, sf_dir):
     e = analytics.exposure_by_tier(views.stg(spark, sf_dir))
     return e.select("risk_tier", "loan_count", r6("avg_amount").alias("avg_amount"),
                     r6("exposure_billions").alias("exposure_billions"))
+
+
+# ------------------------------------------------------------ ingest
+
+from ..operators import ingest, scenarios  # noqa: E402
+from ..sources import testmap  # noqa: E402
+
+
+@register("rate_bps")
+def q_rate_bps(spark, sf_dir):
+    r = ingest.rate_changes(testmap.rate_observations(spark, sf_dir), order_col="ts", chunk="day")
+    return r.select("series_id", "ts", "value", r6("rate_change_bps").alias("rate_change_bps"))
+
+
+@register("macro_snapshots")
+def q_macro_snapshots(spark, sf_dir):
+    m = ingest.macro_snapshots(testmap.indicator_observations(spark, sf_dir))
+    return m.select("date", *[r6(c).alias(c) for c in
+                              ("fed_funds_rate", "treasury_yield_10yr", "unemployment_rate", "cpi",
+                               "macro_stress_index")])
+
+
+@register("county_lookup")
+def q_county_lookup(spark, sf_dir):
+    c = ingest.county_lookup(testmap.census_rows(spark, sf_dir))
+    return c.select("county_fips", "county_name", *[r6(x).alias(x) for x in
+                    ("median_home_value", "median_income", "owner_occupied_units")],
+                    "state_code", r6("county_risk_index").alias("county_risk_index"))
+
+
+# ------------------------------------------------------------ scenarios
+
+WHAT_IF_LTV = 75.0
+
+
+@register("api_scores")
+def q_api_scores(spark, sf_dir):
+    from ..policies import API
+    valid, _ = scenarios.validate_input(views.silver(spark, sf_dir))
+    s = scenarios.score_loans(valid, API, scored_at=views.AS_OF_TS)
+    return s.select("loan_id", "ltv_score", "dti_score", "rate_spread_score",
+                    r6("risk_score").alias("risk_score"), "risk_tier", "recommendation")
+
+
+@register("validated_input")
+def q_validated_input(spark, sf_dir):
+    s = views.silver(spark, sf_dir).withColumn("reasons", scenarios.rejection_reasons())
+    return s.select("loan_id", F.size("reasons").alias("n_reasons"),
+                    F.concat_ws(";", "reasons").alias("reasons"))
+
+
+@register("refreshed_scores")
+def q_refreshed_scores(spark, sf_dir):
+    r = scenarios.refresh_scores(views.gold(spark, sf_dir))
+    return r.select("loan_id", r6("macro_stress_score").alias("macro_stress_score"),
+                    r6("risk_score").alias("risk_score"), "risk_tier")
+
+
+@register("refresh_report")
+def q_refresh_report(spark, sf_dir):
+    g = views.gold(spark, sf_dir)
+    return scenarios.refresh_report(g, scenarios.refresh_scores(g))
+
+
+@register("continuous_scores")
+def q_continuous_scores(spark, sf_dir):
+    c = scenarios.continuous_scores(views.stg(spark, sf_dir))
+    return c.select("loan_id", r6("continuous_score").alias("continuous_score"), "continuous_tier")
+
+
+@register("contributions")
+def q_contributions(spark, sf_dir):
+    c = scenarios.factor_contributions(marts.high_risk(views.stg(spark, sf_dir)))
+    return c.select("loan_id", "factor", r6("impact").alias("impact"))
+
+
+@register("what_if")
+def q_what_if(spark, sf_dir):
+    w = scenarios.what_if(views.stg(spark, sf_dir), WHAT_IF_LTV)
+    return w.select("loan_id", "risk_tier", r6("new_score").alias("new_score"), "new_tier", "tier_changed")
+
+
+@register("rate_hike")
+def q_rate_hike(spark, sf_dir):
+    r = scenarios.rate_hike(views.stg(spark, sf_dir))
+    return r.select("hike", r6("mean_score").alias("mean_score"), r6("impacted_score").alias("impacted_score"))
+
+
+@register("critical_count")
+def q_critical_count(spark, sf_dir):
+    g = views.stg(spark, sf_dir)
+    latest = g.agg(F.max("processing_date").alias("d"))
+    # as_of = the latest processing date in the data (instead of "today")
+    j = g.crossJoin(F.broadcast(latest))
+    return j.agg(F.count_if((F.col("risk_tier") == "CRITICAL")
+                            & (F.col("processing_date") == F.col("d"))).alias("critical_count"))
+
+
+@register("hourly_alerts")
+def q_hourly_alerts(spark, sf_dir):
+    c = scenarios.hourly_counts(views.stg(spark, sf_dir), "ingestion_timestamp")
+    return scenarios.hourly_delta(c)

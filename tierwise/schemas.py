@@ -68,7 +68,7 @@ GOLD_COLUMNS = [
     "year", "month", "day",
 ]
 # Columns the reference drops at gold; we carry them by default (see README).
-GOLD_CARRY = ["loan_id", "state", "county_code"]
+GOLD_CARRY = ["loan_id", "state", "county_code", "ingestion_timestamp"]
 PARTITION_COLS = ["year", "month", "day"]
 
 # Fixed values that must equal the reference's.

@@ -22,6 +22,14 @@ def _s(c):
     return c.cast("string")
 
 
+def _landed_ts():
+    """Ship date plus a deterministic time of day (hour from the order key,
+    minute from the line number)."""
+    return (F.col("l_shipdate")
+            + F.make_interval(hours=(F.col("l_orderkey") % 24).cast("int"),
+                              mins=F.col("l_linenumber").cast("int")))
+
+
 def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw loan events (all text) derived from ``lineitem``.
 
@@ -52,9 +60,9 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lpad(_s(sk % 200), 3, "0").alias("county_code"),
         _s(pk * 1000).alias("property_value"),
         F.lit(EVENT_LOAN).alias("event_type"),
-        F.date_format(F.col("l_shipdate"), "yyyy-MM-dd'T'HH:mm:ss").alias("ingestion_timestamp"),
+        F.date_format(_landed_ts(), "yyyy-MM-dd'T'HH:mm:ss").alias("ingestion_timestamp"),
         F.lit("loan-applications").alias("_source_topic"),
-        F.unix_timestamp(F.col("l_shipdate").cast("timestamp")).alias("_bridge_ts"),
+        F.unix_timestamp(_landed_ts().cast("timestamp")).alias("_bridge_ts"),
         F.col("l_shipdate").cast("date").alias("landed_date"),
     )
 
