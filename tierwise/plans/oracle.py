@@ -388,3 +388,88 @@ SELECT hour, current_count, previous_count, current_count - previous_count AS ne
          printf('%d new CRITICAL risk loans detected at %s', current_count - previous_count,
                 strftime(hour, '%Y-%m-%d %H:%M:%S')) END AS message
 FROM j"""
+
+
+# ------------------------------------------------------------ quality
+
+def _suite_sql() -> str:
+    from ..operators.quality import REFERENCE_SUITE
+    parts = []
+    for i, c in enumerate(REFERENCE_SUITE):
+        col = c.column
+        name = c.name
+        tgt = f"'{col}'" if col else "CAST(NULL AS VARCHAR)"
+        if c.kind == "exists":
+            obs, bad, ok = "1.0", "0", "true"
+        elif c.kind == "not_null":
+            obs = f"CAST(count(*) FILTER (WHERE {col} IS NULL) AS DOUBLE)"
+            bad, ok = f"count(*) FILTER (WHERE {col} IS NULL)", f"({obs}) = 0"
+        elif c.kind == "between":
+            cond = f"{col} IS NOT NULL AND NOT (CAST({col} AS DOUBLE) BETWEEN {D(c.lo)} AND {D(c.hi)})"
+            obs = f"CAST(count(*) FILTER (WHERE {cond}) AS DOUBLE)"
+            bad, ok = f"count(*) FILTER (WHERE {cond})", f"({obs}) = 0"
+        elif c.kind == "in_set":
+            vals = ", ".join(f"'{v}'" for v in c.values)
+            cond = f"{col} IS NOT NULL AND {col} NOT IN ({vals})"
+            obs = f"CAST(count(*) FILTER (WHERE {cond}) AS DOUBLE)"
+            bad, ok = f"count(*) FILTER (WHERE {cond})", f"({obs}) = 0"
+        elif c.kind == "row_count":
+            obs, bad = "CAST(count(*) AS DOUBLE)", "0"
+            ok = f"coalesce(({obs}) BETWEEN {D(c.lo)} AND {D(c.hi)}, false)"
+        elif c.kind == "mean_between":
+            obs, bad = f"avg(CAST({col} AS DOUBLE))", "0"
+            ok = f"coalesce(({obs}) BETWEEN {D(c.lo)} AND {D(c.hi)}, false)"
+        elif c.kind == "share_between":
+            obs = f"coalesce(count(*) FILTER (WHERE {col} = '{c.value}') / count({col}), 0.0)"
+            bad, ok = "0", f"coalesce(({obs}) BETWEEN {D(c.lo)} AND {D(c.hi)}, false)"
+        elif c.kind == "fresh":
+            obs = f"CAST(date_diff('day', max(CAST({col} AS DATE)), DATE '2002-01-01') AS DOUBLE)"
+            bad, ok = "0", f"coalesce(({obs}) <= {c.days}, false)"
+        src = "" if c.kind == "exists" else " FROM stg"
+        parts.append(f"SELECT {i} AS check_id, '{name}' AS \"check\", {tgt} AS target, {r6(obs)} AS observed, "
+                     f"{ok} AS passed, CAST({bad} AS BIGINT) AS unexpected_count{src}")
+    return "\nUNION ALL ".join(parts)
+
+
+SQL["quality_suite"] = BASE + _suite_sql()
+
+SQL["quality_summary"] = BASE + ", s AS (" + _suite_sql() + """)
+SELECT count(*) AS total, count(*) FILTER (WHERE passed) AS passed,
+       CASE WHEN count(*) = 0 THEN 1 ELSE count(*) - count(*) FILTER (WHERE passed) END AS failed,
+       CASE WHEN count(*) = 0 THEN 0.0 ELSE round(count(*) FILTER (WHERE passed) / count(*) * 100, 1) END AS success_rate
+FROM s"""
+
+
+def _model_sql() -> str:
+    from ..operators.quality import MODEL_TESTS
+    rels = {"stg_loan_risk_scores": "stg",
+            "mart_risk_summary": "(SELECT risk_tier, count(*) AS loan_count FROM stg GROUP BY risk_tier)",
+            "mart_high_risk_loans": "(SELECT * FROM stg WHERE risk_tier IN ('CRITICAL', 'HIGH'))",
+            "mart_daily_risk_trend": "(SELECT processing_date, risk_tier, count(*) AS n FROM stg GROUP BY 1, 2)"}
+    parts = []
+    for model, specs in MODEL_TESTS.items():
+        for col, test, values in specs:
+            cond = (f"{col} IS NULL" if test == "not_null" else
+                    f"{col} IS NOT NULL AND {col} NOT IN ({', '.join(repr(v) for v in values)})")
+            parts.append(f"SELECT '{model}' AS model, '{col}' AS \"column\", '{test}' AS test, "
+                         f"count(*) FILTER (WHERE {cond}) AS failures FROM {rels[model]} m")
+    return "\nUNION ALL ".join(parts)
+
+
+SQL["model_tests"] = BASE + ", t AS (" + _model_sql() + """)
+SELECT *, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM t"""
+
+SQL["warehouse_check"] = BASE + """
+, a AS (SELECT count(*) AS cnt, count(*) FILTER (WHERE risk_score IS NULL) AS null_cnt,
+               count(*) FILTER (WHERE risk_tier NOT IN ('LOW', 'MEDIUM', 'HIGH', 'CRITICAL')) AS invalid_tier_cnt,
+               max(processing_date) AS max_date FROM stg),
+e AS (SELECT *, list_filter([
+        CASE WHEN cnt <= 100000 THEN printf('Row count %d is not > %d', cnt, 100000) END,
+        CASE WHEN null_cnt > 0 THEN printf('Found %d records with NULL risk_score', null_cnt) END,
+        CASE WHEN invalid_tier_cnt > 0 THEN printf('Found %d records with invalid risk_tier', invalid_tier_cnt) END,
+        CASE WHEN max_date IS NULL OR max_date <> DATE '2002-01-01' THEN
+          printf('Max processing_date %s != %s', coalesce(CAST(max_date AS VARCHAR), 'None'), '2002-01-01') END],
+        lambda x: x IS NOT NULL) AS errs FROM a)
+SELECT cnt, null_cnt, invalid_tier_cnt, max_date,
+       CASE WHEN len(errs) = 0 THEN 'PASS' ELSE 'FAIL: ' || array_to_string(errs, ', ') END AS status
+FROM e"""

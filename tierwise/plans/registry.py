@@ -271,3 +271,68 @@ def q_critical_count(spark, sf_dir):
 def q_hourly_alerts(spark, sf_dir):
     c = scenarios.hourly_counts(views.stg(spark, sf_dir), "ingestion_timestamp")
     return scenarios.hourly_delta(c)
+
+
+# ------------------------------------------------------------ quality
+
+from ..operators import quality  # noqa: E402
+from ..sources import files as file_sources  # noqa: E402
+
+
+@register("quality_suite")
+def q_quality_suite(spark, sf_dir):
+    r = quality.run_suite(views.stg(spark, sf_dir), quality.REFERENCE_SUITE, as_of=views.AS_OF_DATE)
+    return r.select("check_id", "check", F.col("column").alias("target"), r6("observed").alias("observed"),
+                    "passed", "unexpected_count")
+
+
+@register("quality_summary")
+def q_quality_summary(spark, sf_dir):
+    r = quality.run_suite(views.stg(spark, sf_dir), quality.REFERENCE_SUITE, as_of=views.AS_OF_DATE)
+    return quality.summarize(r)
+
+
+def _models(spark, sf_dir):
+    stg = views.stg(spark, sf_dir)
+    return {"stg_loan_risk_scores": stg, "mart_risk_summary": marts.mart_risk_summary(stg),
+            "mart_high_risk_loans": marts.mart_high_risk_loans(stg),
+            "mart_daily_risk_trend": marts.mart_daily_risk_trend(stg)}
+
+
+@register("model_tests")
+def q_model_tests(spark, sf_dir):
+    return quality.model_tests(_models(spark, sf_dir))
+
+
+@register("warehouse_check")
+def q_warehouse_check(spark, sf_dir):
+    return quality.check_table(views.stg(spark, sf_dir), as_of=views.AS_OF_DATE)
+
+
+@register("file_checks")
+def q_file_checks(spark, sf_dir):
+    """Q13/Q14/A19 over the table files themselves (listing only; no file body read)."""
+    files = file_sources.list_files(spark, sf_dir, glob="*.parquet", recursive=False)
+    raw = quality.check_files(files.where(F.col("path").endswith("/lineitem.parquet")), 1024 * 1024, layer="raw_check")
+    silver = quality.check_files(files, 0, ".parquet", layer="silver_check")
+    gold = quality.check_files(files, 0, None, layer="gold_check")
+    return raw.unionByName(silver).unionByName(gold)
+
+
+@register("layer_report")
+def q_layer_report(spark, sf_dir):
+    """Q16/Q17: file checks + warehouse check -> one report row + alert text."""
+    fc = q_file_checks(spark, sf_dir).select("layer", "status")
+    wh = quality.check_table(views.stg(spark, sf_dir), as_of=views.AS_OF_DATE).select(
+        F.lit("warehouse_check").alias("layer"), "status")
+    rep = quality.layer_report(fc.unionByName(wh), date=views.AS_OF_DATE)
+    alert = quality.quality_alerts(rep)
+    return rep.crossJoin(alert.select(F.coalesce(F.col("message"), F.lit("")).alias("alert")).unionByName(
+        spark.createDataFrame([("",)], "alert string")).agg(F.max("alert").alias("alert")))
+
+
+@register("storage_report")
+def q_storage_report(spark, sf_dir):
+    """F12/A20 over the table files (age measured against a fixed future date)."""
+    files = file_sources.list_files(spark, sf_dir, glob="*.parquet", recursive=False)
+    return quality.storage_report(files, days=30, as_of="2100-01-01")
