@@ -473,3 +473,19 @@ e AS (SELECT *, list_filter([
 SELECT cnt, null_cnt, invalid_tier_cnt, max_date,
        CASE WHEN len(errs) = 0 THEN 'PASS' ELSE 'FAIL: ' || array_to_string(errs, ', ') END AS status
 FROM e"""
+
+
+# ------------------------------------------------------------ streaming (must equal batch)
+
+SQL["stream_tier_counts"] = BASE + """
+SELECT risk_tier, count(*) AS loan_count FROM gold GROUP BY risk_tier"""
+
+SQL["stream_hourly_alerts"] = SQL["hourly_alerts"]
+
+SQL["stream_bridge"] = """
+SELECT 'loan-applications' AS topic, count(*) AS records, count(*) AS sent, CAST(0 AS BIGINT) AS failed,
+       CAST(0 AS BIGINT) AS wrapped, count(*) AS keyed FROM lineitem
+UNION ALL
+SELECT 'mortgage-rates', count(*), count(*) FILTER (WHERE event_type <> 'error'),
+       count(*) FILTER (WHERE event_type = 'error'), count(*) FILTER (WHERE event_type = 'signup'),
+       count(*) FILTER (WHERE event_type NOT IN ('error', 'signup')) FROM events"""
