@@ -93,9 +93,15 @@ def describe_stats(df: DataFrame, cols: list[str] = DESCRIBE_COLS, exact: bool =
     long = _long(df, cols).where(F.col("v").isNotNull())
     mom = long.groupBy("column").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
+        F.min("v").alias("min"), F.max("v").alias("max"),
+        F.approx_count_distinct("v", 0.02).alias("distinct_est"))
     if exact:
-        q = exact_quantiles(long, "v", [0.25, 0.5, 0.75], ["column"])
+        # moments are one small row per column: fetch them once, and reuse the
+        # distinct estimate as the quantile operator's size check
+        rows = mom.collect()
+        mom = df.sparkSession.createDataFrame(rows, mom.schema)
+        widest = max([r["distinct_est"] for r in rows] or [0]) * 1.1
+        q = exact_quantiles(long, "v", [0.25, 0.5, 0.75], ["column"], widest=widest)
         qw = q.groupBy("column").agg(
             *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
               for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
@@ -103,7 +109,7 @@ def describe_stats(df: DataFrame, cols: list[str] = DESCRIBE_COLS, exact: bool =
         qw = long.groupBy("column").agg(
             F.percentile_approx("v", [0.25, 0.5, 0.75], accuracy).alias("qs")).select(
             "column", *[F.col("qs")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))])
-    return mom.join(qw, "column", "left")
+    return mom.drop("distinct_est").join(qw, "column", "left")
 
 
 def corr_matrix(df: DataFrame, cols: list[str] = CORR_COLS) -> DataFrame:

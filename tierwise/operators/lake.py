@@ -90,32 +90,31 @@ def gold_from_raw(raw: DataFrame, as_of: str | Column | None = None,
 
 # ---------------------------------------------------------------- sinks
 
-def _partitioned_write(df: DataFrame, path: str, mode: str, files_per_day: int,
-                       max_records: int, dynamic: bool) -> None:
-    """Partitioned parquet write that bounds files per partition.
-
-    Rows are hash-distributed on the partition columns plus a salt in
-    [0, files_per_day): one hot day is split over ``files_per_day`` tasks
-    instead of one, and each task writes to few directories (no
-    tasks x days file explosion). ``maxRecordsPerFile`` caps file size.
+def _partitioned_write(df: DataFrame, path: str, mode: str, max_records: int, dynamic: bool) -> None:
+    """Partitioned parquet write with bounded file counts and no hot task.
+
+    The REBALANCE hint shuffles rows by the partition columns and lets AQE
+    size the write tasks: a day holding a third of all rows is split over
+    several tasks (advisory partition size), and many small days are
+    coalesced into one task — so no task writes to every directory and no
+    single task writes a whole hot day. ``maxRecordsPerFile`` caps file size.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_day))
-    laid = df.repartition(*[F.col(c) for c in PARTITION_COLS], salt)
+    laid = df.hint("rebalance", *PARTITION_COLS)
     w = (laid.write.mode(mode).option("maxRecordsPerFile", max_records)
          .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
     w.partitionBy(*PARTITION_COLS).parquet(path)
 
 
-def write_silver(df: DataFrame, path: str, mode: str = "overwrite", files_per_day: int = 8,
+def write_silver(df: DataFrame, path: str, mode: str = "overwrite",
                  max_records: int = 5_000_000, dynamic: bool = False) -> None:
     """K1: silver parquet by year/month/day. Static overwrite by default."""
-    _partitioned_write(df, path, mode, files_per_day, max_records, dynamic)
+    _partitioned_write(df, path, mode, max_records, dynamic)
 
 
-def write_gold(df: DataFrame, path: str, mode: str = "overwrite", files_per_day: int = 8,
+def write_gold(df: DataFrame, path: str, mode: str = "overwrite",
                max_records: int = 5_000_000, dynamic: bool = False) -> None:
     """K2: gold parquet by year/month/day."""
-    _partitioned_write(df, path, mode, files_per_day, max_records, dynamic)
+    _partitioned_write(df, path, mode, max_records, dynamic)
 
 
 def write_lookup(df: DataFrame, out_dir: str) -> None:
@@ -170,17 +169,22 @@ def sql(spark: SparkSession, text: str) -> DataFrame:
     return spark.sql(text)
 
 
-def compact(spark: SparkSession, src: str, dst: str, files_per_day: int = 1,
-            max_records: int = 5_000_000) -> DataFrame:
+def compact(spark: SparkSession, src: str, dst: str, max_records: int = 5_000_000) -> DataFrame:
     """Rewrite a partitioned tree with few files per partition.
 
     Writes to a new path (never read and overwrite one path in a plan).
     """
     df = spark.read.option("basePath", src).parquet(src)
-    _partitioned_write(df, dst, "overwrite", files_per_day, max_records, dynamic=False)
+    _partitioned_write(df, dst, "overwrite", max_records, dynamic=False)
     return spark.read.parquet(dst)
 
 
 def write_report(df: DataFrame, path: str) -> None:
     """Report rows as JSON (one small file)."""
     df.coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_silver_path(spark: SparkSession, path: str) -> DataFrame:
+    """silver/gold tree with text partition values (never re-typed to int)."""
+    return spark.read.option("basePath", path).parquet(path).withColumns(
+        {c: F.col(c).cast("string") for c in PARTITION_COLS})

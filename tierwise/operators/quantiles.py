@@ -6,6 +6,10 @@ is exact and never gathers a group into one task:
 
 1. distinct-value histogram per group (partial aggregation: a value that
    holds a third of all rows becomes one row);
+   A size check follows: when every group has at most ``MAP_LIMIT``
+   distinct values, Spark's exact ``percentile`` with the counts as
+   frequencies finishes the job (its buffer = one entry per distinct value).
+   Otherwise:
 2. approximate range bounds over the distinct values per group, fetched to
    the driver (at most groups x ``buckets`` numbers — bounded, like the
    sample Spark's own range partitioner collects) so every later stage sees
@@ -25,25 +29,48 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_GROUPS_FOR_BUCKETS = 10_000
+# A group with at most this many distinct values is small enough for Spark's
+# exact ``percentile`` over its (value, count) histogram: the aggregate's
+# buffer holds one entry per distinct value, so this bounds its memory.
+MAP_LIMIT = 1_000_000
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] | None = None,
-                    buckets: int = 64, accuracy: int = 10_000) -> DataFrame:
+                    buckets: int = 64, accuracy: int = 10_000, map_limit: int = MAP_LIMIT,
+                    widest: float | None = None) -> DataFrame:
     """Return (keys..., p, q) for every group and probability.
 
     Nulls and NaN are skipped. Groups with no values produce no rows.
+    ``map_limit=0`` forces the bucketed path (used by tests). ``widest`` is
+    an upper estimate of distinct values per group when the caller already
+    has one (e.g. from ``approx_count_distinct`` in its own aggregation).
     """
     keys = list(keys or [])
     v = (df.select(*keys, F.col(value).cast("double").alias("v"))
            .where(F.col("v").isNotNull() & ~F.isnan("v")))
     hist = v.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
+    spark = df.sparkSession
+
+    # size check: distinct values per group — a HyperLogLog sketch per group
+    # (bounded, partial aggregation, no shuffle of the values), with margin
+    if widest is None:
+        est = (v.groupBy(*keys).agg(F.approx_count_distinct("v", 0.02).alias("d"))
+                .agg(F.max("d")).collect()[0][0])
+        widest = None if est is None else est * 1.1
+    if widest is None:
+        return spark.createDataFrame([], v.select(*keys).schema.add("p", T.DoubleType()).add("q", T.DoubleType()))
+    if widest <= map_limit:
+        # fast path: exact percentile over the histogram, bounded by the check
+        arr = F.percentile(F.col("v"), F.array(*[F.lit(float(p)) for p in probs]), F.col("n"))
+        got = hist.groupBy(*keys).agg(arr.alias("qs"))
+        return got.select(*keys, F.posexplode("qs").alias("i", "q")).select(
+            *keys, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1).alias("p"), "q")
 
     # (2) bucket bounds per group, bounded in size and fixed once on the driver
     fr = [i / buckets for i in range(1, buckets)]
     bounds_rows = (hist.groupBy(*keys)
                    .agg(F.array_sort(F.array_distinct(F.percentile_approx("v", fr, accuracy))).alias("bounds"))
                    .limit(MAX_GROUPS_FOR_BUCKETS + 1).collect())
-    spark = df.sparkSession
     few_groups = not (keys and len(bounds_rows) > MAX_GROUPS_FOR_BUCKETS)
     if not few_groups:
         # many groups: each group is small; one window per group suffices,
