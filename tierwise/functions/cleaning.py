@@ -95,3 +95,8 @@ def zero_if_null(col) -> Column:
 
 def pad2(col) -> Column:
     return F.lpad(_c(col).cast("string"), 2, "0")
+
+
+def to_day(col) -> Column:
+    """Timestamp -> date for daily grouping."""
+    return F.to_date(_c(col))

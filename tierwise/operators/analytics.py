@@ -141,15 +141,15 @@ def trend_delta(daily: DataFrame, benchmark: float = BENCHMARK_SCORE,
     """
     w = Window.orderBy(F.col("date").desc())
     top2 = daily.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= 2)
-    peak = daily.agg(F.max("max").alias("peak"))
+    peak = daily.agg(F.max("max")).scalar()
     agg = top2.agg(
         F.max(F.when(F.col("rn") == 1, F.col("date"))).alias("latest_date"),
         F.max(F.when(F.col("rn") == 1, F.col("mean"))).alias("latest"),
         F.coalesce(F.max(F.when(F.col("rn") == 2, F.col("mean"))),
                    F.max(F.when(F.col("rn") == 1, F.col("mean")))).alias("previous"))
-    return agg.crossJoin(peak).select(
+    return agg.select(
         "latest_date", "latest", "previous", (F.col("latest") - F.col("previous")).alias("delta"),
-        "peak", (F.col("latest") * F.lit(growth)).alias("projected_30d"),
+        peak.alias("peak"), (F.col("latest") * F.lit(growth)).alias("projected_30d"),
         (F.col("latest") - F.lit(benchmark)).alias("vs_benchmark"))
 
 
@@ -191,3 +191,13 @@ def exposure_by_tier(df: DataFrame) -> DataFrame:
     return df.groupBy("risk_tier").agg(
         F.count(F.lit(1)).alias("loan_count"), F.avg(_d("loan_amount")).alias("avg_amount"),
         (F.sum(_d("loan_amount")) / F.lit(1e9)).alias("exposure_billions"))
+
+
+def peak(daily: DataFrame) -> DataFrame:
+    """Highest daily maximum."""
+    return daily.agg(F.max("max").alias("peak"))
+
+
+def preview(df: DataFrame, cols: list[str], n: int = 5) -> DataFrame:
+    """First n rows of some columns (a limit is the feature)."""
+    return df.select(*cols).limit(n)

@@ -126,14 +126,15 @@ NUMERIC_MAP = {"B25077_001E": "median_home_value", "B19013_001E": "median_income
 def median_fill(df: DataFrame, cols: list[str]) -> DataFrame:
     """A16 + A17: fill nulls of each column with that column's exact median.
 
-    The medians are a (len(cols))-row aggregate, pivoted to one row and
-    cross-joined with a broadcast hint (its size is fixed by ``cols``).
+    The medians are a (len(cols))-row aggregate folded into one struct and
+    attached as a scalar subquery (evaluated once, no join).
     """
     med = median(df, cols)
-    one = med.agg(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"_m_{c}") for c in cols])
-    out = df.crossJoin(F.broadcast(one))
-    return out.select(*[F.coalesce(F.col(c), F.col(f"_m_{c}")).alias(c) if c in cols else F.col(c)
-                        for c in df.columns])
+    one = med.agg(F.struct(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(c)
+                             for c in cols]).alias("m"))
+    m = one.scalar()
+    return df.select(*[F.coalesce(F.col(c), m.getField(c)).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
 
 
 def county_lookup(census: DataFrame) -> DataFrame:
@@ -153,3 +154,8 @@ def county_lookup(census: DataFrame) -> DataFrame:
 def to_nan_free(df: DataFrame, cols: list[str]) -> DataFrame:
     """NaN -> null on the given double columns (source hygiene)."""
     return df.withColumns({c: nan_to_null(c) for c in cols})
+
+
+def complete(df: DataFrame, cols=MACRO_KEYS) -> DataFrame:
+    """drop rows lacking any of the given columns."""
+    return df.dropna("any", subset=list(cols))

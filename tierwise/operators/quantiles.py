@@ -77,11 +77,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
         # and the per-group frames below are joined without a broadcast hint
         hb = hist.withColumn("b", F.lit(0))
     else:
-        schema = hist.select(*keys).schema.add("bounds", T.ArrayType(T.DoubleType()))
-        bdf = spark.createDataFrame([tuple(r) for r in bounds_rows], schema)
-        on = keys if keys else None
-        hb = (hist.join(F.broadcast(bdf), on=on, how="inner") if on
-              else hist.crossJoin(F.broadcast(bdf)))
+        if keys:
+            # groups x buckets numbers, size checked above: safe to broadcast
+            schema = hist.select(*keys).schema.add("bounds", T.ArrayType(T.DoubleType()))
+            bdf = spark.createDataFrame([tuple(r) for r in bounds_rows], schema)
+            hb = hist.join(F.broadcast(bdf), on=keys, how="inner")
+        else:
+            lit_bounds = F.array(*[F.lit(float(x)) for x in (bounds_rows[0]["bounds"] or [])]).cast("array<double>")
+            hb = hist.withColumn("bounds", lit_bounds)
         hb = hb.withColumn("b", F.size(F.filter("bounds", lambda x: x <= F.col("v")))).drop("bounds")
 
     # (3) ranks: within-bucket running count + bucket offset
@@ -102,8 +105,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
 
     # (4) targets: two ranks per (group, p)
     totals = bo.select(*keys, "total").distinct()
-    pr = spark.createDataFrame([(float(p),) for p in probs], "p double")
-    tg = (totals.crossJoin(F.broadcast(pr))
+    tg = (totals.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
           .withColumn("pos", (F.col("total") - 1) * F.col("p"))
           .withColumn("k0", F.floor("pos").cast("long"))
           .withColumn("k1", F.ceil("pos").cast("long"))

@@ -1,7 +1,7 @@
 """Scenario analytics and alternative scoring paths.
 
-All are column arithmetic or small aggregates; the only cross joins are
-with literal scenario lists whose size is fixed by the caller.
+All are column arithmetic or small aggregates; scenario lists are literal
+arrays exploded per row (no joins), so their size is fixed by the caller.
 """
 
 from __future__ import annotations
@@ -111,16 +111,17 @@ def what_if(df: DataFrame, ltv: float | Column) -> DataFrame:
 
 
 def what_if_sweep(df: DataFrame, ltvs: list[float]) -> DataFrame:
-    """M16 over a scenario list: cross join with a broadcast literal list."""
-    sc = df.sparkSession.createDataFrame([(float(x),) for x in ltvs], "scenario_ltv double")
-    return what_if(df.crossJoin(F.broadcast(sc)), F.col("scenario_ltv"))
+    """M16 over a scenario list: each row is expanded by the literal list (no join)."""
+    out = df.withColumn("scenario_ltv", F.explode(F.array(*[F.lit(float(x)) for x in ltvs])))
+    return what_if(out, F.col("scenario_ltv"))
 
 
 def rate_hike(df: DataFrame, hikes=RATE_HIKES) -> DataFrame:
-    """J3 + M17: portfolio mean score under each hike; hike > 0 adds hike/10*.25."""
+    """J3 + M17: portfolio mean score under each hike; hike > 0 adds hike/10*.25.
+
+    The one-row mean is expanded by the literal hike list (no join)."""
     mean = df.agg(F.avg("risk_score").alias("mean_score"))
-    sc = df.sparkSession.createDataFrame([(float(h),) for h in hikes], "hike double")
-    j = mean.crossJoin(F.broadcast(sc))
+    j = mean.select("mean_score", F.explode(F.array(*[F.lit(float(h)) for h in hikes])).alias("hike"))
     bump = F.when(F.col("hike") > 0, F.col("hike") / F.lit(10.0) * F.lit(0.25)).otherwise(F.lit(0.0))
     return j.select("hike", "mean_score", (F.col("mean_score") + bump).alias("impacted_score"))
 

@@ -489,3 +489,21 @@ UNION ALL
 SELECT 'mortgage-rates', count(*), count(*) FILTER (WHERE event_type <> 'error'),
        count(*) FILTER (WHERE event_type = 'error'), count(*) FILTER (WHERE event_type = 'signup'),
        count(*) FILTER (WHERE event_type NOT IN ('error', 'signup')) FROM events"""
+
+
+# ------------------------------------------------------------ more sources / scenarios
+
+SQL["loan_events_csv"] = with_(RAW_LOANS) + """
+SELECT trim(loan_amount) AS loan_amount, loan_type, action_taken, trim(ltv) AS ltv, dti, income, interest_rate,
+       state, county_code, 'loan_application' AS event_type
+FROM raw_loans
+WHERE coalesce(trim(loan_amount), '') <> '' AND coalesce(trim(ltv), '') <> ''"""
+
+_WIS = ("s_ltv / CAST(100.0 AS DOUBLE) * CAST(0.3 AS DOUBLE) + dti / CAST(65.0 AS DOUBLE) * CAST(0.25 AS DOUBLE)"
+        " + CAST(interest_rate AS DOUBLE) / CAST(10.0 AS DOUBLE) * CAST(0.25 AS DOUBLE) + CAST(0.12 AS DOUBLE)")
+SQL["what_if_sweep"] = BASE + f"""
+, sc AS (SELECT * FROM (VALUES (60.0), (80.0), (95.0)) v(x)),
+c AS (SELECT loan_id, risk_tier, CAST(x AS DOUBLE) AS s_ltv, dti, interest_rate FROM stg, sc),
+t AS (SELECT loan_id, risk_tier, s_ltv, {_WIS} AS s FROM c),
+u AS (SELECT *, {_cont_tier('s')} AS new_tier FROM t)
+SELECT loan_id, s_ltv AS scenario_ltv, {r6('s')} AS new_score, new_tier, new_tier <> risk_tier AS tier_changed FROM u"""

@@ -260,11 +260,10 @@ def q_rate_hike(spark, sf_dir):
 @register("critical_count")
 def q_critical_count(spark, sf_dir):
     g = views.stg(spark, sf_dir)
-    latest = g.agg(F.max("processing_date").alias("d"))
-    # as_of = the latest processing date in the data (instead of "today")
-    j = g.crossJoin(F.broadcast(latest))
-    return j.agg(F.count_if((F.col("risk_tier") == "CRITICAL")
-                            & (F.col("processing_date") == F.col("d"))).alias("critical_count"))
+    # as_of = the latest processing date in the data (instead of "today"), a scalar subquery
+    latest = g.agg(F.max("processing_date")).scalar()
+    return g.agg(F.count_if((F.col("risk_tier") == "CRITICAL")
+                            & (F.col("processing_date") == latest)).alias("critical_count"))
 
 
 @register("hourly_alerts")
@@ -326,9 +325,8 @@ def q_layer_report(spark, sf_dir):
     wh = quality.check_table(views.stg(spark, sf_dir), as_of=views.AS_OF_DATE).select(
         F.lit("warehouse_check").alias("layer"), "status")
     rep = quality.layer_report(fc.unionByName(wh), date=views.AS_OF_DATE)
-    alert = quality.quality_alerts(rep)
-    return rep.crossJoin(alert.select(F.coalesce(F.col("message"), F.lit("")).alias("alert")).unionByName(
-        spark.createDataFrame([("",)], "alert string")).agg(F.max("alert").alias("alert")))
+    alert = quality.quality_alerts(rep).agg(F.max("message")).scalar()
+    return rep.withColumn("alert", F.coalesce(alert, F.lit("")))
 
 
 @register("storage_report")
@@ -336,3 +334,31 @@ def q_storage_report(spark, sf_dir):
     """F12/A20 over the table files (age measured against a fixed future date)."""
     files = file_sources.list_files(spark, sf_dir, glob="*.parquet", recursive=False)
     return quality.storage_report(files, days=30, as_of="2100-01-01")
+
+
+# ------------------------------------------------------------ more sources / scenarios
+
+from ..session import scratch_path  # noqa: E402
+
+WHAT_IF_SWEEP = [60.0, 80.0, 95.0]
+
+
+@register("loan_events_csv")
+def q_loan_events_csv(spark, sf_dir):
+    """S3 + F3 + P6/P7: loans landed as the public register's header CSV, read back
+    as text, empty amount/LTV rows skipped, renamed to the 13-field event."""
+    raw = testmap.raw_loans(spark, sf_dir)
+    csv = raw.select("loan_amount", "loan_type", "action_taken", F.col("ltv").alias("loan_to_value_ratio"),
+                     F.col("dti").alias("debt_to_income_ratio"), "income", "interest_rate", "denial_reason_1",
+                     F.col("state").alias("state_code"), "county_code", "property_value")
+    path = scratch_path(spark, "loans-csv")
+    csv.write.mode("overwrite").option("header", True).csv(path)
+    ev = ingest.loan_event(file_sources.read_loans_csv(spark, path), ingested_at=F.lit(views.AS_OF_TS))
+    return ev.select("loan_amount", "loan_type", "action_taken", "ltv", "dti", "income", "interest_rate",
+                     "state", "county_code", "event_type")
+
+
+@register("what_if_sweep")
+def q_what_if_sweep(spark, sf_dir):
+    w = scenarios.what_if_sweep(views.stg(spark, sf_dir), WHAT_IF_SWEEP)
+    return w.select("loan_id", "scenario_ltv", r6("new_score").alias("new_score"), "new_tier", "tier_changed")

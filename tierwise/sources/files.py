@@ -99,3 +99,23 @@ def union_all(dfs: list[DataFrame]) -> DataFrame:
 
 def loan_csv_columns() -> list[str]:
     return list(LOAN_CSV_FIELDS)
+
+
+def table(spark: SparkSession, name: str) -> DataFrame:
+    """A catalog table or view by name (``source``/``ref``)."""
+    return spark.table(name)
+
+
+ref = table
+source = table
+
+
+def sample_rows(df: DataFrame, n: int = 10_000) -> DataFrame:
+    """Bounded, unordered sample (the quality suite itself runs on the full table)."""
+    return df.limit(n)
+
+
+def fold_names(df: DataFrame, how: str = "lower") -> DataFrame:
+    """P10: fold column-name case (cosmetic: Spark resolves names case-insensitively)."""
+    f = str.lower if how == "lower" else str.upper
+    return df.toDF(*[f(c) for c in df.columns])

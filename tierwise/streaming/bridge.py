@@ -103,7 +103,7 @@ def topic_volume(offsets: DataFrame) -> DataFrame:
     Input is a Kafka batch read (topic, partition, offset); F14 internal
     topics (leading underscore) are skipped.
     """
-    user = offsets.where(~F.col("topic").startswith("_"))
+    user = user_topics(offsets)
     per_part = user.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("end_offset"))
     return per_part.groupBy("topic").agg(F.sum("end_offset").alias("messages"))
 
@@ -111,3 +111,14 @@ def topic_volume(offsets: DataFrame) -> DataFrame:
 def match(df: DataFrame, col: str, regex: str = ".*") -> DataFrame:
     """keep rows whose column matches the pattern (default all)."""
     return df.where(F.col(col).rlike(f"^(?:{regex})$"))
+
+
+def user_topics(df: DataFrame, col: str = "topic") -> DataFrame:
+    """skip internal topics (leading underscore)."""
+    return df.where(~F.col(col).startswith("_"))
+
+
+def publish(df: DataFrame, topic: str, bootstrap: str = "localhost:9092", key: str | None = None) -> None:
+    """K4: batch-publish rows as JSON records (needs the Kafka connector jar)."""
+    (to_topic(df, topic, key).write.format("kafka")
+     .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
