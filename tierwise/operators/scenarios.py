@@ -149,16 +149,24 @@ def hourly_counts(df: DataFrame, ts_col: str, tier: str = "CRITICAL") -> DataFra
 
 
 def hourly_delta(counts: DataFrame) -> DataFrame:
-    """Compare each hour with the hour before (0 when that hour is empty).
+    """Compare each hour with the calendar hour before it (0 when empty).
 
-    An equi-join of the hourly aggregate with itself shifted by one hour —
-    no global window, and the previous hour is the calendar hour, not the
-    previous non-empty row.
+    Shift-and-aggregate instead of a self-join: every hourly row is emitted
+    once as "current" for its hour and once as "previous" for the next hour,
+    then one groupBy folds them. One pass over the hourly aggregate, no join,
+    no global window.
     """
-    prev = counts.select((F.col("hour") + F.expr("INTERVAL 1 HOUR")).alias("hour"),
-                         F.col("current_count").alias("previous_count"))
-    j = counts.join(prev, "hour", "left")
-    pc = F.coalesce(F.col("previous_count"), F.lit(0))
+    one = F.lit(1)
+    cells = F.array(
+        F.struct(F.col("hour").alias("hour"), F.col("current_count").alias("cur"),
+                 F.lit(0).cast("long").alias("prev"), one.alias("has_cur")),
+        F.struct((F.col("hour") + F.expr("INTERVAL 1 HOUR")).alias("hour"), F.lit(0).cast("long").alias("cur"),
+                 F.col("current_count").alias("prev"), F.lit(0).alias("has_cur")))
+    j = (counts.select(F.explode(cells).alias("c")).select("c.*")
+         .groupBy("hour").agg(F.sum("cur").alias("current_count"), F.sum("prev").alias("previous_count"),
+                              F.max("has_cur").alias("has_cur"))
+         .where(F.col("has_cur") == 1))
+    pc = F.col("previous_count")
     return j.select("hour", "current_count", pc.alias("previous_count"),
                     (F.col("current_count") - pc).alias("new_critical"),
                     (F.col("current_count") > pc).alias("alert"),

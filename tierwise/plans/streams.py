@@ -19,11 +19,15 @@ from .registry import register
 BRIDGE_EPOCH = 1_700_000_000
 
 
-def _land_raw_loans(spark, sf_dir, files: int = 4) -> str:
+LANDING_FILE_ROWS = 1_000_000
+
+
+def _land_raw_loans(spark, sf_dir) -> str:
+    """Land the derived loan events as JSON files (one file per input split,
+    at most LANDING_FILE_ROWS rows each; no shuffle)."""
     src = scratch_path(spark, "raw-loans")
     raw = testmap.raw_loans(spark, sf_dir).drop("landed_date")
-    # several files so the stream runs several micro-batches
-    raw.repartition(files).write.mode("overwrite").json(src)
+    raw.write.mode("overwrite").option("maxRecordsPerFile", LANDING_FILE_ROWS).json(src)
     return src
 
 
@@ -35,7 +39,7 @@ def _scored_stream(spark, src, max_files):
 
 @register("stream_tier_counts")
 def q_stream_tier_counts(spark, sf_dir):
-    """Running tier counts over a file stream, 1 file per micro-batch."""
+    """Running tier counts over a file stream, one file per micro-batch."""
     src = _land_raw_loans(spark, sf_dir)
     agg = counters.running_tier_counts(_scored_stream(spark, src, max_files=1))
     out, ck = scratch_path(spark, "tier-counts"), scratch_path(spark, "tier-counts-ckpt")
@@ -77,7 +81,7 @@ def q_stream_bridge(spark, sf_dir):
                                               F.col("value")))))
     rates = ev.select(payload.alias("value"), F.lit("mortgage-rates").alias("topic"))
     src = scratch_path(spark, "topics")
-    loans.unionByName(rates).repartition(4).write.mode("overwrite").json(src)
+    loans.unionByName(rates).write.mode("overwrite").option("maxRecordsPerFile", LANDING_FILE_ROWS).json(src)
     stream = spark.readStream.schema("value string, topic string").option("maxFilesPerTrigger", 1).json(src)
     b = bridge.observed_bridge(bridge.bridge_transform(stream, now=F.lit(BRIDGE_EPOCH)))
     agg = b.groupBy("topic").agg(
