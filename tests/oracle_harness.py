@@ -70,7 +70,9 @@ if __name__ == "__main__":
     from tierwise.session import build
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = sys.argv[2:] or None
-    spark = build()
+    import os
+    tz = os.environ.get("HARNESS_TZ")
+    spark = build(extra={"spark.sql.session.timeZone": tz} if tz else None)
     con = duck(sf)
     q, o = E.queries(), E.oracle_sql()
     bad = 0

@@ -141,8 +141,8 @@ def faked_previous(current) -> Column:
 
 
 def hourly_counts(df: DataFrame, ts_col: str, tier: str = "CRITICAL") -> DataFrame:
-    """Hourly count of ``tier`` rows (tumbling 1-hour windows)."""
-    w = F.window(F.col(ts_col).cast("timestamp"), "1 hour")
+    """Hourly count of ``tier`` rows (tumbling 1-hour windows on naive time)."""
+    w = F.window(F.col(ts_col).cast("timestamp_ntz"), "1 hour")
     return (df.where(F.col("risk_tier") == tier).groupBy(w.alias("w"))
               .agg(F.count(F.lit(1)).alias("current_count"))
               .select(F.col("w.start").alias("hour"), "current_count"))
@@ -173,4 +173,4 @@ def hourly_delta(counts: DataFrame) -> DataFrame:
                     F.when(F.col("current_count") > pc,
                            F.format_string("%d new CRITICAL risk loans detected at %s",
                                            F.col("current_count") - pc,
-                                           F.date_format("hour", "yyyy-MM-dd HH:mm:ss"))).alias("message"))
+                                           F.col("hour").cast("timestamp_ntz").cast("string"))).alias("message"))

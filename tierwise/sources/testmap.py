@@ -15,9 +15,19 @@ from ..schemas import EVENT_LOAN
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One supplied table. Its timestamps are naive (TIMESTAMP_NTZ); the views
+    below are defined on UTC wall-clock time, so the session zone is pinned to
+    UTC (streaming watermarks need zone-aware timestamps)."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _iso(ts):
+    """Naive timestamp -> 'yyyy-MM-ddTHH:mm:ss' without any time-zone step."""
+    return F.regexp_replace(ts.cast("timestamp_ntz").cast("string"), " ", "T")
+
+
 def _s(c):
     return c.cast("string")
 
@@ -60,7 +70,7 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lpad(_s(sk % 200), 3, "0").alias("county_code"),
         _s(pk * 1000).alias("property_value"),
         F.lit(EVENT_LOAN).alias("event_type"),
-        F.date_format(_landed_ts(), "yyyy-MM-dd'T'HH:mm:ss").alias("ingestion_timestamp"),
+        _iso(_landed_ts()).alias("ingestion_timestamp"),
         F.lit("loan-applications").alias("_source_topic"),
         F.unix_timestamp(_landed_ts().cast("timestamp")).alias("_bridge_ts"),
         F.col("l_shipdate").cast("date").alias("landed_date"),
@@ -89,7 +99,7 @@ def indicator_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(F.col("event_type") == "purchase", "unemployment_rate")
             .when(F.col("event_type") == "signup", "cpi"))
     return (ev.where(F.col("event_type").isin("click", "view", "purchase", "signup"))
-              .select(F.date_format(F.date_trunc("hour", F.col("ts")), "yyyy-MM-dd HH:mm:ss").alias("date"),
+              .select(F.window("ts", "1 hour").start.cast("string").alias("date"),
                       key.alias("indicator"), F.col("value"), F.col("ts").alias("seq")))
 
 
