@@ -29,7 +29,10 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 
 
 def main() -> None:
-    spark = session.build(master=f"local[{CPUS}]", shuffle_partitions=CPUS, app="tierwise-bench")
+    extra = {}
+    if os.environ.get("BENCH_ADVISORY"):
+        extra["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = os.environ["BENCH_ADVISORY"]
+    spark = session.build(master=f"local[{CPUS}]", shuffle_partitions=CPUS, app="tierwise-bench", extra=extra)
     work = session.scratch_path(spark, "bench")
     times: dict[str, float] = {}
 

@@ -84,4 +84,4 @@ def test_files_report_and_alerts(spark):
     r = report.first()
     assert (r.raw_check, r.silver_check, r.gold_check) == ("PASS", "FAIL", "FAIL: x")
     msg = quality.quality_alerts(report).first().message
-    assert msg == "Data Quality Alert! Failed checks: gold_check, silver_check, warehouse_check"
+    assert msg == "Data Quality Alert! Failed checks: silver_check, gold_check, warehouse_check"

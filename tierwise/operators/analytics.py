@@ -160,16 +160,29 @@ def hierarchy_sum(df: DataFrame, path=("state", "risk_tier"), value: str = "loan
 
 
 def box_stats(df: DataFrame, by: str = "loan_type", value: str = "risk_score") -> DataFrame:
-    """Per group min, Q1, median, Q3, max and 1.5 IQR fences (linear quantiles)."""
+    """Per group min, Q1, median, Q3, max, 1.5 IQR fences (linear quantiles),
+    whisker ends (furthest values inside the fences) and the outlier count.
+
+    The per-group fences are joined back on the group key (AQE picks the join
+    strategy from their measured size) for one more aggregation pass.
+    """
     q = exact_quantiles(df, value, [0.25, 0.5, 0.75], [by])
     qw = q.groupBy(by).agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
                              for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     mm = df.groupBy(by).agg(F.min(_d(value)).alias("min"), F.max(_d(value)).alias("max"),
                             F.count(value).alias("n"))
     iqr = F.col("q3") - F.col("q1")
-    return (mm.join(qw, by, "inner")
-              .withColumn("lower_fence", F.col("q1") - F.lit(1.5) * iqr)
-              .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * iqr))
+    stats = (mm.join(qw, by, "inner")
+               .withColumn("lower_fence", F.col("q1") - F.lit(1.5) * iqr)
+               .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * iqr))
+    fences = stats.select(by, "lower_fence", "upper_fence")
+    v = _d(value)
+    wh = (df.select(by, v.alias("_v")).where(F.col("_v").isNotNull()).join(fences, by, "inner")
+            .groupBy(by).agg(F.min(F.when(F.col("_v") >= F.col("lower_fence"), F.col("_v"))).alias("whisker_low"),
+                             F.max(F.when(F.col("_v") <= F.col("upper_fence"), F.col("_v"))).alias("whisker_high"),
+                             F.count_if(~F.col("_v").between(F.col("lower_fence"), F.col("upper_fence")))
+                              .alias("outliers")))
+    return stats.join(wh, by, "left")
 
 
 def percentile_rank(df: DataFrame, scores: list[float], col: str = "risk_score") -> DataFrame:

@@ -222,10 +222,16 @@ SQL["box_by_type"] = BASE + f"""
                quantile_cont(risk_score, 0.25) AS q1, quantile_cont(risk_score, 0.5) AS med,
                quantile_cont(risk_score, 0.75) AS q3, max(risk_score) AS mx
         FROM stg GROUP BY loan_type_code)
-SELECT loan_type_code, n, {r6('mn')} AS min, {r6('q1')} AS q1, {r6('med')} AS median, {r6('q3')} AS q3,
-       {r6('mx')} AS max, {r6('q1 - CAST(1.5 AS DOUBLE) * (q3 - q1)')} AS lower_fence,
-       {r6('q3 + CAST(1.5 AS DOUBLE) * (q3 - q1)')} AS upper_fence
-FROM q"""
+  , f AS (SELECT *, q1 - CAST(1.5 AS DOUBLE) * (q3 - q1) AS lf, q3 + CAST(1.5 AS DOUBLE) * (q3 - q1) AS uf FROM q),
+  w AS (SELECT s.loan_type_code, min(CASE WHEN s.risk_score >= f.lf THEN s.risk_score END) AS wl,
+               max(CASE WHEN s.risk_score <= f.uf THEN s.risk_score END) AS wh,
+               count(*) FILTER (WHERE NOT (s.risk_score BETWEEN f.lf AND f.uf)) AS outliers
+        FROM stg s JOIN f ON s.loan_type_code = f.loan_type_code WHERE s.risk_score IS NOT NULL
+        GROUP BY s.loan_type_code)
+SELECT f.loan_type_code, n, {r6('mn')} AS min, {r6('q1')} AS q1, {r6('med')} AS median, {r6('q3')} AS q3,
+       {r6('mx')} AS max, {r6('lf')} AS lower_fence, {r6('uf')} AS upper_fence,
+       {r6('wl')} AS whisker_low, {r6('wh')} AS whisker_high, outliers
+FROM f LEFT JOIN w ON f.loan_type_code = w.loan_type_code"""
 
 _PROBES = [0.3, 0.45, 0.52, 0.6, 0.75, 0.85]
 SQL["pct_rank"] = BASE + " UNION ALL ".join(

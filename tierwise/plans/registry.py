@@ -155,7 +155,8 @@ def q_state_tier_rollup(spark, sf_dir):
 def q_box_by_type(spark, sf_dir):
     b = analytics.box_stats(views.stg(spark, sf_dir), by="loan_type_code")
     return b.select("loan_type_code", "n", *[r6(c).alias(c) for c in
-                    ("min", "q1", "median", "q3", "max", "lower_fence", "upper_fence")])
+                    ("min", "q1", "median", "q3", "max", "lower_fence", "upper_fence",
+                     "whisker_low", "whisker_high")], "outliers")
 
 
 @register("pct_rank")
