@@ -12,7 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import marts
+from ..operators import analytics, ingest, marts, quality, scenarios
+from ..policies import API
+from ..session import scratch_path
+from ..sources import files as file_sources
+from ..sources import testmap
 from . import views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,7 +79,6 @@ def q_daily_trend(spark, sf_dir):
 
 # ------------------------------------------------------------ analytics
 
-from ..operators import analytics  # noqa: E402
 
 PCT_RANK_PROBES = [0.3, 0.45, 0.52, 0.6, 0.75, 0.85]
 SEGMENT_STATES = ("VA", "MD")
@@ -174,8 +177,6 @@ def q_exposure_by_tier(spark, sf_dir):
 
 # ------------------------------------------------------------ ingest
 
-from ..operators import ingest, scenarios  # noqa: E402
-from ..sources import testmap  # noqa: E402
 
 
 @register("rate_bps")
@@ -207,7 +208,6 @@ WHAT_IF_LTV = 75.0
 
 @register("api_scores")
 def q_api_scores(spark, sf_dir):
-    from ..policies import API
     valid, _ = scenarios.validate_input(views.silver(spark, sf_dir))
     s = scenarios.score_loans(valid, API, scored_at=views.AS_OF_TS)
     return s.select("loan_id", "ltv_score", "dti_score", "rate_spread_score",
@@ -275,8 +275,6 @@ def q_hourly_alerts(spark, sf_dir):
 
 # ------------------------------------------------------------ quality
 
-from ..operators import quality  # noqa: E402
-from ..sources import files as file_sources  # noqa: E402
 
 
 @register("quality_suite")
@@ -339,7 +337,6 @@ def q_storage_report(spark, sf_dir):
 
 # ------------------------------------------------------------ more sources / scenarios
 
-from ..session import scratch_path  # noqa: E402
 
 WHAT_IF_SWEEP = [60.0, 80.0, 95.0]
 
