@@ -114,3 +114,30 @@ def test_watch_quality_and_topic_volume(spark, tmp_dir):
     assert bridge.match(offs, "topic", "t|x").count() == 3
     k = bridge.to_topic(spark.createDataFrame([("L1", 5)], "loan_id string, v int"), "loan-applications", "loan_id")
     assert json.loads(k.first().value) == {"loan_id": "L1", "v": 5} and k.first().key == "L1"
+
+
+def test_streaming_alerts_revise_the_next_hour(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    files = [[("2024-01-01T10:05:00", 98, 9.0)],
+             [("2024-01-01T11:05:00", 98, 9.0), ("2024-01-01T11:25:00", 98, 9.0)],
+             [("2024-01-01T10:45:00", 98, 9.0)]]          # revises hour 10 after hour 11 was compared
+    for i, rows in enumerate(files, 1):
+        _loan_file(os.path.join(src, f"{i}.json"), rows)
+        os.utime(os.path.join(src, f"{i}.json"), (i, i))
+    scored = lake.score(lake.clean_raw(counters.stream_raw(spark, src, max_files=1), "2024-01-01")).withColumn(
+        "event_ts", F.to_timestamp("ingestion_timestamp"))
+    q = counters.start_hourly_alerts(scored, f"{tmp_dir}/c", f"{tmp_dir}/a", f"{tmp_dir}/ck")
+    q.awaitTermination()
+    got = {r.hour.hour: (r.current_count, r.previous_count, r.alert)
+           for r in counters.latest_by_key(spark, f"{tmp_dir}/a", ["hour"]).collect()}
+    assert got == {10: (2, 0, True), 11: (2, 2, False)}
+    first = spark.read.parquet(f"{tmp_dir}/a").where("_epoch = 1").first()
+    assert first.hour.hour == 11 and first.alert and first.message.startswith("1 new CRITICAL")
+
+
+def test_latest_by_key_orders_epochs_numerically(spark, tmp_dir):
+    for epoch, value in ((9, "old"), (10, "new")):
+        spark.createDataFrame([("k", value, epoch)], "key string, v string, _epoch long") \
+            .write.parquet(f"{tmp_dir}/s/_epoch={epoch}")
+    assert counters.latest_by_key(spark, f"{tmp_dir}/s", ["key"]).first().v == "new"

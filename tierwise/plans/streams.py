@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import lake, scenarios
+from ..operators import lake
 from ..session import scratch_path
 from ..sources import testmap
 from ..streaming import bridge, counters
@@ -49,7 +49,8 @@ def q_stream_tier_counts(spark, sf_dir):
 
 @register("stream_hourly_alerts")
 def q_stream_hourly_alerts(spark, sf_dir):
-    """Hourly CRITICAL counts with a watermark, then hour-over-hour delta.
+    """Hourly CRITICAL counts with a watermark; every micro-batch emits the
+    hour-over-hour comparison for the hours it touched.
 
     The landed backlog is unordered in time, so it is drained in one
     micro-batch (a live, time-ordered stream would use any batch size).
@@ -57,11 +58,10 @@ def q_stream_hourly_alerts(spark, sf_dir):
     src = _land_raw_loans(spark, sf_dir)
     scored = _scored_stream(spark, src, max_files=None).withColumn(
         "event_ts", F.to_timestamp("ingestion_timestamp"))
-    agg = counters.hourly_critical(counters.metric_rows(scored), "event_ts", "2 hours")
-    out, ck = scratch_path(spark, "hourly"), scratch_path(spark, "hourly-ckpt")
-    counters.start_update(agg, out, ck, ["hour"]).awaitTermination()
-    hourly = counters.latest_by_key(spark, out, ["hour"])
-    return scenarios.hourly_delta(hourly.withColumn("hour", F.col("hour").cast("timestamp_ntz")))
+    counts, alerts = scratch_path(spark, "hourly"), scratch_path(spark, "hourly-alerts")
+    ck = scratch_path(spark, "hourly-ckpt")
+    counters.start_hourly_alerts(scored, counts, alerts, ck, "event_ts", "2 hours").awaitTermination()
+    return counters.latest_by_key(spark, alerts, ["hour"])
 
 
 @register("stream_bridge")

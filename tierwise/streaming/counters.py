@@ -72,8 +72,10 @@ def upsert_sink(path: str, keys: list[str]):
 def latest_by_key(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Read an ``upsert_sink`` folder: the newest version of each key."""
     df = spark.read.parquet(path)
+    # epoch directories may be read back as text (partition type inference off): order numerically
+    ep = F.col("_epoch").cast("long")
     vals = [c for c in df.columns if c not in keys and c != "_epoch"]
-    return df.groupBy(*keys).agg(*[F.max_by(c, "_epoch").alias(c) for c in vals])
+    return df.groupBy(*keys).agg(*[F.max_by(c, ep).alias(c) for c in vals])
 
 
 def start_update(agg: DataFrame, path: str, checkpoint: str, keys: list[str],
@@ -92,3 +94,41 @@ def watch_quality(stream: DataFrame, report_path: str, checkpoint: str, checks=q
             .withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{report_path}/_epoch={epoch}")
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if drain else w.trigger(processingTime="1 minute")).start()
+
+
+def start_hourly_alerts(scored: DataFrame, counts_path: str, alerts_path: str, checkpoint: str,
+                        ts_col: str = "event_ts", watermark: str = "2 hours",
+                        drain: bool = True) -> StreamingQuery:
+    """T5 end to end: hourly CRITICAL counts with a watermark, and per micro-batch
+    the hour-over-hour comparison for every hour the batch touched.
+
+    Each batch (1) writes its updated hourly counts under ``_epoch=<id>``,
+    partitioned by day, (2) re-reads only the days around the touched hours
+    (partition pruning; bounded by the batch's time range, not by history),
+    and (3) writes the delta/alert rows of the touched hours and the hours
+    right after them. Readers take the newest epoch per hour
+    (``latest_by_key``), which equals the batch result for every hour seen.
+    """
+    from ..operators.scenarios import hourly_delta
+
+    agg = hourly_critical(metric_rows(scored), ts_col, watermark)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        b = batch.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+        b.withColumns({"_epoch": F.lit(epoch), "day": F.to_date("hour")}).write.mode("overwrite") \
+            .partitionBy("day").parquet(f"{counts_path}/_epoch={epoch}")
+        touched = b.select("hour").union(b.select((F.col("hour") + F.expr("INTERVAL 1 HOUR")).alias("hour")))
+        lo, hi = touched.agg(F.min("hour"), F.max("hour")).first()
+        if lo is None:
+            return
+        counts = (spark.read.parquet(counts_path)
+                  .where(F.col("day").between(F.to_date(F.lit(lo) - F.expr("INTERVAL 1 HOUR")), F.to_date(F.lit(hi))))
+                  .select("hour", "current_count", "_epoch"))
+        latest = counts.groupBy("hour").agg(
+            F.max_by("current_count", F.col("_epoch").cast("long")).alias("current_count"))
+        delta = hourly_delta(latest).join(touched.distinct(), "hour", "left_semi")
+        delta.withColumn("_epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{alerts_path}/_epoch={epoch}")
+
+    w = (agg.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint))
+    return (w.trigger(availableNow=True) if drain else w.trigger(processingTime="1 minute")).start()
