@@ -38,3 +38,17 @@ def test_no_keys_and_median(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert exact_quantiles(df, "v", [0.5]).count() == 0
+
+
+def test_many_groups_join_path_and_null_key(spark, monkeypatch):
+    import tierwise.operators.quantiles as Q
+    monkeypatch.setattr(Q, "MAX_GROUPS_FOR_TREE", 1)
+    rows = [(g, float(i * (g or 1) % 97)) for g in (None, 1, 2, 3) for i in range(200)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {(r.g, r.p): r.q for r in Q.exact_quantiles(df, "v", [0.3, 0.5], ["g"], buckets=8, map_limit=0).collect()}
+    tree = {(r.g, r.p): r.q for r in exact_quantiles(df, "v", [0.3, 0.5], ["g"], buckets=8, map_limit=0).collect()}
+    for g in (None, 1, 2, 3):
+        vals = np.array([v for k, v in rows if k == g])
+        for p in (0.3, 0.5):
+            assert got[(g, p)] == pytest.approx(float(np.quantile(vals, p)))
+            assert tree[(g, p)] == pytest.approx(float(np.quantile(vals, p)))

@@ -29,12 +29,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_GROUPS_FOR_BUCKETS = 10_000
+# Up to this many groups the bucket bounds are compiled into a CASE tree
+# (codegen, no join); beyond it they are broadcast-joined per group.
+MAX_GROUPS_FOR_TREE = 64
 # A group with at most this many distinct values is small enough for Spark's
 # exact ``percentile`` over its (value, count) histogram: the aggregate's
 # buffer holds one entry per distinct value, so this bounds its memory.
 MAP_LIMIT = 1_000_000
 
 
+def _bucket_tree(v, bounds: list[float], lo: int = 0, hi: int | None = None):
+    """Number of bounds <= v, by binary search over literal bounds (depth log2 n)."""
+    hi = len(bounds) if hi is None else hi
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(v >= F.lit(float(bounds[mid])), _bucket_tree(v, bounds, mid + 1, hi)) \
+            .otherwise(_bucket_tree(v, bounds, lo, mid))
+
+
+def _join_keys(left: DataFrame, right: DataFrame, keys: list[str], broadcast: bool) -> DataFrame:
+    """Inner join on ``keys`` where a null key matches a null key (groups may be null)."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    if broadcast:
+        r = F.broadcast(r)
+    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(r, on=cond, how="inner").drop(*[f"_r_{k}" for k in keys])
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] | None = None,
                     buckets: int = 64, accuracy: int = 10_000, map_limit: int = MAP_LIMIT,
                     widest: float | None = None) -> DataFrame:
@@ -77,15 +99,27 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
         # and the per-group frames below are joined without a broadcast hint
         hb = hist.withColumn("b", F.lit(0))
     else:
-        if keys:
+        v_col = F.col("v")
+        if len(bounds_rows) <= MAX_GROUPS_FOR_TREE:
+            # few groups: one binary-search CASE tree per group, all in codegen
+            expr = None
+            for r in bounds_rows:
+                tree = _bucket_tree(v_col, list(r["bounds"] or []))
+                if not keys:
+                    expr = tree
+                    break
+                cond = None
+                for k in keys:
+                    c = F.col(k).eqNullSafe(F.lit(r[k]))
+                    cond = c if cond is None else cond & c
+                expr = F.when(cond, tree) if expr is None else expr.when(cond, tree)
+            hb = hist.withColumn("b", expr if not keys else expr.otherwise(F.lit(0)))
+        else:
             # groups x buckets numbers, size checked above: safe to broadcast
             schema = hist.select(*keys).schema.add("bounds", T.ArrayType(T.DoubleType()))
             bdf = spark.createDataFrame([tuple(r) for r in bounds_rows], schema)
-            hb = hist.join(F.broadcast(bdf), on=keys, how="inner")
-        else:
-            lit_bounds = F.array(*[F.lit(float(x)) for x in (bounds_rows[0]["bounds"] or [])]).cast("array<double>")
-            hb = hist.withColumn("bounds", lit_bounds)
-        hb = hb.withColumn("b", F.size(F.filter("bounds", lambda x: x <= F.col("v")))).drop("bounds")
+            hb = (_join_keys(hist, bdf, keys, broadcast=True)
+                  .withColumn("b", F.size(F.filter("bounds", lambda x: x <= v_col))).drop("bounds"))
 
     # (3) ranks: within-bucket running count + bucket offset
     w_in = (Window.partitionBy(*keys, "b").orderBy("v")
@@ -97,8 +131,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
                                           F.lit(0)))
             .withColumn("total", F.sum("bn").over(Window.partitionBy(*keys)))
             .drop("bn"))
-    bo_side = F.broadcast(bo) if few_groups else bo  # groups x buckets rows: bounded above
-    ranked = (ranked.join(bo_side, on=keys + ["b"], how="inner")
+    # groups x buckets rows: bounded above when few_groups
+    ranked = (_join_keys(ranked, bo, keys + ["b"], broadcast=few_groups)
               .withColumn("hi", F.col("off") + F.col("cum"))
               .withColumn("lo", F.col("hi") - F.col("n"))
               .select(*keys, "v", "lo", "hi"))
@@ -115,7 +149,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
                                      F.struct(F.lit(1).alias("which"), F.col("k1").alias("k")))).alias("t"))
     # target keys renamed so the self-derived join sides never share lineage names
     tl = tl.select(*[F.col(k).alias(f"_t_{k}") for k in keys], "p", "frac", "t.which", "t.k")
-    cond = [F.col(k) == F.col(f"_t_{k}") for k in keys] + [F.col("lo") <= F.col("k"), F.col("k") < F.col("hi")]
+    cond = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys] + [F.col("lo") <= F.col("k"), F.col("k") < F.col("hi")]
     tl_side = F.broadcast(tl) if few_groups else tl
     hit = ranked.join(tl_side, on=cond, how="inner").select(*keys, "p", "frac", "which", "v")
     out = hit.groupBy(*keys, "p").agg(
