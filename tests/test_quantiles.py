@@ -52,3 +52,17 @@ def test_many_groups_join_path_and_null_key(spark, monkeypatch):
         for p in (0.3, 0.5):
             assert got[(g, p)] == pytest.approx(float(np.quantile(vals, p)))
             assert tree[(g, p)] == pytest.approx(float(np.quantile(vals, p)))
+
+
+def test_many_groups_checkpoint_path(spark, monkeypatch):
+    import tierwise.operators.quantiles as Q
+    monkeypatch.setattr(Q, "MAX_GROUPS_FOR_BUCKETS", 2)
+    rows = [(g, float((i * 7 + g) % 50)) for g in range(5) for i in range(300)]
+    rows += [(0, float(i)) for i in range(900)]          # a hot group with many distinct values
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {(r.g, r.p): r.q for r in Q.exact_quantiles(df, "v", [0.1, 0.5, 0.99], ["g"], buckets=8,
+                                                       map_limit=0).collect()}
+    for g in range(5):
+        vals = np.array([v for k, v in rows if k == g])
+        for p in (0.1, 0.5, 0.99):
+            assert got[(g, p)] == pytest.approx(float(np.quantile(vals, p)))

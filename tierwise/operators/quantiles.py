@@ -10,15 +10,16 @@ is exact and never gathers a group into one task:
    distinct values, Spark's exact ``percentile`` with the counts as
    frequencies finishes the job (its buffer = one entry per distinct value).
    Otherwise:
-2. approximate range bounds over the distinct values per group, fetched to
-   the driver (at most groups x ``buckets`` numbers — bounded, like the
-   sample Spark's own range partitioner collects) so every later stage sees
-   the same bounds;
+2. approximate range bounds over the distinct values per group. For up to
+   ``MAX_GROUPS_FOR_BUCKETS`` groups they are fetched to the driver (at most
+   groups x ``buckets`` numbers, like the sample Spark's own range
+   partitioner collects) so every later stage sees the same bounds; beyond
+   that they stay a DataFrame and the bucketed histogram is checkpointed;
 3. running counts inside each (group, bucket) window plus per-bucket
    offsets from a small (groups x buckets) frame give each distinct value
    its global rank interval [lo, hi);
-4. the two ranks each quantile needs are matched against those intervals
-   and interpolated: q = v_lo + (v_hi - v_lo) * frac, pos = (n - 1) * p,
+4. the two ranks each quantile needs are first mapped to their bucket, then
+   matched against the rank intervals on (group, bucket) and interpolated: q = v_lo + (v_hi - v_lo) * frac, pos = (n - 1) * p,
    the rule of pandas ``quantile``/``describe`` and SQL ``quantile_cont``.
 """
 
@@ -88,38 +89,41 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
         return got.select(*keys, F.posexplode("qs").alias("i", "q")).select(
             *keys, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1).alias("p"), "q")
 
-    # (2) bucket bounds per group, bounded in size and fixed once on the driver
+    # (2) bucket bounds per group
     fr = [i / buckets for i in range(1, buckets)]
-    bounds_rows = (hist.groupBy(*keys)
-                   .agg(F.array_sort(F.array_distinct(F.percentile_approx("v", fr, accuracy))).alias("bounds"))
-                   .limit(MAX_GROUPS_FOR_BUCKETS + 1).collect())
+    bounds_df = hist.groupBy(*keys).agg(
+        F.array_sort(F.array_distinct(F.percentile_approx("v", fr, accuracy))).alias("bounds"))
+    bounds_rows = bounds_df.limit(MAX_GROUPS_FOR_BUCKETS + 1).collect()
     few_groups = not (keys and len(bounds_rows) > MAX_GROUPS_FOR_BUCKETS)
+    v_col = F.col("v")
     if not few_groups:
-        # many groups: each group is small; one window per group suffices,
-        # and the per-group frames below are joined without a broadcast hint
-        hb = hist.withColumn("b", F.lit(0))
+        # many groups: bounds stay a DataFrame joined on the group key (AQE can
+        # split a hot group's side), and the bucketed histogram is checkpointed
+        # to the shared folder so the approximate bounds are fixed exactly once
+        hb = (_join_keys(hist, bounds_df, keys, broadcast=False)
+              .withColumn("b", F.size(F.filter("bounds", lambda x: x <= v_col))).drop("bounds"))
+        hb = hb.checkpoint(eager=True)
+    elif len(bounds_rows) <= MAX_GROUPS_FOR_TREE:
+        # few groups: the fetched bounds (bounded) become one binary-search CASE
+        # tree per group — all in codegen, no join
+        expr = None
+        for r in bounds_rows:
+            tree = _bucket_tree(v_col, list(r["bounds"] or []))
+            if not keys:
+                expr = tree
+                break
+            cond = None
+            for k in keys:
+                c = F.col(k).eqNullSafe(F.lit(r[k]))
+                cond = c if cond is None else cond & c
+            expr = F.when(cond, tree) if expr is None else expr.when(cond, tree)
+        hb = hist.withColumn("b", expr if not keys else expr.otherwise(F.lit(0)))
     else:
-        v_col = F.col("v")
-        if len(bounds_rows) <= MAX_GROUPS_FOR_TREE:
-            # few groups: one binary-search CASE tree per group, all in codegen
-            expr = None
-            for r in bounds_rows:
-                tree = _bucket_tree(v_col, list(r["bounds"] or []))
-                if not keys:
-                    expr = tree
-                    break
-                cond = None
-                for k in keys:
-                    c = F.col(k).eqNullSafe(F.lit(r[k]))
-                    cond = c if cond is None else cond & c
-                expr = F.when(cond, tree) if expr is None else expr.when(cond, tree)
-            hb = hist.withColumn("b", expr if not keys else expr.otherwise(F.lit(0)))
-        else:
-            # groups x buckets numbers, size checked above: safe to broadcast
-            schema = hist.select(*keys).schema.add("bounds", T.ArrayType(T.DoubleType()))
-            bdf = spark.createDataFrame([tuple(r) for r in bounds_rows], schema)
-            hb = (_join_keys(hist, bdf, keys, broadcast=True)
-                  .withColumn("b", F.size(F.filter("bounds", lambda x: x <= v_col))).drop("bounds"))
+        # groups x buckets numbers, size checked above: safe to broadcast
+        schema = hist.select(*keys).schema.add("bounds", T.ArrayType(T.DoubleType()))
+        bdf = spark.createDataFrame([tuple(r) for r in bounds_rows], schema)
+        hb = (_join_keys(hist, bdf, keys, broadcast=True)
+              .withColumn("b", F.size(F.filter("bounds", lambda x: x <= v_col))).drop("bounds"))
 
     # (3) ranks: within-bucket running count + bucket offset
     w_in = (Window.partitionBy(*keys, "b").orderBy("v")
@@ -129,15 +133,16 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
     wk = Window.partitionBy(*keys).orderBy("b")
     bo = (bt.withColumn("off", F.coalesce(F.sum("bn").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
                                           F.lit(0)))
-            .withColumn("total", F.sum("bn").over(Window.partitionBy(*keys)))
-            .drop("bn"))
+            .withColumn("total", F.sum("bn").over(Window.partitionBy(*keys))))
     # groups x buckets rows: bounded above when few_groups
-    ranked = (_join_keys(ranked, bo, keys + ["b"], broadcast=few_groups)
+    ranked = (_join_keys(ranked, bo.drop("bn", "total"), keys + ["b"], broadcast=few_groups)
               .withColumn("hi", F.col("off") + F.col("cum"))
               .withColumn("lo", F.col("hi") - F.col("n"))
-              .select(*keys, "v", "lo", "hi"))
+              .select(*keys, "b", "v", "lo", "hi"))
 
-    # (4) targets: two ranks per (group, p)
+    # (4) targets: two ranks per (group, p), each first mapped to the bucket
+    # holding it (small bucket table), so the lookup joins on (group, bucket)
+    # and a hot group is spread over its buckets
     totals = bo.select(*keys, "total").distinct()
     tg = (totals.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
           .withColumn("pos", (F.col("total") - 1) * F.col("p"))
@@ -147,11 +152,18 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
     tl = tg.select(*keys, "p", "frac",
                    F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("k0").alias("k")),
                                      F.struct(F.lit(1).alias("which"), F.col("k1").alias("k")))).alias("t"))
-    # target keys renamed so the self-derived join sides never share lineage names
-    tl = tl.select(*[F.col(k).alias(f"_t_{k}") for k in keys], "p", "frac", "t.which", "t.k")
-    cond = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys] + [F.col("lo") <= F.col("k"), F.col("k") < F.col("hi")]
-    tl_side = F.broadcast(tl) if few_groups else tl
-    hit = ranked.join(tl_side, on=cond, how="inner").select(*keys, "p", "frac", "which", "v")
+    tl = tl.select(*keys, "p", "frac", "t.which", "t.k")
+    spans = bo.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col("b").alias("_s_b"),
+                      F.col("off").alias("_s_off"), F.col("bn").alias("_s_bn"))
+    in_span = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys] + [
+        F.col("_s_off") <= F.col("k"), F.col("k") < F.col("_s_off") + F.col("_s_bn")]
+    tb = (tl.join(spans if not few_groups else F.broadcast(spans), on=in_span, how="inner")
+            .select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_s_b").alias("_t_b"),
+                    "p", "frac", "which", "k"))
+    cond = ([F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys] + [F.col("b") == F.col("_t_b")]
+            + [F.col("lo") <= F.col("k"), F.col("k") < F.col("hi")])
+    tb_side = F.broadcast(tb) if few_groups else tb
+    hit = ranked.join(tb_side, on=cond, how="inner").select(*keys, "p", "frac", "which", "v")
     out = hit.groupBy(*keys, "p").agg(
         F.max(F.when(F.col("which") == 0, F.col("v"))).alias("v0"),
         F.max(F.when(F.col("which") == 1, F.col("v"))).alias("v1"),
