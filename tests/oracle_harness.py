@@ -22,7 +22,20 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+STRICT = False
+
+
 def _norm(v):
+    if STRICT:
+        if v is None or (isinstance(v, float) and math.isnan(v)):
+            return ("~null",)
+        if hasattr(v, "item"):
+            v = v.item()
+        if isinstance(v, bool):
+            return ("b", v)
+        if isinstance(v, (int, float)):
+            return ("n", float(v))
+        return ("s", str(v))
     if v is None:
         return ("~null",)
     if isinstance(v, float):
@@ -68,8 +81,10 @@ if __name__ == "__main__":
     sys.path.insert(0, ".")
     import __spark_entry__ as E
     from tierwise.session import build
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    only = sys.argv[2:] or None
+    args = [a for a in sys.argv[1:] if a != "--strict"]
+    STRICT = "--strict" in sys.argv
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    only = args[1:] or None
     import os
     tz = os.environ.get("HARNESS_TZ")
     spark = build(extra={"spark.sql.session.timeZone": tz} if tz else None)

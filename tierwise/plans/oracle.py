@@ -513,3 +513,31 @@ c AS (SELECT loan_id, risk_tier, CAST(x AS DOUBLE) AS s_ltv, dti, interest_rate
 t AS (SELECT loan_id, risk_tier, s_ltv, {_WIS} AS s FROM c),
 u AS (SELECT *, {_cont_tier('s')} AS new_tier FROM t)
 SELECT loan_id, s_ltv AS scenario_ltv, {r6('s')} AS new_score, new_tier, new_tier <> risk_tier AS tier_changed FROM u"""
+
+
+# ------------------------------------------------------------ canonical text for dates and timestamps
+
+_TEXT_COLS = {
+    "silver_loans": (["processing_date"], []),
+    "gold_scores": (["processing_date"], []),
+    "high_risk_loans": (["processing_date"], []),
+    "daily_trend": (["processing_date"], []),
+    "portfolio_stats": (["last_updated"], []),
+    "totals_bounds": (["min_date", "max_date"], []),
+    "daily_stats": (["date"], []),
+    "trend_delta": (["latest_date"], []),
+    "warehouse_check": (["max_date"], []),
+    "rate_bps": ([], ["ts"]),
+    "hourly_alerts": ([], ["hour"]),
+    "stream_hourly_alerts": ([], ["hour"]),
+}
+
+
+def _canonical(sql: str, dates: list[str], stamps: list[str]) -> str:
+    repl = [f"CAST({c} AS VARCHAR) AS {c}" for c in dates] + \
+           [f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f') AS {c}" for c in stamps]
+    return f"SELECT * REPLACE ({', '.join(repl)}) FROM (\n{sql}\n) AS _q"
+
+
+for _name, (_d, _t) in _TEXT_COLS.items():
+    SQL[_name] = _canonical(SQL[_name], _d, _t)

@@ -22,9 +22,28 @@ from . import views
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def canonical(df: DataFrame) -> DataFrame:
+    """Dates and timestamps as canonical text (``YYYY-MM-DD``,
+    ``YYYY-MM-DD HH:MM:SS.ffffff``) so results compare byte-for-byte across
+    engines; every other column is left as is."""
+    out = []
+    for f in df.schema.fields:
+        t = f.dataType.typeName()
+        if t == "date":
+            out.append(F.col(f.name).cast("string").alias(f.name))
+        elif t in ("timestamp", "timestamp_ntz"):
+            out.append(F.date_format(F.col(f.name), TS_TEXT).alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return df.select(*out)
+
+
 def register(name: str):
     def deco(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir, _fn=fn: canonical(_fn(spark, sf_dir))
         return fn
     return deco
 
