@@ -46,3 +46,12 @@ def test_lookup_order_and_preview(spark):
     assert [r.risk_tier for r in marts.ordered(dist, [F.desc("loan_count"), "risk_tier"]).collect()][0] == "CRITICAL"
     assert analytics.preview(df, ["loan_id", "risk_tier"], 2).count() == 2
     assert analytics.row_count(df).first().total == 3
+
+
+def test_kafka_source_needs_connector(spark):
+    """One subscription over all topics; this image has no Kafka connector jar,
+    so loading must fail with Spark's missing-data-source error (nothing else)."""
+    import pytest
+    from tierwise.streaming import bridge
+    with pytest.raises(Exception, match="(?i)kafka"):
+        bridge.read_topics(spark, max_offsets=100)
