@@ -26,6 +26,9 @@ from tierwise.sources import testmap  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
+# rows per lake file; small enough that a 0.1-scale layer spans several files
+# (one parquet row group cannot be split across tasks). 0 = library default.
+FILE_ROWS = int(os.environ.get("BENCH_FILE_ROWS", "0"))
 
 
 def main() -> None:
@@ -58,8 +61,9 @@ def main() -> None:
     silver_path, gold_path = f"{work}/silver", f"{work}/gold"
     # like the reference's nightly run, one run stamps one processing date
     raw = testmap.raw_loans(spark, SF_DIR).drop("landed_date")
-    timed("etl_silver", lambda: lake.write_silver(lake.clean_raw(raw, as_of=views.AS_OF_DATE), silver_path))
-    timed("etl_gold", lambda: lake.write_gold(lake.score(lake.read_silver_path(spark, silver_path)), gold_path))
+    fr = {"max_records": FILE_ROWS} if FILE_ROWS else {}
+    timed("etl_silver", lambda: lake.write_silver(lake.clean_raw(raw, as_of=views.AS_OF_DATE), silver_path, **fr))
+    timed("etl_gold", lambda: lake.write_gold(lake.score(lake.read_silver_path(spark, silver_path)), gold_path, **fr))
 
     gold = spark.read.parquet(gold_path)
     stg = marts.stg_loan_risk_scores(gold, as_of_ts=views.AS_OF_TS)

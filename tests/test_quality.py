@@ -85,3 +85,11 @@ def test_files_report_and_alerts(spark):
     assert (r.raw_check, r.silver_check, r.gold_check) == ("PASS", "FAIL", "FAIL: x")
     msg = quality.quality_alerts(report).first().message
     assert msg == "Data Quality Alert! Failed checks: silver_check, gold_check, warehouse_check"
+
+
+def test_suite_on_empty_input_does_not_raise(spark):
+    empty = _gold(spark, [])
+    rows = {r.check: r for r in quality.run_suite(empty, as_of="2024-01-01").collect()}
+    assert rows["share_between:risk_tier=LOW"].observed == 0.0 and rows["share_between:risk_tier=LOW"].passed
+    assert not rows["row_count:table"].passed and rows["mean_between:risk_score"].observed is None
+    assert quality.summarize(quality.run_suite(empty, as_of="2024-01-01")).first().total == 28

@@ -101,7 +101,7 @@ def _compile(c: Check, cols: set[str], as_of: Column) -> tuple[Column, Column]:
         return F.avg(_d(c.column)), zero
     if c.kind == "share_between":
         x = F.col(c.column)
-        share = F.count_if(x == F.lit(c.value)) / F.count(x)
+        share = F.try_divide(F.count_if(x == F.lit(c.value)), F.count(x))   # empty input -> null, not an error
         return F.coalesce(share, F.lit(0.0)), zero
     if c.kind == "fresh":
         return F.datediff(as_of, F.max(F.col(c.column).cast("date"))).cast("double"), zero

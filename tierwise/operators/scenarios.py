@@ -142,7 +142,7 @@ def faked_previous(current) -> Column:
 
 def hourly_counts(df: DataFrame, ts_col: str, tier: str = "CRITICAL") -> DataFrame:
     """Hourly count of ``tier`` rows (tumbling 1-hour windows on naive time)."""
-    w = F.window(F.col(ts_col).cast("timestamp_ntz"), "1 hour")
+    w = F.window(F.col(ts_col).try_cast("timestamp_ntz"), "1 hour")
     return (df.where(F.col("risk_tier") == tier).groupBy(w.alias("w"))
               .agg(F.count(F.lit(1)).alias("current_count"))
               .select(F.col("w.start").alias("hour"), "current_count"))
