@@ -87,7 +87,13 @@ if __name__ == "__main__":
     only = args[1:] or None
     import os
     tz = os.environ.get("HARNESS_TZ")
-    spark = build(extra={"spark.sql.session.timeZone": tz} if tz else None)
+    if os.environ.get("HARNESS_PLAIN"):
+        # a session exactly as a caller would create it: none of our settings
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    else:
+        spark = build(extra={"spark.sql.session.timeZone": tz} if tz else None)
     con = duck(sf)
     q, o = E.queries(), E.oracle_sql()
     bad = 0
