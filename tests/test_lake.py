@@ -58,3 +58,16 @@ def test_lookup_dual_sink_and_materialize(spark, tmp_dir):
     assert t.count() == 1
     lake.write_report(df, f"{tmp_dir}/report")
     assert spark.read.json(f"{tmp_dir}/report").count() == 1
+
+
+def test_partition_text_survives_type_inference(spark, tmp_dir):
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "true")
+    try:
+        df = spark.createDataFrame([(1.0, "2024", "04", "07")], "v double, year string, month string, day string")
+        lake.write_silver(df, f"{tmp_dir}/a")
+        back = lake.read_silver_path(spark, f"{tmp_dir}/a")
+        assert (back.first().month, back.first().day) == ("04", "07")
+        lake.compact(spark, f"{tmp_dir}/a", f"{tmp_dir}/b")
+        assert os.path.isdir(f"{tmp_dir}/b/year=2024/month=04/day=07")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")

@@ -174,7 +174,7 @@ def compact(spark: SparkSession, src: str, dst: str, max_records: int = 5_000_00
 
     Writes to a new path (never read and overwrite one path in a plan).
     """
-    df = spark.read.option("basePath", src).parquet(src)
+    df = read_silver_path(spark, src)
     _partitioned_write(df, dst, "overwrite", max_records, dynamic=False)
     return spark.read.parquet(dst)
 
@@ -185,6 +185,11 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def read_silver_path(spark: SparkSession, path: str) -> DataFrame:
-    """silver/gold tree with text partition values (never re-typed to int)."""
-    return spark.read.option("basePath", path).parquet(path).withColumns(
-        {c: F.col(c).cast("string") for c in PARTITION_COLS})
+    """silver/gold tree with text partition values.
+
+    If the session re-types partition values (``month=04`` read as 4), they
+    are turned back into zero-padded text, so a re-write keeps ``month=04``.
+    """
+    df = spark.read.option("basePath", path).parquet(path)
+    return df.withColumns({"year": F.col("year").cast("string"),
+                           "month": pad2(F.col("month")), "day": pad2(F.col("day"))})
