@@ -141,3 +141,27 @@ def test_latest_by_key_orders_epochs_numerically(spark, tmp_dir):
         spark.createDataFrame([("k", value, epoch)], "key string, v string, _epoch long") \
             .write.parquet(f"{tmp_dir}/s/_epoch={epoch}")
     assert counters.latest_by_key(spark, f"{tmp_dir}/s", ["key"]).first().v == "new"
+
+
+def test_stream_rate_changes_carry_state_across_batches(spark, tmp_dir):
+    from tierwise.streaming.rates import stream_rate_changes
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    batches = [[("A", "2024-01-01T00:00:00", 1.0), ("A", "2024-01-02T00:00:00", 1.5), ("B", "2024-01-01T00:00:00", 7.0)],
+               [("A", "2024-01-03T00:00:00", 1.25), ("A", "2024-01-04T00:00:00", float("nan"))],
+               [("B", "2024-01-05T00:00:00", 6.0)]]
+    for i, rows in enumerate(batches, 1):
+        with open(os.path.join(src, f"{i}.json"), "w") as f:
+            for sid, d, v in rows:
+                f.write(json.dumps({"series_id": sid, "label": sid, "date": d,
+                                    "value": None if v != v else v}) + "\n")
+        os.utime(os.path.join(src, f"{i}.json"), (i, i))
+    stream = spark.readStream.schema("series_id string, label string, date timestamp_ntz, value double") \
+        .option("maxFilesPerTrigger", 1).json(src)
+    q = (stream_rate_changes(stream, "date").writeStream.outputMode("append")
+         .foreachBatch(counters.upsert_sink(f"{tmp_dir}/out", ["series_id", "date"]))
+         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {(r.series_id, r.date.day): round(r.rate_change_bps, 9)
+           for r in counters.latest_by_key(spark, f"{tmp_dir}/out", ["series_id", "date"]).collect()}
+    assert got == {("A", 1): 0.0, ("A", 2): 50.0, ("A", 3): -25.0, ("B", 1): 0.0, ("B", 5): -100.0}

@@ -81,7 +81,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
                 .agg(F.max("d")).collect()[0][0])
         widest = None if est is None else est * 1.1
     if widest is None:
-        return spark.createDataFrame([], v.select(*keys).schema.add("p", T.DoubleType()).add("q", T.DoubleType()))
+        schema = T.StructType(list(v.select(*keys).schema.fields)
+                              + [T.StructField("p", T.DoubleType()), T.StructField("q", T.DoubleType())])
+        return spark.createDataFrame([], schema)
     if widest <= map_limit:
         # fast path: exact percentile over the histogram, bounded by the check
         arr = F.percentile(F.col("v"), F.array(*[F.lit(float(p)) for p in probs]), F.col("n"))
@@ -120,7 +122,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
         hb = hist.withColumn("b", expr if not keys else expr.otherwise(F.lit(0)))
     else:
         # groups x buckets numbers, size checked above: safe to broadcast
-        schema = hist.select(*keys).schema.add("bounds", T.ArrayType(T.DoubleType()))
+        schema = T.StructType(list(hist.select(*keys).schema.fields)
+                              + [T.StructField("bounds", T.ArrayType(T.DoubleType()))])
         bdf = spark.createDataFrame([tuple(r) for r in bounds_rows], schema)
         hb = (_join_keys(hist, bdf, keys, broadcast=True)
               .withColumn("b", F.size(F.filter("bounds", lambda x: x <= v_col))).drop("bounds"))

@@ -541,3 +541,5 @@ def _canonical(sql: str, dates: list[str], stamps: list[str]) -> str:
 
 for _name, (_d, _t) in _TEXT_COLS.items():
     SQL[_name] = _canonical(SQL[_name], _d, _t)
+
+SQL["stream_rate_bps"] = SQL["rate_bps"]

@@ -91,3 +91,24 @@ def q_stream_bridge(spark, sf_dir):
     out, ck = scratch_path(spark, "bridge"), scratch_path(spark, "bridge-ckpt")
     counters.start_update(agg, out, ck, ["topic"]).awaitTermination()
     return counters.latest_by_key(spark, out, ["topic"])
+
+
+@register("stream_rate_bps")
+def q_stream_rate_bps(spark, sf_dir):
+    """W1 on a stream: rate observations landed in time order, diffed per series
+    by a stateful operator that keeps the last value of each series."""
+    from ..streaming.rates import stream_rate_changes
+    obs = testmap.rate_observations(spark, sf_dir)
+    src = scratch_path(spark, "rates")
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"   # keep full timestamp precision through JSON
+    obs.write.mode("overwrite").option("maxRecordsPerFile", LANDING_FILE_ROWS) \
+        .option("timestampNTZFormat", micros).json(src)
+    stream = (spark.readStream.schema("series_id string, label string, ts timestamp_ntz, value double")
+              .option("timestampNTZFormat", micros).option("maxFilesPerTrigger", 1).json(src))
+    out, ck = scratch_path(spark, "rate-bps"), scratch_path(spark, "rate-bps-ckpt")
+    q = (stream_rate_changes(stream, "ts").writeStream.outputMode("append")
+         .foreachBatch(counters.upsert_sink(out, ["series_id", "ts"]))
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return counters.latest_by_key(spark, out, ["series_id", "ts"]).select(
+        "series_id", "ts", "value", F.round("rate_change_bps", 6).alias("rate_change_bps"))
