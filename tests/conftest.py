@@ -15,7 +15,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from tierwise.session import build
-    s = build(master="local[4]", shuffle_partitions=4, app="tierwise-tests")
+    s = build(master="local[4]", shuffle_partitions=4, app="tierwise-tests",
+              extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tierwise-wh-")})
     yield s
     s.stop()
 
