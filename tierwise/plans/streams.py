@@ -20,6 +20,16 @@ BRIDGE_EPOCH = 1_700_000_000
 
 
 LANDING_FILE_ROWS = 1_000_000
+DRAIN_TIMEOUT_S = 3600
+
+
+def _drain(q) -> None:
+    """Wait for an availableNow query to finish; never hang the caller."""
+    if not q.awaitTermination(DRAIN_TIMEOUT_S):
+        q.stop()
+        raise TimeoutError(f"streaming query {q.name or q.id} did not drain in {DRAIN_TIMEOUT_S}s")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
 
 
 def _land_raw_loans(spark, sf_dir) -> str:
@@ -43,7 +53,7 @@ def q_stream_tier_counts(spark, sf_dir):
     src = _land_raw_loans(spark, sf_dir)
     agg = counters.running_tier_counts(_scored_stream(spark, src, max_files=1))
     out, ck = scratch_path(spark, "tier-counts"), scratch_path(spark, "tier-counts-ckpt")
-    counters.start_update(agg, out, ck, ["risk_tier"]).awaitTermination()
+    _drain(counters.start_update(agg, out, ck, ["risk_tier"]))
     return counters.latest_by_key(spark, out, ["risk_tier"])
 
 
@@ -60,7 +70,7 @@ def q_stream_hourly_alerts(spark, sf_dir):
         "event_ts", F.to_timestamp("ingestion_timestamp"))
     counts, alerts = scratch_path(spark, "hourly"), scratch_path(spark, "hourly-alerts")
     ck = scratch_path(spark, "hourly-ckpt")
-    counters.start_hourly_alerts(scored, counts, alerts, ck, "event_ts", "2 hours").awaitTermination()
+    _drain(counters.start_hourly_alerts(scored, counts, alerts, ck, "event_ts", "2 hours"))
     return counters.latest_by_key(spark, alerts, ["hour"])
 
 
@@ -89,7 +99,7 @@ def q_stream_bridge(spark, sf_dir):
         F.count_if(~F.col("ok")).alias("failed"), F.count_if(F.col("ok") & ~F.col("is_object")).alias("wrapped"),
         F.count_if(F.col("key") != F.col("topic")).alias("keyed"))
     out, ck = scratch_path(spark, "bridge"), scratch_path(spark, "bridge-ckpt")
-    counters.start_update(agg, out, ck, ["topic"]).awaitTermination()
+    _drain(counters.start_update(agg, out, ck, ["topic"]))
     return counters.latest_by_key(spark, out, ["topic"])
 
 
@@ -109,6 +119,6 @@ def q_stream_rate_bps(spark, sf_dir):
     q = (stream_rate_changes(stream, "ts").writeStream.outputMode("append")
          .foreachBatch(counters.upsert_sink(out, ["series_id", "ts"]))
          .option("checkpointLocation", ck).trigger(availableNow=True).start())
-    q.awaitTermination()
+    _drain(q)
     return counters.latest_by_key(spark, out, ["series_id", "ts"]).select(
         "series_id", "ts", "value", F.round("rate_change_bps", 6).alias("rate_change_bps"))
