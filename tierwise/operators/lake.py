@@ -90,7 +90,8 @@ def gold_from_raw(raw: DataFrame, as_of: str | Column | None = None,
 
 # ---------------------------------------------------------------- sinks
 
-def _partitioned_write(df: DataFrame, path: str, mode: str, max_records: int, dynamic: bool) -> None:
+def _partitioned_write(df: DataFrame, path: str, mode: str, max_records: int, dynamic: bool,
+                       one_day: bool = False) -> None:
     """Partitioned parquet write with bounded file counts and no hot task.
 
     The REBALANCE hint shuffles rows by the partition columns and lets AQE
@@ -98,23 +99,27 @@ def _partitioned_write(df: DataFrame, path: str, mode: str, max_records: int, dy
     several tasks (advisory partition size), and many small days are
     coalesced into one task — so no task writes to every directory and no
     single task writes a whole hot day. ``maxRecordsPerFile`` caps file size.
+
+    ``one_day=True`` (a run that stamps one processing date): every row goes
+    to the same directory, so the shuffle would only re-split what it moved;
+    each input task writes its own files there instead.
     """
-    laid = df.hint("rebalance", *PARTITION_COLS)
+    laid = df if one_day else df.hint("rebalance", *PARTITION_COLS)
     w = (laid.write.mode(mode).option("maxRecordsPerFile", max_records)
          .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
     w.partitionBy(*PARTITION_COLS).parquet(path)
 
 
 def write_silver(df: DataFrame, path: str, mode: str = "overwrite",
-                 max_records: int = 5_000_000, dynamic: bool = False) -> None:
+                 max_records: int = 5_000_000, dynamic: bool = False, one_day: bool = False) -> None:
     """K1: silver parquet by year/month/day. Static overwrite by default."""
-    _partitioned_write(df, path, mode, max_records, dynamic)
+    _partitioned_write(df, path, mode, max_records, dynamic, one_day)
 
 
 def write_gold(df: DataFrame, path: str, mode: str = "overwrite",
-               max_records: int = 5_000_000, dynamic: bool = False) -> None:
+               max_records: int = 5_000_000, dynamic: bool = False, one_day: bool = False) -> None:
     """K2: gold parquet by year/month/day."""
-    _partitioned_write(df, path, mode, max_records, dynamic)
+    _partitioned_write(df, path, mode, max_records, dynamic, one_day)
 
 
 def write_lookup(df: DataFrame, out_dir: str) -> None:
