@@ -47,16 +47,20 @@ def shared_dir(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
     when neither is set (a local test session) do we create one and set it.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if d:
-        return d.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:       # e.g. a Spark Connect session: no driver-side context
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="tierwise-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", d)
+    if sc is None:
+        return d.rstrip("/")
     sc.setCheckpointDir(d)
-    got = sc.getCheckpointDir() or d
-    return got.rstrip("/")
+    return (sc.getCheckpointDir() or d).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
