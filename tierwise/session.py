@@ -56,7 +56,10 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="tierwise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:   # core confs may be read-only at runtime; the context setter below suffices
+            pass
     if sc is None:
         return d.rstrip("/")
     sc.setCheckpointDir(d)
