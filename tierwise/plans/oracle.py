@@ -543,3 +543,6 @@ for _name, (_d, _t) in _TEXT_COLS.items():
     SQL[_name] = _canonical(SQL[_name], _d, _t)
 
 SQL["stream_rate_bps"] = SQL["rate_bps"]
+
+SQL["catalog_sql"] = BASE + f"""
+SELECT risk_tier, count(*) AS loan_count, {r6('avg(risk_score)')} AS avg_risk_score FROM gold GROUP BY risk_tier"""

@@ -379,3 +379,18 @@ def q_loan_events_csv(spark, sf_dir):
 def q_what_if_sweep(spark, sf_dir):
     w = scenarios.what_if_sweep(views.stg(spark, sf_dir), WHAT_IF_SWEEP)
     return w.select("loan_id", "scenario_ltv", r6("new_score").alias("new_score"), "new_tier", "tier_changed")
+
+
+@register("catalog_sql")
+def q_catalog_sql(spark, sf_dir):
+    """K2 + K10 + K11: gold written for one run date to the shared folder,
+    registered as a partitioned table (schema from the files, partitions
+    recovered), then answered with SQL over the catalog."""
+    from ..operators import lake
+    path = scratch_path(spark, "gold-catalog")
+    raw = testmap.raw_loans(spark, sf_dir).drop("landed_date")
+    lake.write_gold(lake.score(lake.clean_raw(raw, as_of=views.AS_OF_DATE)), path, one_day=True)
+    name = "risk_scores_" + path.rsplit("-", 1)[-1]
+    lake.register_layer(spark, path, "gold", name)
+    return lake.sql(spark, f"SELECT risk_tier, count(*) AS loan_count, "
+                           f"round(avg(risk_score), 6) AS avg_risk_score FROM gold_{name} GROUP BY risk_tier")
