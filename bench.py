@@ -22,13 +22,15 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tierwise import session  # noqa: E402
 from tierwise.operators import analytics, ingest, lake, marts, quality  # noqa: E402
 from tierwise.plans import views  # noqa: E402
-from tierwise.sources import testmap  # noqa: E402
+from tierwise.sources import files, testmap  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 # rows per lake file; small enough that a 0.1-scale layer spans several files
 # (one parquet row group cannot be split across tasks). 0 = library default.
 FILE_ROWS = int(os.environ.get("BENCH_FILE_ROWS", "0"))
+# raw landing file size (the landing stream writes many small files)
+LANDING_FILE_ROWS = 50_000
 
 
 def main() -> None:
@@ -57,10 +59,13 @@ def main() -> None:
             noop(m(marts.stg_loan_risk_scores(wg, as_of_ts=views.AS_OF_TS)))
         analytics.describe_stats(wg).collect()
 
-    # lake jobs: raw -> silver (K1), silver -> gold (K2)
-    silver_path, gold_path = f"{work}/silver", f"{work}/gold"
+    # lake jobs: land raw JSON (as the stream landing does, many files), then
+    # raw JSON -> silver (S1 + K1) and silver -> gold (K2)
+    raw_path, silver_path, gold_path = f"{work}/raw", f"{work}/silver", f"{work}/gold"
+    timed("land_raw_json", lambda: testmap.raw_loans(spark, SF_DIR).drop("landed_date").write
+          .option("maxRecordsPerFile", LANDING_FILE_ROWS).json(raw_path))
     # like the reference's nightly run, one run stamps one processing date
-    raw = testmap.raw_loans(spark, SF_DIR).drop("landed_date")
+    raw = files.read_raw(spark, raw_path)
     fr = {"max_records": FILE_ROWS} if FILE_ROWS else {}
     fr["one_day"] = True          # one run date: no shuffle before the write
     timed("etl_silver", lambda: lake.write_silver(lake.clean_raw(raw, as_of=views.AS_OF_DATE), silver_path, **fr))
