@@ -44,7 +44,10 @@ def test_lookup_order_and_preview(spark):
     assert [r.loan_id for r in marts.ordered(df, [F.col("risk_score").desc()]).collect()] == ["L1", "L3", "L2"]
     dist = analytics.tier_distribution(df)
     assert [r.risk_tier for r in marts.ordered(dist, [F.desc("loan_count"), "risk_tier"]).collect()][0] == "CRITICAL"
-    assert analytics.preview(df, ["loan_id", "risk_tier"], 2).count() == 2
+    assert analytics.preview(df, 2, ["loan_id", "risk_tier"]).count() == 2
+    assert analytics.preview(df).count() == 3
+    b = analytics.bounds(df, ["risk_score"]).first()
+    assert (b.min_risk_score, b.max_risk_score) == (0.5, 0.9)
     assert analytics.row_count(df).first().total == 3
 
 
@@ -55,3 +58,13 @@ def test_kafka_source_needs_connector(spark):
     from tierwise.streaming import bridge
     with pytest.raises(Exception, match="(?i)kafka"):
         bridge.read_topics(spark, max_offsets=100)
+
+
+def test_parse_events_and_aliases(spark):
+    from tierwise.schemas import RAW_LOAN
+    from tierwise.streaming import bridge
+    df = spark.createDataFrame([('{"loan_amount": "1", "ltv": "80"}',), ("{bad",)], "value string")
+    rows = bridge.parse_events(df, RAW_LOAN).collect()
+    assert (rows[0].loan_amount, rows[0].ltv, rows[0]._ok) == ("1", "80", True)
+    assert rows[1]._ok is False and rows[1].loan_amount is None
+    assert bridge.bridge_sink is bridge.start_bridge and files.union_states is files.union_all

@@ -211,6 +211,11 @@ def peak(daily: DataFrame) -> DataFrame:
     return daily.agg(F.max("max").alias("peak"))
 
 
-def preview(df: DataFrame, cols: list[str], n: int = 5) -> DataFrame:
-    """First n rows of some columns (a limit is the feature)."""
-    return df.select(*cols).limit(n)
+def preview(df: DataFrame, n: int = 5, cols: list[str] | None = None) -> DataFrame:
+    """First n rows (of some columns); a limit is the feature."""
+    return (df.select(*cols) if cols else df).limit(n)
+
+
+def bounds(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Min and max of each column in one aggregation."""
+    return df.agg(*[f(F.col(c)).alias(f"{n}_{c}") for c in cols for f, n in ((F.min, "min"), (F.max, "max"))])

@@ -97,6 +97,9 @@ def union_all(dfs: list[DataFrame]) -> DataFrame:
     return out
 
 
+union_states = union_all
+
+
 def loan_csv_columns() -> list[str]:
     return list(LOAN_CSV_FIELDS)
 

@@ -122,3 +122,17 @@ def publish(df: DataFrame, topic: str, bootstrap: str = "localhost:9092", key: s
     """K4: batch-publish rows as JSON records (needs the Kafka connector jar)."""
     (to_topic(df, topic, key).write.format("kafka")
      .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
+
+
+bridge_sink = start_bridge
+
+
+def parse_events(df: DataFrame, schema, col: str = "value") -> DataFrame:
+    """P20: JSON text -> typed columns, PERMISSIVE; rows that do not parse get
+    ``_ok = false`` (to be quarantined) instead of failing the job."""
+    parsed = df.withColumn("_parsed", F.from_json(F.col(col).cast("string"), schema,
+                                                  {"mode": "PERMISSIVE"}))
+    ok = F.try_parse_json(F.col(col).cast("string")).isNotNull()
+    return parsed.select("*", ok.alias("_ok")).select(
+        *[c for c in df.columns], *[F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields
+                                    if f.name not in df.columns], "_ok")
