@@ -13,7 +13,7 @@ from tierwise.schemas import RAW_LOAN
 @pytest.mark.parametrize("text,num,dti", [
     ("NA", None, None), ("", None, None), ("Exempt", None, None),
     ("<20%", None, 20.0), ("20%-<30%", None, 25.0), ("30%-<36%", None, 33.0),
-    ("50%-60%", None, 55.0), (">60%", None, 60.0), ("41", 41.0, 41.0)])
+    ("50%-60%", None, 55.0), (">60%", None, 60.0), ("41", 41.0, 41.0), ("NaN", None, None)])
 def test_cleaning_vectors(spark, text, num, dti):
     r = spark.createDataFrame([(text,)], "v string").select(
         na_float("v").alias("n"), decode_dti("v").alias("d")).first()

@@ -19,10 +19,12 @@ def na_float(col) -> Column:
     """P1: "NA" -> null; otherwise float; unparseable text -> null.
 
     "NA" is not a number, so one ``try_cast`` covers both rules and keeps
-    null-on-failure under ANSI mode. A single reference to the input keeps
-    the expression small when Catalyst inlines it into pushed-down filters.
+    null-on-failure under ANSI mode. Text that parses to NaN ("NaN") becomes
+    null too: Spark orders NaN above every number, so it would otherwise land
+    in the top risk band. The input is referenced once, which keeps the
+    expression small when Catalyst inlines it into pushed-down filters.
     """
-    return _c(col).try_cast("float")
+    return F.nanvl(_c(col).try_cast("float"), F.lit(None).cast("float"))
 
 
 # Fixed values that must equal the reference's: banded DTI text -> number.
@@ -40,7 +42,8 @@ def decode_dti(col) -> Column:
     c = _c(col)
     bands = F.create_map(*[F.lit(x) for kv in DTI_BANDS.items() for x in kv])
     # "NA" misses the map and fails the cast -> null
-    return F.coalesce(F.try_element_at(bands, c), c.try_cast("float").cast("double"))
+    num = F.nanvl(c.try_cast("float"), F.lit(None).cast("float")).cast("double")
+    return F.coalesce(F.try_element_at(bands, c), num)
 
 
 def coerce_double(col) -> Column:
