@@ -14,6 +14,7 @@ from ..operators import lake
 from ..session import scratch_path
 from ..sources import testmap
 from ..streaming import bridge, counters
+from . import views
 from .registry import register
 
 BRIDGE_EPOCH = 1_700_000_000
@@ -122,3 +123,18 @@ def q_stream_rate_bps(spark, sf_dir):
     _drain(q)
     return counters.latest_by_key(spark, out, ["series_id", "ts"]).select(
         "series_id", "ts", "value", F.round("rate_change_bps", 6).alias("rate_change_bps"))
+
+
+@register("stream_quality_watch")
+def q_stream_quality_watch(spark, sf_dir):
+    """Q18: the 28-check suite runs on data as it arrives (foreachBatch). The
+    backlog is drained without a rate limit, i.e. in one micro-batch, so the
+    report equals the batch suite over the same rows."""
+    from ..operators import marts
+    src = _land_raw_loans(spark, sf_dir)
+    stg = marts.stg_loan_risk_scores(_scored_stream(spark, src, max_files=None), as_of_ts=views.AS_OF_TS)
+    out, ck = scratch_path(spark, "quality-watch"), scratch_path(spark, "quality-watch-ckpt")
+    _drain(counters.watch_quality(stg, out, ck, as_of=views.AS_OF_DATE))
+    rep = counters.latest_by_key(spark, out, ["check_id"])
+    return rep.select("check_id", "check", F.col("column").alias("target"),
+                      F.round("observed", 6).alias("observed"), "passed", "unexpected_count")
