@@ -165,3 +165,20 @@ def test_stream_rate_changes_carry_state_across_batches(spark, tmp_dir):
     got = {(r.series_id, r.date.day): round(r.rate_change_bps, 9)
            for r in counters.latest_by_key(spark, f"{tmp_dir}/out", ["series_id", "date"]).collect()}
     assert got == {("A", 1): 0.0, ("A", 2): 50.0, ("A", 3): -25.0, ("B", 1): 0.0, ("B", 5): -100.0}
+
+
+def test_land_bridged_routes_by_topic_and_day(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write(json.dumps({"topic": "loan-applications", "value": json.dumps({"loan_amount": "5"})}) + "\n")
+        f.write(json.dumps({"topic": "mortgage-rates", "value": "2.5"}) + "\n")
+        f.write(json.dumps({"topic": "mortgage-rates", "value": "{oops"}) + "\n")
+    stream = spark.readStream.schema("topic string, value string").json(src)
+    bridged = bridge.bridge_transform(stream, now=F.lit(1_700_000_000))      # 2023-11-14 UTC
+    counters.land_bridged(bridged, f"{tmp_dir}/raw", f"{tmp_dir}/ck").awaitTermination()
+    loans = f"{tmp_dir}/raw/_source_topic=loan-applications/year=2023/month=11/day=14"
+    assert os.path.isdir(loans)
+    assert spark.read.json(loans).first().loan_amount == "5"
+    rates = spark.read.text(f"{tmp_dir}/raw/_source_topic=mortgage-rates").collect()
+    assert len(rates) == 1 and json.loads(rates[0].value)["data"] == 2.5      # bad record never lands

@@ -548,3 +548,5 @@ SQL["catalog_sql"] = BASE + f"""
 SELECT risk_tier, count(*) AS loan_count, {r6('avg(risk_score)')} AS avg_risk_score FROM gold GROUP BY risk_tier"""
 
 SQL["stream_quality_watch"] = SQL["quality_suite"]
+
+SQL["stream_landing_to_lake"] = SQL["stream_tier_counts"]

@@ -83,6 +83,20 @@ def q_stream_bridge(spark, sf_dir):
     ``error`` events carry a truncated (bad) payload and ``signup`` events a
     bare number (wrapped as {"data": ...}).
     """
+    src = _land_topic_records(spark, sf_dir)
+    stream = spark.readStream.schema("value string, topic string").option("maxFilesPerTrigger", 1).json(src)
+    b = bridge.observed_bridge(bridge.bridge_transform(stream, now=F.lit(BRIDGE_EPOCH)))
+    agg = b.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("records"), F.count_if("ok").alias("sent"),
+        F.count_if(~F.col("ok")).alias("failed"), F.count_if(F.col("ok") & ~F.col("is_object")).alias("wrapped"),
+        F.count_if(F.col("key") != F.col("topic")).alias("keyed"))
+    out, ck = scratch_path(spark, "bridge"), scratch_path(spark, "bridge-ckpt")
+    _drain(counters.start_update(agg, out, ck, ["topic"]))
+    return counters.latest_by_key(spark, out, ["topic"])
+
+
+def _land_topic_records(spark, sf_dir) -> str:
+    """Topic records (value, topic) derived from the tables, landed as JSON lines."""
     loans = bridge.to_topic(testmap.raw_loans(spark, sf_dir).drop("landed_date"), "loan-applications")
     ev = testmap.table(spark, sf_dir, "events")
     payload = (F.when(F.col("event_type") == "error", F.substring("props", 1, 5))
@@ -93,15 +107,24 @@ def q_stream_bridge(spark, sf_dir):
     rates = ev.select(payload.alias("value"), F.lit("mortgage-rates").alias("topic"))
     src = scratch_path(spark, "topics")
     loans.unionByName(rates).write.mode("overwrite").option("maxRecordsPerFile", LANDING_FILE_ROWS).json(src)
+    return src
+
+
+@register("stream_landing_to_lake")
+def q_stream_landing_to_lake(spark, sf_dir):
+    """T1 + T2 + K6 + S1: topic records -> bridge -> raw landing (by topic and
+    arrival day) -> the batch lake job reads the landed loan records with the
+    declared raw schema -> tier counts. Equals the gold computed directly."""
+    from ..operators import lake
+    from ..sources import files
+    src = _land_topic_records(spark, sf_dir)
     stream = spark.readStream.schema("value string, topic string").option("maxFilesPerTrigger", 1).json(src)
-    b = bridge.observed_bridge(bridge.bridge_transform(stream, now=F.lit(BRIDGE_EPOCH)))
-    agg = b.groupBy("topic").agg(
-        F.count(F.lit(1)).alias("records"), F.count_if("ok").alias("sent"),
-        F.count_if(~F.col("ok")).alias("failed"), F.count_if(F.col("ok") & ~F.col("is_object")).alias("wrapped"),
-        F.count_if(F.col("key") != F.col("topic")).alias("keyed"))
-    out, ck = scratch_path(spark, "bridge"), scratch_path(spark, "bridge-ckpt")
-    _drain(counters.start_update(agg, out, ck, ["topic"]))
-    return counters.latest_by_key(spark, out, ["topic"])
+    bridged = bridge.bridge_transform(stream, now=F.lit(BRIDGE_EPOCH))
+    landing, ck = scratch_path(spark, "raw-landing"), scratch_path(spark, "raw-landing-ckpt")
+    _drain(counters.land_bridged(bridged, landing, ck))
+    raw = files.read_raw(spark, f"{landing}/_source_topic=loan-applications")
+    gold = lake.score(lake.clean_raw(raw, as_of=F.to_date(F.substring("ingestion_timestamp", 1, 10))))
+    return gold.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("loan_count"))
 
 
 @register("stream_rate_bps")

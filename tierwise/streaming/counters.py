@@ -132,3 +132,19 @@ def start_hourly_alerts(scored: DataFrame, counts_path: str, alerts_path: str, c
 
     w = (agg.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint))
     return (w.trigger(availableNow=True) if drain else w.trigger(processingTime="1 minute")).start()
+
+
+def land_bridged(bridged: DataFrame, path: str, checkpoint: str, drain: bool = True) -> StreamingQuery:
+    """K6/T2 for bridge output: each record's JSON object becomes one line of the
+    raw layer, routed by source topic and arrival day
+    (``_source_topic=/year=/month=/day=``). Unparseable records never land
+    (they are quarantined by the bridge). File sink: exactly-once via its log.
+    """
+    ts = F.to_timestamp(F.from_unixtime(F.col("_bridge_ts")))
+    out = bridged.where(F.col("ok")).select(
+        F.col("value"), F.col("topic").alias("_source_topic"),
+        F.year(ts).cast("string").alias("year"), F.lpad(F.month(ts).cast("string"), 2, "0").alias("month"),
+        F.lpad(F.dayofmonth(ts).cast("string"), 2, "0").alias("day"))
+    w = (out.writeStream.format("text").option("path", path).option("checkpointLocation", checkpoint)
+         .partitionBy("_source_topic", "year", "month", "day"))
+    return (w.trigger(availableNow=True) if drain else w.trigger(processingTime="10 seconds")).start()
