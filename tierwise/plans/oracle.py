@@ -7,7 +7,7 @@ columns are widened before output, averages are rounded to 6 places.
 
 from __future__ import annotations
 
-from ..policies import API, GOLD, Bands, Tiers
+from ..policies import API, GOLD, TESTS, Bands, Tiers
 
 
 def D(x: float) -> str:
@@ -550,3 +550,12 @@ SELECT risk_tier, count(*) AS loan_count, {r6('avg(risk_score)')} AS avg_risk_sc
 SQL["stream_quality_watch"] = SQL["quality_suite"]
 
 SQL["stream_landing_to_lake"] = SQL["stream_tier_counts"]
+
+
+SQL["tests_policy_scores"] = with_(RAW_LOANS, SILVER, _VALID, _gold_cte("tp", TESTS, "valid")) + f"""
+SELECT loan_id, {r6('risk_score')} AS risk_score, risk_tier,
+       CASE risk_tier WHEN 'CRITICAL' THEN 'Immediate rejection recommended.'
+                      WHEN 'HIGH' THEN 'Requires senior underwriter review.'
+                      WHEN 'MEDIUM' THEN 'Standard underwriting process.'
+                      WHEN 'LOW' THEN 'Approve with standard terms.' END AS recommendation
+FROM tp"""

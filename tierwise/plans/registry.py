@@ -394,3 +394,13 @@ def q_catalog_sql(spark, sf_dir):
     lake.register_layer(spark, path, "gold", name)
     return lake.sql(spark, f"SELECT risk_tier, count(*) AS loan_count, "
                            f"round(avg(risk_score), 6) AS avg_risk_score FROM gold_{name} GROUP BY risk_tier")
+
+
+@register("tests_policy_scores")
+def q_tests_policy_scores(spark, sf_dir):
+    """The unit-test policy (exclusive bands, score rounded to 3 places, cuts
+    .3/.6/.8, short recommendation texts) over the validated loans."""
+    from ..policies import RECOMMENDATIONS_SHORT, TESTS
+    valid, _ = scenarios.validate_input(views.silver(spark, sf_dir))
+    s = scenarios.score_loans(valid, TESTS, scored_at=views.AS_OF_TS, texts=RECOMMENDATIONS_SHORT)
+    return s.select("loan_id", r6("risk_score").alias("risk_score"), "risk_tier", "recommendation")
