@@ -73,69 +73,80 @@ REFERENCE_SUITE = (
 )
 
 
-def _d(c: str) -> Column:
-    return F.col(c).cast("double")
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _compile(c: Check, cols: set[str], as_of: Column) -> tuple[Column, Column]:
-    """(observed, unexpected_count) aggregate expressions for one check."""
-    zero = F.lit(0).cast("long")
+def _lit(x: float) -> str:
+    return f"{float(x)!r}D"
+
+
+def _sql_str(v) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + str(v).replace("'", "\\'") + "'"
+
+
+def _compile(c: Check, cols: set[str], as_of: str) -> tuple[str, str]:
+    """(observed, unexpected_count) aggregate SQL expressions for one check."""
     if c.kind == "exists":
-        return F.lit(1.0 if c.column in cols else 0.0), F.lit(0 if c.column in cols else 1).cast("long")
+        return ("1.0D", "0L") if c.column in cols else ("0.0D", "1L")
     if c.column is not None and c.column not in cols:
-        return F.lit(None).cast("double"), F.lit(None).cast("long")
+        return "CAST(NULL AS DOUBLE)", "CAST(NULL AS BIGINT)"
+    col = _q(c.column) if c.column else None
     if c.kind == "not_null":
-        bad = F.count_if(F.col(c.column).isNull())
-        return bad.cast("double"), bad
+        bad = f"count_if({col} IS NULL)"
+        return f"CAST({bad} AS DOUBLE)", bad
     if c.kind == "between":
-        x = _d(c.column)
-        bad = F.count_if(x.isNotNull() & ~x.between(c.lo, c.hi))
-        return bad.cast("double"), bad
+        x = f"CAST({col} AS DOUBLE)"
+        bad = f"count_if({x} IS NOT NULL AND NOT ({x} BETWEEN {_lit(c.lo)} AND {_lit(c.hi)}))"
+        return f"CAST({bad} AS DOUBLE)", bad
     if c.kind == "in_set":
-        x = F.col(c.column)
-        bad = F.count_if(x.isNotNull() & ~x.isin(list(c.values)))
-        return bad.cast("double"), bad
+        vals = ", ".join(_sql_str(v) for v in c.values)
+        bad = f"count_if({col} IS NOT NULL AND NOT ({col} IN ({vals})))"
+        return f"CAST({bad} AS DOUBLE)", bad
     if c.kind == "row_count":
-        return F.count(F.lit(1)).cast("double"), zero
+        return "CAST(count(1) AS DOUBLE)", "0L"
     if c.kind == "mean_between":
-        return F.avg(_d(c.column)), zero
+        return f"avg(CAST({col} AS DOUBLE))", "0L"
     if c.kind == "share_between":
-        x = F.col(c.column)
-        share = F.try_divide(F.count_if(x == F.lit(c.value)), F.count(x))   # empty input -> null, not an error
-        return F.coalesce(share, F.lit(0.0)), zero
+        # try_divide: an empty input gives null (-> 0.0), not a division error under ANSI
+        return f"coalesce(try_divide(count_if({col} = {_sql_str(c.value)}), count({col})), 0.0D)", "0L"
     if c.kind == "fresh":
-        return F.datediff(as_of, F.max(F.col(c.column).cast("date"))).cast("double"), zero
+        return f"CAST(datediff({as_of}, max(CAST({col} AS DATE))) AS DOUBLE)", "0L"
     raise ValueError(c.kind)
 
 
-def _passed(c: Check, observed: Column) -> Column:
-    if c.kind in ("exists",):
-        return observed == 1.0
+def _passed(c: Check, observed: str) -> str:
+    if c.kind == "exists":
+        return f"({observed} = 1.0D)"
     if c.kind in ("not_null", "between", "in_set"):
-        return F.coalesce(observed == 0.0, F.lit(False))
+        return f"coalesce({observed} = 0.0D, false)"
     if c.kind in ("row_count", "mean_between", "share_between"):
-        return F.coalesce(observed.between(c.lo, c.hi), F.lit(False))
+        return f"coalesce({observed} BETWEEN {_lit(c.lo)} AND {_lit(c.hi)}, false)"
     if c.kind == "fresh":
-        return F.coalesce(observed <= c.days, F.lit(False))
+        return f"coalesce({observed} <= {int(c.days)}, false)"
     raise ValueError(c.kind)
 
 
 def run_suite(df: DataFrame, checks=REFERENCE_SUITE, as_of: str | None = None,
               layer: str = "gold") -> DataFrame:
-    """Evaluate every check in one pass; one output row per check."""
+    """Evaluate every check in one pass; one output row per check.
+
+    The checks compile to SQL expression text: one aggregation (``selectExpr``
+    over the table) and one ``stack`` that turns its single row into one row per
+    check — two plan-building calls regardless of the number of checks.
+    """
     cols = set(df.columns)
-    ao = F.current_date() if as_of is None else F.lit(as_of).cast("date")
+    ao = "current_date()" if as_of is None else f"DATE'{as_of}'"
     aggs = []
     for i, c in enumerate(checks):
         obs, bad = _compile(c, cols, ao)
-        aggs += [obs.cast("double").alias(f"o{i}"), bad.cast("long").alias(f"u{i}")]
-    row = df.agg(*aggs)
-    cells = [F.struct(F.lit(i).alias("check_id"), F.lit(layer).alias("layer"), F.lit(c.name).alias("check"),
-                      F.lit(c.column).cast("string").alias("column"), F.col(f"o{i}").alias("observed"),
-                      F.lit(c.expected).alias("expected"), _passed(c, F.col(f"o{i}")).alias("passed"),
-                      F.col(f"u{i}").alias("unexpected_count"))
-             for i, c in enumerate(checks)]
-    return row.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
+        aggs += [f"CAST({obs} AS DOUBLE) AS o{i}", f"CAST({bad} AS BIGINT) AS u{i}"]
+    row = df.selectExpr(*aggs)
+    cells = ", ".join(
+        f"{i}, {_sql_str(layer)}, {_sql_str(c.name)}, {_sql_str(c.column)}, o{i}, {_sql_str(c.expected)}, "
+        f"{_passed(c, f'o{i}')}, u{i}" for i, c in enumerate(checks))
+    return row.selectExpr(f"stack({len(checks)}, {cells}) AS "
+                          "(check_id, layer, `check`, `column`, observed, expected, passed, unexpected_count)")
 
 
 def summarize(results: DataFrame) -> DataFrame:
