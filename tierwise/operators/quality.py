@@ -173,20 +173,20 @@ MODEL_TESTS = {
 
 
 def model_tests(models: dict[str, DataFrame], tests: dict = MODEL_TESTS) -> DataFrame:
-    """Failing-row count per (model, column, test); one aggregation per model."""
+    """Failing-row count per (model, column, test); one aggregation per model,
+    compiled to SQL text (no per-test Column objects)."""
     out = None
     for model, specs in tests.items():
-        df = models[model]
-        aggs, meta = [], []
+        aggs = []
         for i, (col, test, values) in enumerate(specs):
-            c = F.col(col)
-            bad = c.isNull() if test == "not_null" else (c.isNotNull() & ~c.isin(list(values)))
-            aggs.append(F.count_if(bad).alias(f"f{i}"))
-            meta.append((col, test))
-        row = df.agg(*aggs)
-        cells = [F.struct(F.lit(model).alias("model"), F.lit(col).alias("column"), F.lit(test).alias("test"),
-                          F.col(f"f{i}").alias("failures")) for i, (col, test) in enumerate(meta)]
-        part = row.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
+            c = _q(col)
+            bad = (f"{c} IS NULL" if test == "not_null"
+                   else f"{c} IS NOT NULL AND NOT ({c} IN ({', '.join(_sql_str(v) for v in values)}))")
+            aggs.append(f"count_if({bad}) AS f{i}")
+        cells = ", ".join(f"{_sql_str(model)}, {_sql_str(col)}, {_sql_str(test)}, f{i}"
+                          for i, (col, test, _) in enumerate(specs))
+        part = models[model].selectExpr(*aggs).selectExpr(
+            f"stack({len(specs)}, {cells}) AS (model, `column`, test, failures)")
         out = part if out is None else out.unionByName(part)
     return out.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
 
