@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import license_scan, mixing, packing
+from . import license_scan, mixing, packing, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +39,9 @@ def op2_packing(spark, sf_dir):
 def op9_mixing(spark, sf_dir):
     m = mixing.mix(table(spark, sf_dir, "documents"))
     return m.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@register
+def op10_simhash_near_dedup(spark, sf_dir):
+    got = simhash.near_dedup(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
