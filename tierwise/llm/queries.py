@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, mixing, packing, simhash
+from . import langid, license_scan, mixing, packing, simhash, sql, topk, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_license_scan": sql.LICENSES,
+    "op4_exact_top_k": sql.TOPK,
+    "op8_warc": sql.WARC,
+}
 
 
 def register(fn):
@@ -45,3 +49,23 @@ def op9_mixing(spark, sf_dir):
 def op10_simhash_near_dedup(spark, sf_dir):
     got = simhash.near_dedup(table(spark, sf_dir, "documents"))
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register
+def op8_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register
+def op6_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs.select("doc_id", "text"), langid.train(docs))
+    return found.select("doc_id", F.coalesce(langid.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+                        "lang_pred", "score", "ambiguous")
+
+
+@register
+def op4_exact_top_k(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
