@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, license_scan, mixing, packing, simhash, sql, topk, warc
+from . import langid, license_scan, mixing, packing, simhash, spotsigs, sql, topk, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op6_language_id(spark, sf_dir):
 def op4_exact_top_k(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return topk.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+@register
+def op7_document_fingerprints(spark, sf_dir):
+    return spotsigs.pairs_with_next(table(spark, sf_dir, "documents"))
