@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, license_scan, mixing, packing, simhash, spotsigs, sql, topk, warc
+from . import langid, license_scan, line_dedup, mixing, packing, pii, simhash, spotsigs, sql, topk, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,13 @@ def op4_exact_top_k(spark, sf_dir):
 @register
 def op7_document_fingerprints(spark, sf_dir):
     return spotsigs.pairs_with_next(table(spark, sf_dir, "documents"))
+
+
+@register
+def op5_line_dedup(spark, sf_dir):
+    return line_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_lost", "n_near")
+
+
+@register
+def op3_pii_pseudonyms(spark, sf_dir):
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
