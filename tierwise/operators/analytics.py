@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..policies import BENCHMARK_SCORE, PROJECTION_GROWTH
 from ..schemas import HIGH_RISK_TIERS
-from .quantiles import exact_quantiles
+from .quantiles import bucket_table, histogram, moments, quantiles_of, wide_quantiles
 
 DESCRIBE_COLS = ["loan_amount", "ltv", "dti", "interest_rate", "risk_score"]
 CORR_COLS = ["ltv", "dti", "interest_rate", "risk_score"]
@@ -82,34 +82,17 @@ def _long(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.unpivot([], [_d(c).alias(c) for c in cols], "column", "v")
 
 
-def describe_stats(df: DataFrame, cols: list[str] = DESCRIBE_COLS, exact: bool = True,
-                   accuracy: int = 10_000) -> DataFrame:
+def describe_stats(df: DataFrame, cols: list[str] = DESCRIBE_COLS) -> DataFrame:
     """Per column count, mean, std (sample), min, 25/50/75 % (linear), max.
 
-    Moments come from one partial aggregation; quartiles from the exact
-    distributed quantile operator (or ``percentile_approx`` when
-    ``exact=False``). Nulls skipped.
+    One histogram of (column, value) feeds the moments and the quartiles: one
+    scan, nothing collected. A column without values has count 0.
     """
-    long = _long(df, cols).where(F.col("v").isNotNull())
-    mom = long.groupBy("column").agg(
-        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"),
-        F.approx_count_distinct("v", 0.02).alias("distinct_est"))
-    if exact:
-        # moments are one small row per column: fetch them once, and reuse the
-        # distinct estimate as the quantile operator's size check
-        rows = mom.collect()
-        mom = df.sparkSession.createDataFrame(rows, mom.schema)
-        widest = max([r["distinct_est"] for r in rows] or [0]) * 1.1
-        q = exact_quantiles(long, "v", [0.25, 0.5, 0.75], ["column"], widest=widest)
-        qw = q.groupBy("column").agg(
-            *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
-              for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
-    else:
-        qw = long.groupBy("column").agg(
-            F.percentile_approx("v", [0.25, 0.5, 0.75], accuracy).alias("qs")).select(
-            "column", *[F.col("qs")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))])
-    return mom.drop("distinct_est").join(qw, "column", "left")
+    keys = ["column"]
+    hist = histogram(_long(df, cols), "v", keys)
+    bt = bucket_table(hist, keys)
+    q = wide_quantiles(quantiles_of(hist, bt, [0.25, 0.5, 0.75], keys), {0.25: "q25", 0.5: "q50", 0.75: "q75"}, keys)
+    return moments(bt, keys).join(q, "column", "left")
 
 
 def corr_matrix(df: DataFrame, cols: list[str] = CORR_COLS) -> DataFrame:
@@ -140,16 +123,15 @@ def trend_delta(daily: DataFrame, benchmark: float = BENCHMARK_SCORE,
     projection; distance to the benchmark.
     """
     w = Window.orderBy(F.col("date").desc())
-    top2 = daily.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= 2)
-    peak = daily.agg(F.max("max")).scalar()
-    agg = top2.agg(
+    ranked = daily.withColumn("rn", F.row_number().over(w))
+    agg = ranked.agg(
         F.max(F.when(F.col("rn") == 1, F.col("date"))).alias("latest_date"),
         F.max(F.when(F.col("rn") == 1, F.col("mean"))).alias("latest"),
         F.coalesce(F.max(F.when(F.col("rn") == 2, F.col("mean"))),
-                   F.max(F.when(F.col("rn") == 1, F.col("mean")))).alias("previous"))
+                   F.max(F.when(F.col("rn") == 1, F.col("mean")))).alias("previous"), F.max("max").alias("peak"))
     return agg.select(
         "latest_date", "latest", "previous", (F.col("latest") - F.col("previous")).alias("delta"),
-        peak.alias("peak"), (F.col("latest") * F.lit(growth)).alias("projected_30d"),
+        "peak", (F.col("latest") * F.lit(growth)).alias("projected_30d"),
         (F.col("latest") - F.lit(benchmark)).alias("vs_benchmark"))
 
 
@@ -163,26 +145,24 @@ def box_stats(df: DataFrame, by: str = "loan_type", value: str = "risk_score") -
     """Per group min, Q1, median, Q3, max, 1.5 IQR fences (linear quantiles),
     whisker ends (furthest values inside the fences) and the outlier count.
 
-    The per-group fences are joined back on the group key (AQE picks the join
-    strategy from their measured size) for one more aggregation pass.
+    One (group, value) histogram feeds all of it; a null group is a group.
     """
-    q = exact_quantiles(df, value, [0.25, 0.5, 0.75], [by])
-    qw = q.groupBy(by).agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
-                             for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
-    mm = df.groupBy(by).agg(F.min(_d(value)).alias("min"), F.max(_d(value)).alias("max"),
-                            F.count(value).alias("n"))
+    keys = [by]
+    hist = histogram(df, value, keys)
+    bt = bucket_table(hist, keys)
+    q = wide_quantiles(quantiles_of(hist, bt, [0.25, 0.5, 0.75], keys), {0.25: "q1", 0.5: "median", 0.75: "q3"}, keys)
     iqr = F.col("q3") - F.col("q1")
-    stats = (mm.join(qw, by, "inner")
-               .withColumn("lower_fence", F.col("q1") - F.lit(1.5) * iqr)
-               .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * iqr))
-    fences = stats.select(by, "lower_fence", "upper_fence")
-    v = _d(value)
-    wh = (df.select(by, v.alias("_v")).where(F.col("_v").isNotNull()).join(fences, by, "inner")
-            .groupBy(by).agg(F.min(F.when(F.col("_v") >= F.col("lower_fence"), F.col("_v"))).alias("whisker_low"),
-                             F.max(F.when(F.col("_v") <= F.col("upper_fence"), F.col("_v"))).alias("whisker_high"),
-                             F.count_if(~F.col("_v").between(F.col("lower_fence"), F.col("upper_fence")))
-                              .alias("outliers")))
-    return stats.join(wh, by, "left")
+    q = (q.withColumn("lower_fence", F.col("q1") - F.lit(1.5) * iqr)
+          .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * iqr).withColumnRenamed(by, "_by"))
+    v, low, high = F.col("v"), F.col("lower_fence"), F.col("upper_fence")
+    x = hist.join(q, F.col(by).eqNullSafe(F.col("_by")), "left")
+    fences = ["q1", "median", "q3", "lower_fence", "upper_fence"]
+    return x.groupBy(by).agg(
+        F.min("v").alias("min"), F.max("v").alias("max"),
+        F.sum(F.when(v.isNotNull(), F.col("n")).otherwise(0)).alias("n"),
+        *[F.max(c).alias(c) for c in fences],
+        F.min(F.when(v >= low, v)).alias("whisker_low"), F.max(F.when(v <= high, v)).alias("whisker_high"),
+        F.sum(F.when(~v.between(low, high), F.col("n")).otherwise(0)).alias("outliers"))
 
 
 def percentile_rank(df: DataFrame, scores: list[float], col: str = "risk_score") -> DataFrame:

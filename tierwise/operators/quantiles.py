@@ -1,182 +1,112 @@
-"""Exact, linearly interpolated quantiles that scale out.
-
-Spark's exact ``percentile`` keeps a value->count map of a whole group in
-one task; ``percentile_approx`` is bounded but approximate. This operator
-is exact and never gathers a group into one task:
-
-1. distinct-value histogram per group (partial aggregation: a value that
-   holds a third of all rows becomes one row);
-   A size check follows: when every group has at most ``MAP_LIMIT``
-   distinct values, Spark's exact ``percentile`` with the counts as
-   frequencies finishes the job (its buffer = one entry per distinct value).
-   Otherwise:
-2. approximate range bounds over the distinct values per group. For up to
-   ``MAX_GROUPS_FOR_BUCKETS`` groups they are fetched to the driver (at most
-   groups x ``buckets`` numbers, like the sample Spark's own range
-   partitioner collects) so every later stage sees the same bounds; beyond
-   that they stay a DataFrame and the bucketed histogram is checkpointed;
-3. running counts inside each (group, bucket) window plus per-bucket
-   offsets from a small (groups x buckets) frame give each distinct value
-   its global rank interval [lo, hi);
-4. the two ranks each quantile needs are first mapped to their bucket, then
-   matched against the rank intervals on (group, bucket) and interpolated: q = v_lo + (v_hi - v_lo) * frac, pos = (n - 1) * p,
-   the rule of pandas ``quantile``/``describe`` and SQL ``quantile_cont``.
+"""Exact, linearly interpolated quantiles that scale out, on one path.
+
+1. A histogram: one row per (group, distinct value) with its count (partial
+   aggregation, so a value that holds a third of all rows becomes one row).
+2. Every value has a bucket that follows from the value alone: ``RESOLUTION``
+   buckets per unit of ``ln(1 + |v|)``, in the order of the values. A wider
+   spread of values gives more buckets; no sample, no bounds, no job.
+3. A (group, bucket) table of counts, with running offsets, tells which bucket
+   holds each rank that a quantile needs.
+4. Only those buckets of the histogram are ranked inside and interpolated:
+   q = v_lo + (v_hi - v_lo) * frac, pos = (n - 1) * p, the rule of pandas
+   ``quantile``/``describe`` and SQL ``quantile_cont``.
+
+Nothing is collected and no plan depends on the data's size; a hot group is
+spread over its buckets. The histogram's shuffle is reused by both branches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-MAX_GROUPS_FOR_BUCKETS = 10_000
-# Up to this many groups the bucket bounds are compiled into a CASE tree
-# (codegen, no join); beyond it they are broadcast-joined per group.
-MAX_GROUPS_FOR_TREE = 64
-# A group with at most this many distinct values is small enough for Spark's
-# exact ``percentile`` over its (value, count) histogram: the aggregate's
-# buffer holds one entry per distinct value, so this bounds its memory.
-MAP_LIMIT = 1_000_000
-
-
-def _bucket_tree(v, bounds: list[float], lo: int = 0, hi: int | None = None):
-    """Number of bounds <= v, by binary search over literal bounds (depth log2 n)."""
-    hi = len(bounds) if hi is None else hi
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(v >= F.lit(float(bounds[mid])), _bucket_tree(v, bounds, mid + 1, hi)) \
-            .otherwise(_bucket_tree(v, bounds, lo, mid))
-
-
-def _join_keys(left: DataFrame, right: DataFrame, keys: list[str], broadcast: bool) -> DataFrame:
-    """Inner join on ``keys`` where a null key matches a null key (groups may be null)."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    if broadcast:
-        r = F.broadcast(r)
-    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    return left.join(r, on=cond, how="inner").drop(*[f"_r_{k}" for k in keys])
-
-
-def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] | None = None,
-                    buckets: int = 64, accuracy: int = 10_000, map_limit: int = MAP_LIMIT,
-                    widest: float | None = None) -> DataFrame:
-    """Return (keys..., p, q) for every group and probability.
-
-    Nulls and NaN are skipped. Groups with no values produce no rows.
-    ``map_limit=0`` forces the bucketed path (used by tests). ``widest`` is
-    an upper estimate of distinct values per group when the caller already
-    has one (e.g. from ``approx_count_distinct`` in its own aggregation).
-    """
-    keys = list(keys or [])
-    v = (df.select(*keys, F.col(value).cast("double").alias("v"))
-           .where(F.col("v").isNotNull() & ~F.isnan("v")))
-    hist = v.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
-    spark = df.sparkSession
-
-    # size check: distinct values per group — a HyperLogLog sketch per group
-    # (bounded, partial aggregation, no shuffle of the values), with margin
-    if widest is None:
-        est = (v.groupBy(*keys).agg(F.approx_count_distinct("v", 0.02).alias("d"))
-                .agg(F.max("d")).collect()[0][0])
-        widest = None if est is None else est * 1.1
-    if widest is None:
-        schema = T.StructType(list(v.select(*keys).schema.fields)
-                              + [T.StructField("p", T.DoubleType()), T.StructField("q", T.DoubleType())])
-        return spark.createDataFrame([], schema)
-    if widest <= map_limit:
-        # fast path: exact percentile over the histogram, bounded by the check
-        arr = F.percentile(F.col("v"), F.array(*[F.lit(float(p)) for p in probs]), F.col("n"))
-        got = hist.groupBy(*keys).agg(arr.alias("qs"))
-        return got.select(*keys, F.posexplode("qs").alias("i", "q")).select(
-            *keys, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1).alias("p"), "q")
-
-    # (2) bucket bounds per group
-    fr = [i / buckets for i in range(1, buckets)]
-    bounds_df = hist.groupBy(*keys).agg(
-        F.array_sort(F.array_distinct(F.percentile_approx("v", fr, accuracy))).alias("bounds"))
-    bounds_rows = bounds_df.limit(MAX_GROUPS_FOR_BUCKETS + 1).collect()
-    few_groups = not (keys and len(bounds_rows) > MAX_GROUPS_FOR_BUCKETS)
-    v_col = F.col("v")
-    if not few_groups:
-        # many groups: bounds stay a DataFrame joined on the group key (AQE can
-        # split a hot group's side), and the bucketed histogram is checkpointed
-        # to the shared folder so the approximate bounds are fixed exactly once
-        hb = (_join_keys(hist, bounds_df, keys, broadcast=False)
-              .withColumn("b", F.size(F.filter("bounds", lambda x: x <= v_col))).drop("bounds"))
-        hb = hb.checkpoint(eager=True)
-    elif len(bounds_rows) <= MAX_GROUPS_FOR_TREE:
-        # few groups: the fetched bounds (bounded) become one binary-search CASE
-        # tree per group — all in codegen, no join
-        expr = None
-        for r in bounds_rows:
-            tree = _bucket_tree(v_col, list(r["bounds"] or []))
-            if not keys:
-                expr = tree
-                break
-            cond = None
-            for k in keys:
-                c = F.col(k).eqNullSafe(F.lit(r[k]))
-                cond = c if cond is None else cond & c
-            expr = F.when(cond, tree) if expr is None else expr.when(cond, tree)
-        hb = hist.withColumn("b", expr if not keys else expr.otherwise(F.lit(0)))
-    else:
-        # groups x buckets numbers, size checked above: safe to broadcast
-        schema = T.StructType(list(hist.select(*keys).schema.fields)
-                              + [T.StructField("bounds", T.ArrayType(T.DoubleType()))])
-        bdf = spark.createDataFrame([tuple(r) for r in bounds_rows], schema)
-        hb = (_join_keys(hist, bdf, keys, broadcast=True)
-              .withColumn("b", F.size(F.filter("bounds", lambda x: x <= v_col))).drop("bounds"))
-
-    # (3) ranks: within-bucket running count + bucket offset
-    w_in = (Window.partitionBy(*keys, "b").orderBy("v")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = hb.withColumn("cum", F.sum("n").over(w_in))
-    bt = hb.groupBy(*keys, "b").agg(F.sum("n").alias("bn"))
-    wk = Window.partitionBy(*keys).orderBy("b")
-    bo = (bt.withColumn("off", F.coalesce(F.sum("bn").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
-                                          F.lit(0)))
-            .withColumn("total", F.sum("bn").over(Window.partitionBy(*keys))))
-    # groups x buckets rows: bounded above when few_groups
-    ranked = (_join_keys(ranked, bo.drop("bn", "total"), keys + ["b"], broadcast=few_groups)
-              .withColumn("hi", F.col("off") + F.col("cum"))
-              .withColumn("lo", F.col("hi") - F.col("n"))
-              .select(*keys, "b", "v", "lo", "hi"))
-
-    # (4) targets: two ranks per (group, p), each first mapped to the bucket
-    # holding it (small bucket table), so the lookup joins on (group, bucket)
-    # and a hot group is spread over its buckets
-    totals = bo.select(*keys, "total").distinct()
-    tg = (totals.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-          .withColumn("pos", (F.col("total") - 1) * F.col("p"))
-          .withColumn("k0", F.floor("pos").cast("long"))
-          .withColumn("k1", F.ceil("pos").cast("long"))
-          .withColumn("frac", F.col("pos") - F.col("k0")))
-    tl = tg.select(*keys, "p", "frac",
-                   F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("k0").alias("k")),
-                                     F.struct(F.lit(1).alias("which"), F.col("k1").alias("k")))).alias("t"))
-    tl = tl.select(*keys, "p", "frac", "t.which", "t.k")
-    spans = bo.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col("b").alias("_s_b"),
-                      F.col("off").alias("_s_off"), F.col("bn").alias("_s_bn"))
-    in_span = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys] + [
-        F.col("_s_off") <= F.col("k"), F.col("k") < F.col("_s_off") + F.col("_s_bn")]
-    tb = (tl.join(spans if not few_groups else F.broadcast(spans), on=in_span, how="inner")
-            .select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_s_b").alias("_t_b"),
-                    "p", "frac", "which", "k"))
-    cond = ([F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys] + [F.col("b") == F.col("_t_b")]
-            + [F.col("lo") <= F.col("k"), F.col("k") < F.col("hi")])
-    tb_side = F.broadcast(tb) if few_groups else tb
-    hit = ranked.join(tb_side, on=cond, how="inner").select(*keys, "p", "frac", "which", "v")
-    out = hit.groupBy(*keys, "p").agg(
-        F.max(F.when(F.col("which") == 0, F.col("v"))).alias("v0"),
-        F.max(F.when(F.col("which") == 1, F.col("v"))).alias("v1"),
-        F.first("frac").alias("frac"))
+
+RESOLUTION = 4096
+
+
+def bucket_of(v: Column) -> Column:
+    """The bucket of a double; never decreases as v grows."""
+    return (F.signum(v) * F.floor(F.lit(float(RESOLUTION)) * F.log1p(F.abs(v)))).cast("long")
+
+
+def _centre(b: Column) -> Column:
+    """A value in or next to a bucket, to sum deviations from."""
+    return F.signum(b.cast("double")) * F.expm1(F.abs(b) / F.lit(float(RESOLUTION)))
+
+
+def histogram(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """(keys..., v, n, b): distinct values with counts; null and NaN are one row with null v and b."""
+    v = F.col(value).cast("double")
+    long = df.select(*keys, F.when(~F.isnan(v), v).alias("v"))
+    return long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n")).withColumn("b", bucket_of(F.col("v")))
+
+
+def bucket_table(hist: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., b, bn, off, total) and per bucket the extremes and the sums of deviations from its centre
+    c. One row per (group, bucket); the windows run over these rows only."""
+    d = F.col("v") - _centre(F.col("b"))
+    bt = hist.groupBy(*keys, "b").agg(
+        F.sum(F.when(F.col("v").isNotNull(), F.col("n")).otherwise(0)).alias("bn"),
+        F.min("v").alias("lo"), F.max("v").alias("hi"),
+        F.sum(F.col("n") * d).alias("s1"), F.sum(F.col("n") * d * d).alias("s2"))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    return (bt.withColumn("c", _centre(F.col("b")))
+              .withColumn("off", F.coalesce(F.sum("bn").over(before), F.lit(0)))
+              .withColumn("total", F.sum("bn").over(group)))
+
+
+def moments(bt: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., count, mean, std, min, max) from a bucket table; a group without values has count 0."""
+    n, group = F.col("bn"), Window.partitionBy(*keys)
+    whole = F.when(n > 0, n * F.col("c") + F.col("s1"))
+    x = bt.withColumn("_mean", F.try_divide(F.sum(whole).over(group), F.sum("bn").over(group)))
+    # squared deviations: within the bucket, and of the bucket's own mean from the group's
+    own = F.col("s2") - F.col("s1") * F.col("s1") / n
+    apart = F.col("c") + F.col("s1") / n - F.col("_mean")
+    x = x.withColumn("_m2", F.when(n > 0, own + n * apart * apart))
+    return x.groupBy(*keys).agg(
+        F.sum("bn").alias("count"), F.max("_mean").alias("mean"),
+        F.sqrt(F.when(F.sum("bn") > 1, F.greatest(F.sum("_m2"), F.lit(0.0)) / (F.sum("bn") - 1))).alias("std"),
+        F.min("lo").alias("min"), F.max("hi").alias("max"))
+
+
+def quantiles_of(hist: DataFrame, bt: DataFrame, probs: list[float], keys: list[str]) -> DataFrame:
+    """(keys..., p, q) for every group with values."""
+    pos = lambda p: (F.col("total") - 1) * F.lit(float(p))                  # noqa: E731
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.lit(w).alias("which"),
+                                f(pos(p)).cast("long").alias("k"), (pos(p) - F.floor(pos(p))).alias("frac"))
+                       for p in probs for w, f in ((0, F.floor), (1, F.ceil))])
+    here = bt.where("bn > 0").select(
+        *[F.col(k).alias(f"_t_{k}") for k in keys], F.col("b").alias("_t_b"), "off",
+        F.explode(F.filter(wanted, lambda t: (t["k"] >= F.col("off")) & (t["k"] < F.col("off") + F.col("bn")))).alias("t"))
+    same = (F.col("b") == F.col("_t_b"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
+    hit = hist.where(F.col("v").isNotNull()).join(here, same).select(*keys, "b", "v", "n", "off", "t.*")
+    inside = (Window.partitionBy(*keys, "b", "p", "which").orderBy("v")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    hit = hit.withColumn("end", F.col("off") + F.sum("n").over(inside))
+    hit = hit.where((F.col("k") < F.col("end")) & (F.col("k") >= F.col("end") - F.col("n")))
+    out = hit.groupBy(*keys, "p").agg(F.max(F.when(F.col("which") == 0, F.col("v"))).alias("v0"),
+                                      F.max(F.when(F.col("which") == 1, F.col("v"))).alias("v1"),
+                                      F.max("frac").alias("frac"))
     return out.select(*keys, "p", (F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("frac")).alias("q"))
 
 
-def median(df: DataFrame, cols: list[str], buckets: int = 64) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] | None = None) -> DataFrame:
+    """(keys..., p, q) for every group and probability. Nulls and NaN are skipped; groups without values
+    give no rows."""
+    keys = list(keys or [])
+    hist = histogram(df, value, keys)
+    return quantiles_of(hist, bucket_table(hist, keys), probs, keys)
+
+
+def wide_quantiles(q: DataFrame, names: dict[float, str], keys: list[str]) -> DataFrame:
+    """(keys..., p, q) rows as one column per probability."""
+    return q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in names.items()])
+
+
+def median(df: DataFrame, cols: list[str]) -> DataFrame:
     """One row per column: (column, median)."""
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
-                                                  F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
-    long = long.select("s.column", "s.v")
-    return exact_quantiles(long, "v", [0.5], ["column"], buckets).select("column", F.col("q").alias("median"))
+    long = df.unpivot([], [F.col(c).cast("double").alias(c) for c in cols], "column", "v")
+    return exact_quantiles(long, "v", [0.5], ["column"]).select("column", F.col("q").alias("median"))
