@@ -36,11 +36,9 @@ def _norm(v):
         if isinstance(v, (int, float)):
             return ("n", float(v))
         return ("s", str(v))
-    if v is None:
-        return ("~null",)
+    if v is None or (not isinstance(v, (list, tuple, str)) and not hasattr(v, "__len__") and v != v):
+        return ("~null",)          # pandas shows a null in a column of numbers as NaN
     if isinstance(v, float):
-        if math.isnan(v):
-            return ("~nan",)
         return ("f", round(v, 5))
     if hasattr(v, "isoformat"):
         t = str(v)[:19]

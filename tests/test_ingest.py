@@ -18,7 +18,7 @@ def test_rate_changes_across_chunks_matches_sequential(spark):
             v = float("nan") if i == 7 else round(3 + (i * 37 % 11) / 10, 2)
             rows.append((sid, sid, pd.Timestamp("2024-01-01") + pd.Timedelta(hours=9 * i), v))
     df = spark.createDataFrame(pd.DataFrame(rows, columns=["series_id", "label", "date", "value"]))
-    got = ingest.rate_changes(df, order_col="date", chunk="day").toPandas()
+    got = ingest.rate_changes(df, order_col="date").toPandas()
     exp = []
     for sid in ("A", "B"):
         prev = None
@@ -104,3 +104,56 @@ def test_list_files_and_union(spark):
     a = spark.createDataFrame([(1, "x")], "a int, b string")
     b = spark.createDataFrame([(2,)], "a int")
     assert files.union_all([a, b]).count() == 2
+
+
+def test_rate_text_with_missing_marker_and_ties(spark):
+    rows = [("A", "2024-01-02", "."), ("A", "2024-01-01", "1.0"), ("A", "2024-01-03", "2.0"), ("A", "2024-01-03", "1.5"),
+            (None, "2024-01-01", "9"), (None, "2024-01-02", "bad"), (None, "2024-01-02", "8")]
+    df = spark.createDataFrame(rows, "series_id string, date string, value string").selectExpr("*", "series_id AS label")
+    got = {(r.series_id, r.date, r.value): round(r.rate_change_bps, 6) for r in ingest.rate_changes(df, "date").collect()}
+    assert got == {("A", "2024-01-01", 1.0): 0.0, ("A", "2024-01-03", 1.5): 50.0, ("A", "2024-01-03", 2.0): 50.0,
+                   (None, "2024-01-01", 9.0): 0.0, (None, "2024-01-02", 8.0): -100.0}
+    assert ingest.rate_changes(df.limit(0), "date").count() == 0
+
+
+def test_rate_windows_do_not_grow_with_the_data(spark):
+    from tierwise.sources import testmap
+    largest = []
+    for sf in ("sf0.01", "sf0.1"):
+        obs = ingest.chunked(ingest.observations(testmap.rate_observations(spark, f"/root/testdata/{sf}"), "ts"), "ts")
+        largest.append(obs.groupBy("series_id", "_chunk").count().agg({"count": "max"}).first()[0])
+    assert max(largest) <= 2 * ingest.CHUNK_ROWS, largest
+
+
+def test_carry_over_empty_chunks_and_blocks(spark):
+    last = spark.createDataFrame([("A", 0, 1.0), ("A", 3, 2.0), ("A", 25, 3.0), ("B", 24, 4.0)],
+                                 "series_id string, _chunk long, _last double")
+    got = {(r.series_id, r["_chunk"]): r["_carry"] for r in ingest._previous_of_chunks(last, fan=10).collect()}
+    assert got == {("A", 0): None, ("A", 3): 1.0, ("A", 25): 2.0, ("B", 24): None}
+
+
+def test_census_arrays_ragged_empty_and_bad(spark, tmp_dir):
+    import os
+
+    from tierwise.sources import files
+    os.makedirs(f"{tmp_dir}/c")
+    with open(f"{tmp_dir}/c/a.txt", "w") as f:
+        f.write('[["NAME","state"],["x"],["y","51","extra"],["z",null]]\n[]\n\nnot json\n[["NAME"]]\n')
+    rows = files.census_fields(files.read_census_json(spark, f"{tmp_dir}/c", lines=True), ["NAME", "state", "none"]).collect()
+    assert [tuple(r) for r in rows] == [("x", None, None), ("y", "51", None), ("z", None, None)]
+
+
+def test_indicator_payloads_reach_the_snapshot_as_numbers(spark, tmp_dir):
+    import json
+    import os
+
+    from tierwise.schemas import MACRO_KEYS
+    from tierwise.sources import files
+    os.makedirs(f"{tmp_dir}/i")
+    for i, k in enumerate(MACRO_KEYS):
+        with open(f"{tmp_dir}/i/{k}.json", "w") as f:
+            json.dump({"data": [{"date": "2024-01-01", "value": "9"}, {"date": "2024-01-01", "value": str(i + 1)},
+                                {"date": "2024-01-02", "value": "."}]}, f, indent=1)
+    m = ingest.macro_snapshots(files.read_indicator_json(spark, f"{tmp_dir}/i"))
+    assert [t for c, t in m.dtypes if c in MACRO_KEYS] == ["double"] * 4
+    assert [r["date"] for r in m.collect()] == ["2024-01-01"] and m.first()[MACRO_KEYS[1]] == 2.0

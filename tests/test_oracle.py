@@ -17,17 +17,17 @@ def con():
 
 
 def test_every_query_has_oracle_or_is_file_op():
-    missing = sorted(set(QUERIES) - set(ORACLE))
-    assert missing == ["file_checks", "layer_report", "storage_report"]
+    missing = sorted(n for n in set(QUERIES) - set(ORACLE) if n != "pipeline" and not n.startswith("op"))
+    assert missing == ["file_checks", "storage_report"]
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(n for n in ORACLE if not n.startswith("op")))
 def test_query_matches_oracle(spark, con, name):
     ok, msg = compare(spark, name, QUERIES[name], ORACLE[name], SF_SMALL, con)
     assert ok, msg
 
 
-@pytest.mark.parametrize("name", ["file_checks", "layer_report", "storage_report"])
+@pytest.mark.parametrize("name", ["file_checks", "storage_report"])
 def test_file_queries_run(spark, name):
     assert QUERIES[name](spark, SF_SMALL).count() >= 1
 

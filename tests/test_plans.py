@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-BATCH = sorted(n for n in E.queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in E.queries() if not n.startswith(("stream_", "op")) and n != "pipeline")
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
 
@@ -45,3 +45,36 @@ def test_filters_reach_the_scan(spark, tmp_dir):
     assert "PushedFilters: [IsNotNull(risk_tier), EqualTo(risk_tier,CRITICAL)]" in plan
     pruned = physical(gold.where(F.col("day") == "07").select("risk_score"))
     assert "PartitionFilters: [isnotnull(day" in pruned and "ReadSchema: struct<risk_score:double>" in pruned
+
+
+def scans(df) -> int:
+    """File scans that run, reused exchanges counted once."""
+    df.collect()
+    plan = physical(df)
+    plan = plan[:plan.index("+- == Initial Plan ==")] if "+- == Initial Plan ==" in plan else plan
+    return plan.count("FileScan")
+
+
+@pytest.mark.parametrize("name", ["describe_stats", "box_by_type", "model_tests", "trend_delta", "critical_count",
+                                  "refresh_report", "quality_suite", "portfolio_stats"])
+def test_one_scan(spark, name):
+    assert scans(E.queries()[name](spark, SF_SMALL)) == 1
+
+
+@pytest.mark.parametrize("name", ["describe_stats", "box_by_type", "county_lookup", "rate_bps"])
+def test_no_job_over_rows_while_the_plan_is_built(spark, name):
+    sc = spark.sparkContext
+    sc.setJobGroup(f"build-{name}", "")
+    E.queries()[name](spark, SF_SMALL)
+    # the one job reads the table's footer for its schema
+    assert len(sc.statusTracker().getJobIdsForGroup(f"build-{name}")) <= 1
+    sc.setJobGroup("", "")
+
+
+def test_streams_run_no_python_operator():
+    import inspect
+
+    from tierwise.streaming import bridge, counters, rates
+    for m in (bridge, counters, rates):
+        text = inspect.getsource(m)
+        assert "InPandas" not in text and "pandas_udf" not in text and "withWatermark" not in text

@@ -1,13 +1,13 @@
 """Streaming: bridge transform cases, sinks, and streaming == batch."""
 
-import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from tierwise.operators import lake, scenarios
-from tierwise.streaming import bridge, counters
+from tierwise.operators import lake
+from tierwise.streaming import bridge, counters, rates
 
 
 def test_bridge_transform_cases(spark):
@@ -30,6 +30,26 @@ def test_bridge_transform_cases(spark):
     assert by[5][1] is False and by[5][2] is None and by[5][0] == "mortgage-rates"
 
 
+def test_bridge_keeps_payloads_that_text_cutting_would_lose(spark):
+    recs = spark.createDataFrame([
+        ("loan-applications", '{\n  "loan_id": "L1",\n  "note": "a\\nb",\n  "n": {"k": [1, null]}\n}'),
+        ("loan-applications", '{"a": 1, "loan_id": "old", "a": 2, "loan_id": "new"}'),
+        ("mortgage-rates", '{"id": 7, "_source_topic": "elsewhere", "_bridge_ts": 1}'),
+        ("mortgage-rates", "[1, 2]"), ("mortgage-rates", '"text"'), ("mortgage-rates", None),
+        ("mortgage-rates", '{"a": 1} trailing'),
+    ], "topic string, value string")
+    out = bridge.bridge_transform(recs, now=F.lit(100)).collect()
+    meta = {"_source_topic": "mortgage-rates", "_bridge_ts": 100}
+    loan = {"_source_topic": "loan-applications", "_bridge_ts": 100}
+    assert json.loads(out[0].value) == {"loan_id": "L1", "note": "a\nb", "n": {"k": [1, None]}, **loan}
+    assert json.loads(out[1].value) == {"a": 2, "loan_id": "new", **loan} and out[1].key == "new"
+    assert json.loads(out[2].value) == {"id": 7, **meta} and out[2].value.count("_source_topic") == 1
+    assert json.loads(out[3].value) == {"data": [1, 2], **meta} and not out[3].is_object
+    assert json.loads(out[4].value) == {"data": "text", **meta}
+    assert json.loads(out[5].value) == meta and out[5].ok
+    assert not out[6].ok and out[6].raw_value == '{"a": 1} trailing'
+
+
 def test_bridge_sink_with_quarantine(spark, tmp_dir):
     src = os.path.join(tmp_dir, "src")
     os.makedirs(src)
@@ -43,6 +63,9 @@ def test_bridge_sink_with_quarantine(spark, tmp_dir):
     good = spark.read.json(f"{tmp_dir}/out")
     assert good.count() == 3 and set(r.key for r in good.collect()) == {"L0", "L1", "L2"}
     assert spark.read.json(f"{tmp_dir}/bad").count() == 3
+    sent, bad, counted = bridge.read_bridge(spark, f"{tmp_dir}/out", f"{tmp_dir}/bad")
+    assert (sent.count(), bad.count()) == (3, 3)
+    assert [tuple(r) for r in counted.groupBy().sum("sent", "failed").collect()] == [(3, 3)]
     # re-running against the same checkpoint processes nothing new (offsets are in the checkpoint)
     bridge.start_bridge(stream, f"{tmp_dir}/out", f"{tmp_dir}/ck", quarantine=f"{tmp_dir}/bad").awaitTermination()
     assert spark.read.json(f"{tmp_dir}/out").count() == 3
@@ -69,35 +92,52 @@ def _loan_file(path, rows):
                                 "ingestion_timestamp": ts}) + "\n")
 
 
-def test_hourly_watermark_running_counts_and_metrics(spark, tmp_dir):
+CRITICAL_FILES = [
+    [("2024-01-01T10:05:00", 98, 9.0), ("2024-01-01T10:35:00", 98, 9.0)],
+    [("2024-01-01T15:05:00", 98, 9.0), ("2024-01-01T15:06:00", 70, 3.0)],
+    [("2024-01-01T11:20:00", 98, 9.0)],
+    [("2024-01-01T09:00:00", 98, 9.0), ("2024-01-01T15:20:00", 98, 9.0)]]      # hours after the ones before
+
+
+def _land_files(tmp_dir, files):
     src = os.path.join(tmp_dir, "src")
     os.makedirs(src)
-    # CRITICAL rows (ltv 98, rate 9); file 2 is 5 hours later; file 4 holds a row far behind the
-    # watermark. Late rows are filtered against the previous batch's watermark (Spark >= 3.4),
-    # so the late row is dropped in the batch after the watermark moved.
-    files = [[("2024-01-01T10:05:00", 98, 9.0), ("2024-01-01T10:35:00", 98, 9.0)],
-             [("2024-01-01T15:05:00", 98, 9.0), ("2024-01-01T15:06:00", 70, 3.0)],
-             [("2024-01-01T15:20:00", 98, 9.0)],
-             [("2024-01-01T09:00:00", 98, 9.0)]]
     for i, rows in enumerate(files, 1):
         _loan_file(os.path.join(src, f"{i}.json"), rows)
         os.utime(os.path.join(src, f"{i}.json"), (i, i))
-    stream = counters.stream_raw(spark, src, max_files=1)
-    scored = lake.score(lake.clean_raw(stream, as_of="2024-01-01")).withColumn(
-        "event_ts", F.to_timestamp("ingestion_timestamp"))
-    agg = counters.hourly_critical(counters.metric_rows(scored), "event_ts", "2 hours")
-    q = counters.start_update(agg, f"{tmp_dir}/h", f"{tmp_dir}/hck", ["hour"])
+    return src
+
+
+@pytest.mark.parametrize("max_files", [1, None])
+def test_hourly_alerts_count_late_rows_in_any_batching(spark, tmp_dir, max_files):
+    src = _land_files(tmp_dir, CRITICAL_FILES)
+    scored = lake.score(lake.clean_raw(counters.stream_raw(spark, src, max_files=max_files), as_of="2024-01-01"))
+    q = counters.start_hourly_alerts(scored.withColumn("event_ts", F.to_timestamp("ingestion_timestamp")),
+                                     f"{tmp_dir}/h", f"{tmp_dir}/hck")
     q.awaitTermination()
-    hourly = {r.hour: r.current_count for r in counters.latest_by_key(spark, f"{tmp_dir}/h", ["hour"]).collect()}
-    assert hourly == {dt.datetime(2024, 1, 1, 10): 2, dt.datetime(2024, 1, 1, 15): 2}   # late 09:00 row dropped
+    got = {r.hour.hour: (r.current_count, r.previous_count, r.alert)
+           for r in counters.read_hourly_alerts(spark, f"{tmp_dir}/h").collect()}
+    assert got == {9: (1, 0, True), 10: (2, 1, True), 11: (1, 2, False), 15: (2, 0, True)}
     assert any("critical_metrics" in (p.get("observedMetrics") or {}) for p in q.recentProgress)
-    delta = scenarios.hourly_delta(counters.latest_by_key(spark, f"{tmp_dir}/h", ["hour"])).collect()
-    assert all(r.alert for r in delta)
 
-    tiers = counters.running_tier_counts(lake.score(lake.clean_raw(counters.stream_raw(spark, src, max_files=1), "2024-01-01")))
+    tiers = counters.running_tier_counts(lake.score(lake.clean_raw(counters.stream_raw(spark, src, max_files=max_files),
+                                                                   "2024-01-01")))
     counters.start_update(tiers, f"{tmp_dir}/t", f"{tmp_dir}/tck", ["risk_tier"]).awaitTermination()
     got = {r.risk_tier: r.loan_count for r in counters.latest_by_key(spark, f"{tmp_dir}/t", ["risk_tier"]).collect()}
-    assert got == {"CRITICAL": 5, "MEDIUM": 1}   # running counts keep every row
+    assert got == {"CRITICAL": 6, "MEDIUM": 1}
+
+
+@pytest.mark.parametrize("max_files", [1, None])
+def test_quality_of_all_arrivals_is_the_batch_suite(spark, tmp_dir, max_files):
+    from tierwise.operators import quality
+    src = _land_files(tmp_dir, CRITICAL_FILES)
+    stream = lake.score(lake.clean_raw(counters.stream_raw(spark, src, max_files=max_files), "2024-01-01"))
+    counters.watch_quality(stream, f"{tmp_dir}/rep", f"{tmp_dir}/ck", as_of="2024-01-02").awaitTermination()
+    got = counters.read_quality(spark, f"{tmp_dir}/rep", stream.columns, as_of="2024-01-02")
+    batch = quality.run_suite(lake.score(lake.clean_raw(spark.read.schema(counters.RAW_LOAN).json(src), "2024-01-01")),
+                              as_of="2024-01-02", layer="silver_arrival")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+    assert spark.read.parquet(f"{tmp_dir}/rep").count() == 28 * (len(CRITICAL_FILES) if max_files else 1)
 
 
 def test_watch_quality_and_topic_volume(spark, tmp_dir):
@@ -116,26 +156,6 @@ def test_watch_quality_and_topic_volume(spark, tmp_dir):
     assert json.loads(k.first().value) == {"loan_id": "L1", "v": 5} and k.first().key == "L1"
 
 
-def test_streaming_alerts_revise_the_next_hour(spark, tmp_dir):
-    src = os.path.join(tmp_dir, "src")
-    os.makedirs(src)
-    files = [[("2024-01-01T10:05:00", 98, 9.0)],
-             [("2024-01-01T11:05:00", 98, 9.0), ("2024-01-01T11:25:00", 98, 9.0)],
-             [("2024-01-01T10:45:00", 98, 9.0)]]          # revises hour 10 after hour 11 was compared
-    for i, rows in enumerate(files, 1):
-        _loan_file(os.path.join(src, f"{i}.json"), rows)
-        os.utime(os.path.join(src, f"{i}.json"), (i, i))
-    scored = lake.score(lake.clean_raw(counters.stream_raw(spark, src, max_files=1), "2024-01-01")).withColumn(
-        "event_ts", F.to_timestamp("ingestion_timestamp"))
-    q = counters.start_hourly_alerts(scored, f"{tmp_dir}/c", f"{tmp_dir}/a", f"{tmp_dir}/ck")
-    q.awaitTermination()
-    got = {r.hour.hour: (r.current_count, r.previous_count, r.alert)
-           for r in counters.latest_by_key(spark, f"{tmp_dir}/a", ["hour"]).collect()}
-    assert got == {10: (2, 0, True), 11: (2, 2, False)}
-    first = spark.read.parquet(f"{tmp_dir}/a").where("_epoch = 1").first()
-    assert first.hour.hour == 11 and first.alert and first.message.startswith("1 new CRITICAL")
-
-
 def test_latest_by_key_orders_epochs_numerically(spark, tmp_dir):
     for epoch, value in ((9, "old"), (10, "new")):
         spark.createDataFrame([("k", value, epoch)], "key string, v string, _epoch long") \
@@ -143,28 +163,25 @@ def test_latest_by_key_orders_epochs_numerically(spark, tmp_dir):
     assert counters.latest_by_key(spark, f"{tmp_dir}/s", ["key"]).first().v == "new"
 
 
-def test_stream_rate_changes_carry_state_across_batches(spark, tmp_dir):
-    from tierwise.streaming.rates import stream_rate_changes
+@pytest.mark.parametrize("max_files", [1, None])
+def test_stream_rate_changes_in_any_order_and_batching(spark, tmp_dir, max_files):
     src = os.path.join(tmp_dir, "src")
     os.makedirs(src)
-    batches = [[("A", "2024-01-01T00:00:00", 1.0), ("A", "2024-01-02T00:00:00", 1.5), ("B", "2024-01-01T00:00:00", 7.0)],
-               [("A", "2024-01-03T00:00:00", 1.25), ("A", "2024-01-04T00:00:00", float("nan"))],
-               [("B", "2024-01-05T00:00:00", 6.0)]]
+    batches = [[("A", "2024-01-03T00:00:00", 1.25), ("A", "2024-01-04T00:00:00", float("nan"))],
+               [("A", "2024-01-01T00:00:00", 1.0), ("A", "2024-01-02T00:00:00", 1.5), ("B", "2024-01-01T00:00:00", 7.0)],
+               [("B", "2024-01-05T00:00:00", 6.0), (None, "2024-01-05T00:00:00", 2.0)]]
     for i, rows in enumerate(batches, 1):
         with open(os.path.join(src, f"{i}.json"), "w") as f:
             for sid, d, v in rows:
                 f.write(json.dumps({"series_id": sid, "label": sid, "date": d,
                                     "value": None if v != v else v}) + "\n")
         os.utime(os.path.join(src, f"{i}.json"), (i, i))
-    stream = spark.readStream.schema("series_id string, label string, date timestamp_ntz, value double") \
-        .option("maxFilesPerTrigger", 1).json(src)
-    q = (stream_rate_changes(stream, "date").writeStream.outputMode("append")
-         .foreachBatch(counters.upsert_sink(f"{tmp_dir}/out", ["series_id", "date"]))
-         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
-    q.awaitTermination()
+    stream = spark.readStream.schema("series_id string, label string, date timestamp_ntz, value double")
+    stream = (stream.option("maxFilesPerTrigger", max_files) if max_files else stream).json(src)
+    rates.land_rates(stream, f"{tmp_dir}/out", f"{tmp_dir}/ck").awaitTermination()
     got = {(r.series_id, r.date.day): round(r.rate_change_bps, 9)
-           for r in counters.latest_by_key(spark, f"{tmp_dir}/out", ["series_id", "date"]).collect()}
-    assert got == {("A", 1): 0.0, ("A", 2): 50.0, ("A", 3): -25.0, ("B", 1): 0.0, ("B", 5): -100.0}
+           for r in rates.read_rate_changes(spark, f"{tmp_dir}/out").collect()}
+    assert got == {("A", 1): 0.0, ("A", 2): 50.0, ("A", 3): -25.0, ("B", 1): 0.0, ("B", 5): -100.0, (None, 5): 0.0}
 
 
 def test_land_bridged_routes_by_topic_and_day(spark, tmp_dir):
@@ -180,5 +197,6 @@ def test_land_bridged_routes_by_topic_and_day(spark, tmp_dir):
     loans = f"{tmp_dir}/raw/_source_topic=loan-applications/year=2023/month=11/day=14"
     assert os.path.isdir(loans)
     assert spark.read.json(loans).first().loan_amount == "5"
-    rates = spark.read.text(f"{tmp_dir}/raw/_source_topic=mortgage-rates").collect()
-    assert len(rates) == 1 and json.loads(rates[0].value)["data"] == 2.5      # bad record never lands
+    landed = spark.read.text(f"{tmp_dir}/raw/_source_topic=mortgage-rates").collect()
+    assert len(landed) == 1 and json.loads(landed[0].value)["data"] == 2.5
+    assert [r.value for r in spark.read.text(f"{tmp_dir}/raw/_source_topic=_quarantine").collect()] == ["{oops"]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import coerce_double, first_part, iso_now, nan_to_null, null_if_negative, state_code
+from ..functions.cleaning import coerce_double, first_part, iso_now, null_if_negative, state_code
 from ..functions.scoring import county_risk_index, macro_index
 from ..schemas import EVENT_LOAN, EVENT_MACRO, EVENT_RATE, MACRO_KEYS, OBSERVATION_START
 from .quantiles import median
@@ -67,27 +67,60 @@ def drop_missing(df: DataFrame, col: str = "value", marker: str = ".") -> DataFr
     return df.where(c.isNotNull() & ~F.isnan(c))
 
 
-def rate_changes(rates: DataFrame, order_col: str = "date", chunk: str = "month",
-                 ingested_at=None) -> DataFrame:
+def observations(rates: DataFrame, order_col: str = "date") -> DataFrame:
+    """F5 on rate rows: the missing marker, null and NaN go, then text becomes a number."""
+    obs = drop_missing(rates.select("series_id", "label", order_col, "value"))
+    return drop_missing(obs.withColumn("value", coerce_double("value") if dict(obs.dtypes)["value"] == "string"
+                                       else F.col("value").cast("double")))
+
+
+CHUNK_ROWS = 1000
+
+
+def _previous_of_chunks(last: DataFrame, fan: int = CHUNK_ROWS) -> DataFrame:
+    """last: series_id, _chunk, _last -> series_id, _chunk, _carry: the value of the nearest chunk before.
+
+    Two levels: chunks within blocks of ``fan`` chunk numbers, then the blocks of a series, so the
+    widest window is about rows / (CHUNK_ROWS * fan)."""
+    order = Window.partitionBy("series_id", "_block").orderBy("_chunk")
+    inner = last.withColumn("_block", F.floor(F.col("_chunk") / F.lit(fan)))
+    blocks = inner.groupBy("series_id", "_block").agg(F.max_by("_last", "_chunk").alias("_block_last"))
+    before = Window.partitionBy("series_id").orderBy("_block")
+    blocks = blocks.select(F.col("series_id").alias("_s"), F.col("_block").alias("_b"),
+                           F.lag("_block_last").over(before).alias("_block_carry"))
+    inner = inner.withColumn("_carry", F.lag("_last").over(order))
+    out = inner.join(blocks, F.col("series_id").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")))
+    return out.select("series_id", "_chunk", F.coalesce("_carry", "_block_carry").alias("_carry"))
+
+
+def chunked(obs: DataFrame, order_col: str, rows: int = CHUNK_ROWS) -> DataFrame:
+    """obs with _chunk: spans of time of about ``rows`` rows of all series together. The span follows
+    from the row count and the time range, as a scalar subquery."""
+    t = F.unix_micros(F.col(order_col).cast("timestamp"))
+    one = obs.agg(F.min(t).alias("t0"), F.max(t).alias("t1"), F.count(F.lit(1)).alias("n"))
+    span = F.greatest(F.lit(1.0), (F.col("t1") - F.col("t0")) * F.lit(float(rows)) / F.greatest("n", F.lit(1)))
+    s = one.select(F.struct("t0", span.alias("span")).alias("s")).scalar()
+    return obs.withColumn("_chunk", F.floor((t - s["t0"]) / s["span"]))
+
+
+def rate_changes(rates: DataFrame, order_col: str = "date", ingested_at=None) -> DataFrame:
     """Change against the previous observation of the same series, in bps.
 
-    (value - previous) * 100, first observation of a series 0.0, NaN/null
-    observations dropped first.
+    (value - previous) * 100, first observation of a series 0.0; missing
+    observations dropped first; equal times are ordered by value.
 
-    Skew-safe lag: a series that holds a third of all rows must not become
-    one window task. Rows are windowed per (series, time chunk); the first
-    row of each chunk takes the last value of the nearest earlier chunk from
-    a small (series x chunks) aggregate, joined back on (series, chunk) —
-    AQE broadcasts it when its measured size is small.
+    Skew-safe lag: a series that holds a third of all rows must not become one
+    window task. Rows are windowed per (series, chunk of time); the number of
+    chunks grows with the rows, so no window does. The first row of a chunk
+    takes the last value of the nearest earlier chunk of its series, carried
+    over in two levels.
     """
-    obs = drop_missing(rates.select("series_id", "label", order_col, F.col("value").cast("double").alias("value")))
-    obs = obs.withColumn("_chunk", F.date_trunc(chunk, F.col(order_col).cast("timestamp")))
-    w = Window.partitionBy("series_id", "_chunk").orderBy(order_col)
+    obs = chunked(observations(rates, order_col), order_col)
+    w = Window.partitionBy("series_id", "_chunk").orderBy(order_col, "value")
     inner = obs.withColumn("_prev", F.lag("value").over(w))
-    last = obs.groupBy("series_id", "_chunk").agg(F.max_by("value", F.col(order_col)).alias("_last"))
-    wc = Window.partitionBy("series_id").orderBy("_chunk")
-    carry = last.withColumn("_carry", F.lag("_last").over(wc)).drop("_last")
-    out = inner.join(carry, ["series_id", "_chunk"], "left")
+    last = obs.groupBy("series_id", "_chunk").agg(F.max_by("value", F.struct(order_col, "value")).alias("_last"))
+    carry = _previous_of_chunks(last).select(F.col("series_id").alias("_cs"), F.col("_chunk").alias("_cc"), "_carry")
+    out = inner.join(carry, F.col("series_id").eqNullSafe(F.col("_cs")) & F.col("_chunk").eqNullSafe(F.col("_cc")), "left")
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
     return out.select(
         "series_id", "label", order_col, "value",
@@ -107,9 +140,11 @@ def macro_snapshots(indicators_long: DataFrame, keys=MACRO_KEYS, ingested_at=Non
     drop dates lacking any indicator and compute the stress index.
     """
     df = drop_missing(since(indicators_long, "date"), "value")
+    if dict(df.dtypes)["value"] == "string":
+        df = drop_missing(df.withColumn("value", coerce_double("value")), "value")
     aggs = [F.max_by(F.when(F.col("indicator") == k, F.col("value")),
                      F.when(F.col("indicator") == k, F.col("seq"))).alias(k) for k in keys]
-    wide = df.groupBy("date").agg(*aggs).dropna("any", subset=list(keys))
+    wide = complete(df.groupBy("date").agg(*aggs), keys)
     return wide.select(
         "date", *keys, macro_index().alias("macro_stress_index"),
         F.lit(EVENT_MACRO).alias("event_type"),
@@ -119,6 +154,7 @@ def macro_snapshots(indicators_long: DataFrame, keys=MACRO_KEYS, ingested_at=Non
 
 # ---------------------------------------------------------------- county
 
+# fixed values: public field codes
 NUMERIC_MAP = {"B25077_001E": "median_home_value", "B19013_001E": "median_income",
                "B25003_002E": "owner_occupied_units"}
 
@@ -151,11 +187,6 @@ def county_lookup(census: DataFrame) -> DataFrame:
                          county_risk_index().alias("county_risk_index"))
 
 
-def to_nan_free(df: DataFrame, cols: list[str]) -> DataFrame:
-    """NaN -> null on the given double columns (source hygiene)."""
-    return df.withColumns({c: nan_to_null(c) for c in cols})
-
-
 def complete(df: DataFrame, cols=MACRO_KEYS) -> DataFrame:
     """drop rows lacking any of the given columns."""
     return df.dropna("any", subset=list(cols))

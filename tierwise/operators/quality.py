@@ -85,36 +85,47 @@ def _sql_str(v) -> str:
     return "CAST(NULL AS STRING)" if v is None else "'" + str(v).replace("'", "\\'") + "'"
 
 
-def _compile(c: Check, cols: set[str], as_of: str) -> tuple[str, str]:
-    """(observed, unexpected_count) aggregate SQL expressions for one check."""
-    if c.kind == "exists":
-        return ("1.0D", "0L") if c.column in cols else ("0.0D", "1L")
-    if c.column is not None and c.column not in cols:
-        return "CAST(NULL AS DOUBLE)", "CAST(NULL AS BIGINT)"
-    col = _q(c.column) if c.column else None
+def _partials(c: Check, i: int, cols: set[str]) -> list[tuple[str, str, str]]:
+    """(name, aggregate, merge) of the partial results of one check: counts and sums, which add up
+    over any cut of the rows, and the latest date."""
+    if c.kind in ("exists", "row_count") or c.column not in cols:
+        return [(f"n{i}", "count(1)", "sum")] if c.kind == "row_count" else []
+    col = _q(c.column)
+    x = f"CAST({col} AS DOUBLE)"
     if c.kind == "not_null":
-        bad = f"count_if({col} IS NULL)"
-        return f"CAST({bad} AS DOUBLE)", bad
+        return [(f"b{i}", f"count_if({col} IS NULL)", "sum")]
     if c.kind == "between":
-        x = f"CAST({col} AS DOUBLE)"
-        bad = f"count_if({x} IS NOT NULL AND NOT ({x} BETWEEN {_lit(c.lo)} AND {_lit(c.hi)}))"
-        return f"CAST({bad} AS DOUBLE)", bad
+        return [(f"b{i}", f"count_if({x} IS NOT NULL AND NOT ({x} BETWEEN {_lit(c.lo)} AND {_lit(c.hi)}))", "sum")]
     if c.kind == "in_set":
         vals = ", ".join(_sql_str(v) for v in c.values)
-        bad = f"count_if({col} IS NOT NULL AND NOT ({col} IN ({vals})))"
-        return f"CAST({bad} AS DOUBLE)", bad
-    if c.kind == "row_count":
-        return "CAST(count(1) AS DOUBLE)", "0L"
+        return [(f"b{i}", f"count_if({col} IS NOT NULL AND NOT ({col} IN ({vals})))", "sum")]
     if c.kind == "mean_between":
-        return f"avg(CAST({col} AS DOUBLE))", "0L"
+        return [(f"s{i}", f"sum({x})", "sum"), (f"c{i}", f"count({x})", "sum")]
     if c.kind == "share_between":
-        # try_divide: an empty input gives null (-> 0.0), not a division error under ANSI
-        return f"coalesce(try_divide(count_if({col} = {_sql_str(c.value)}), count({col})), 0.0D)", "0L"
+        return [(f"v{i}", f"count_if({col} = {_sql_str(c.value)})", "sum"), (f"c{i}", f"count({col})", "sum")]
     if c.kind == "fresh":
-        return f"CAST(datediff({as_of}, max(CAST({col} AS DATE))) AS DOUBLE)", "0L"
+        return [(f"d{i}", f"max(CAST({col} AS DATE))", "max")]
     raise ValueError(c.kind)
 
 
+def _finished(c: Check, i: int, cols: set[str], as_of: str) -> tuple[str, str]:
+    """(observed, unexpected_count) from merged partial results."""
+    if c.kind == "exists":
+        return ("1.0D", "0L") if c.column in cols else ("0.0D", "1L")
+    if c.kind == "row_count":
+        return f"CAST(n{i} AS DOUBLE)", "0L"
+    if c.column not in cols:
+        return "CAST(NULL AS DOUBLE)", "CAST(NULL AS BIGINT)"
+    if c.kind in ("not_null", "between", "in_set"):
+        return f"CAST(b{i} AS DOUBLE)", f"b{i}"
+    if c.kind == "mean_between":
+        return f"try_divide(s{i}, c{i})", "0L"
+    if c.kind == "share_between":
+        # an empty input gives null (-> 0.0), not a division error under ANSI
+        return f"coalesce(try_divide(v{i}, c{i}), 0.0D)", "0L"
+    return f"CAST(datediff({as_of}, d{i}) AS DOUBLE)", "0L"
+
+
 def _passed(c: Check, observed: str) -> str:
     if c.kind == "exists":
         return f"({observed} = 1.0D)"
@@ -127,21 +138,25 @@ def _passed(c: Check, observed: str) -> str:
     raise ValueError(c.kind)
 
 
-def run_suite(df: DataFrame, checks=REFERENCE_SUITE, as_of: str | None = None,
-              layer: str = "gold") -> DataFrame:
-    """Evaluate every check in one pass; one output row per check.
-
-    The checks compile to SQL expression text: one aggregation (``selectExpr``
-    over the table) and one ``stack`` that turns its single row into one row per
-    check — two plan-building calls regardless of the number of checks.
-    """
+def suite_partials(df: DataFrame, checks=REFERENCE_SUITE) -> DataFrame:
+    """One row of partial results, in one aggregation over the table. Rows of several batches merge
+    (``finish_suite``) to the results over all of their rows."""
     cols = set(df.columns)
+    return df.selectExpr(*[f"{expr} AS {name}" for i, c in enumerate(checks) for name, expr, _ in _partials(c, i, cols)]
+                         or ["count(1) AS n"])
+
+
+def finish_suite(partials: DataFrame, columns, checks=REFERENCE_SUITE, as_of: str | None = None,
+                 layer: str = "gold") -> DataFrame:
+    """Partial result rows of a table with these columns -> one row per check."""
+    cols = set(columns)
     ao = "current_date()" if as_of is None else f"DATE'{as_of}'"
-    aggs = []
-    for i, c in enumerate(checks):
-        obs, bad = _compile(c, cols, ao)
-        aggs += [f"CAST({obs} AS DOUBLE) AS o{i}", f"CAST({bad} AS BIGINT) AS u{i}"]
-    row = df.selectExpr(*aggs)
+    merged = partials.selectExpr(*[f"{how}({name}) AS {name}" for i, c in enumerate(checks)
+                                   for name, _, how in _partials(c, i, cols)] or ["sum(n) AS n"])
+    obs = [_finished(c, i, cols, ao) for i, c in enumerate(checks)]
+    row = merged.selectExpr(*[x for i, (o, u) in enumerate(obs) for x in (
+        f"CAST({o} AS DOUBLE) AS o{i}", f"CAST(coalesce({u}, 0L) AS BIGINT) AS u{i}" if u != "CAST(NULL AS BIGINT)"
+        else f"{u} AS u{i}")])
     cells = ", ".join(
         f"{i}, {_sql_str(layer)}, {_sql_str(c.name)}, {_sql_str(c.column)}, o{i}, {_sql_str(c.expected)}, "
         f"{_passed(c, f'o{i}')}, u{i}" for i, c in enumerate(checks))
@@ -149,6 +164,13 @@ def run_suite(df: DataFrame, checks=REFERENCE_SUITE, as_of: str | None = None,
                           "(check_id, layer, `check`, `column`, observed, expected, passed, unexpected_count)")
 
 
+def run_suite(df: DataFrame, checks=REFERENCE_SUITE, as_of: str | None = None,
+              layer: str = "gold") -> DataFrame:
+    """Evaluate every check in one pass; one output row per check. The checks compile to SQL text: a few
+    plan-building calls whatever the number of checks."""
+    return finish_suite(suite_partials(df, checks), df.columns, checks, as_of, layer)
+
+
 def summarize(results: DataFrame) -> DataFrame:
     """Q10: total, passed, failed, success % (1 dp); empty input -> 0/0/1/0."""
     s = results.agg(F.count(F.lit(1)).alias("total"), F.count_if("passed").alias("passed"))
@@ -191,6 +213,41 @@ def model_tests(models: dict[str, DataFrame], tests: dict = MODEL_TESTS) -> Data
     return out.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
 
 
+def model_tests_of_staging(stg: DataFrame) -> DataFrame:
+    """The same tests on the staging rows alone, before the marts are written: all of them follow from one
+    (day, tier) aggregate, so the table is read once."""
+    g = stg.groupBy("processing_date", "risk_tier").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("risk_score").isNull()).alias("no_score"),
+        F.count_if(F.col("loan_amount").isNull()).alias("no_amount"))
+    tier = F.col("risk_tier")
+    high = tier.isin(HIGH_RISK_TIERS)
+    odd = lambda allowed: tier.isNotNull() & ~tier.isin(list(allowed))       # noqa: E731
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0)).cast("long")
+
+    n = F.col("n")
+    found = {
+        ("stg_loan_risk_scores", "risk_score", "not_null"): total(F.col("no_score")),
+        ("stg_loan_risk_scores", "risk_tier", "not_null"): total(F.when(tier.isNull(), n)),
+        ("stg_loan_risk_scores", "risk_tier", "accepted_values"): total(F.when(odd(TIERS), n)),
+        ("stg_loan_risk_scores", "loan_amount", "not_null"): total(F.col("no_amount")),
+        ("mart_risk_summary", "risk_tier", "not_null"): F.coalesce(F.max(F.when(tier.isNull(), 1)), F.lit(0)).cast("long"),
+        ("mart_risk_summary", "risk_tier", "accepted_values"): F.countDistinct(F.when(odd(TIERS), tier)),
+        ("mart_high_risk_loans", "risk_score", "not_null"): total(F.when(high, F.col("no_score"))),
+        ("mart_high_risk_loans", "risk_tier", "not_null"): total(F.when(high & tier.isNull(), n)),
+        ("mart_high_risk_loans", "risk_tier", "accepted_values"): total(F.when(high & odd(HIGH_RISK_TIERS), n)),
+        ("mart_high_risk_loans", "loan_amount", "not_null"): total(F.when(high, F.col("no_amount"))),
+        ("mart_daily_risk_trend", "risk_tier", "not_null"): F.count(F.when(tier.isNull(), 1)),
+        ("mart_daily_risk_trend", "risk_tier", "accepted_values"): F.count(F.when(odd(TIERS), 1)),
+    }
+    row = g.agg(*[c.alias(f"f{i}") for i, c in enumerate(found.values())])
+    cells = [F.struct(F.lit(m).alias("model"), F.lit(c).alias("column"), F.lit(t).alias("test"), F.col(f"f{i}").alias("failures"))
+             for i, (m, c, t) in enumerate(found)]
+    out = row.select(F.explode(F.array(*cells)).alias("t")).select("t.*")
+    return out.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
+
+
 # ---------------------------------------------------------------- table and file checks
 
 def null_count(col: str) -> Column:
@@ -238,6 +295,15 @@ def check_files(files: DataFrame, min_bytes: int = 0, ext: str | None = None,
     return a.select(F.lit(layer).alias("layer"), "n_files", "total_bytes", status.alias("status"))
 
 
+def check_rows(df: DataFrame, layer: str, min_rows: int = 1) -> DataFrame:
+    """Q13/Q14 on a layer's rows: PASS with at least ``min_rows`` of them."""
+    n = df.agg(F.count(F.lit(1)).alias("n_rows"))
+    status = (F.when(F.col("n_rows") == 0, F.lit("FAIL: no rows"))
+               .when(F.col("n_rows") < min_rows, F.format_string("FAIL: %d rows < %d", F.col("n_rows"), F.lit(min_rows)))
+               .otherwise(F.lit("PASS")))
+    return n.select(F.lit(layer).alias("layer"), "n_rows", status.alias("status"))
+
+
 def layer_report(statuses: DataFrame, layers=("raw_check", "silver_check", "gold_check", "warehouse_check"),
                  date: str | None = None) -> DataFrame:
     """Q16: (layer, status) rows -> one report row; a missing layer is FAIL."""
@@ -247,18 +313,19 @@ def layer_report(statuses: DataFrame, layers=("raw_check", "silver_check", "gold
 
 
 def failed(report: DataFrame) -> DataFrame:
-    """F16: report fields whose text contains FAIL, as (check, status) rows."""
+    """F16: report fields whose text contains FAIL, as (date, check, status) rows in field order."""
     fields = [c for c in report.columns if c != "date"]
-    long = report.unpivot([], fields, "check", "status")
+    cells = [F.struct(F.lit(i).alias("place"), F.lit(c).alias("check"), F.col(c).alias("status")) for i, c in enumerate(fields)]
+    long = report.select("date", F.explode(F.array(*cells)).alias("f")).select("date", "f.*")
     return long.where(F.col("status").contains("FAIL"))
 
 
 def quality_alerts(report: DataFrame) -> DataFrame:
-    """Q17: per report row, one alert message naming its failed checks in field order."""
-    fields = [c for c in report.columns if c != "date"]
-    names = F.concat_ws(", ", *[F.when(F.col(c).contains("FAIL"), F.lit(c)) for c in fields])
-    return report.select(names.alias("checks")).where(F.col("checks") != "").select(
-        F.concat(F.lit("Data Quality Alert! Failed checks: "), F.col("checks")).alias("message"))
+    """Q17: per report date, one alert message naming its failed checks in field order."""
+    names = F.transform(F.array_sort(F.collect_list(F.struct("place", "check"))), lambda x: x["check"])
+    # fixed value: the alert text equals the reference's
+    return failed(report).groupBy("date").agg(names.alias("checks")).select(
+        "date", F.concat(F.lit("Data Quality Alert! Failed checks: "), F.array_join("checks", ", ")).alias("message"))
 
 
 # ---------------------------------------------------------------- files
@@ -274,11 +341,6 @@ def with_suffix(files: DataFrame, ext: str = ".parquet") -> DataFrame:
     return files.where(F.col("path").endswith(ext))
 
 
-def file_totals(files: DataFrame) -> DataFrame:
-    """Count and total size."""
-    return files.agg(F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"))
-
-
 def storage_report(files: DataFrame, days: int = 30, as_of: str | None = None,
                    rate: float = 0.019) -> DataFrame:
     """GB of files older than ``days`` (4 dp) and estimated saving."""

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RESOLUTION = 4096
+NO_VALUE = -(1 << 62)
 
 
 def bucket_of(v: Column) -> Column:
@@ -34,10 +35,13 @@ def _centre(b: Column) -> Column:
 
 
 def histogram(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
-    """(keys..., v, n, b): distinct values with counts; null and NaN are one row with null v and b."""
+    """(keys..., v, n, b): distinct values with counts; null and NaN are one row with null v, in a bucket
+    of their own. As b is never null, no join adds a filter to one of the histogram's uses, and both
+    share one shuffle."""
     v = F.col(value).cast("double")
     long = df.select(*keys, F.when(~F.isnan(v), v).alias("v"))
-    return long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n")).withColumn("b", bucket_of(F.col("v")))
+    return long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "b", F.coalesce(bucket_of(F.col("v")), F.lit(NO_VALUE)))
 
 
 def bucket_table(hist: DataFrame, keys: list[str]) -> DataFrame:
@@ -82,7 +86,7 @@ def quantiles_of(hist: DataFrame, bt: DataFrame, probs: list[float], keys: list[
     same = (F.col("b") == F.col("_t_b"))
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
-    hit = hist.where(F.col("v").isNotNull()).join(here, same).select(*keys, "b", "v", "n", "off", "t.*")
+    hit = hist.join(here, same).select(*keys, "b", "v", "n", "off", "t.*")
     inside = (Window.partitionBy(*keys, "b", "p", "which").orderBy("v")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     hit = hit.withColumn("end", F.col("off") + F.sum("n").over(inside))

@@ -74,12 +74,20 @@ def refresh_scores(gold: DataFrame, macro: float | Column | None = None,
 
 
 def refresh_report(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Tier counts before/after a refresh (full outer join of <= 5-row aggregates)."""
-    b = before.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("before_count"))
-    a = after.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("after_count"))
-    j = b.join(a, "risk_tier", "full_outer")
-    return j.select("risk_tier", F.coalesce("before_count", F.lit(0)).alias("before_count"),
-                    F.coalesce("after_count", F.lit(0)).alias("after_count"))
+    """Tier counts of two stored versions, in one aggregation over both."""
+    both = before.select("risk_tier", F.lit(1).alias("b"), F.lit(0).alias("a")).unionByName(
+        after.select("risk_tier", F.lit(0).alias("b"), F.lit(1).alias("a")))
+    return both.groupBy("risk_tier").agg(F.sum("b").alias("before_count"), F.sum("a").alias("after_count"))
+
+
+def refresh_preview(gold: DataFrame, macro: float | Column | None = None, policy: Policy = REFRESH) -> DataFrame:
+    """M10 before anything is written: tier counts now and after a refresh, from one scan."""
+    now = gold.withColumn("tier_before", F.col("risk_tier"))
+    moves = refresh_scores(now, macro, policy).groupBy("tier_before", "risk_tier").agg(F.count(F.lit(1)).alias("n"))
+    ends = F.array(F.struct(F.col("tier_before").alias("risk_tier"), F.col("n").alias("b"), F.lit(0).alias("a")),
+                   F.struct(F.col("risk_tier").alias("risk_tier"), F.lit(0).alias("b"), F.col("n").alias("a")))
+    return (moves.select(F.explode(ends).alias("e")).select("e.*").groupBy("risk_tier")
+            .agg(F.sum("b").alias("before_count"), F.sum("a").alias("after_count")))
 
 
 def continuous_scores(df: DataFrame) -> DataFrame:
@@ -128,10 +136,13 @@ def rate_hike(df: DataFrame, hikes=RATE_HIKES) -> DataFrame:
 
 # ---------------------------------------------------------------- alerting
 
-def critical_count(df: DataFrame, as_of: str) -> DataFrame:
-    """CRITICAL rows processed on ``as_of``."""
-    return df.agg(F.count_if((F.col("risk_tier") == "CRITICAL")
-                             & (F.col("processing_date") == F.lit(as_of).cast("date"))).alias("critical_count"))
+def critical_count(df: DataFrame, as_of: str | None = None) -> DataFrame:
+    """CRITICAL rows processed on ``as_of``, by default on the latest day of the data; one scan."""
+    day = df.groupBy("processing_date").agg(F.count_if(F.col("risk_tier") == "CRITICAL").alias("n"))
+    if as_of is not None:
+        day = day.where(F.col("processing_date") == F.lit(as_of).cast("date"))
+        return day.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("critical_count"))
+    return day.agg(F.coalesce(F.max_by("n", "processing_date"), F.lit(0)).alias("critical_count"))
 
 
 def faked_previous(current) -> Column:

@@ -30,38 +30,41 @@ def build_models(spark: SparkSession, gold: DataFrame, root: str, as_of_ts: str
     return models
 
 
-def nightly(spark: SparkSession, raw_path: str, root: str, as_of: str | Column | None = None,
-            as_of_ts: str | None = None, report_date: str | None = None) -> dict:
+def nightly(spark: SparkSession, raw_path: str, root: str, as_of: str | None = None,
+            as_of_ts: str | None = None, min_raw_bytes: int = 0) -> dict:
     """Raw JSON -> silver (K1) -> gold (K2) -> warehouse view -> staging + marts
-    -> 12 model tests -> 28-check suite -> layer report. Returns small summaries."""
+    -> 12 model tests -> 28-check suite -> layer report and alerts (Q13-Q17).
+
+    ``as_of`` is the run date, today by default. Every report is kept under its
+    date (``reports/<name>/date=<as_of>``). Returns small summaries."""
+    as_of = as_of or str(spark.sql("SELECT current_date()").first()[0])
     raw = files.read_raw(spark, raw_path)
-    one_day = isinstance(as_of, str)            # a constant run date: one partition directory
-    lake.write_silver(lake.clean_raw(raw, as_of), f"{root}/silver", one_day=one_day)
+    lake.write_silver(lake.clean_raw(raw, as_of), f"{root}/silver", one_day=True)
     silver = lake.read_silver_path(spark, f"{root}/silver")
-    lake.write_gold(lake.score(silver), f"{root}/gold", one_day=one_day)
+    lake.write_gold(lake.score(silver), f"{root}/gold", one_day=True)
     gold = lake.read_silver_path(spark, f"{root}/gold")
     models = build_models(spark, gold, root, as_of_ts)
 
-    tests = quality.model_tests(models)
-    lake.write_report(tests, f"{root}/reports/model_tests")
-    d = as_of if isinstance(as_of, str) else None
-    suite = quality.run_suite(models["stg_loan_risk_scores"], as_of=d)
-    lake.write_report(suite, f"{root}/reports/quality_suite")
+    def report(df: DataFrame, name: str) -> DataFrame:
+        path = f"{root}/reports/{name}/date={as_of}"
+        lake.write_report(df, path)
+        return spark.read.schema(df.schema).json(path)
 
-    listing = files.list_files(spark, root, glob="*.parquet")
-    statuses = (quality.check_files(listing.where(F.col("path").contains("/silver/")), 0, ".parquet",
-                                    layer="silver_check")
-                .unionByName(quality.check_files(listing.where(F.col("path").contains("/gold/")),
-                                                 layer="gold_check"))
-                .select("layer", "status")
-                .unionByName(quality.check_table(models["stg_loan_risk_scores"], as_of=d or "1970-01-01")
-                             .select(F.lit("warehouse_check").alias("layer"), "status")))
-    report = quality.layer_report(statuses, date=report_date)
-    lake.write_report(report, f"{root}/reports/layer_report")
+    tests = report(quality.model_tests(models), "model_tests")
+    suite = report(quality.run_suite(models["stg_loan_risk_scores"], as_of=as_of), "quality_suite")
+    layers = [quality.check_files(files.list_files(spark, raw_path), min_raw_bytes, layer="raw_check"),
+              quality.check_files(files.list_files(spark, f"{root}/silver"), 0, ".parquet", layer="silver_check"),
+              quality.check_files(files.list_files(spark, f"{root}/gold"), layer="gold_check"),
+              quality.check_table(models["stg_loan_risk_scores"], as_of=as_of)
+              .select(F.lit("warehouse_check").alias("layer"), "status")]
+    statuses = files.union_all([x.select("layer", "status") for x in layers])
+    layer = report(quality.layer_report(statuses, date=as_of), "layer_report")
+    alerts = report(quality.quality_alerts(layer), "alerts")
     return {
         "summary": [r.asDict() for r in spark.read.parquet(f"{root}/marts/mart_risk_summary").collect()],
         "model_tests_failed": tests.where("status = 'FAIL'").count(),
-        "suite": quality.summarize(spark.read.json(f"{root}/reports/quality_suite")).first().asDict(),
+        "suite": quality.summarize(suite).first().asDict(),
+        "alerts": [r["message"] for r in alerts.collect()],
     }
 
 

@@ -7,28 +7,12 @@ columns are widened before output, averages are rounded to 6 places.
 
 from __future__ import annotations
 
-from ..policies import API, GOLD, TESTS, Bands, Tiers
 
 
 def D(x: float) -> str:
     return f"CAST({x!r} AS DOUBLE)"
 
 
-def band_sql(col: str, b: Bands, null_score: float | None) -> str:
-    c = f"CAST({col} AS DOUBLE)"
-    parts = [f"WHEN {col} IS NULL THEN {D(null_score) if null_score is not None else 'CAST(NULL AS DOUBLE)'}"]
-    for cut, closed, s in zip(b.cuts, b.closed, b.scores):
-        parts.append(f"WHEN {c} {'<=' if closed else '<'} {D(cut)} THEN {D(s)}")
-    return "CASE " + " ".join(parts) + f" ELSE {D(b.scores[-1])} END"
-
-
-def tier_sql(col: str, t: Tiers) -> str:
-    parts = [f"WHEN {col} IS NULL THEN NULL"]
-    for cut, closed, lab in zip(t.cuts, t.closed, t.labels):
-        parts.append(f"WHEN {col} {'<=' if closed else '<'} {D(cut)} THEN '{lab}'")
-    return "CASE " + " ".join(parts) + f" ELSE '{t.labels[-1]}' END"
-
-
 RAW_LOANS = """
 raw_loans AS (
   SELECT
@@ -74,23 +58,40 @@ silver AS (
 )"""
 
 
-def _gold_cte(name: str, policy=GOLD, src: str = "silver") -> str:
-    w = policy.weights
-    subs = (f"{band_sql('ltv', policy.ltv, policy.null_score)} AS ltv_score, "
-            f"{band_sql('dti', policy.dti, policy.null_score)} AS dti_score, "
-            f"{band_sql('interest_rate', policy.rate, policy.null_score)} AS rate_spread_score, "
-            f"{D(policy.macro)} AS macro_stress_score")
-    score = (f"ltv_score * {D(w[0])} + dti_score * {D(w[1])} + rate_spread_score * {D(w[2])}"
-             f" + macro_stress_score * {D(w[3])}")
-    if policy.score_digits is not None:
-        score = f"round({score}, {policy.score_digits})"
-    return f"""
-{name}_sub AS (SELECT *, {subs} FROM {src}),
-{name}_s AS (SELECT *, {score} AS risk_score FROM {name}_sub),
-{name} AS (SELECT *, {tier_sql('risk_score', policy.tiers)} AS risk_tier FROM {name}_s)"""
+# The scoring rules, written out (fixed values): not taken from the code that they check.
+_GOLD_SUBS = """
+CASE WHEN ltv IS NULL THEN 0.5 WHEN ltv < 80 THEN 0.2 WHEN ltv <= 90 THEN 0.5 WHEN ltv <= 95 THEN 0.8 ELSE 1.0 END AS ltv_score,
+CASE WHEN dti IS NULL THEN 0.5 WHEN dti < 36 THEN 0.2 WHEN dti <= 43 THEN 0.5 WHEN dti <= 50 THEN 0.8 ELSE 1.0 END AS dti_score,
+CASE WHEN interest_rate IS NULL THEN 0.5 WHEN interest_rate < 4 THEN 0.2 WHEN interest_rate <= 6 THEN 0.5
+     WHEN interest_rate <= 8 THEN 0.8 ELSE 1.0 END AS rate_spread_score"""
+_API_SUBS = """
+CASE WHEN ltv IS NULL THEN NULL WHEN ltv < 80 THEN 0.2 WHEN ltv < 90 THEN 0.5 WHEN ltv < 95 THEN 0.8 ELSE 1.0 END AS ltv_score,
+CASE WHEN dti IS NULL THEN NULL WHEN dti < 36 THEN 0.2 WHEN dti < 43 THEN 0.5 WHEN dti < 50 THEN 0.8 ELSE 1.0 END AS dti_score,
+CASE WHEN interest_rate IS NULL THEN NULL WHEN interest_rate < 4 THEN 0.2 WHEN interest_rate < 6 THEN 0.5
+     WHEN interest_rate < 8 THEN 0.8 ELSE 1.0 END AS rate_spread_score"""
+_SCORE = (f"ltv_score * {D(0.3)} + dti_score * {D(0.25)} + rate_spread_score * {D(0.25)}"
+          f" + macro_stress_score * {D(0.2)}")
 
 
-GOLD_CTE = _gold_cte("gold")
+def _scored(name: str, src: str, subs: str, score: str, tiers: str) -> str:
+    return f"""
+{name}_sub0 AS (SELECT *, {subs}, 0.6 AS macro_stress_score FROM {src}),
+{name}_sub AS (SELECT * REPLACE (CAST(ltv_score AS DOUBLE) AS ltv_score, CAST(dti_score AS DOUBLE) AS dti_score,
+    CAST(rate_spread_score AS DOUBLE) AS rate_spread_score, CAST(macro_stress_score AS DOUBLE) AS macro_stress_score)
+  FROM {name}_sub0),
+{name}_s AS (SELECT *, {score} AS risk_score FROM {name}_sub),
+{name} AS (SELECT *, CASE WHEN risk_score IS NULL THEN NULL {tiers} ELSE 'CRITICAL' END AS risk_tier FROM {name}_s)"""
+
+
+GOLD_CTE = _scored("gold", "silver", _GOLD_SUBS, _SCORE,
+                   f"WHEN risk_score < {D(0.3)} THEN 'LOW' WHEN risk_score <= {D(0.6)} THEN 'MEDIUM' "
+                   f"WHEN risk_score <= {D(0.8)} THEN 'HIGH'")
+_API_CTE = _scored("api", "valid", _API_SUBS, f"round({_SCORE}, 4)",
+                   f"WHEN risk_score < {D(0.3)} THEN 'LOW' WHEN risk_score < {D(0.6)} THEN 'MEDIUM' "
+                   f"WHEN risk_score < {D(0.85)} THEN 'HIGH'")
+_TESTS_CTE = _scored("tp", "valid", _API_SUBS, f"round({_SCORE}, 3)",
+                     f"WHEN risk_score < {D(0.3)} THEN 'LOW' WHEN risk_score < {D(0.6)} THEN 'MEDIUM' "
+                     f"WHEN risk_score < {D(0.8)} THEN 'HIGH'")
 STG = """
 stg AS (
   SELECT loan_id, state, county_code, ingestion_timestamp, loan_amount, ltv, dti, interest_rate, income,
@@ -188,7 +189,7 @@ SQL["describe_stats"] = BASE + ", long AS (" + " UNION ALL ".join(
 SELECT metric, count(v) AS count, {r6('avg(v)')} AS mean, {r6('stddev_samp(v)')} AS std,
        {r6('min(v)')} AS min, {r6('quantile_cont(v, 0.25)')} AS q25, {r6('quantile_cont(v, 0.5)')} AS q50,
        {r6('quantile_cont(v, 0.75)')} AS q75, {r6('max(v)')} AS max
-FROM long WHERE v IS NOT NULL GROUP BY metric"""
+FROM long GROUP BY metric"""
 
 _CORR = ["ltv", "dti", "interest_rate", "risk_score"]
 SQL["corr_matrix"] = BASE + " UNION ALL ".join(
@@ -307,7 +308,7 @@ valid AS (
     AND interest_rate IS NOT NULL AND CAST(interest_rate AS DOUBLE) >= 0 AND CAST(interest_rate AS DOUBLE) <= 30
     AND income IS NOT NULL AND CAST(income AS DOUBLE) >= 0)"""
 
-SQL["api_scores"] = with_(RAW_LOANS, SILVER, _VALID, _gold_cte("api", API, "valid")) + f"""
+SQL["api_scores"] = with_(RAW_LOANS, SILVER, _VALID, _API_CTE) + f"""
 SELECT loan_id, ltv_score, dti_score, rate_spread_score, {r6('risk_score')} AS risk_score, risk_tier,
        CASE risk_tier WHEN 'CRITICAL' THEN 'Immediate rejection recommended. Exceeds all risk thresholds.'
                       WHEN 'HIGH' THEN 'Loan requires senior underwriter review. High default probability.'
@@ -398,40 +399,51 @@ FROM j"""
 
 # ------------------------------------------------------------ quality
 
+# The 28 checks, written out (fixed values): kind, column, then their bounds, set or category.
+_SUITE = [("exists", c) for c in (
+    "loan_amount", "ltv", "dti", "interest_rate", "income", "ltv_score", "dti_score", "rate_spread_score",
+    "macro_stress_score", "risk_score", "risk_tier", "processing_date")] + [
+    ("not_null", "risk_score"),
+    ("not_null", "risk_tier"),
+    ("not_null", "loan_amount"),
+    ("between", "risk_score", 0.0, 1.0),
+    ("between", "ltv", 0.0, 205.0),
+    ("between", "dti", 0.0, 100.0),
+    ("between", "interest_rate", 0.0, 30.0),
+    ("in_set", "risk_tier", "'LOW', 'MEDIUM', 'HIGH', 'CRITICAL'"),
+    ("row_count", None, 100.0, 1000000.0),
+    ("mean_between", "risk_score", 0.05, 0.95),
+    ("share_between", "risk_tier", 0.0, 0.3, "CRITICAL"),
+    ("share_between", "risk_tier", 0.0, 0.5, "HIGH"),
+    ("share_between", "risk_tier", 0.2, 0.99, "MEDIUM"),
+    ("share_between", "risk_tier", 0.0, 0.2, "LOW"),
+    ("mean_between", "loan_amount", 50000.0, 2000000.0),
+    ("fresh", "processing_date", 30)]
+
+
 def _suite_sql() -> str:
-    from ..operators.quality import REFERENCE_SUITE
     parts = []
-    for i, c in enumerate(REFERENCE_SUITE):
-        col = c.column
-        name = c.name
+    for i, (kind, col, *more) in enumerate(_SUITE):
+        name = f"{kind}:{col or 'table'}" + (f"={more[2]}" if kind == "share_between" else "")
         tgt = f"'{col}'" if col else "CAST(NULL AS VARCHAR)"
-        if c.kind == "exists":
-            obs, bad, ok = "1.0", "0", "true"
-        elif c.kind == "not_null":
-            obs = f"CAST(count(*) FILTER (WHERE {col} IS NULL) AS DOUBLE)"
-            bad, ok = f"count(*) FILTER (WHERE {col} IS NULL)", f"({obs}) = 0"
-        elif c.kind == "between":
-            cond = f"{col} IS NOT NULL AND NOT (CAST({col} AS DOUBLE) BETWEEN {D(c.lo)} AND {D(c.hi)})"
-            obs = f"CAST(count(*) FILTER (WHERE {cond}) AS DOUBLE)"
-            bad, ok = f"count(*) FILTER (WHERE {cond})", f"({obs}) = 0"
-        elif c.kind == "in_set":
-            vals = ", ".join(f"'{v}'" for v in c.values)
-            cond = f"{col} IS NOT NULL AND {col} NOT IN ({vals})"
-            obs = f"CAST(count(*) FILTER (WHERE {cond}) AS DOUBLE)"
-            bad, ok = f"count(*) FILTER (WHERE {cond})", f"({obs}) = 0"
-        elif c.kind == "row_count":
-            obs, bad = "CAST(count(*) AS DOUBLE)", "0"
-            ok = f"coalesce(({obs}) BETWEEN {D(c.lo)} AND {D(c.hi)}, false)"
-        elif c.kind == "mean_between":
-            obs, bad = f"avg(CAST({col} AS DOUBLE))", "0"
-            ok = f"coalesce(({obs}) BETWEEN {D(c.lo)} AND {D(c.hi)}, false)"
-        elif c.kind == "share_between":
-            obs = f"coalesce(count(*) FILTER (WHERE {col} = '{c.value}') / count({col}), 0.0)"
-            bad, ok = "0", f"coalesce(({obs}) BETWEEN {D(c.lo)} AND {D(c.hi)}, false)"
-        elif c.kind == "fresh":
+        bad = "0"
+        if kind == "exists":
+            obs, ok = "1.0", "true"
+        elif kind in ("not_null", "between", "in_set"):
+            cond = {"not_null": lambda: f"{col} IS NULL",
+                    "between": lambda: f"{col} IS NOT NULL AND NOT (CAST({col} AS DOUBLE) BETWEEN {D(more[0])} AND {D(more[1])})",
+                    "in_set": lambda: f"{col} IS NOT NULL AND {col} NOT IN ({more[0]})"}[kind]()
+            bad = f"count(*) FILTER (WHERE {cond})"
+            obs, ok = f"CAST({bad} AS DOUBLE)", f"{bad} = 0"
+        elif kind == "fresh":
             obs = f"CAST(date_diff('day', max(CAST({col} AS DATE)), DATE '2002-01-01') AS DOUBLE)"
-            bad, ok = "0", f"coalesce(({obs}) <= {c.days}, false)"
-        src = "" if c.kind == "exists" else " FROM stg"
+            ok = f"coalesce(({obs}) <= {more[0]}, false)"
+        else:
+            obs = {"row_count": lambda: "CAST(count(*) AS DOUBLE)",
+                   "mean_between": lambda: f"avg(CAST({col} AS DOUBLE))",
+                   "share_between": lambda: f"coalesce(count(*) FILTER (WHERE {col} = '{more[2]}') / count({col}), 0.0)"}[kind]()
+            ok = f"coalesce(({obs}) BETWEEN {D(more[0])} AND {D(more[1])}, false)"
+        src = "" if kind == "exists" else " FROM stg"
         parts.append(f"SELECT {i} AS check_id, '{name}' AS \"check\", {tgt} AS target, {r6(obs)} AS observed, "
                      f"{ok} AS passed, CAST({bad} AS BIGINT) AS unexpected_count{src}")
     return "\nUNION ALL ".join(parts)
@@ -446,20 +458,31 @@ SELECT count(*) AS total, count(*) FILTER (WHERE passed) AS passed,
 FROM s"""
 
 
+# The 12 model tests, written out (fixed values): model, column, accepted values (none: not null).
+_MODEL_TESTS = [
+    ("stg_loan_risk_scores", "risk_score", None),
+    ("stg_loan_risk_scores", "risk_tier", None),
+    ("stg_loan_risk_scores", "risk_tier", "'LOW', 'MEDIUM', 'HIGH', 'CRITICAL'"),
+    ("stg_loan_risk_scores", "loan_amount", None),
+    ("mart_risk_summary", "risk_tier", None),
+    ("mart_risk_summary", "risk_tier", "'LOW', 'MEDIUM', 'HIGH', 'CRITICAL'"),
+    ("mart_high_risk_loans", "risk_score", None),
+    ("mart_high_risk_loans", "risk_tier", None),
+    ("mart_high_risk_loans", "risk_tier", "'CRITICAL', 'HIGH'"),
+    ("mart_high_risk_loans", "loan_amount", None),
+    ("mart_daily_risk_trend", "risk_tier", None),
+    ("mart_daily_risk_trend", "risk_tier", "'LOW', 'MEDIUM', 'HIGH', 'CRITICAL'")]
+
+
 def _model_sql() -> str:
-    from ..operators.quality import MODEL_TESTS
     rels = {"stg_loan_risk_scores": "stg",
             "mart_risk_summary": "(SELECT risk_tier, count(*) AS loan_count FROM stg GROUP BY risk_tier)",
             "mart_high_risk_loans": "(SELECT * FROM stg WHERE risk_tier IN ('CRITICAL', 'HIGH'))",
             "mart_daily_risk_trend": "(SELECT processing_date, risk_tier, count(*) AS n FROM stg GROUP BY 1, 2)"}
-    parts = []
-    for model, specs in MODEL_TESTS.items():
-        for col, test, values in specs:
-            cond = (f"{col} IS NULL" if test == "not_null" else
-                    f"{col} IS NOT NULL AND {col} NOT IN ({', '.join(repr(v) for v in values)})")
-            parts.append(f"SELECT '{model}' AS model, '{col}' AS \"column\", '{test}' AS test, "
-                         f"count(*) FILTER (WHERE {cond}) AS failures FROM {rels[model]} m")
-    return "\nUNION ALL ".join(parts)
+    return "\nUNION ALL ".join(
+        f"SELECT '{model}' AS model, '{col}' AS \"column\", '{'accepted_values' if accepted else 'not_null'}' AS test, "
+        f"count(*) FILTER (WHERE {f'{col} IS NOT NULL AND {col} NOT IN ({accepted})' if accepted else f'{col} IS NULL'}) "
+        f"AS failures FROM {rels[model]} m" for model, col, accepted in _MODEL_TESTS)
 
 
 SQL["model_tests"] = BASE + ", t AS (" + _model_sql() + """)
@@ -549,10 +572,117 @@ SELECT risk_tier, count(*) AS loan_count, {r6('avg(risk_score)')} AS avg_risk_sc
 
 SQL["stream_quality_watch"] = SQL["quality_suite"]
 
-SQL["stream_landing_to_lake"] = SQL["stream_tier_counts"]
+SQL["stream_landing_to_lake"] = BASE + """
+SELECT 'tier:' || risk_tier AS what, count(*) AS records FROM gold GROUP BY risk_tier
+UNION ALL SELECT 'topic:loan-applications', count(*) FROM lineitem
+UNION ALL SELECT 'topic:mortgage-rates', count(*) FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 'topic:_quarantine', count(*) FROM events WHERE event_type = 'error' HAVING count(*) > 0"""
+
+SQL["stream_bridge_sink"] = with_(RAW_LOANS) + """
+, sent AS (
+  SELECT 'loan-applications' AS topic, loan_id AS key, TRY_CAST(loan_amount AS DOUBLE) AS v FROM raw_loans
+  UNION ALL
+  SELECT 'mortgage-rates', CASE WHEN event_type = 'signup' THEN 'mortgage-rates' ELSE CAST(event_id AS VARCHAR) END, value
+  FROM events WHERE event_type <> 'error'),
+bad AS (SELECT count(*) AS failed FROM events WHERE event_type = 'error')
+SELECT topic, count(*) AS sent, count(DISTINCT key) AS distinct_keys, min(key) AS first_key, count(*) AS tagged,
+       count(*) AS stamped, round(sum(v), 2) AS payload_sum,
+       CASE WHEN topic = 'mortgage-rates' THEN (SELECT failed FROM bad) ELSE 0 END AS failed,
+       (SELECT count(*) FROM sent) AS counted_sent, (SELECT failed FROM bad) AS counted_failed
+FROM sent GROUP BY topic"""
+
+SQL["county_from_arrays"] = SQL["county_lookup"]
+
+SQL["macro_from_files"] = SQL["macro_snapshots"]
+
+SQL["rates_from_files"] = SQL["rate_bps"]
+
+SQL["layer_report"] = BASE + """
+, w AS (SELECT count(*) AS cnt, count(*) FILTER (WHERE risk_score IS NULL) AS null_cnt,
+               count(*) FILTER (WHERE risk_tier NOT IN ('LOW', 'MEDIUM', 'HIGH', 'CRITICAL')) AS odd_cnt,
+               max(processing_date) AS max_date FROM stg),
+e AS (SELECT list_filter([
+        CASE WHEN cnt <= 100000 THEN printf('Row count %d is not > %d', cnt, 100000) END,
+        CASE WHEN null_cnt > 0 THEN printf('Found %d records with NULL risk_score', null_cnt) END,
+        CASE WHEN odd_cnt > 0 THEN printf('Found %d records with invalid risk_tier', odd_cnt) END,
+        CASE WHEN max_date IS NULL OR max_date <> DATE '2002-01-01' THEN
+          printf('Max processing_date %s != %s', coalesce(CAST(max_date AS VARCHAR), 'None'), '2002-01-01') END],
+        lambda x: x IS NOT NULL) AS errs FROM w),
+r AS (
+  SELECT '2002-01-01' AS date,
+    (SELECT CASE WHEN count(*) = 0 THEN 'FAIL: no rows' ELSE 'PASS' END FROM raw_loans) AS raw_check,
+    (SELECT CASE WHEN count(*) = 0 THEN 'FAIL: no rows' ELSE 'PASS' END FROM silver) AS silver_check,
+    (SELECT CASE WHEN count(*) = 0 THEN 'FAIL: no rows' ELSE 'PASS' END FROM gold) AS gold_check,
+    (SELECT CASE WHEN len(errs) = 0 THEN 'PASS' ELSE 'FAIL: ' || array_to_string(errs, ', ') END FROM e) AS warehouse_check),
+n AS (SELECT array_to_string(list_filter([
+        CASE WHEN contains(raw_check, 'FAIL') THEN 'raw_check' END, CASE WHEN contains(silver_check, 'FAIL') THEN 'silver_check' END,
+        CASE WHEN contains(gold_check, 'FAIL') THEN 'gold_check' END,
+        CASE WHEN contains(warehouse_check, 'FAIL') THEN 'warehouse_check' END], lambda x: x IS NOT NULL), ', ') AS checks FROM r)
+SELECT r.*, CASE WHEN checks = '' THEN '' ELSE 'Data Quality Alert! Failed checks: ' || checks END AS alert FROM r, n"""
+
+SQL["lake_round_trip"] = BASE + """
+SELECT 'silver' AS leg, strftime(processing_date, '%Y-%m') AS part, count(*) AS "rows" FROM silver GROUP BY 2
+UNION ALL SELECT 'one_day', '1995-06-17', count(*) FROM silver WHERE processing_date = DATE '1995-06-17'
+UNION ALL SELECT 'gold', state, count(*) FROM gold GROUP BY state
+UNION ALL SELECT leg, risk_tier, count(*) FROM gold,
+  (VALUES ('lookup_parquet'), ('lookup_csv'), ('report')) legs(leg) GROUP BY leg, risk_tier"""
+
+_SEGMENT = """
+, seg AS (SELECT * FROM stg WHERE state IN ('VA', 'MD')
+  AND CAST(loan_amount AS DOUBLE) BETWEEN CAST(10000.0 AS DOUBLE) AND CAST(60000.0 AS DOUBLE))"""
+
+SQL["segment_tiers"] = BASE + _SEGMENT + f"""
+, c AS (SELECT risk_tier, count(*) AS loan_count FROM seg GROUP BY risk_tier)
+SELECT risk_tier, loan_count, {r6('loan_count / sum(loan_count) OVER ()')} AS share FROM c"""
+
+SQL["segment_corr"] = BASE + _SEGMENT + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, {r6(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))')} AS corr FROM seg"
+    for a in _CORR for b in _CORR)
+
+SQL["segment_describe"] = BASE + _SEGMENT + ", long AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS metric, CAST({c} AS DOUBLE) AS v FROM seg" for c in _DESC) + f""")
+SELECT metric, count(v) AS count, {r6('avg(v)')} AS mean, {r6('stddev_samp(v)')} AS std,
+       {r6('min(v)')} AS min, {r6('quantile_cont(v, 0.25)')} AS q25, {r6('quantile_cont(v, 0.5)')} AS q50,
+       {r6('quantile_cont(v, 0.75)')} AS q75, {r6('max(v)')} AS max
+FROM long GROUP BY metric"""
+
+SQL["loan_drilldown"] = BASE + f"""
+, one AS (SELECT * FROM stg WHERE loan_id = (SELECT min(loan_id) FROM stg)),
+i AS (
+  SELECT loan_id, 'LTV' AS item, CAST(ltv AS DOUBLE) / CAST(100.0 AS DOUBLE) * CAST(0.3 AS DOUBLE) AS v FROM one
+  UNION ALL SELECT loan_id, 'DTI', dti / CAST(65.0 AS DOUBLE) * CAST(0.25 AS DOUBLE) FROM one
+  UNION ALL SELECT loan_id, 'Int Rate', CAST(interest_rate AS DOUBLE) / CAST(10.0 AS DOUBLE) * CAST(0.25 AS DOUBLE) FROM one
+  UNION ALL SELECT loan_id, 'Macro Stress', CAST(0.12 AS DOUBLE) FROM one
+  UNION ALL SELECT loan_id, 'LTV ' || CAST(CAST(x AS INTEGER) AS VARCHAR),
+    CAST(x AS DOUBLE) / CAST(100.0 AS DOUBLE) * CAST(0.3 AS DOUBLE) + dti / CAST(65.0 AS DOUBLE) * CAST(0.25 AS DOUBLE)
+    + CAST(interest_rate AS DOUBLE) / CAST(10.0 AS DOUBLE) * CAST(0.25 AS DOUBLE) + CAST(0.12 AS DOUBLE)
+  FROM one, (VALUES (60.0), (80.0), (95.0)) s(x))
+SELECT loan_id, item, {r6('v')} AS value FROM i"""
+
+SQL["topic_volume"] = """
+WITH o AS (SELECT event_type AS topic, user_id % 8 AS part, max(event_id) + 1 AS n FROM events
+           WHERE event_type IN ('click', 'view', 'signup') GROUP BY 1, 2)
+SELECT topic, CAST(sum(n) AS BIGINT) AS messages FROM o GROUP BY topic"""
+
+SQL["ordered_marts"] = BASE + """
+SELECT 'summary' AS mart, risk_tier AS item, row_number() OVER (ORDER BY a DESC, risk_tier) AS place
+FROM (SELECT risk_tier, avg(risk_score) AS a FROM stg GROUP BY 1)
+UNION ALL
+SELECT 'tiers', risk_tier, row_number() OVER (ORDER BY n DESC, risk_tier) FROM (SELECT risk_tier, count(*) AS n FROM stg GROUP BY 1)
+UNION ALL
+SELECT 'trend', CAST(processing_date AS VARCHAR) || ' ' || risk_tier, row_number() OVER (ORDER BY processing_date, risk_tier)
+FROM (SELECT DISTINCT processing_date, risk_tier FROM stg)"""
+
+SQL["state_union"] = with_(RAW_LOANS) + """
+SELECT state, loan_type, count(*) AS loan_count FROM raw_loans GROUP BY 1, 2"""
+
+SQL["hourly_faked_previous"] = _canonical(BASE + """
+, c AS (SELECT date_trunc('hour', CAST(ingestion_timestamp AS TIMESTAMP)) AS hour, count(*) AS current_count
+        FROM stg WHERE risk_tier = 'CRITICAL' GROUP BY 1)
+SELECT hour, current_count, CASE WHEN current_count > 5 THEN current_count - 5 ELSE 0 END AS previous_count FROM c""", [], ["hour"])
 
 
-SQL["tests_policy_scores"] = with_(RAW_LOANS, SILVER, _VALID, _gold_cte("tp", TESTS, "valid")) + f"""
+SQL["tests_policy_scores"] = with_(RAW_LOANS, SILVER, _VALID, _TESTS_CTE) + f"""
 SELECT loan_id, {r6('risk_score')} AS risk_score, risk_tier,
        CASE risk_tier WHEN 'CRITICAL' THEN 'Immediate rejection recommended.'
                       WHEN 'HIGH' THEN 'Requires senior underwriter review.'

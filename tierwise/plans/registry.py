@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import analytics, ingest, marts, quality, scenarios
+from ..operators import analytics, ingest, lake, marts, quality, scenarios
 from ..policies import API
 from ..session import scratch_path
 from ..sources import files as file_sources
@@ -200,7 +200,7 @@ def q_exposure_by_tier(spark, sf_dir):
 
 @register("rate_bps")
 def q_rate_bps(spark, sf_dir):
-    r = ingest.rate_changes(testmap.rate_observations(spark, sf_dir), order_col="ts", chunk="day")
+    r = ingest.rate_changes(testmap.rate_observations(spark, sf_dir), order_col="ts")
     return r.select("series_id", "ts", "value", r6("rate_change_bps").alias("rate_change_bps"))
 
 
@@ -249,8 +249,7 @@ def q_refreshed_scores(spark, sf_dir):
 
 @register("refresh_report")
 def q_refresh_report(spark, sf_dir):
-    g = views.gold(spark, sf_dir)
-    return scenarios.refresh_report(g, scenarios.refresh_scores(g))
+    return scenarios.refresh_preview(views.gold(spark, sf_dir))
 
 
 @register("continuous_scores")
@@ -279,11 +278,7 @@ def q_rate_hike(spark, sf_dir):
 
 @register("critical_count")
 def q_critical_count(spark, sf_dir):
-    g = views.stg(spark, sf_dir)
-    # as_of = the latest processing date in the data (instead of "today"), a scalar subquery
-    latest = g.agg(F.max("processing_date")).scalar()
-    return g.agg(F.count_if((F.col("risk_tier") == "CRITICAL")
-                            & (F.col("processing_date") == latest)).alias("critical_count"))
+    return scenarios.critical_count(views.stg(spark, sf_dir))
 
 
 @register("hourly_alerts")
@@ -309,16 +304,9 @@ def q_quality_summary(spark, sf_dir):
     return quality.summarize(r)
 
 
-def _models(spark, sf_dir):
-    stg = views.stg(spark, sf_dir)
-    return {"stg_loan_risk_scores": stg, "mart_risk_summary": marts.mart_risk_summary(stg),
-            "mart_high_risk_loans": marts.mart_high_risk_loans(stg),
-            "mart_daily_risk_trend": marts.mart_daily_risk_trend(stg)}
-
-
 @register("model_tests")
 def q_model_tests(spark, sf_dir):
-    return quality.model_tests(_models(spark, sf_dir))
+    return quality.model_tests_of_staging(views.stg(spark, sf_dir))
 
 
 @register("warehouse_check")
@@ -338,12 +326,15 @@ def q_file_checks(spark, sf_dir):
 
 @register("layer_report")
 def q_layer_report(spark, sf_dir):
-    """Q16/Q17: file checks + warehouse check -> one report row + alert text."""
-    fc = q_file_checks(spark, sf_dir).select("layer", "status")
-    wh = quality.check_table(views.stg(spark, sf_dir), as_of=views.AS_OF_DATE).select(
-        F.lit("warehouse_check").alias("layer"), "status")
-    rep = quality.layer_report(fc.unionByName(wh), date=views.AS_OF_DATE)
-    alert = quality.quality_alerts(rep).agg(F.max("message")).scalar()
+    """Q13-Q17 + F16: checks on the rows of every layer -> one report row + alert text."""
+    layers = [quality.check_rows(views.raw(spark, sf_dir), "raw_check"),
+              quality.check_rows(views.silver(spark, sf_dir), "silver_check"),
+              quality.check_rows(views.gold(spark, sf_dir), "gold_check"),
+              quality.check_table(views.stg(spark, sf_dir), as_of=views.AS_OF_DATE)
+              .select(F.lit("warehouse_check").alias("layer"), "status")]
+    statuses = file_sources.union_all([x.select("layer", "status") for x in layers])
+    rep = quality.layer_report(statuses, date=views.AS_OF_DATE)
+    alert = quality.quality_alerts(rep).select("message").scalar()
     return rep.withColumn("alert", F.coalesce(alert, F.lit("")))
 
 
@@ -386,7 +377,6 @@ def q_catalog_sql(spark, sf_dir):
     """K2 + K10 + K11: gold written for one run date to the shared folder,
     registered as a partitioned table (schema from the files, partitions
     recovered), then answered with SQL over the catalog."""
-    from ..operators import lake
     path = scratch_path(spark, "gold-catalog")
     raw = testmap.raw_loans(spark, sf_dir).drop("landed_date")
     lake.write_gold(lake.score(lake.clean_raw(raw, as_of=views.AS_OF_DATE)), path, one_day=True)
@@ -404,3 +394,164 @@ def q_tests_policy_scores(spark, sf_dir):
     valid, _ = scenarios.validate_input(views.silver(spark, sf_dir))
     s = scenarios.score_loans(valid, TESTS, scored_at=views.AS_OF_TS, texts=RECOMMENDATIONS_SHORT)
     return s.select("loan_id", r6("risk_score").alias("risk_score"), "risk_tier", "recommendation")
+
+
+# ------------------------------------------------------------ landed files, lake round trip, segments
+
+
+@register("county_from_arrays")
+def q_county_from_arrays(spark, sf_dir):
+    """S4 -> county dimension: census rows landed as header-row JSON arrays, one per block of 1000 keys."""
+    names = ["NAME", "B25077_001E", "B19013_001E", "B25003_002E", "state", "county"]
+    rows = testmap.census_rows(spark, sf_dir)
+    block = F.floor(F.col("county").cast("long") / F.lit(1000))
+    arrays = rows.groupBy(block.alias("block")).agg(F.collect_list(F.array(*names)).alias("rows"))
+    path = scratch_path(spark, "census-arrays")
+    header = F.array(F.array(*[F.lit(n) for n in names]))
+    arrays.select(F.to_json(F.concat(header, "rows")).alias("value")).write.mode("overwrite").text(path)
+    back = file_sources.census_fields(file_sources.read_census_json(spark, path, lines=True), names)
+    c = ingest.county_lookup(back)
+    return c.select("county_fips", "county_name", *[r6(x).alias(x) for x in
+                    ("median_home_value", "median_income", "owner_occupied_units")],
+                    "state_code", r6("county_risk_index").alias("county_risk_index"))
+
+
+@register("macro_from_files")
+def q_macro_from_files(spark, sf_dir):
+    """S5 -> J1: indicators landed as {"data": [{date, value}]} payloads, one per indicator and day, with the
+    missing marker beside the values."""
+    obs = testmap.indicator_observations(spark, sf_dir)
+    one = F.struct("seq", "date", F.col("value").cast("string").alias("value"))
+    days = obs.groupBy("indicator", F.substring("date", 1, 10).alias("day")).agg(F.array_sort(F.collect_list(one)).alias("d"))
+    data = F.transform("d", lambda x: F.struct(x["date"].alias("date"), x["value"].alias("value")))
+    missing = F.array(F.struct(F.concat("day", F.lit(" 00:00:00")).alias("date"), F.lit(".").alias("value")))
+    path = scratch_path(spark, "indicators")
+    days.select("indicator", F.to_json(F.struct(F.concat(data, missing).alias("data"))).alias("value")) \
+        .write.mode("overwrite").partitionBy("indicator").text(path)
+    m = ingest.macro_snapshots(file_sources.read_indicator_json(spark, path, lines=True))
+    return m.select("date", *[r6(c).alias(c) for c in
+                              ("fed_funds_rate", "treasury_yield_10yr", "unemployment_rate", "cpi",
+                               "macro_stress_index")])
+
+
+@register("rates_from_files")
+def q_rates_from_files(spark, sf_dir):
+    """S6 -> W1: rate series landed as CSV text, a missing marker after every error, read and diffed."""
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    obs = testmap.rate_observations(spark, sf_dir)
+    value = F.when(F.col("series_id") == "error", F.array(F.col("value").cast("string"), F.lit("."))).otherwise(
+        F.array(F.col("value").cast("string")))
+    path = scratch_path(spark, "rates-csv")
+    obs.select("series_id", stamp.alias("date"), F.explode(value).alias("value")) \
+        .write.mode("overwrite").option("header", True).csv(path)
+    rates = file_sources.read_rates(spark, path).withColumn("label", F.col("series_id"))
+    r = ingest.rate_changes(rates, "date")
+    return r.select("series_id", F.col("date").alias("ts"), "value", r6("rate_change_bps").alias("rate_change_bps"))
+
+
+@register("lake_round_trip")
+def q_lake_round_trip(spark, sf_dir):
+    """K1 + P4 + S2 + K13 + K9 + K7 + K3 + K12: silver written by day and read back, compacted, one day read by
+    partition; gold loaded into a table; a lookup in both formats; a report."""
+    root = scratch_path(spark, "lake")
+    lake.write_silver(views.silver(spark, sf_dir), f"{root}/silver")
+    silver = lake.compact(spark, f"{root}/silver", f"{root}/compact")
+    lake.write_gold(lake.score(lake.read_silver_path(spark, f"{root}/compact")), f"{root}/gold")
+    gold = lake.load_gold(spark, f"{root}/gold", "gold_" + root.rsplit("-", 1)[-1])
+    tiers = lake.materialize(gold.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("rows")), "tiers_" + root.rsplit("-", 1)[-1],
+                             "table", f"{root}/tiers")
+    lake.write_lookup(tiers, f"{root}/lookup")
+    lake.write_report(tiers, f"{root}/report")
+    one_day = file_sources.read_silver(spark, f"{root}/silver", day="1995-06-17")
+    legs = {
+        "silver": silver.groupBy(F.concat_ws("-", "year", "month").alias("part")).agg(F.count(F.lit(1)).alias("rows")),
+        "one_day": one_day.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("1995-06-17").alias("part"), "rows"),
+        "gold": gold.groupBy(F.col("state").alias("part")).agg(F.count(F.lit(1)).alias("rows")),
+        "lookup_parquet": spark.read.parquet(f"{root}/lookup/parquet").select(F.col("risk_tier").alias("part"), "rows"),
+        "lookup_csv": spark.read.option("header", True).schema("risk_tier string, rows long").csv(f"{root}/lookup/csv")
+        .select(F.col("risk_tier").alias("part"), "rows"),
+        "report": spark.read.schema("risk_tier string, rows long").json(f"{root}/report")
+        .select(F.col("risk_tier").alias("part"), "rows"),
+    }
+    return file_sources.union_all([x.select(F.lit(k).alias("leg"), "part", "rows") for k, x in legs.items()])
+
+
+def _segment(spark, sf_dir):
+    return analytics.segment(views.stg(spark, sf_dir), SEGMENT_STATES, SEGMENT_AMOUNT)
+
+
+@register("segment_tiers")
+def q_segment_tiers(spark, sf_dir):
+    """F9 then A5/A6: the distribution within a segment."""
+    t = analytics.tier_distribution(_segment(spark, sf_dir))
+    return t.select("risk_tier", "loan_count", r6("share").alias("share"))
+
+
+@register("segment_corr")
+def q_segment_corr(spark, sf_dir):
+    """F9 then A10."""
+    return analytics.corr_matrix(_segment(spark, sf_dir)).select("a", "b", r6("corr").alias("corr"))
+
+
+@register("segment_describe")
+def q_segment_describe(spark, sf_dir):
+    """F9 then A9."""
+    d = analytics.describe_stats(_segment(spark, sf_dir))
+    return d.select(F.col("column").alias("metric"), "count",
+                    *[r6(c).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
+
+
+@register("loan_drilldown")
+def q_loan_drilldown(spark, sf_dir):
+    """F17 then M15 and M16: the first loan in order of its key, its factors and a sweep of what-ifs."""
+    stg = views.stg(spark, sf_dir)
+    loan = marts.loan_by_id(stg, stg.agg(F.min("loan_id")).scalar())
+    parts = scenarios.factor_contributions(loan).select("loan_id", F.col("factor").alias("item"), F.col("impact").alias("value"))
+    sweep = scenarios.what_if_sweep(loan, WHAT_IF_SWEEP).select(
+        "loan_id", F.concat(F.lit("LTV "), F.col("scenario_ltv").cast("int")).alias("item"), F.col("new_score").alias("value"))
+    return file_sources.union_all([parts, sweep]).select("loan_id", "item", r6("value").alias("value"))
+
+
+@register("topic_volume")
+def q_topic_volume(spark, sf_dir):
+    """A22 + F14 + F15: messages by topic from the offsets of its partitions; internal topics are skipped and the
+    names matched. Topics are the event types, one of them internal; partitions follow the user."""
+    from ..streaming import bridge
+    ev = testmap.table(spark, sf_dir, "events")
+    topic = F.when(F.col("event_type") == "error", "_error").otherwise(F.col("event_type"))
+    offsets = ev.select(topic.alias("topic"), (F.col("user_id") % 8).cast("int").alias("partition"),
+                        F.col("event_id").cast("long").alias("offset"))
+    return bridge.topic_volume(bridge.match(offsets, "topic", "(click|view|signup|_error)"))
+
+
+@register("ordered_marts")
+def q_ordered_marts(spark, sf_dir):
+    """The marts in their order, with the place in it."""
+    from pyspark.sql import Window
+    stg = views.stg(spark, sf_dir)
+    summary = marts.ordered(marts.mart_risk_summary(stg), [F.desc("avg_risk_score"), "risk_tier"])
+    s = summary.select(F.lit("summary").alias("mart"), F.col("risk_tier").alias("item"),
+                       F.row_number().over(Window.orderBy(F.desc("avg_risk_score"), "risk_tier")).alias("place"))
+    t = analytics.tier_distribution(stg).select(
+        F.lit("tiers").alias("mart"), F.col("risk_tier").alias("item"),
+        F.row_number().over(Window.orderBy(F.desc("loan_count"), "risk_tier")).alias("place"))
+    days = marts.mart_daily_risk_trend(stg)
+    d = marts.ordered(days, ["processing_date", "risk_tier"]).select(
+        F.lit("trend").alias("mart"), F.concat_ws(" ", F.col("processing_date").cast("string"), "risk_tier").alias("item"),
+        F.row_number().over(Window.orderBy("processing_date", "risk_tier")).alias("place"))
+    return file_sources.union_all([s, t, d])
+
+
+@register("state_union")
+def q_state_union(spark, sf_dir):
+    """The loans of each state appended by column name, then counted."""
+    raw = testmap.raw_loans(spark, sf_dir)
+    parts = [raw.where(F.col("state") == x) for x in ("VA", "MD", "DC")]
+    return file_sources.union_all(parts).groupBy("state", "loan_type").agg(F.count(F.lit(1)).alias("loan_count"))
+
+
+@register("hourly_faked_previous")
+def q_hourly_faked_previous(spark, sf_dir):
+    """W3 under the reference's stand-in rule."""
+    c = scenarios.hourly_counts(views.stg(spark, sf_dir), "ingestion_timestamp")
+    return c.select("hour", "current_count", scenarios.faked_previous("current_count").alias("previous_count"))

@@ -44,8 +44,9 @@ def build(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tie
 def shared_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set (a local test session) do we create one and set it.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). When
+    neither is set, a session on a local master gets one of our own; on a
+    cluster that is an error.
     """
     try:
         sc = spark.sparkContext
@@ -55,6 +56,9 @@ def shared_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir().rstrip("/")
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            # a machine-local folder is no shared one: executors couldn't read each other's files
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tierwise-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)

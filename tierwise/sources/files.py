@@ -5,11 +5,12 @@ Every reader declares its schema; nothing is inferred from data.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import INDICATOR_JSON, LOAN_CSV_FIELDS, OBSERVATION_START, RAW_LOAN
+from ..schemas import INDICATOR_JSON, OBSERVATION_START, RAW_LOAN
 
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType = RAW_LOAN) -> DataFrame:
@@ -35,38 +36,43 @@ def read_loans_csv(spark: SparkSession, path: str) -> DataFrame:
             .option("inferSchema", False).csv(path))
 
 
-def read_census_json(spark: SparkSession, path: str) -> DataFrame:
+def read_census_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Header-row JSON array (``[[h1,h2..],[v1,v2..],..]``) -> rows.
 
-    Each file is one array; the first inner array names the columns. Bad or
-    empty bodies yield no rows. Files are read whole (one file per task), the
-    arrays are exploded with their position, and the header is zipped onto
-    each data row with ``map_from_arrays`` — all JVM-side.
+    Each payload is one array; its first inner array names the columns. A
+    payload is a whole file, or with ``lines`` one line of a file (the form for
+    large landings: bounded payloads, files that split). Bad or empty payloads
+    yield no rows; a short row has nulls, what is beyond the header is ignored.
     """
-    txt = spark.read.option("wholetext", True).text(path)
-    arr = F.try_parse_json(F.col("value"))
+    txt = spark.read.text(path) if lines else spark.read.option("wholetext", True).text(path)
     parsed = txt.select(F.input_file_name().alias("_file"),
-                        F.try_variant_get(arr, "$", "array<array<string>>").alias("a"))
-    parsed = parsed.where(F.col("a").isNotNull() & (F.size("a") > 1))
-    rows = parsed.select("_file", F.col("a")[0].alias("header"),
-                         F.posexplode(F.slice("a", 2, 1 << 30)).alias("pos", "r"))
-    return rows.select("_file", "pos", F.map_from_arrays("header", "r").alias("fields"))
+                        F.from_json("value", "array<array<string>>", {"mode": "PERMISSIVE"}).alias("a"))
+    rows = parsed.where(F.size("a") > 1).select(
+        "_file", F.col("a")[0].alias("header"), F.posexplode(F.slice("a", 2, F.size("a") - 1)).alias("pos", "r"))
+    cells = F.transform("header", lambda h, i: F.struct(h.alias("key"), F.get("r", i).alias("value")))
+    return rows.select("_file", "pos", F.map_from_entries(cells).alias("fields"))
 
 
 def census_fields(rows: DataFrame, names: list[str]) -> DataFrame:
     """Pick named fields out of ``read_census_json`` output."""
-    return rows.select(*[F.col("fields")[n].alias(n) for n in names])
+    return rows.select(*[F.try_element_at("fields", F.lit(n)).alias(n) for n in names])
 
 
-def read_indicator_json(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
-    """``{"data":[{date,value},..]}`` per indicator file -> long rows.
+def read_indicator_json(spark: SparkSession, path: str, key: str | None = None, lines: bool = False) -> DataFrame:
+    """``{"data":[{date,value},..]}`` payloads -> (indicator, date, value, seq), value as text.
 
-    ``key`` names the indicator; by default it is the file's base name.
+    A payload is a whole file, or with ``lines`` one line. ``key`` names the
+    indicator; by default it is a partition column ``indicator`` or else the
+    file's base name. seq is the place in the payload: of one date the later
+    observation counts.
     """
-    df = spark.read.schema(INDICATOR_JSON).option("multiLine", True).json(path)
-    name = F.lit(key) if key else F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.json)?$", 1)
-    return df.select(name.alias("indicator"), F.explode("data").alias("d")).select(
-        "indicator", F.col("d.date").alias("date"), F.col("d.value").alias("value"))
+    by_folder = key is None and "indicator" in spark.read.text(path).columns
+    schema = T.StructType([*INDICATOR_JSON.fields, *([T.StructField("indicator", T.StringType())] if by_folder else [])])
+    df = spark.read.schema(schema).option("multiLine", not lines).json(path)
+    name = (F.lit(key) if key else F.col("indicator") if by_folder
+            else F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.json)?$", 1))
+    return df.select(name.alias("indicator"), F.posexplode("data").alias("seq", "d")).select(
+        "indicator", F.col("d.date").alias("date"), F.col("d.value").alias("value"), F.col("seq").cast("long").alias("seq"))
 
 
 def read_rates(spark: SparkSession, path: str, start: str = OBSERVATION_START) -> DataFrame:
@@ -78,7 +84,7 @@ def read_rates(spark: SparkSession, path: str, start: str = OBSERVATION_START) -
 
 def list_files(spark: SparkSession, path: str, glob: str | None = None,
                recursive: bool = True) -> DataFrame:
-    """(path, length, modificationTime) of every file under ``path``.
+    """(path, length, modificationTime) of every file under ``path``; a path that isn't there has none.
 
     Uses the binaryFile source but never selects ``content``, so no file body
     is read — the listing is distributed by Spark's file index.
@@ -86,7 +92,12 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None,
     r = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.load(path).select("path", "length", "modificationTime")
+    try:
+        return r.load(path).select("path", "length", "modificationTime")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.sql("SELECT '' AS path, 0L AS length, current_timestamp() AS modificationTime WHERE false")
 
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:
@@ -97,13 +108,6 @@ def union_all(dfs: list[DataFrame]) -> DataFrame:
     return out
 
 
-union_states = union_all
-
-
-def loan_csv_columns() -> list[str]:
-    return list(LOAN_CSV_FIELDS)
-
-
 def table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table or view by name (``source``/``ref``)."""
     return spark.table(name)

@@ -40,14 +40,31 @@ def _landed_ts():
                               mins=F.col("l_linenumber").cast("int")))
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str, max_bytes: int = 1 << 30) -> DataFrame:
+    """One supplied table as a file stream; micro-batches are sized by bytes."""
+    reader = (spark.readStream.schema(table(spark, sf_dir, name).schema)
+              .option("maxBytesPerTrigger", str(max_bytes)))
+    root = sf_dir.rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}.parquet")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getFileStatus(path).isDirectory():
+        return reader.parquet(f"{root}/{name}.parquet")
+    # a file stream reads folders: a table of one file is picked out of its folder
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(root)
+
+
 def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw loan events (all text) derived from ``lineitem``.
+    """Raw loan events of the supplied ``lineitem``."""
+    return loans_of(table(spark, sf_dir, "lineitem"))
+
+
+def loans_of(li: DataFrame) -> DataFrame:
+    """Raw loan events (all text) derived from ``lineitem`` rows, batch or stream.
 
     ``landed_date`` stands in for the day the record landed (the reference
     stamps the run date; here it is the ship date, so the daily marts have
     many days).
     """
-    li = table(spark, sf_dir, "lineitem")
     pk, ok, sk, ln = F.col("l_partkey"), F.col("l_orderkey"), F.col("l_suppkey"), F.col("l_linenumber")
     return li.select(
         F.concat_ws("-", _s(ok), _s(ln), _s(pk), _s(sk)).alias("loan_id"),
@@ -78,8 +95,12 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rate_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long-form rate observations from ``events``: one series per event type."""
-    ev = table(spark, sf_dir, "events")
+    """Long-form rate observations of the supplied ``events``."""
+    return rates_of(table(spark, sf_dir, "events"))
+
+
+def rates_of(ev: DataFrame) -> DataFrame:
+    """Long-form rate observations from ``events`` rows: one series per event type."""
     return ev.select(
         F.col("event_type").alias("series_id"),
         F.col("event_type").alias("label"),

@@ -7,13 +7,15 @@ checkpoint. Bad JSON is quarantined instead of stopping the stream.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import TOPICS
 
 BRIDGE_GROUP = "tierwise-bridge"
+# fixed values: the two fields that the bridge sets
+META = ("_source_topic", "_bridge_ts")
 
 
 def read_topics(spark: SparkSession, topics=TOPICS, bootstrap: str = "localhost:9092",
@@ -45,29 +47,47 @@ def bridge_transform(records: DataFrame, now: Column | None = None) -> DataFrame
     """(topic, value[, partition, offset]) -> keyed, tagged JSON records.
 
     * empty message -> ``{}``; non-object JSON -> ``{"data": <payload>}``;
-    * ``_source_topic`` and ``_bridge_ts`` (epoch seconds) are appended;
+    * ``_source_topic`` and ``_bridge_ts`` (epoch seconds) are set, replacing any
+      that the payload has; of a repeated key the last value stays;
     * key = loan_id, else id, else the topic name;
     * ``ok`` is false for unparseable payloads (quarantined by the sink).
+
+    An object is parsed into a map of variants and written anew: its text is
+    never cut or spliced, so line breaks and nesting don't matter.
     """
-    v = F.trim(F.col("value").cast("string"))
-    parsed = F.try_parse_json(v)
-    empty = v.isNull() | (v == "")
-    ok = empty | parsed.isNotNull()
-    is_obj = v.startswith("{") & parsed.isNotNull()
-    ts = now if now is not None else F.unix_timestamp()
-    meta = F.regexp_extract(F.to_json(F.struct(F.col("topic").alias("_source_topic"),
-                                               ts.cast("long").alias("_bridge_ts"))), r"^\{(.*)\}$", 1)
-    inner = F.trim(F.regexp_extract(v, r"^\{(.*)\}$", 1))
-    body = (F.when(empty, F.concat(F.lit("{"), meta, F.lit("}")))
-             .when(is_obj, F.concat(F.lit("{"), inner, F.when(inner == "", F.lit("")).otherwise(F.lit(",")),
-                                    meta, F.lit("}")))
-             .when(ok, F.concat(F.lit('{"data":'), v, F.lit(","), meta, F.lit("}"))))
-    key = F.coalesce(F.get_json_object(v, "$.loan_id"), F.get_json_object(v, "$.id"), F.col("topic"))
+    v = F.trim(F.col("value").cast("string"), F.lit(" \t\r\n"))
+    ts = (now if now is not None else F.unix_timestamp()).cast("long")
+    # as the one element of an array: what stands behind a complete value makes it bad JSON
+    r = records.withColumn("_v", v)
+    boxed = F.concat(F.lit("["), "_v", F.lit("]"))
+    r = r.withColumns({"_any": F.from_json(boxed, "array<variant>"), "_map": F.from_json(boxed, "array<map<string,variant>>")})
+    r = r.withColumns({c: F.when(F.size(c) == 1, F.col(c)[0]) for c in ("_any", "_map")})
+    keys = F.map_keys("_map")
+    repeated = F.size(keys) > F.size(F.array_distinct(keys))
+    # variants reject an object with a repeated key
+    is_obj = F.col("_v").startswith("{") & F.col("_map").isNotNull() & (F.col("_any").isNotNull() | repeated)
+    empty = F.col("_v").isNull() | (F.col("_v") == "")
+    entries = F.map_entries("_map")
+    # the last of repeated keys, without the two that the bridge sets
+    own = F.filter(entries, lambda e, i: (F.array_position(F.reverse(keys), e["key"]) == F.size(keys) - i)
+                   & ~e["key"].isin(*META))
+    meta = [F.struct(F.lit(META[0]).alias("key"), F.col("topic").cast("variant").alias("value")),
+            F.struct(F.lit(META[1]).alias("key"), ts.cast("variant").alias("value"))]
+    data = F.array(F.struct(F.lit("data").alias("key"), F.col("_any").alias("value")), *meta)
+    whole = (F.when(empty, F.array(*meta)).when(is_obj, F.concat(own, F.array(*meta)))
+              .when(F.col("_any").isNotNull(), data))
+    r = r.withColumns({"_entries": whole, "_is_obj": F.coalesce(is_obj, F.lit(False)) | empty})
+
+    def field(name: str) -> Column:
+        found = F.get(F.filter("_entries", lambda e: e["key"] == name), F.lit(0))
+        return F.try_variant_get(found["value"], "$", "string")
+
+    key = F.coalesce(field("loan_id"), field("id"), F.col("topic"))
     extra = [c for c in ("partition", "offset") if c in records.columns]
-    return records.select(
-        F.col("topic"), *extra, key.alias("key"), body.alias("value"), ok.alias("ok"),
-        (is_obj | empty).alias("is_object"), ts.cast("long").alias("_bridge_ts"),
-        F.col("value").cast("string").alias("raw_value"))
+    return r.select(
+        F.col("topic"), *extra, F.when(F.col("_is_obj") & ~empty, key).otherwise(F.col("topic")).alias("key"),
+        F.to_json(F.map_from_entries("_entries")).alias("value"), F.col("_entries").isNotNull().alias("ok"),
+        F.col("_is_obj").alias("is_object"), ts.alias("_bridge_ts"), F.col("value").cast("string").alias("raw_value"))
 
 
 def observed_bridge(df: DataFrame, name: str = "bridge") -> DataFrame:
@@ -80,23 +100,35 @@ def start_bridge(stream: DataFrame, path: str, checkpoint: str, quarantine: str
     """T1 + K5 + T3: bridge a stream into a keyed, topic-partitioned JSON landing.
 
     Each micro-batch is written under ``_epoch=<id>`` with overwrite, so a
-    batch replayed after a failure rewrites the same files (idempotent).
-    ``drain=True`` processes the backlog and stops (availableNow).
+    batch replayed after a failure rewrites the same files (idempotent). Bad
+    records go to ``quarantine`` (``<path>_quarantine`` unless given), the
+    counters of each batch (A24) to ``<path>_counters``; ``read_bridge`` reads
+    all three. ``drain=True`` processes the backlog and stops (availableNow).
     """
-    out = observed_bridge(bridge_transform(stream, now))
+    bad = quarantine or f"{path}_quarantine"
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.where("ok").select("topic", "key", "value", "_bridge_ts").write.mode("overwrite") \
+        seen = Observation(f"bridge-{epoch}")
+        counted = batch.observe(seen, F.count_if(F.col("ok")).alias("sent"), F.count_if(~F.col("ok")).alias("failed"))
+        counted.where("ok").select("topic", "key", "value", "_bridge_ts").write.mode("overwrite") \
             .partitionBy("topic").json(f"{path}/_epoch={epoch}")
-        if quarantine is not None:
-            batch.where("NOT ok").select("topic", "raw_value").write.mode("overwrite") \
-                .json(f"{quarantine}/_epoch={epoch}")
+        batch.where("NOT ok").select("topic", "raw_value").write.mode("overwrite").json(f"{bad}/_epoch={epoch}")
+        got = seen.get
+        batch.sparkSession.range(1).select(F.lit(got["sent"]).alias("sent"), F.lit(got["failed"]).alias("failed")) \
+            .write.mode("overwrite").json(f"{path}_counters/_epoch={epoch}")
 
-    w = out.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    w = bridge_transform(stream, now).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if drain else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
+def read_bridge(spark: SparkSession, path: str, quarantine: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sent records, quarantined records, counters per epoch) of a bridge sink."""
+    sent = spark.read.schema("topic string, key string, value string, _bridge_ts long").json(path)
+    bad = spark.read.schema("topic string, raw_value string").json(quarantine or f"{path}_quarantine")
+    return sent, bad, spark.read.schema("sent long, failed long").json(f"{path}_counters")
+
+
 def topic_volume(offsets: DataFrame) -> DataFrame:
     """Records per topic = sum over partitions of (max offset + 1).
 
@@ -124,9 +156,6 @@ def publish(df: DataFrame, topic: str, bootstrap: str = "localhost:9092", key: s
      .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
 
 
-bridge_sink = start_bridge
-
-
 def parse_events(df: DataFrame, schema, col: str = "value") -> DataFrame:
     """P20: JSON text -> typed columns, PERMISSIVE; rows that do not parse get
     ``_ok = false`` (to be quarantined) instead of failing the job."""

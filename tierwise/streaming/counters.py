@@ -40,15 +40,10 @@ def running_tier_counts(scored: DataFrame) -> DataFrame:
     return scored.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("loan_count"))
 
 
-def hourly_critical(scored: DataFrame, ts_col: str = "event_ts", watermark: str = "2 hours",
-                    tier: str = "CRITICAL") -> DataFrame:
-    """T5: tumbling one-hour counts of ``tier`` rows with a watermark.
-
-    Rows later than the watermark are dropped by design; the batch version
-    (``scenarios.hourly_counts``) stays exact.
-    """
-    return (scored.withWatermark(ts_col, watermark)
-                  .where(F.col("risk_tier") == tier)
+def hourly_critical(scored: DataFrame, ts_col: str = "event_ts", tier: str = "CRITICAL") -> DataFrame:
+    """T5: tumbling one-hour counts of ``tier`` rows. The state is one count per
+    hour; there is no watermark, so a late row is counted like any other."""
+    return (scored.where(F.col("risk_tier") == tier)
                   .groupBy(F.window(ts_col, "1 hour").alias("w"))
                   .agg(F.count(F.lit(1)).alias("current_count"))
                   .select(F.col("w.start").alias("hour"), "current_count"))
@@ -88,61 +83,51 @@ def start_update(agg: DataFrame, path: str, checkpoint: str, keys: list[str],
 
 def watch_quality(stream: DataFrame, report_path: str, checkpoint: str, checks=quality.REFERENCE_SUITE,
                   as_of: str | None = None, drain: bool = True) -> StreamingQuery:
-    """Q18: run the quality suite on every arriving micro-batch; append the rows."""
+    """Q18: run the quality suite on every arriving micro-batch. Each batch leaves its own report and,
+    beside it, its partial results; ``read_quality`` merges those to the report over all batches."""
     def write(batch: DataFrame, epoch: int) -> None:
-        quality.run_suite(batch, checks, as_of=as_of, layer="silver_arrival") \
+        path = f"{report_path}_partials/_epoch={epoch}"
+        quality.suite_partials(batch, checks).write.mode("overwrite").parquet(path)
+        quality.finish_suite(batch.sparkSession.read.parquet(path), batch.columns, checks, as_of, "silver_arrival") \
             .withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{report_path}/_epoch={epoch}")
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if drain else w.trigger(processingTime="1 minute")).start()
 
 
-def start_hourly_alerts(scored: DataFrame, counts_path: str, alerts_path: str, checkpoint: str,
-                        ts_col: str = "event_ts", watermark: str = "2 hours",
+def read_quality(spark: SparkSession, report_path: str, columns, checks=quality.REFERENCE_SUITE,
+                 as_of: str | None = None) -> DataFrame:
+    """The suite over everything that has arrived."""
+    return quality.finish_suite(spark.read.parquet(f"{report_path}_partials"), columns, checks, as_of, "silver_arrival")
+
+
+def start_hourly_alerts(scored: DataFrame, path: str, checkpoint: str, ts_col: str = "event_ts",
                         drain: bool = True) -> StreamingQuery:
-    """T5 end to end: hourly CRITICAL counts with a watermark, and per micro-batch
-    the hour-over-hour comparison for every hour the batch touched.
-
-    Each batch (1) writes its updated hourly counts under ``_epoch=<id>``,
-    partitioned by day, (2) re-reads only the days around the touched hours
-    (partition pruning; bounded by the batch's time range, not by history),
-    and (3) writes the delta/alert rows of the touched hours and the hours
-    right after them. Readers take the newest epoch per hour
-    (``latest_by_key``), which equals the batch result for every hour seen.
-    """
+    """T5 end to end: hourly CRITICAL counts kept in state; every batch writes the hours that it changed."""
+    return start_update(hourly_critical(metric_rows(scored), ts_col), path, checkpoint, ["hour"], drain)
+
+
+def read_hourly_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The hour-over-hour comparison of the newest counts. A late row changes its own hour and the next
+    one's comparison, so the difference is taken when it is read, whatever the batches were."""
     from ..operators.scenarios import hourly_delta
 
-    agg = hourly_critical(metric_rows(scored), ts_col, watermark)
+    counts = latest_by_key(spark, path, ["hour"])
+    return hourly_delta(counts.withColumn("hour", F.col("hour").cast("timestamp_ntz")))
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        b = batch.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
-        b.withColumns({"_epoch": F.lit(epoch), "day": F.to_date("hour")}).write.mode("overwrite") \
-            .partitionBy("day").parquet(f"{counts_path}/_epoch={epoch}")
-        touched = b.select("hour").union(b.select((F.col("hour") + F.expr("INTERVAL 1 HOUR")).alias("hour")))
-        lo, hi = touched.agg(F.min("hour"), F.max("hour")).first()
-        if lo is None:
-            return
-        counts = (spark.read.parquet(counts_path)
-                  .where(F.col("day").between(F.to_date(F.lit(lo) - F.expr("INTERVAL 1 HOUR")), F.to_date(F.lit(hi))))
-                  .select("hour", "current_count", "_epoch"))
-        latest = counts.groupBy("hour").agg(
-            F.max_by("current_count", F.col("_epoch").cast("long")).alias("current_count"))
-        delta = hourly_delta(latest).join(touched.distinct(), "hour", "left_semi")
-        delta.withColumn("_epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{alerts_path}/_epoch={epoch}")
-
-    w = (agg.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint))
-    return (w.trigger(availableNow=True) if drain else w.trigger(processingTime="1 minute")).start()
+
+QUARANTINE = "_quarantine"
 
 
 def land_bridged(bridged: DataFrame, path: str, checkpoint: str, drain: bool = True) -> StreamingQuery:
     """K6/T2 for bridge output: each record's JSON object becomes one line of the
     raw layer, routed by source topic and arrival day
-    (``_source_topic=/year=/month=/day=``). Unparseable records never land
-    (they are quarantined by the bridge). File sink: exactly-once via its log.
+    (``_source_topic=/year=/month=/day=``). Unparseable records land as they
+    came under the topic ``_quarantine``. File sink: exactly-once via its log.
     """
     ts = F.to_timestamp(F.from_unixtime(F.col("_bridge_ts")))
-    out = bridged.where(F.col("ok")).select(
-        F.col("value"), F.col("topic").alias("_source_topic"),
+    out = bridged.select(
+        F.when(F.col("ok"), F.col("value")).otherwise(F.coalesce("raw_value", F.lit(""))).alias("value"),
+        F.when(F.col("ok"), F.col("topic")).otherwise(QUARANTINE).alias("_source_topic"),
         F.year(ts).cast("string").alias("year"), F.lpad(F.month(ts).cast("string"), 2, "0").alias("month"),
         F.lpad(F.dayofmonth(ts).cast("string"), 2, "0").alias("day"))
     w = (out.writeStream.format("text").option("path", path).option("checkpointLocation", checkpoint)

@@ -1,50 +1,34 @@
-"""Streaming rate changes (W1 on a stream).
-
-``lag`` is not available on a stream, so this is a small stateful operator:
-``applyInPandasWithState`` keyed by series keeps one value per series (the
-last observation seen). Each micro-batch sorts a series' new observations by
-time, diffs them against the previous one (the stored value for the first)
-and stores the new last value. Observations must arrive in time order per
-series — as the series are published (chronologically); the batch operator
-``operators.ingest.rate_changes`` has no such requirement.
+"""Rate changes on a stream.
+
+An observation that arrives late is the previous one of the observation after
+it, so a change can't be settled when a row arrives. The stream therefore lands
+its observations by day, exactly once (a batch that runs again overwrites its
+own files), and the changes are taken when they are read, by the batch operator
+over the landed days. Any order of arrival and any cut into batches or files
+gives the same rows, with built-in functions only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-from ..operators.ingest import drop_missing
-
-STATE_SCHEMA = "last_value double"
-
-
-def _diff_fn(order_col: str):
-    def fn(key, pdfs, state):
-        import numpy as np
-        import pandas as pd
-
-        parts = [p for p in pdfs if len(p)]
-        if not parts:
-            return
-        pdf = pd.concat(parts, ignore_index=True).sort_values(order_col, kind="stable")
-        vals = pdf["value"].to_numpy(dtype="float64")
-        prev = np.empty_like(vals)
-        prev[1:] = vals[:-1]
-        prev[0] = state.get[0] if state.exists else np.nan
-        bps = (vals - prev) * 100.0
-        bps[np.isnan(prev)] = 0.0
-        state.update((float(vals[-1]),))
-        yield pdf.assign(rate_change_bps=bps)
-    return fn
-
-
-def stream_rate_changes(observations: DataFrame, order_col: str = "date") -> DataFrame:
-    """(series_id, label, <order_col>, value) stream -> same + rate_change_bps."""
-    obs = drop_missing(observations.select("series_id", "label", order_col,
-                                           F.col("value").cast("double").alias("value")))
-    out_schema = T.StructType(list(obs.schema.fields) + [T.StructField("rate_change_bps", T.DoubleType())])
-    return obs.groupBy("series_id").applyInPandasWithState(
-        _diff_fn(order_col), out_schema, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.ingest import observations, rate_changes
+
+
+def land_rates(stream: DataFrame, path: str, checkpoint: str, order_col: str = "date",
+               drain: bool = True) -> StreamingQuery:
+    """(series_id, label, <order_col>, value) stream -> observations by day."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        day = F.coalesce(F.to_date(F.col(order_col)).cast("string"), F.lit("unknown"))
+        observations(batch, order_col).withColumn("day", day).write.mode("overwrite") \
+            .partitionBy("day").parquet(f"{path}/_epoch={epoch}")
+
+    w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if drain else w.trigger(processingTime="1 minute")).start()
+
+
+def read_rate_changes(spark: SparkSession, path: str, order_col: str = "date") -> DataFrame:
+    """The changes over all landed observations."""
+    return rate_changes(spark.read.parquet(path).drop("_epoch", "day"), order_col)
