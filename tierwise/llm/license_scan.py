@@ -78,12 +78,13 @@ def _pair(a: Column, b: Column) -> Column:
 def _rolling(d: DataFrame) -> DataFrame:
     """d with h2 and h3: the hashes of the 2 and 3 words from each place on. h3[p] is rolled from
     h2[p] and the word two places on."""
-    def after(c: str, k: int) -> Column:
-        return F.slice(c, k, F.greatest(F.size(c) - (k - 1), F.lit(0)))
+    def fewer(c: str) -> Column:
+        return F.greatest(F.size(c) - 1, F.lit(0))
 
     d = d.withColumn("hw", F.transform("w", lambda x: F.xxhash64(x)))
-    d = d.withColumn("h2", F.zip_with("hw", after("hw", 2), _pair))
-    return d.withColumn("h3", F.zip_with("h2", after("hw", 3), _pair)).drop("hw")
+    # zip_with would fill up the shorter array with nulls: both are cut to one length
+    d = d.withColumn("h2", F.zip_with(F.slice("hw", 1, fewer("hw")), F.slice("hw", 2, fewer("hw")), _pair))
+    return d.withColumn("h3", F.zip_with(F.slice("h2", 1, fewer("h2")), F.slice("hw", 3, fewer("h2")), _pair)).drop("hw")
 
 
 def _places(k: int, found: str | None = None) -> Column:

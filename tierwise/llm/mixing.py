@@ -55,12 +55,14 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, ceil
     s = s.withColumn("weight", weight).withColumn("cap", F.col("source_size") * F.lit(float(ceiling)))
     s = s.withColumn("ratio", F.col("cap") / F.col("weight"))
     every = Window.partitionBy()
-    before = Window.orderBy("ratio", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    by_ratio = Window.orderBy("ratio", F.col("source").asc_nulls_last())
+    before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
     total = F.lit(float(share)) * F.sum("source_size").over(every)
     level = ((total - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
              / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))))
-    s = s.withColumn("level", level)
-    fits = F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", "level"))).over(every)["level"]
+    s = s.withColumn("level", level).withColumn("place", F.row_number().over(by_ratio))
+    # the first source that the level leaves under its ceiling, and with it all after it
+    fits = F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("place", "level"))).over(every)["level"]
     target = F.least(F.col("cap"), F.coalesce(fits * F.col("weight"), F.col("cap")))
     return s.select("source", "source_size", "n_items", target.alias("target"))
 

@@ -17,7 +17,7 @@ queries against one block of rows, in one matrix product per list. A unit's
 memory is bounded whatever the table's size, and from a phase k rows per query
 and block leave.
 
-Components are floor(256 * x) as integers. Products are added up in doubles
+Components are floor(256 * x) as integers; scores must fit a long. Products are added up in doubles
 while every sum stays under 2**53, else in 64-bit integers: both are exact.
 
 Defined cases: vectors that are null or hold null or non-finite components, and
