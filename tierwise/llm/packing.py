@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -35,7 +36,8 @@ from pyspark.sql import functions as F
 
 CAPACITY = 1024
 END_ID = 0
-CACHE_WORDS = 600_000           # per worker; cleared when full
+CACHE_WORDS = 1_200_000         # per worker, about 250 MB; cleared when full
+DOCS = 512                      # texts encoded together
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
@@ -63,10 +65,10 @@ class WordEncoder:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, cache: dict[str, bytes], before: str, seen: set[str]) -> None:
-        fresh = [w for w in seen if w not in cache]
-        ending = [w for w in fresh if w[-1] in self.stops and w[-2:-1].isalnum()]
-        stems = {w[:-1] for w in ending} - cache.keys()
-        stems.update(set(fresh).difference(ending))
+        fresh = seen.difference(cache)
+        ending = [w for w in fresh if w[-1] in ".," and w[-2:-1].isalnum()]
+        stems = {w[:-1] for w in ending}.difference(cache)
+        stems.update(fresh.difference(ending))
         todo = list(stems)
         for lo in range(0, len(todo), 512):
             part = todo[lo:lo + 512]
@@ -76,9 +78,13 @@ class WordEncoder:
             stop = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
             last = np.searchsorted(ends, stop, "right").tolist()
             skip, i = int(before == "\n"), 0
-            for w, j in zip(part, last):
-                cache[w] = ids[4 * (i + skip):4 * j]
-                i = j
+            if skip:
+                for w, j in zip(part, last):
+                    cache[w] = ids[4 * (i + 1):4 * j]
+                    i = j
+            else:
+                edges = [0, *(4 * j for j in last)]
+                cache.update(zip(part, map(ids.__getitem__, map(slice, edges, edges[1:]))))
         for w in ending:
             cache[w] = cache[w[:-1]] + self.stops[w[-1]]
 
@@ -105,6 +111,12 @@ class WordEncoder:
                 for t, lines in zip(texts, cut)]
 
 
+@lru_cache(maxsize=1)
+def encoder(tokenizer_file: str) -> WordEncoder:
+    """One per Python worker, so that later tasks find its words."""
+    return WordEncoder(tokenizer_file)
+
+
 class LevelPacker:
     """One split's windows. ``add`` and ``finish`` yield (window, pieces) of closed windows."""
 
@@ -174,7 +186,7 @@ class LevelPacker:
 
 
 def _rows(tokenizer_file: str, capacity: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    enc, packer = WordEncoder(tokenizer_file), LevelPacker(capacity)
+    enc, packer = encoder(tokenizer_file), LevelPacker(capacity)
     end = np.asarray([END_ID], "<u4").tobytes()
     first = TaskContext.get().partitionId() << 36
     names = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -193,9 +205,9 @@ def _rows(tokenizer_file: str, capacity: int, batches: Iterator[pa.RecordBatch])
     for batch in batches:
         doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
         closed: list = []
-        for lo in range(0, len(doc_ids), 256):
-            part = texts.slice(lo, 256).to_pylist()
-            for doc_id, ids in zip(doc_ids[lo:lo + 256], enc.encode(part)):
+        for lo in range(0, len(doc_ids), DOCS):
+            part = texts.slice(lo, DOCS).to_pylist()
+            for doc_id, ids in zip(doc_ids[lo:lo + DOCS], enc.encode(part)):
                 ids += end
                 closed.extend(packer.add((doc_id, ids, len(ids) // 4)))
         yield out(closed)
