@@ -20,8 +20,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tierwise import session  # noqa: E402
-from tierwise.operators import analytics, ingest, lake, marts, quality  # noqa: E402
-from tierwise.plans import views  # noqa: E402
+from tierwise.operators import analytics, ingest, lake, marts, quality, scenarios  # noqa: E402
+from tierwise.plans import registry, streams, views  # noqa: E402,F401  (streams registers its queries)
 from tierwise.sources import files, testmap  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -93,10 +93,17 @@ def main() -> None:
     timed("describe_stats", lambda: analytics.describe_stats(stg).collect())
     timed("corr_matrix", lambda: analytics.corr_matrix(stg).collect())
     timed("state_tier_rollup", lambda: analytics.hierarchy_sum(stg).collect())
-    timed("rate_bps", lambda: noop(ingest.rate_changes(testmap.rate_observations(spark, SF_DIR), "ts", "day")))
+    timed("rate_bps", lambda: noop(ingest.rate_changes(testmap.rate_observations(spark, SF_DIR), "ts")))
     timed("macro_snapshots", lambda: noop(ingest.macro_snapshots(testmap.indicator_observations(spark, SF_DIR))))
     timed("county_lookup", lambda: noop(ingest.county_lookup(testmap.census_rows(spark, SF_DIR))))
 
+    # many days at once, box plot, scenarios, streams
+    timed("silver_many_days", lambda: lake.write_silver(views.silver(spark, SF_DIR), f"{work}/silver_days"))
+    timed("box_by_type", lambda: analytics.box_stats(stg, by="loan_type_code").collect())
+    timed("what_if_sweep", lambda: noop(scenarios.what_if_sweep(stg, [60.0, 80.0, 95.0])))
+    for name in ("stream_tier_counts", "stream_hourly_alerts", "stream_quality_watch", "stream_rate_bps"):
+        timed(name, lambda name=name: noop(registry.QUERIES[name](spark, SF_DIR)))
+
     marts_wall = times["stg_view"] + times["mart_risk_summary"] + times["mart_high_risk_loans"] \
         + times["mart_daily_risk_trend"]
     m = re.search(r"sf([0-9.]+)", SF_DIR)

@@ -2,6 +2,12 @@
 
 import os
 import re
+import sys
+
+import pytest
+
+import __spark_entry__ as E
+from conftest import SF_SMALL
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -14,3 +20,45 @@ def test_inventory_covers_survey_section_2():
     mapped = set(re.findall(r"^\| ([A-Z]\d+) \|", inv, flags=re.M))
     assert len(ids) >= 150
     assert ids <= mapped, sorted(ids - mapped)
+
+
+# id -> (function that the id stands for, registered query that has to reach it)
+REACHED = {
+    "S1": ("read_raw", "stream_landing_to_lake"), "S2": ("read_silver", "lake_round_trip"),
+    "S4": ("read_census_json", "county_from_arrays"), "S5": ("read_indicator_json", "macro_from_files"),
+    "S6": ("read_rates", "rates_from_files"), "S8": ("stream_raw", "stream_landing_to_lake"),
+    "K1": ("write_silver", "lake_round_trip"), "K3": ("write_lookup", "lake_round_trip"),
+    "K5": ("start_bridge", "stream_bridge_sink"), "K6": ("land_bridged", "stream_landing_to_lake"),
+    "K7": ("materialize", "lake_round_trip"), "K9": ("load_gold", "lake_round_trip"),
+    "K12": ("write_report", "lake_round_trip"), "K13": ("compact", "lake_round_trip"),
+    "P4": ("with_partition_cols", "lake_round_trip"), "A18": ("critical_count", "critical_count"),
+    "A22": ("topic_volume", "topic_volume"), "F14": ("user_topics", "topic_volume"), "F15": ("match", "topic_volume"),
+    "F16": ("failed", "layer_report"), "F17": ("loan_by_id", "loan_drilldown"), "Q17": ("quality_alerts", "layer_report"),
+    "O4": ("ordered", "ordered_marts"), "U1": ("union_all", "state_union"), "W1": ("rate_changes", "stream_rate_bps"),
+    "W3": ("faked_previous", "hourly_faked_previous"), "T5": ("read_hourly_alerts", "stream_hourly_alerts"),
+    "Q18": ("read_quality", "stream_quality_watch"), "A24": ("read_bridge", "stream_bridge_sink"),
+}
+
+
+@pytest.mark.parametrize("query", sorted({q for _, q in REACHED.values()}))
+def test_named_functions_are_reached(spark, query):
+    called = set()
+
+    def seen(frame, event, arg):
+        if event == "call" and "/tierwise/" in frame.f_code.co_filename:
+            called.add(frame.f_code.co_name)
+
+    sys.setprofile(seen)
+    try:
+        E.queries()[query](spark, SF_SMALL)
+    finally:
+        sys.setprofile(None)
+    missing = {i: f for i, (f, q) in REACHED.items() if q == query and f not in called}
+    assert not missing
+
+
+def test_inventory_names_registered_queries():
+    inv = open(os.path.join(ROOT, "docs", "INVENTORY.md")).read()
+    rows = [[c.strip() for c in line.strip("|").split("|")] for line in inv.splitlines() if re.match(r"^\| [A-Z]\d+ \|", line)]
+    unknown = {r[0]: n for r in rows for n in re.findall(r"[a-z_]+", r[3]) if n not in E.queries() and r[3] != "-"}
+    assert not unknown, unknown

@@ -573,7 +573,7 @@ SELECT risk_tier, count(*) AS loan_count, {r6('avg(risk_score)')} AS avg_risk_sc
 SQL["stream_quality_watch"] = SQL["quality_suite"]
 
 SQL["stream_landing_to_lake"] = BASE + """
-SELECT 'tier:' || risk_tier AS what, count(*) AS records FROM gold GROUP BY risk_tier
+SELECT leg || risk_tier AS what, count(*) AS records FROM gold, (VALUES ('tier:'), ('batch:')) l(leg) GROUP BY leg, risk_tier
 UNION ALL SELECT 'topic:loan-applications', count(*) FROM lineitem
 UNION ALL SELECT 'topic:mortgage-rates', count(*) FROM events WHERE event_type <> 'error'
 UNION ALL SELECT 'topic:_quarantine', count(*) FROM events WHERE event_type = 'error' HAVING count(*) > 0"""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import lake, marts
 from ..session import scratch_path
-from ..sources import testmap
+from ..sources import files, testmap
 from ..streaming import bridge, counters, rates
 from . import views
 from .registry import register
@@ -128,8 +128,9 @@ def q_stream_bridge_sink(spark, sf_dir):
 
 @register("stream_landing_to_lake")
 def q_stream_landing_to_lake(spark, sf_dir):
-    """T1 + T2 + K6 + S8: topic records -> bridge -> raw JSON landing by topic and arrival day; the landed
-    loans are streamed again into running tier counts, and every topic's landed records are counted."""
+    """T1 + T2 + K6 + S1 + S8: topic records -> bridge -> raw JSON landing by topic and arrival day; the landed
+    loans are streamed again into running tier counts and read by the batch job, and every topic's landed
+    records are counted."""
     landing, ck = scratch_path(spark, "raw-landing"), scratch_path(spark, "raw-landing-ckpt")
     _drain(counters.land_bridged(bridge.bridge_transform(_topic_streams(spark, sf_dir), now=F.lit(BRIDGE_EPOCH)),
                                  landing, ck))
@@ -140,4 +141,6 @@ def q_stream_landing_to_lake(spark, sf_dir):
         F.concat(F.lit("tier:"), "risk_tier").alias("what"), F.col("loan_count").alias("records"))
     topics = spark.read.text(landing).groupBy("_source_topic").agg(F.count(F.lit(1)).alias("records")).select(
         F.concat(F.lit("topic:"), "_source_topic").alias("what"), "records")
-    return tiers.unionByName(topics)
+    batch = counters.running_tier_counts(_scored(files.read_raw(spark, f"{landing}/_source_topic=loan-applications")))
+    batch = batch.select(F.concat(F.lit("batch:"), "risk_tier").alias("what"), F.col("loan_count").alias("records"))
+    return files.union_all([tiers, batch, topics])
