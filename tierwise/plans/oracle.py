@@ -622,7 +622,7 @@ SELECT r.*, CASE WHEN checks = '' THEN '' ELSE 'Data Quality Alert! Failed check
 
 SQL["lake_round_trip"] = BASE + """
 SELECT 'silver' AS leg, strftime(processing_date, '%Y-%m') AS part, count(*) AS "rows" FROM silver GROUP BY 2
-UNION ALL SELECT 'one_day', '1995-06-17', count(*) FROM silver WHERE processing_date = DATE '1995-06-17'
+UNION ALL SELECT 'one_day', '1995-06-01', count(*) FROM silver WHERE strftime(processing_date, '%Y-%m') = '1995-06'
 UNION ALL SELECT 'gold', state, count(*) FROM gold GROUP BY state
 UNION ALL SELECT leg, risk_tier, count(*) FROM gold,
   (VALUES ('lookup_parquet'), ('lookup_csv'), ('report')) legs(leg) GROUP BY leg, risk_tier"""
