@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 CHAIN = 2
 SHOWN = 16                  # smallest signatures that the digest shows
-RANGE_ROWS, RANGES = 1000, 10_000
+RANGE_ROWS, RANGES = 250, 50_000      # several ranges a task, so that tasks are alike
 # Common words of four languages, the anchors.
 ANCHORS = frozenset("""
 the of and to a in is that it for was on with as by be this are at from or an have not which but
@@ -115,7 +115,7 @@ def _dealt(docs: DataFrame) -> DataFrame:
     ranges = max(1, min(RANGES, n // RANGE_ROWS))
     bounds: list[int] = []
     if ranges > 1:
-        bounds = sorted(set(d.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 10 * RANGES)
+        bounds = sorted(set(d.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 10 * ranges)
                                   .alias("p")).first()["p"] or []))
 
     @F.pandas_udf("long")
