@@ -92,3 +92,23 @@ def test_fingerprints_and_components_with_odd_rows(spark):
     kept = simhash.deduplicated(docs).collect()
     assert sorted(r["doc_id"] for r in kept) == sorted(set(least.values()))
     assert simhash.near_dedup(docs.limit(0)).count() == 0
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Several null ids, and ids that repeat with different texts."""
+    def body(k, n=300):
+        return " ".join(f"{k}{i}" for i in range(n))
+
+    rows = [(None, body("a")), (None, body("b")), (None, body("b")), (None, body("c")), (None, body("d")), (4, body("d")),
+            (1, body("e")), (1, body("f")), (1, body("g")),              # one id, three components
+            (2, body("e")), (2, body("h")),                              # an id below a smaller one that heads its own too
+            (3, body("i") + " end"), (3, body("i")), (None, None), (None, ""), (5, body("j")), (5, body("j"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    x = np.array([brute_fingerprint(t) for _, t in rows], np.uint64)
+    want = {}
+    for row, c in zip(rows, brute_components(x, 4)):
+        key = (row[0] is None, row[0] or 0, row[1] is not None, row[1] or "")
+        want[c] = min(want.get(c, (key, row)), (key, row), key=lambda k: k[0])
+    got = [tuple(r) for r in simhash.deduplicated(docs).collect()]
+    assert sorted(got, key=str) == sorted((r for _, r in want.values()), key=str)
+    assert len(got) == 11

@@ -24,7 +24,8 @@ sets the cost: any choice finds all links.
 
 Defined cases: a null text has no words, fingerprint zero; texts of fewer words
 than a shingle are one shingle; repeated rows give repeated results; a null
-doc_id takes part but names no component; an empty table gives no rows; other
+doc_id takes part but names no component (one of null ids only has a null name,
+and still keeps a row of its own); an empty table gives no rows; other
 columns are ignored.
 """
 
@@ -36,7 +37,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
@@ -66,14 +67,23 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits(2 * count > n, bitorder="little").view("<u8")[0])
 
 
+def _text_hashes(text: Column) -> list[Column]:
+    """Two hashes that tell texts apart; null isn't the empty text."""
+    known = F.coalesce(text, F.lit("")), text.isNull()
+    return [F.xxhash64(*known).alias("h1"), F.xxhash64(F.lit(SEED), *known).alias("h2")]
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) per row of docs."""
+    """doc_id, fp (the fingerprint as a signed long), h1 and h2 (of the text) per row of docs."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.fromiter((fingerprint(t.as_py(), words) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), b.column(2), b.column(3)],
+                                             ["doc_id", "fp", "h1", "h2"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(rows, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), *_text_hashes(text)).mapInArrow(
+        rows, "doc_id long, fp long, h1 long, h2 long")
 
 
 # ------------------------------------------------------------------ the index
@@ -210,24 +220,38 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, segments: int | None =
     return units.mapInArrow(lambda b: _unit_links(max_bits, b), "u long, v long")
 
 
-def near_dedup(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp, component_id (the smallest doc_id that links reach) per row of docs."""
-    fps = written(fingerprints(docs, words), "simhash-fps")
+def _rooted(fps: DataFrame, max_bits: int) -> DataFrame:
+    """of_fp, root (names its component) and component_id per fingerprint."""
     classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
     roots = components(links(classes.select("fp"), max_bits), "simhash-links")
     c = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     named = c.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = written(c.join(named, "root").select(F.col("fp").alias("of_fp"), "component_id"), "simhash-components")
-    return fps.join(of, F.col("fp") == F.col("of_fp")).select("doc_id", "fp", "component_id")
+    return written(c.join(named, "root").select(F.col("fp").alias("of_fp"), "root", "component_id"), "simhash-components")
+
+
+def near_dedup(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, fp, component_id (the smallest doc_id that links reach) per row of docs."""
+    fps = written(fingerprints(docs, words), "simhash-fps")
+    return fps.join(_rooted(fps, max_bits), F.col("fp") == F.col("of_fp")).select("doc_id", "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of docs for each component: the one with its smallest doc_id (of rows that repeat it, the
-    least text)."""
-    kept = near_dedup(docs, words, max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("kept_id")).distinct()
-    d = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].alias("kept_id0"))
-    d = d.join(kept, F.col("kept_id0").eqNullSafe(F.col("kept_id")))
-    first = Window.partitionBy("kept_id0").orderBy("row.text")
-    return d.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")
+    """One row of docs for each component: the one with its smallest doc_id, null last (of rows that
+    repeat it, the least text).
+
+    The row is found by doc_id and text, not by doc_id alone: an id may stand in several components,
+    and a component may have null ids only. Texts are ranked only where several rows remain."""
+    fps = written(fingerprints(docs, words), "simhash-fps")
+    heads = fps.join(_rooted(fps, max_bits), F.col("fp") == F.col("of_fp")).where(
+        F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = heads.groupBy("root", "doc_id", "h1", "h2").agg(F.count("*").alias("n"))
+    several = kept.groupBy("root").agg(F.sum("n").alias("n_rows"))
+    kept = written(kept.join(several, "root").select(
+        "root", "n_rows", F.col("doc_id").alias("k_id"), F.col("h1").alias("k_h1"), F.col("h2").alias("k_h2")), "simhash-kept")
+    d = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("k_id0"),
+                    *_text_hashes(docs["text"].cast("string")))
+    d = d.join(kept, (F.col("h1") == F.col("k_h1")) & (F.col("h2") == F.col("k_h2")) & F.col("k_id0").eqNullSafe(F.col("k_id")))
+    ranked = F.struct(F.col("row.text").isNotNull(), F.col("row.text"))
+    first = d.where("n_rows > 1").groupBy("root").agg(F.min_by("row", ranked).alias("row"))
+    return d.where("n_rows = 1").select("row").unionByName(first.select("row")).select("row.*")
