@@ -69,3 +69,46 @@ def test_equal_values_stay_linked_and_the_rest_untouched(spark):
     assert got == {(1, f"seen {new} here", 1, 1, 8), (2, new, 1, 1, 8), (3, None, 0, 0, 8), (4, "", 0, 0, 8),
                    (None, "plain", 0, 0, 8), (5, "word " * 50000 + new, 1, 1, 8), (6, other, 1, 1, 8)}
     assert pii.pseudonymise(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text,pattern,form", [
+    ("at 2024-01-02T10:00:00Z.", r"at (\d{4}-\d\d-\d\d)T10:00:00Z\.", "%Y-%m-%d"),
+    ("on 2024-01-02Z", r"on (\d{4}-\d\d-\d\d)Z", "%Y-%m-%d"),
+    ("born 12/25/2020", r"born (\d\d/\d\d/\d{4})", "%m/%d/%Y"),
+    ("born 1/5/1990, x", r"born (\d{1,2}/\d{1,2}/\d{4}), x", "%d/%m/%Y"),
+    ("born 1/25/1990, x", r"born (\d{1,2}/\d{1,2}/\d{4}), x", "%m/%d/%Y"),
+    ("(2024/01/02)", r"\((\d{4}/\d\d/\d\d)\)", "%Y/%m/%d"),
+    ("5 March 1990.", r"(\d{1,2} [A-Z][a-z]+ \d{4})\.", "%d %B %Y"),
+    ("05 MAR 1990", r"(\d\d [A-Z]{3} \d{4})", "%d %b %Y"),
+    ("on March 5, 1990", r"on ([A-Z][a-z]+ \d{1,2}, \d{4})", "%B %d, %Y"),
+    ("on sept 5 1990", r"on ([a-z]{3} \d{1,2} \d{4})", "%b %d %Y")])
+def test_date_forms(text, pattern, form):
+    new, found = one(text)
+    assert found == {"date": 1} and new != text
+    dt.datetime.strptime(re.fullmatch(pattern, new)[1], form)
+
+
+def test_dates_of_a_form_stay_different():
+    days = [dt.date(1990, 1, 1) + dt.timedelta(i) for i in range(366)]
+    for write in (lambda d: f"{d:%Y-%m-%d}", lambda d: f"{d.day}/{d.month}/{d.year}", lambda d: f"{d:%m/%d/%Y}",
+                  lambda d: f"{d.day} {d:%B %Y}"):
+        assert len({P.replace(write(d))[0] for d in days}) == len({write(d) for d in days})
+    both = [f"{d:%m/%d/%Y}" for d in days if d.day > 12] + [f"{d:%d/%m/%Y}" for d in days]
+    assert len({P.replace(t)[0] for t in both}) == len(both)
+    assert one("1st of March 1990")[0][-4:].isdigit() and one("21st March 1990")[1] == {"date": 1}
+
+
+@pytest.mark.parametrize("text", ["31.12/1999", "5 marching 1990", "31 June 1990", "13/13/2020", "May 2020", "1/2/3/1990"])
+def test_no_dates(text):
+    assert one(text) == (text, {})
+
+
+@pytest.mark.parametrize("iban", ["ES91 2100 0418 4502 0005 1332", "PL61109010140000071219812874", "DE89 3704 0044 0532 0130 00",
+                                  "GB82WEST12345698765432"])
+@pytest.mark.parametrize("tail", [" CALL", " THE", " CALL ME NOW", " 2024-01-02"])
+def test_iban_before_an_upper_case_word(iban, tail):
+    new, found = one(f"pay {iban}{tail}")
+    assert found["iban"] == 1 and found.get("date", 0) == ("2024" in tail)
+    assert new.startswith("pay " + iban[:2]) and iban not in new and ("2024" in tail or new.endswith(tail))
+    assert pii._iban_mod(new[4:4 + len(iban)].replace(" ", "")) == 1
+    assert new[4:4 + len(iban)] == P.replace(iban)[0]

@@ -3,7 +3,8 @@
 A value is validated (cards by the Luhn sum, IBANs modulo 97, addresses by their
 octets, dates by the calendar) and permuted within its format: digits stay
 digits, letters letters, hex digits hex digits, separators and case stay, check
-digits are made anew, dates stay dates of the calendar, addresses addresses.
+digits are made anew, dates stay dates of the calendar (read day first, month first
+where that is no day; months may be English names), addresses addresses.
 The permutation depends on the key and the kind alone, so equal values get equal
 pseudonyms in every document and different values different ones, with no table
 to join or keep. Numbers that fail validation aren't personal data and stay.
@@ -39,16 +40,28 @@ KINDS = ("email", "secret", "iban", "phone", "ip", "date", "ssn", "card")
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 _DIGIT, _HEX, _LOWER, _UPPER = "0123456789", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+_MONTHS = ("january february march april may june july august september october november december".split())
+_SHORT = {m[:3]: i for i, m in enumerate(_MONTHS, 1)}
+# lengths of the IBANs of the registry
+_IBAN_LENGTH = {c: int(n) for n, cs in (x.split(":") for x in """
+15:NO 16:BE 18:DK,FI,FO,GL,NL,SD,FK 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV
+22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG
+25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV
+29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU""".split()) for c in cs.split(",")}
+
 _FIND = re.compile(r"""
   (?P<email>(?<![\w.%+-])[\w%+-]+(?:\.[\w%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)
 | (?P<secret>\b(?:token|secret|password|passwd|api[_-]?key|key)\s*[=:]\s*["'](?P<hidden>[0-9A-Fa-f]{16,})["'])
 | (?P<iban>\b[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b)
 | (?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w))
 | (?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d))
-| (?P<date>(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?![\w/-]|\.\d))
+| (?P<date>(?<![\w./-])(?:\d{4}(?P<ymd>[-/.])\d{1,2}(?P=ymd)\d{1,2}|\d{1,2}(?P<dmy>[-/.])\d{1,2}(?P=dmy)\d{4})
+    (?:(?=[Tt]\d{2}|Z\b)|(?![\w/-]|\.\d))
+  | (?<![\w./-])\d{1,2}(?:st|nd|rd|th)?[ ](?:of[ ])?(?:MONTH)[.]?,?[ ]\d{4}(?![\w/-]|\.\d)
+  | \b(?:MONTH)[.]?[ ]\d{1,2}(?:st|nd|rd|th)?,?[ ]\d{4}(?![\w/-]|\.\d))
 | (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
 | (?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w]|[.-]\d))
-""", re.X)
+""".replace("MONTH", "(?i:" + "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in _MONTHS) + "|sept)"), re.X)
 _MAY = re.compile(r"[0-9@]")
 
 
@@ -144,6 +157,15 @@ def _email(f: Feistel, v: str) -> str:
                    for c, x in zip(local, h)) + f"@{domain}"
 
 
+def _iban_end(v: str) -> int | None:
+    """The length of the IBAN that v starts with: a word that follows may look like a group of it."""
+    ends = [i for i in range(len(v), 0, -1) if v[i - 1] != " " and (i == len(v) or v[i] == " ")]
+    known = _IBAN_LENGTH.get(v[:2])
+    if known:
+        ends = [i for i in ends if len(v[:i].replace(" ", "")) == known] or ends[:1]
+    return next((i for i in ends if len(p := v[:i].replace(" ", "")) >= 12 and _iban_mod(p) == 1), None)
+
+
 def _iban(f: Feistel, v: str) -> str | None:
     plain = v.replace(" ", "")
     if _iban_mod(plain) != 1:
@@ -167,18 +189,59 @@ def _national(f: Feistel, v: str) -> str:
     return "".join(out)
 
 
+_PART = re.compile(r"\d+(?:st|nd|rd|th)?|[A-Za-z]{3,}")
+
+
+def _ordinal(d: int) -> str:
+    return "th" if 10 < d < 14 else {1: "st", 2: "nd", 3: "rd"}.get(d % 10, "th")
+
+
 def _date(f: Feistel, v: str) -> str | None:
-    sep = v[4] if v[4] == "-" else v[2]
-    parts = v.split(sep)
-    y, m, d = (parts if sep == "-" else parts[::-1])
+    """Year first, day first, or month first if day first is no day of the calendar; or with the month's
+    name. Written as it was: order, separators, leading zeros, the name's length and case."""
+    parts = _PART.findall(v)
+    named = [p for p in parts if p.isalpha()]
+    numbers = [int(re.match(r"\d+", p)[0]) for p in parts if not p.isalpha()]
+    month_first = False
+    if named:
+        d, y = numbers
+        m = _SHORT[named[0][:3].lower()]
+    elif len(parts[0]) == 4:
+        y, m, d = numbers
+    else:
+        d, m, y = numbers
+        if m > 12 >= d:
+            d, m, month_first = m, d, True
     try:
-        day = dt.date(int(y), int(m), int(d)).toordinal()
-    except (ValueError, TypeError):
+        day = dt.date(y, m, d).toordinal()
+    except ValueError:
         return None
     if not FIRST_DAY <= day <= LAST_DAY:
         return None
-    new = dt.date.fromordinal(FIRST_DAY + f.number(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1))
-    return new.strftime("%Y-%m-%d" if sep == "-" else f"%d{sep}%m{sep}%Y")
+    at = day - FIRST_DAY
+    while True:
+        at = f.number(at, LAST_DAY - FIRST_DAY + 1)
+        new = dt.date.fromordinal(FIRST_DAY + at)
+        # month first stays what day first can't be, so that both stay different
+        if not month_first or new.day > 12:
+            break
+    short = any(len(p) == 1 for p in parts) or bool(named) and not any(p.startswith("0") for p in parts)
+
+    def number(n: int) -> str:
+        return str(n) if short else f"{n:02d}"
+
+    def of(m: re.Match) -> str:
+        p = m[0]
+        if p.isalpha():
+            name = _MONTHS[new.month - 1]
+            name = name[:3] if len(p) < 5 and p.lower() not in _MONTHS else name
+            return name.upper() if p.isupper() else name.lower() if p.islower() else name.title()
+        if len(p) == 4 and p.isdigit():
+            return f"{new.year:04d}"
+        return number(next(rest)) + (_ordinal(new.day) if not p.isdigit() else "")
+
+    rest = iter([new.day] if named else [new.month, new.day] if month_first or len(parts[0]) == 4 else [new.day, new.month])
+    return _PART.sub(of, v)
 
 
 def _ssn(f: Feistel, v: str) -> str | None:
@@ -207,19 +270,20 @@ class Pseudonyms:
         if not _MAY.search(text):
             return text, found
 
-        def of(m: re.Match) -> str:
-            kind, shown = m.lastgroup, m[0]
+        out, done = [], 0
+        while m := _FIND.search(text, done):
+            out.append(text[done:m.start()])
+            kind, shown, done = m.lastgroup, m[0], m.end()
             if m["secret"]:
                 kind, a, b = "secret", *(x - m.start() for x in m.span("hidden"))
                 new = shown[:a] + self.feistel[kind].text(shown[a:b], _hex) + shown[b:]
             else:
+                if kind == "iban" and (end := _iban_end(shown)):
+                    shown, done = shown[:end], m.start() + end          # what follows is read again
                 new = _MAKE[kind](self.feistel[kind], shown)
-            if new is None:
-                return shown
-            found[kind] += 1
-            return new
-
-        return _FIND.sub(of, text), found
+            out.append(shown if new is None else new)
+            found[kind] += new is not None
+        return "".join(out) + text[done:], found
 
 
 def pseudonymise(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
