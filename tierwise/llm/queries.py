@@ -78,7 +78,8 @@ def op7_document_fingerprints(spark, sf_dir):
 
 @register
 def op5_line_dedup(spark, sf_dir):
-    return line_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_lost", "n_near")
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.dedup(docs, edits=None).select("doc_id", "text", "n_lines", "n_lost", "n_near")
 
 
 @register
