@@ -79,7 +79,7 @@ def op7_document_fingerprints(spark, sf_dir):
 @register
 def op5_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return line_dedup.dedup(docs, edits=None).select("doc_id", "text", "n_lines", "n_lost", "n_near")
+    return line_dedup.dedup(docs, edits=None, min_chars=1).select("doc_id", "text", "n_lines", "n_lost", "n_near")
 
 
 @register
