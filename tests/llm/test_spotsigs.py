@@ -63,3 +63,11 @@ def test_odd_rows(spark):
     one = S.pairs_with_next(spark.createDataFrame(rows[:1], "doc_id long, text string")).collect()
     assert len(one) == 1 and one[0].near_next == 1.0
     assert S.pairs_with_next(spark.createDataFrame(rows, "doc_id long, text string").limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [40, 400])
+def test_digests_of_different_sets_differ(n):
+    a = set(range(n)) | {10**6}
+    b = set(range(n)) | {10**6 + 1}
+    assert S.digest(a) != S.digest(b) and S.digest(a) == S.digest(set(sorted(a, reverse=True)))
+    assert S.digest(a).rsplit("-", 1)[0] == S.digest(b).rsplit("-", 1)[0]

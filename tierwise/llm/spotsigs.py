@@ -94,10 +94,11 @@ def likeness(a: set[int], b: set[int], threshold: float = 0.0) -> float:
 
 
 def digest(found: set[int]) -> str:
-    """Set length and smallest signatures, in hex."""
+    """Set length, smallest signatures and a hash of the whole set, in hex: equal for equal sets only."""
     least = sorted(found)[:SHOWN] if len(found) <= 256 else np.partition(
         np.fromiter(found, np.int64, len(found)), SHOWN)[:SHOWN]
-    return f"{len(found):x}-" + "".join(f"{int(s):012x}" for s in sorted(least))
+    whole = xxhash.xxh3_128_hexdigest(np.sort(np.fromiter(found, "<i8", len(found))).tobytes())
+    return f"{len(found):x}-" + "".join(f"{int(s):012x}" for s in sorted(least)) + f"-{whole}"
 
 
 def edited(text: str, following: str) -> str:
