@@ -71,3 +71,30 @@ def test_digests_of_different_sets_differ(n):
     b = set(range(n)) | {10**6 + 1}
     assert S.digest(a) != S.digest(b) and S.digest(a) == S.digest(set(sorted(a, reverse=True)))
     assert S.digest(a).rsplit("-", 1)[0] == S.digest(b).rsplit("-", 1)[0]
+
+
+@pytest.mark.parametrize("cell,threshold", [(256, 0.5), (4, 0.5), (256, 0.8)])
+def test_near_classes_are_brute_force(spark, monkeypatch, cell, threshold):
+    """Near copies that are far apart in doc_id; chunks of a hot key."""
+    monkeypatch.setattr(S, "CELL", cell)
+    rng = random.Random(2)
+    words = ["the", "of", "and"] + [f"w{i}" for i in range(60)]
+    base = [" ".join(rng.choice(words) for _ in range(rng.randrange(20, 120))) for _ in range(12)]
+    rows = []
+    for i in range(90):
+        w = rng.choice(base).split()
+        for _ in range(rng.randrange(6)):
+            w[rng.randrange(len(w))] = rng.choice(words)
+        rows.append((i * 7919 % 1000, " ".join(w)))
+    rows += [(2000, None), (2001, "..."), (2002, rows[0][1]), (2003, "alone here the stranger")]
+    sets = [S.signatures(t) for _, t in rows]
+    root = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if jaccard(a, b) >= threshold:
+                    root[i] = root[j] = min(root[i], root[j])
+    least = {r: min(d for (d, _), q in zip(rows, root) if q == r) for r in root}
+    got = {r.doc_id: r.class_id for r in S.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), threshold).collect()}
+    assert got == {d: least[r] for (d, _), r in zip(rows, root)}
+    assert 3 < len(set(got.values())) < len(rows)

@@ -14,6 +14,12 @@ percentiles, at most ``RANGES`` of them), sorted within, and the first document
 of a range is copied to the range before it: each text moves once, and a task
 holds one Arrow batch and two texts.
 
+``near_classes`` compares all documents: equal sets are one; a set is sent to its
+length class and the one below under each signature of its prefix (the smallest
+ones, as many as two alike sets can't both miss); a key of more than ``CELL``
+sets becomes a unit per pair of its chunks, and a unit gives a spanning forest of
+its pairs at the threshold. The components are the classes.
+
 Defined cases: a null text is empty; a text without anchors takes every word as
 one; a chain at the end of a text may be shorter; a text without words has no
 signatures, and two such sets are alike (1); rows that repeat a doc_id follow
@@ -36,7 +42,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+from .graph import components, local_components
+
 CHAIN = 2
+THRESHOLD = 0.5             # of near_classes
+CELL = 256                  # sets of a chunk of a hot key
 SHOWN = 16                  # smallest signatures that the digest shows
 RANGE_ROWS, RANGES = 250, 50_000      # several ranges a task, so that tasks are alike
 # Common words of four languages, the anchors.
@@ -173,3 +184,67 @@ def pairs_with_next(docs: DataFrame, anchors: frozenset[str] = ANCHORS, chain: i
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
 
     return _dealt(docs).select("doc_id", "text", "copied", "range_no").mapInArrow(rows, schema)
+
+
+def near_classes(docs: DataFrame, threshold: float = THRESHOLD, anchors: frozenset[str] = ANCHORS,
+                 chain: int = CHAIN) -> DataFrame:
+    """Per row of docs: doc_id and class_id, the smallest doc_id that links of likeness >= threshold reach
+    (null if all of them are null)."""
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.sort(np.fromiter(s, np.int64, len(s))) for s in
+                     (signatures(t.as_py(), anchors, chain) for t in batch.column(1))]
+            h = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in found], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(h), pa.array(found, pa.list_(pa.int64()))],
+                                             ["doc_id", "h", "sigs"])
+
+    def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, members = None, []
+
+        def links() -> pa.RecordBatch:
+            a, b = [], []
+            for i, (_, upper, x) in enumerate(members):
+                for j in range(i):
+                    # sets of the upper class meet each other in their own
+                    if not (upper and members[j][1]) and likeness(x, members[j][2], threshold) >= threshold:
+                        a.append(i)
+                        b.append(j)
+            root = local_components(len(members), np.array(a, np.int64), np.array(b, np.int64))
+            at = np.flatnonzero(root != np.arange(len(members)))
+            return pa.RecordBatch.from_arrays([pa.array([members[i][0] for i in at], pa.int64()),
+                                               pa.array([members[root[i]][0] for i in at], pa.int64())], ["u", "v"])
+
+        for batch in batches:
+            for u, h, upper, sigs in zip(*(c.to_pylist() for c in batch.columns)):
+                if u != unit:
+                    yield links()
+                    unit, members = u, []
+                members.append((h, upper, set(sigs)))
+        yield links()
+
+    text = F.col("text").cast("string")
+    found = written(docs.select(F.col("doc_id").cast("long"), text).mapInArrow(
+        sets_of, "doc_id long, h long, sigs array<long>"), "spots-sets")
+    least = found.groupBy("h").agg(F.min("doc_id").alias("least"))
+    sets = written(found.groupBy("h").agg(F.first("sigs").alias("sigs")), "spots-distinct")
+    n = F.size("sigs")
+    prefix = F.slice("sigs", F.lit(1), (n - F.ceil(n * F.lit(threshold) - F.lit(1e-9)) + 1).cast("int"))
+    # a little wider, so that no rounding puts alike sets two classes apart
+    width = -math.log(threshold) * (1 + 1e-9) + 1e-12
+    of = F.floor(F.log(n.cast("double")) / F.lit(width))
+    keys = sets.where(n > 0).select("h", of.alias("of"), F.explode(prefix).alias("sig"))
+    keys = keys.select("h", F.explode(F.array(F.struct(F.lit(False).alias("upper"), F.col("of").alias("of")),
+                                              F.struct(F.lit(True).alias("upper"), (F.col("of") - 1).alias("of")))).alias("k"), "sig")
+    keys = written(keys.select("h", "k.upper", F.xxhash64("k.of", "sig").alias("key")), "spots-keys")
+    size = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("upper").alias("only_upper")).where("size > 1 and not only_upper")
+    keys = keys.join(size, "key")
+    chunks = F.ceil(F.col("size") / F.lit(CELL)).cast("int")
+    mine = F.pmod(F.xxhash64("h"), chunks).cast("int")
+    pair = F.transform(F.sequence(F.lit(0), chunks - 1), lambda c: F.xxhash64("key", F.least(c, mine), F.greatest(c, mine)))
+    units = keys.select("h", "upper", F.explode(F.when(F.col("size") > CELL, pair).otherwise(F.array("key"))).alias("unit"))
+    units = units.join(sets, "h").select("unit", "h", "upper", "sigs").repartition("unit").sortWithinPartitions("unit")
+    roots = components(units.mapInArrow(forest, "u long, v long"), "spots-links")
+    c = least.join(roots, F.col("h") == F.col("node"), "left").select("h", "least", F.coalesce("root", "h").alias("root"))
+    named = c.groupBy("root").agg(F.min("least").alias("class_id"))
+    of = c.join(named, "root").select("h", "class_id")
+    return found.select("doc_id", "h").join(of, "h").select("doc_id", "class_id")
