@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, license_scan, line_dedup, mixing, packing, pii, simhash, spotsigs, sql, topk, warc
+from . import (
+    importance, langid, license_scan, line_dedup, mixing, packing, pii, simhash, simplex_kmeans, spotsigs, sql, suffix_dedup, topk, warc,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,6 +17,8 @@ SQL: dict[str, str] = {
     "op1_license_scan": sql.LICENSES,
     "op4_exact_top_k": sql.TOPK,
     "op8_warc": sql.WARC,
+    "op11_centroid_clustering": sql.kmeans(),
+    "op12_importance_resampling": sql.IMPORTANCE,
 }
 
 
@@ -85,3 +89,21 @@ def op5_line_dedup(spark, sf_dir):
 @register
 def op3_pii_pseudonyms(spark, sf_dir):
     return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register
+def op11_centroid_clustering(spark, sf_dir):
+    return simplex_kmeans.report(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op12_importance_resampling(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op13_suffix_dedup(spark, sf_dir):
+    got = suffix_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
+    return got.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))

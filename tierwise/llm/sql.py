@@ -92,3 +92,73 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
        coalesce(score, 0.0) AS score, coalesce(n_spans, 0) AS n_spans
 FROM d LEFT JOIN found ON d.rid = found.rid
 '''
+
+
+def kmeans(k: int = 8, rounds: int = 10) -> str:
+    '''k-means on integers, each round written out. A row per component; rows are told apart by number.'''
+    parts = ['''
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+x AS MATERIALIZED (SELECT r, unnest(q) AS a, generate_subscripts(q, 1) AS d FROM v),
+c0 AS MATERIALIZED (
+  SELECT c, unnest(q) AS a, generate_subscripts(q, 1) AS d
+  FROM (SELECT row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR)) NULLS LAST, q) - 1 AS c, q FROM v) WHERE c < %d)''' % k]
+    for i in range(rounds + 1):
+        parts.append(f'''
+n{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, s * 100 + c) AS c, min(s) AS s
+  FROM (SELECT x.r, t.c, CAST(sum((x.a - t.a) * (x.a - t.a)) AS BIGINT) AS s FROM x JOIN c{i} t ON x.d = t.d GROUP BY x.r, t.c) GROUP BY r)''')
+        if i < rounds:
+            parts.append(f'''
+c{i + 1} AS MATERIALIZED (
+  SELECT t.c, t.d, coalesce(m.a, t.a) AS a
+  FROM c{i} t LEFT JOIN (
+    SELECT c, d, CAST((CAST(sum(a) AS BIGINT) - ((CAST(sum(a) AS BIGINT) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS a
+    FROM x JOIN n{i} ON x.r = n{i}.r GROUP BY c, d) m
+  ON t.c = m.c AND t.d = m.d)''')
+    return ','.join(parts) + f'''
+SELECT v.vec_id, CAST(n.c AS INTEGER) AS cluster, n.s AS distance, CAST(sum(n.s) OVER (PARTITION BY n.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(n.s) OVER () AS BIGINT) AS inertia, h.sha AS centroid_sha256
+FROM n{rounds} n JOIN v ON n.r = v.r
+JOIN (SELECT c, sha256(string_agg(CAST(a AS VARCHAR), ',' ORDER BY d)) AS sha FROM c{rounds} GROUP BY c) h ON n.c = h.c
+'''
+
+
+# CRC-32 (polynomial 0xEDB88320, lowest power first) byte by byte, from a table of 256 values made by its rule.
+IMPORTANCE = '''
+WITH tab AS MATERIALIZED (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_concat([i], range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS i))),
+texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, true AS doc, doc_id, text FROM documents
+  UNION ALL SELECT -row_number() OVER () AS r, false, NULL, text FROM benchmark),
+w AS MATERIALIZED (
+  SELECT r, doc, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM texts),
+f AS MATERIALIZED (SELECT r, doc, unnest(w) AS word FROM w),
+b AS MATERIALIZED (
+  SELECT word, xor(list_reduce(list_concat([4294967295], list_transform(range(strlen(word)), lambda i:
+      (strpos('0123456789ABCDEF', substr(hex(encode(word)), 2 * i + 1, 1)) - 1) * 16
+      + strpos('0123456789ABCDEF', substr(hex(encode(word)), 2 * i + 2, 1)) - 1)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT word FROM f), tab),
+n AS MATERIALIZED (
+  SELECT bucket, count(*) FILTER (WHERE doc) AS s, count(*) FILTER (WHERE NOT doc) AS t FROM f JOIN b USING (word) GROUP BY bucket),
+g AS MATERIALIZED (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(s_all + 10000 AS DOUBLE) / (CAST(s + 1 AS DOUBLE) * CAST(t_all + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM n, (SELECT sum(s) AS s_all, sum(t) AS t_all FROM n)),
+wt AS (SELECT r, CAST(sum(gain) AS BIGINT) AS weight FROM f JOIN b USING (word) JOIN g USING (bucket) WHERE doc GROUP BY r),
+sc AS MATERIALIZED (
+  SELECT w.r, w.doc_id, CAST(len(w.w) AS BIGINT) AS n_features, coalesce(wt.weight, 0) AS weight,
+    coalesce(wt.weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(w.doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM w LEFT JOIN wt ON w.r = wt.r WHERE w.doc),
+k AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place, count(*) OVER () AS n_all
+      FROM sc WHERE n_features >= 20)
+SELECT sc.doc_id, sc.n_features, sc.weight, sc.score, CASE WHEN k.place <= 10 * k.n_all // 100 THEN k.place END AS rank
+FROM sc LEFT JOIN k ON sc.r = k.r
+'''
