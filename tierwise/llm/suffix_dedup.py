@@ -45,7 +45,8 @@ from .common import written
 LENGTH = 400
 STRIDE = 50
 UNIT = 1024                     # distinct segments of a unit
-BATCH, SHARD = 1 << 21, 1 << 18
+BATCH, SHARD = 1 << 19, 1 << 17         # small enough for a core's cache
+SLICE = 20000                   # rows of an anchor that are joined as one key
 PIECE = 1 << 20
 PLACE = np.uint64(PIECE - 1)
 ODD = 0x9E3779B97F4A7C15        # base of the rolling hashes
@@ -226,31 +227,41 @@ def _anchored(docs: DataFrame, length: int) -> DataFrame:
     """A row per segment of every row of docs."""
     import xxhash
 
+    def segments(t1: pa.Scalar, t2: pa.Scalar, text: bytes) -> Iterator[pa.RecordBatch]:
+        for g, first, last, at in segments_of(text, length):
+            s = np.frombuffer(b"".join([xxhash.xxh3_128_digest(text[x:y]) for x, y in zip(first.tolist(), (last + length).tolist())]), "<i8")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(g), pa.array(s[::2]), pa.array(s[1::2]), pa.repeat(t1, len(g)), pa.repeat(t2, len(g)),
+                 *[pa.array(x.astype(np.int32)) for x in (first, at - first, last - first + length)]],
+                ["g", "s1", "s2", "t1", "t2", "start", "off", "size"])
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i, text in enumerate(b.column(2)):
-                text = text.as_py()
-                for g, first, last, at in segments_of(text, length):
-                    s = np.frombuffer(b"".join([xxhash.xxh3_128_digest(text[x:y]) for x, y in zip(first, last + length)]), "<i8")
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(g), pa.array(s[::2]), pa.array(s[1::2]),
-                         *[pa.repeat(b.column(k)[i], len(g)) for k in (0, 1)],
-                         *[pa.array(x.astype(np.int32)) for x in (first, at - first, last - first + length)]],
-                        ["g", "s1", "s2", "t1", "t2", "start", "off", "size"])
-
-    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0                         # a text's rows are few: send them on together
-        for b in rows(batches):
-            held.append(b)
-            n += b.num_rows
-            if n >= 20000:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, n = [], 0
+        for b in batches:
+            for t1, t2, text in zip(*b.columns):
+                for part in segments(t1, t2, text.as_py()):
+                    held.append(part)
+                    n += part.num_rows
+                if n >= 20000:
+                    yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                    held, n = [], 0
         if held:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
     text = _bytes(docs)
-    return docs.where(F.length(text) >= length).select(*_hashes(text), text.alias("text")).mapInArrow(full, _SEG)
+    return docs.where(F.length(text) >= length).select(*_hashes(text), text.alias("text")).mapInArrow(rows, _SEG)
+
+
+def _anchors(docs: DataFrame, length: int) -> DataFrame:
+    """The anchor hash of each segment alone."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [g for text in b.column(0) for g, *_ in segments_of(text.as_py(), length)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], ["g"])
+
+    text = _bytes(docs)
+    return docs.where(F.length(text) >= length).select(text.alias("text")).mapInArrow(rows, "g long")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -273,7 +284,7 @@ def _cut(segments: DataFrame, docs: DataFrame) -> DataFrame:
     """segments with their bytes, from the text that ``at`` names."""
     import zstandard
 
-    wanted = segments.groupBy("at.t1", "at.t2").agg(F.collect_list(F.struct("g", "s1", "s2", "n", "off", "size", "at.start")).alias("s"))
+    wanted = segments.groupBy("at.t1", "at.t2").agg(F.collect_list(F.struct("g", "s1", "s2", "n", "fan", "off", "size", "at.start")).alias("s"))
     texts = _packed(docs.select("text")).groupBy("t1", "t2").agg(F.first("blob").alias("blob"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,12 +293,12 @@ def _cut(segments: DataFrame, docs: DataFrame) -> DataFrame:
             for blob, s in zip(b.column(0), b.column(1)):
                 text, s = z.decompress(blob.as_py()), s.values
                 start, size = s.field("start").to_pylist(), s.field("size").to_pylist()
-                cols = [s.field(k) for k in ("g", "s1", "s2", "n", "off")]
+                cols = [s.field(k) for k in ("g", "s1", "s2", "n", "fan", "off")]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array([text[a:a + n] for a, n in zip(start, size)], pa.binary())],
-                                                 ["unit", "i1", "i2", "n", "off", "bytes"])
+                                                 ["unit", "i1", "i2", "n", "fan", "off", "bytes"])
 
     return texts.join(wanted, ["t1", "t2"]).select("blob", "s").mapInArrow(
-        rows, "unit long, i1 long, i2 long, n long, off int, bytes binary")
+        rows, "unit long, i1 long, i2 long, n long, fan int, off int, bytes binary")
 
 
 def _halved(hot: DataFrame, lo: int, hi: int, length: int) -> DataFrame:
@@ -297,17 +308,17 @@ def _halved(hot: DataFrame, lo: int, hi: int, length: int) -> DataFrame:
     halves = F.explode(F.array(*[F.struct(F.lit(a).alias("lo"), F.lit(b).alias("hi")) for a, b in ((lo, mid), (mid + 1, hi))]))
     # the segment's windows have their anchor from least to off bytes from their start
     least = F.col("off") - (F.length("bytes") - length)
-    x = hot.withColumn("half", halves).select("unit", F.col("i1").alias("p1"), F.col("i2").alias("p2"), "n", "off", "bytes",
+    x = hot.withColumn("half", halves).select("unit", F.col("i1").alias("p1"), F.col("i2").alias("p2"), "n", "fan", "off", "bytes",
                                               F.col("half.lo").alias("lo"), F.col("half.hi").alias("hi"), least.alias("least"))
     x = x.where((F.col("off") >= F.col("lo")) & (F.col("least") <= F.col("hi")))
     far, near = F.least("hi", "off"), F.greatest("lo", "least")
     shift = (F.col("off") - far).cast("int")
     piece = F.substring(F.col("bytes"), shift + 1, (far - near + length).cast("int"))
     core = F.substring(F.col("bytes"), (F.col("off") - F.col("lo") + 1).cast("int"), (F.lit(length) - F.col("hi") + F.col("lo")).cast("int"))
-    x = x.select("p1", "p2", shift.alias("shift"), F.xxhash64("unit", "lo", core).alias("unit"), "n", far.cast("int").alias("off"),
+    x = x.select("p1", "p2", shift.alias("shift"), F.xxhash64("unit", "lo", core).alias("unit"), "n", "fan", far.cast("int").alias("off"),
                  piece.alias("bytes"), "lo", "hi")
     return x.select("p1", "p2", "shift", "unit", F.xxhash64("bytes").alias("i1"), F.xxhash64(F.lit(LENGTH), "bytes").alias("i2"),
-                    "n", "off", "bytes", "lo", "hi")
+                    "n", "fan", "off", "bytes", "lo", "hi")
 
 
 def _units(cut: DataFrame, length: int, most: int) -> tuple[DataFrame, list[DataFrame]]:
@@ -318,7 +329,7 @@ def _units(cut: DataFrame, length: int, most: int) -> tuple[DataFrame, list[Data
         size = cut.groupBy("unit").agg(F.count("*").alias("members"), F.sum("n").alias("places")).where("places > 1")
         cut = cut.join(size.select("unit", "members"), "unit")
         small = cut.where(F.col("members") <= most) if level < 32 else cut
-        small = small.select("unit", "i1", "i2", "n", "bytes", F.lit(level).alias("level"))
+        small = small.select("unit", "i1", "i2", "n", "fan", "bytes", F.lit(level).alias("level"))
         done = small if done is None else done.unionByName(small)
         if size.where(F.col("members") > most).isEmpty():
             return done, maps
@@ -330,7 +341,7 @@ def _units(cut: DataFrame, length: int, most: int) -> tuple[DataFrame, list[Data
             x = x.unionByName(p)
         x = written(x, "suffix-halves")
         maps.append(x.select("p1", "p2", "i1", "i2", "shift").distinct())
-        cut = written(x.groupBy("i1", "i2").agg(F.sum("n").alias("n"), *[F.first(c).alias(c) for c in ("unit", "off", "bytes", "lo", "hi")]),
+        cut = written(x.groupBy("i1", "i2").agg(F.sum("n").alias("n"), *[F.first(c).alias(c) for c in ("unit", "fan", "off", "bytes", "lo", "hi")]),
                       "suffix-units")
         ranges = [r for a, b in ranges if a < b for r in ((a, (a + b) // 2), ((a + b) // 2 + 1, b))]
         level += 1
@@ -343,10 +354,11 @@ def _merge_units(units: DataFrame, length: int, stride: int) -> DataFrame:
         who, at = repeated_windows(t["bytes"].to_pylist(), t["n"].to_numpy(), length, stride)
         new = np.flatnonzero(np.r_[True, (who[1:] != who[:-1]) | (at[1:] != at[:-1] + 1)]) if len(who) else np.empty(0, np.int64)
         end = np.r_[new[1:], len(who)] - 1 if len(who) else new
-        of = t.select(["level", "i1", "i2"]).take(pa.array(who[new])).combine_chunks()
-        cols = [of[c].combine_chunks() if of.num_rows else pa.array([], of.schema.field(c).type) for c in ("level", "i1", "i2")]
+        names = ["level", "fan", "i1", "i2"]
+        of = t.select(names).take(pa.array(who[new])).combine_chunks()
+        cols = [of[c].combine_chunks() if of.num_rows else pa.array([], of.schema.field(c).type) for c in names]
         return pa.RecordBatch.from_arrays([*cols, pa.array(at[new].astype(np.int32)), pa.array(at[end].astype(np.int32))],
-                                          ["level", "i1", "i2", "first", "last"])
+                                          [*names, "first", "last"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -360,39 +372,42 @@ def _merge_units(units: DataFrame, length: int, stride: int) -> DataFrame:
                     yield found(held)
                     held, n = [], 0
                 held.append(part)
-                n += part.column(5).nbytes
+                n += part.column(6).nbytes
         if held:
             yield found(held)
 
-    u = units.select("unit", "level", "i1", "i2", "n", "bytes").repartition("unit").sortWithinPartitions("unit")
-    return u.mapInArrow(rows, "level int, i1 long, i2 long, first int, last int")
+    u = units.select("unit", "level", "fan", "i1", "i2", "n", "bytes").repartition("unit").sortWithinPartitions("unit")
+    return u.mapInArrow(rows, "level int, fan int, i1 long, i2 long, first int, last int")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, stride: int = STRIDE, unit: int = UNIT) -> DataFrame:
     """t1, t2 (a text's hashes) and spans (array of the places [first, end) that repeated windows cover, not yet united)."""
     if length % stride or length % 2 or length // 2 < stride:
         raise ValueError("length must be even and a multiple of stride, at least twice as long")
-    seen = written(_anchored(docs.select("text"), length).groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g"),
-                   "suffix-anchors")
+    c = _anchors(docs.select("text"), length).groupBy("g").agg(F.count("*").alias("c")).where("c > 1")
+    # a hot anchor's places are joined in slices; its segments know how many
+    seen = written(c.select("g", F.ceil(F.col("c") / SLICE).cast("int").alias("fan")), "suffix-anchors")
     # s1, s2 tell g, so rows of a hot anchor are dealt out anew for the count
     places = _anchored(docs.select("text"), length).join(seen, "g")
     places = written(places.groupBy("s1", "s2", "t1", "t2", "start").agg(
-        F.count("*").alias("n"), F.first("g").alias("g"), F.first("off").alias("off"), F.first("size").alias("size")), "suffix-places")
+        F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("g", "fan", "off", "size")]), "suffix-places")
     segments = places.groupBy("s1", "s2").agg(F.sum("n").alias("n"), F.min(F.struct("t1", "t2", "start")).alias("at"),
-                                              *[F.first(c).alias(c) for c in ("g", "off", "size")])
+                                              *[F.first(c).alias(c) for c in ("g", "fan", "off", "size")])
     cut = written(_cut(segments, docs), "suffix-segments")
     units, maps = _units(cut, length, unit)
     found = written(_merge_units(units, length, stride), "suffix-found")
     hits = None
     for level in range(len(maps), -1, -1):
-        here = found.where(F.col("level") == level).select("i1", "i2", "first", "last")
+        here = found.where(F.col("level") == level).select("fan", "i1", "i2", "first", "last")
         hits = here if hits is None else hits.unionByName(here)
         if level:                               # windows of a half are windows of all its parents
             m = maps[level - 1]
-            hits = hits.join(m, ["i1", "i2"]).select(F.col("p1").alias("i1"), F.col("p2").alias("i2"), (F.col("first") + F.col("shift")).alias("first"),
+            hits = hits.join(m, ["i1", "i2"]).select("fan", F.col("p1").alias("i1"), F.col("p2").alias("i2"), (F.col("first") + F.col("shift")).alias("first"),
                                                      (F.col("last") + F.col("shift")).alias("last"))
-    runs = hits.groupBy("i1", "i2").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    placed = runs.join(places, (F.col("i1") == F.col("s1")) & (F.col("i2") == F.col("s2")))
+    runs = hits.groupBy("fan", "i1", "i2").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    runs = runs.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("fan") - 1))).drop("fan")
+    places = places.withColumn("of", F.pmod(F.xxhash64("t1", "start"), F.col("fan")).cast("int"))
+    placed = runs.join(places, (F.col("i1") == F.col("s1")) & (F.col("i2") == F.col("s2")) & (F.col("slice") == F.col("of")))
     moved = F.transform("runs", lambda r: F.struct((F.col("start") + r["first"]).alias("first"),
                                                    (F.col("start") + r["last"] + length).alias("end")))
     return placed.select("t1", "t2", moved.alias("runs")).groupBy("t1", "t2").agg(F.flatten(F.collect_list("runs")).alias("spans"))
