@@ -116,22 +116,6 @@ def test_rate_text_with_missing_marker_and_ties(spark):
     assert ingest.rate_changes(df.limit(0), "date").count() == 0
 
 
-def test_rate_windows_do_not_grow_with_the_data(spark):
-    from tierwise.sources import testmap
-    largest = []
-    for sf in ("sf0.01", "sf0.1"):
-        obs = ingest.chunked(ingest.observations(testmap.rate_observations(spark, f"/root/testdata/{sf}"), "ts"), "ts")
-        largest.append(obs.groupBy("series_id", "_chunk").count().agg({"count": "max"}).first()[0])
-    assert max(largest) <= 2 * ingest.CHUNK_ROWS, largest
-
-
-def test_carry_over_empty_chunks_and_blocks(spark):
-    last = spark.createDataFrame([("A", 0, 1.0), ("A", 3, 2.0), ("A", 25, 3.0), ("B", 24, 4.0)],
-                                 "series_id string, _chunk long, _last double")
-    got = {(r.series_id, r["_chunk"]): r["_carry"] for r in ingest._previous_of_chunks(last, fan=10).collect()}
-    assert got == {("A", 0): None, ("A", 3): 1.0, ("A", 25): 2.0, ("B", 24): None}
-
-
 def test_census_arrays_ragged_empty_and_bad(spark, tmp_dir):
     import os
 

@@ -61,7 +61,7 @@ def test_one_scan(spark, name):
     assert scans(E.queries()[name](spark, SF_SMALL)) == 1
 
 
-@pytest.mark.parametrize("name", ["describe_stats", "box_by_type", "county_lookup", "rate_bps"])
+@pytest.mark.parametrize("name", ["describe_stats", "box_by_type", "county_lookup"])
 def test_no_job_over_rows_while_the_plan_is_built(spark, name):
     sc = spark.sparkContext
     sc.setJobGroup(f"build-{name}", "")

@@ -6,12 +6,13 @@ each is a DataFrame job over landed records.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import coerce_double, first_part, iso_now, null_if_negative, state_code
 from ..functions.scoring import county_risk_index, macro_index
 from ..schemas import EVENT_LOAN, EVENT_MACRO, EVENT_RATE, MACRO_KEYS, OBSERVATION_START
+from .ordered import previous
 from .quantiles import median
 
 
@@ -74,57 +75,19 @@ def observations(rates: DataFrame, order_col: str = "date") -> DataFrame:
                                        else F.col("value").cast("double")))
 
 
-CHUNK_ROWS = 1000
-
-
-def _previous_of_chunks(last: DataFrame, fan: int = CHUNK_ROWS) -> DataFrame:
-    """last: series_id, _chunk, _last -> series_id, _chunk, _carry: the value of the nearest chunk before.
-
-    Two levels: chunks within blocks of ``fan`` chunk numbers, then the blocks of a series, so the
-    widest window is about rows / (CHUNK_ROWS * fan)."""
-    order = Window.partitionBy("series_id", "_block").orderBy("_chunk")
-    inner = last.withColumn("_block", F.floor(F.col("_chunk") / F.lit(fan)))
-    blocks = inner.groupBy("series_id", "_block").agg(F.max_by("_last", "_chunk").alias("_block_last"))
-    before = Window.partitionBy("series_id").orderBy("_block")
-    blocks = blocks.select(F.col("series_id").alias("_s"), F.col("_block").alias("_b"),
-                           F.lag("_block_last").over(before).alias("_block_carry"))
-    inner = inner.withColumn("_carry", F.lag("_last").over(order))
-    out = inner.join(blocks, F.col("series_id").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")))
-    return out.select("series_id", "_chunk", F.coalesce("_carry", "_block_carry").alias("_carry"))
-
-
-def chunked(obs: DataFrame, order_col: str, rows: int = CHUNK_ROWS) -> DataFrame:
-    """obs with _chunk: spans of time of about ``rows`` rows of all series together. The span follows
-    from the row count and the time range, as a scalar subquery."""
-    t = F.unix_micros(F.col(order_col).cast("timestamp"))
-    one = obs.agg(F.min(t).alias("t0"), F.max(t).alias("t1"), F.count(F.lit(1)).alias("n"))
-    span = F.greatest(F.lit(1.0), (F.col("t1") - F.col("t0")) * F.lit(float(rows)) / F.greatest("n", F.lit(1)))
-    s = one.select(F.struct("t0", span.alias("span")).alias("s")).scalar()
-    return obs.withColumn("_chunk", F.floor((t - s["t0"]) / s["span"]))
-
-
-def rate_changes(rates: DataFrame, order_col: str = "date", ingested_at=None) -> DataFrame:
+def rate_changes(rates: DataFrame, order_col: str = "date", ingested_at=None, partitions: int | None = None) -> DataFrame:
     """Change against the previous observation of the same series, in bps.
 
     (value - previous) * 100, first observation of a series 0.0; missing
     observations dropped first; equal times are ordered by value.
 
-    Skew-safe lag: a series that holds a third of all rows must not become one
-    window task. Rows are windowed per (series, chunk of time); the number of
-    chunks grows with the rows, so no window does. The first row of a chunk
-    takes the last value of the nearest earlier chunk of its series, carried
-    over in two levels.
+    Skew-safe: rows are dealt out by ranges of (series, time, value), so neither a series that holds
+    a third of all rows nor a burst within a second is one task (``ordered.previous``).
     """
-    obs = chunked(observations(rates, order_col), order_col)
-    w = Window.partitionBy("series_id", "_chunk").orderBy(order_col, "value")
-    inner = obs.withColumn("_prev", F.lag("value").over(w))
-    last = obs.groupBy("series_id", "_chunk").agg(F.max_by("value", F.struct(order_col, "value")).alias("_last"))
-    carry = _previous_of_chunks(last).select(F.col("series_id").alias("_cs"), F.col("_chunk").alias("_cc"), "_carry")
-    out = inner.join(carry, F.col("series_id").eqNullSafe(F.col("_cs")) & F.col("_chunk").eqNullSafe(F.col("_cc")), "left")
-    prev = F.coalesce(F.col("_prev"), F.col("_carry"))
+    out = previous(observations(rates, order_col), "series_id", [order_col, "value"], "value", "_prev_value", partitions)
     return out.select(
         "series_id", "label", order_col, "value",
-        F.coalesce((F.col("value") - prev) * F.lit(100.0), F.lit(0.0)).alias("rate_change_bps"),
+        F.coalesce((F.col("value") - F.col("_prev_value")) * F.lit(100.0), F.lit(0.0)).alias("rate_change_bps"),
         F.lit(EVENT_RATE).alias("event_type"),
         (ingested_at if ingested_at is not None else iso_now()).alias("ingestion_timestamp"),
     )
