@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tierwise.operators import lake, marts
+from tierwise.operators import lake, marts, versions
 from tierwise.plans import jobs, views
 from tierwise.sources import testmap
 
@@ -27,7 +27,13 @@ def test_nightly_and_refresh(spark, tmp_dir):
     before_after = {r.risk_tier: (r.before_count, r.after_count)
                     for r in jobs.refresh(spark, f"{tmp_dir}/lake", as_of_ts="2024-04-07 07:00:00").collect()}
     assert sum(b for b, _ in before_after.values()) == sum(a for _, a in before_after.values()) == sum(exp.values())
-    assert spark.read.parquet(f"{tmp_dir}/lake/refreshed/marts/mart_risk_summary").count() >= 1
+    after = versions.current(spark, f"{tmp_dir}/lake/scores")
+    assert after["version"] == 2
+    summary = spark.read.parquet(f"{after['marts']}/mart_risk_summary").collect()
+    assert {r.risk_tier: r.loan_count for r in summary} == {t: a for t, (_, a) in before_after.items() if a}
+    # a nightly run afterwards is a version of its own
+    jobs.nightly(spark, f"{tmp_dir}/raw", f"{tmp_dir}/lake", as_of="2024-04-08")
+    assert versions.current(spark, f"{tmp_dir}/lake/scores")["version"] == 3
     assert views.AS_OF_DATE  # views module importable alongside jobs
 
 

@@ -16,6 +16,7 @@ from ..policies import GOLD, Policy
 from ..schemas import (
     GOLD_CARRY, GOLD_COLUMNS, PARTITION_COLS, VALID_ACTIONS, VALID_LOAN_TYPES,
 )
+from ..sources.files import read_lake
 
 
 # ---------------------------------------------------------------- silver
@@ -83,11 +84,6 @@ def score(silver: DataFrame, policy: Policy = GOLD, carry: list[str] | None = No
     return select_existing(scored, cols)
 
 
-def gold_from_raw(raw: DataFrame, as_of: str | Column | None = None,
-                  policy: Policy = GOLD) -> DataFrame:
-    return score(clean_raw(raw, as_of), policy)
-
-
 # ---------------------------------------------------------------- sinks
 
 def _partitioned_write(df: DataFrame, path: str, mode: str, max_records: int, dynamic: bool,
@@ -144,7 +140,7 @@ def materialize(df: DataFrame, name: str, kind: str = "table", path: str | None
 
 def load_gold(spark: SparkSession, path: str, table: str) -> DataFrame:
     """K9: bulk load gold parquet into a managed table."""
-    spark.read.parquet(path).write.mode("overwrite").saveAsTable(table)
+    read_lake(spark, path).write.mode("overwrite").saveAsTable(table)
     return spark.table(table)
 
 
@@ -174,27 +170,11 @@ def sql(spark: SparkSession, text: str) -> DataFrame:
     return spark.sql(text)
 
 
-def compact(spark: SparkSession, src: str, dst: str, max_records: int = 5_000_000) -> DataFrame:
-    """Rewrite a partitioned tree with few files per partition.
-
-    Writes to a new path (never read and overwrite one path in a plan).
-    """
-    df = read_silver_path(spark, src)
-    _partitioned_write(df, dst, "overwrite", max_records, dynamic=False)
-    return spark.read.parquet(dst)
-
-
 def write_report(df: DataFrame, path: str) -> None:
     """Report rows as JSON (one small file)."""
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
 def read_silver_path(spark: SparkSession, path: str) -> DataFrame:
-    """silver/gold tree with text partition values.
-
-    If the session re-types partition values (``month=04`` read as 4), they
-    are turned back into zero-padded text, so a re-write keeps ``month=04``.
-    """
-    df = spark.read.option("basePath", path).parquet(path)
-    return df.withColumns({"year": F.col("year").cast("string"),
-                           "month": pad2(F.col("month")), "day": pad2(F.col("day"))})
+    """silver/gold tree with text partition values, whatever the session infers (``files.read_lake``)."""
+    return read_lake(spark, path)

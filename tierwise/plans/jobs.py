@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import lake, marts, quality, scenarios
+from ..operators import lake, marts, quality, scenarios, versions
 from ..sources import files
 
 MART_BUILDERS = {
@@ -43,6 +43,8 @@ def nightly(spark: SparkSession, raw_path: str, root: str, as_of: str | None = N
     silver = lake.read_silver_path(spark, f"{root}/silver")
     lake.write_gold(lake.score(silver), f"{root}/gold", one_day=True)
     gold = lake.read_silver_path(spark, f"{root}/gold")
+    if versions.current(spark, f"{root}/scores") is not None:
+        versions.create(spark, f"{root}/scores", gold)          # what refreshes start from
     models = build_models(spark, gold, root, as_of_ts)
 
     def report(df: DataFrame, name: str) -> DataFrame:
@@ -70,11 +72,20 @@ def nightly(spark: SparkSession, raw_path: str, root: str, as_of: str | None = N
 
 def refresh(spark: SparkSession, root: str, macro: float | Column | None = None,
             as_of_ts: str | None = None) -> DataFrame:
-    """Re-score the stored gold with a new macro score, write it as a
-    new version (no in-place update), rebuild ALL marts from it, and return the
-    before/after tier counts."""
-    before = lake.read_silver_path(spark, f"{root}/gold")
-    lake.write_gold(scenarios.refresh_scores(before, macro), f"{root}/gold_refreshed")
-    after = lake.read_silver_path(spark, f"{root}/gold_refreshed")
-    build_models(spark, after, f"{root}/refreshed", as_of_ts)
-    return scenarios.refresh_report(before, after)
+    """The next version of the scored layer with a new macro score, all marts built from it before the
+    pointer moves, and the tier counts of the versions before and after.
+
+    The first refresh takes ``root/gold`` as version 1. Layer and marts live under ``root/scores``; the log entry of a
+    version names its marts, so a reader of the pointer never sees one without the other."""
+    at = f"{root}/scores"
+    if versions.current(spark, at) is None:
+        versions.create(spark, at, lake.read_silver_path(spark, f"{root}/gold"))
+    before = versions.current(spark, at)
+
+    def marts_of(rows: DataFrame, entry: dict) -> dict:
+        place = f"{at}/marts/{entry['manifest']}"
+        build_models(spark, rows, place, as_of_ts)
+        return {"marts": f"{place}/marts"}
+
+    after = versions.rewrite(spark, at, lambda df: scenarios.refresh_scores(df, macro), "refresh", marts_of)
+    return versions.compare(spark, at, before["version"], after["version"])

@@ -689,3 +689,69 @@ SELECT loan_id, {r6('risk_score')} AS risk_score, risk_tier,
                       WHEN 'MEDIUM' THEN 'Standard underwriting process.'
                       WHEN 'LOW' THEN 'Approve with standard terms.' END AS recommendation
 FROM tp"""
+
+
+# ------------------------------------------------------------ layers kept as versions (a run a month)
+
+_MONTHLY = ", mg AS (SELECT * REPLACE (CAST(date_trunc('month', processing_date) AS DATE) AS processing_date) FROM gold)"
+
+
+def _rescored(name: str, src: str, macro: str) -> str:
+    score = (f"ltv_score * {D(0.3)} + dti_score * {D(0.25)} + rate_spread_score * {D(0.25)} + ({macro}) * {D(0.2)}")
+    return f"""
+, {name}_s AS (SELECT * REPLACE ({score} AS risk_score, {macro} AS macro_stress_score) FROM {src}),
+{name} AS (SELECT * REPLACE (CASE WHEN risk_score IS NULL THEN NULL WHEN risk_score < {D(0.3)} THEN 'LOW'
+    WHEN risk_score < {D(0.6)} THEN 'MEDIUM' WHEN risk_score < {D(0.85)} THEN 'HIGH' ELSE 'CRITICAL' END AS risk_tier) FROM {name}_s)"""
+
+
+_NEW_MACRO = (f"CASE WHEN processing_date >= DATE '1997-01-01' THEN {D(4.5)} * {D(0.1)} + {D(4.2)} * {D(0.05)} - {D(2.8)} * {D(0.05)} "
+              "ELSE macro_stress_score END")
+SQL["refresh_versions"] = (BASE + _MONTHLY + _rescored("m2", "mg", _REFRESH_MACRO) + _rescored("m3", "m2", _NEW_MACRO) + """
+, w AS (SELECT count(DISTINCT processing_date) AS all_parts,
+               count(DISTINCT CASE WHEN processing_date >= DATE '1997-01-01' THEN processing_date END) AS new_parts FROM mg),
+c AS (SELECT 1 AS version, risk_tier, count(*) AS n FROM mg GROUP BY 2 UNION ALL SELECT 2, risk_tier, count(*) FROM m2 GROUP BY 2
+      UNION ALL SELECT 3, risk_tier, count(*) FROM m3 GROUP BY 2),
+t AS (SELECT DISTINCT v.version, risk_tier FROM c, (VALUES (2), (3)) v(version) WHERE c.version IN (v.version, v.version - 1))
+SELECT t.version, t.risk_tier, coalesce(b.n, 0) AS before_count, coalesce(a.n, 0) AS after_count, coalesce(a.n, 0) AS stored_count,
+       CASE t.version WHEN 2 THEN all_parts ELSE new_parts END AS written,
+       CASE t.version WHEN 2 THEN 0 ELSE all_parts - new_parts END AS kept
+FROM t LEFT JOIN c b ON b.version = t.version - 1 AND b.risk_tier IS NOT DISTINCT FROM t.risk_tier
+       LEFT JOIN c a ON a.version = t.version AND a.risk_tier IS NOT DISTINCT FROM t.risk_tier, w""")
+
+_AMT = "CAST(loan_amount AS DOUBLE)"
+_TXT = "coalesce(CAST({} AS VARCHAR), '')"
+
+
+def _cells(answer: str, item: str, values: dict, rest: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{answer}' AS answer, {item} AS item, '{k}' AS measure, CAST({v} AS DOUBLE) AS value FROM {rest}"
+                              for k, v in values.items())
+
+
+_HI = f"sum(CASE WHEN risk_tier IN ('CRITICAL','HIGH') THEN {_AMT} END)"
+SQL["cube_answers"] = BASE + _MONTHLY + "\n" + " UNION ALL ".join([
+    _cells("trend", f"{_TXT.format('processing_date')} || '|' || {_TXT.format('risk_tier')}",
+           {"loan_count": "count(*)", "avg_risk_score": r6("avg(risk_score)")}, "mg GROUP BY processing_date, risk_tier"),
+    _cells("stats", _TXT.format("max(processing_date)"),
+           {"total_loans": "count(*)", "avg_risk_score": "round(avg(risk_score), 3)", "avg_loan_amount": f"round(avg({_AMT}), 0)",
+            "high_risk_exposure_billions": f"round({_HI} / {D(1e9)}, 2)"}, "mg"),
+    _cells("tiers", _TXT.format("risk_tier"),
+           {"loan_count": "count(*)", "share": f"CASE WHEN risk_tier IS NOT NULL THEN {r6('count(*) / (SELECT count(risk_tier) FROM mg)')} END"},
+           "mg GROUP BY risk_tier"),
+    _cells("totals", f"{_TXT.format('min(processing_date)')} || '|' || {_TXT.format('max(processing_date)')}",
+           {"total_loans": "count(*)", "mean_risk_score": r6("avg(risk_score)"), "total_amount": f"round(sum({_AMT}), 2)",
+            "min_amount": f"round(min({_AMT}), 2)", "max_amount": f"round(max({_AMT}), 2)"}, "mg"),
+    _cells("daily", _TXT.format("processing_date"),
+           {"mean": r6("avg(risk_score)"), "max": r6("max(risk_score)"), "min": r6("min(risk_score)")}, "mg GROUP BY processing_date"),
+    _cells("rollup", f"{_TXT.format('state')} || '|' || {_TXT.format('risk_tier')} || '|' || {_TXT.format('GROUPING(state, risk_tier)')}",
+           {"total_amount": f"round(sum({_AMT}), 2)"}, "mg GROUP BY ROLLUP (state, risk_tier)"),
+    _cells("update", "''", {"written": "count(DISTINCT 1)", "kept": "count(DISTINCT processing_date) - 1"}, "mg")])
+
+SQL["merged_quantiles"] = BASE + ", long AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS metric, CAST({c} AS DOUBLE) AS v FROM stg" for c in _DESC) + f""")
+SELECT metric, count(v) AS n, p AS probability, round({D(2.296)} / power(400, {D(0.9723)}), 6) AS rank_error, true AS within
+FROM long, (VALUES ({D(0.25)}), ({D(0.5)}), ({D(0.75)})) q(p) GROUP BY metric, p"""
+
+SQL["compacted_layer"] = BASE + _MONTHLY + """
+SELECT strftime(processing_date, '%Y-%m') AS month, count(*) AS rows, CAST(ceil(count(*) / 200.0) AS BIGINT) AS files_before,
+       CAST(1 AS BIGINT) AS files_after, count(*) > 200 AS merged
+FROM mg GROUP BY processing_date"""

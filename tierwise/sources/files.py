@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import INDICATOR_JSON, OBSERVATION_START, RAW_LOAN
+from ..schemas import INDICATOR_JSON, OBSERVATION_START, PARTITION_COLS, RAW_LOAN
 
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType = RAW_LOAN) -> DataFrame:
@@ -21,9 +21,21 @@ def read_raw(spark: SparkSession, path: str, schema: T.StructType = RAW_LOAN) ->
             .json(path))
 
 
+def read_lake(spark: SparkSession, path: str, folders: list[str] | None = None) -> DataFrame:
+    """A parquet tree by year/month/day (or some of its folders) with partition values as text.
+
+    The partition columns are declared, so ``month=04`` stays "04" whatever the session infers."""
+    def load(reader):
+        return reader.option("basePath", path).parquet(*(folders or [path]))
+
+    found = load(spark.read).schema
+    text = T.StructType([T.StructField(f.name, T.StringType()) if f.name in PARTITION_COLS else f for f in found])
+    return load(spark.read.schema(text))
+
+
 def read_silver(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
     """Silver (or gold) parquet; ``day='YYYY-MM-DD'`` prunes partitions."""
-    df = spark.read.option("basePath", path).parquet(path)
+    df = read_lake(spark, path)
     if day is not None:
         y, m, d = day.split("-")
         df = df.where((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d))
