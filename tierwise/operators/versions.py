@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import PARTITION_COLS, TIERS
+from ..session import file_system
 from . import lake
 
 MANIFEST = "year string, month string, day string, run string, files array<string>, rows long, tiers map<string,bigint>"
@@ -38,13 +39,6 @@ class Conflict(RuntimeError):
 
 # ---------------------------------------------------------------- the pointer
 
-def _fs(spark: SparkSession, path: str):
-    """Hadoop's file system of a path, and its path class: whatever store the cluster uses."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
-
-
 def _log_number(name: str) -> int | None:
     stem, _, ending = name.partition(".")
     return int(stem) if ending == "json" and stem.isdigit() else None
@@ -52,7 +46,7 @@ def _log_number(name: str) -> int | None:
 
 def log(spark: SparkSession, root: str) -> list[dict]:
     """Committed versions, oldest first: version, parent, manifest and what the run noted."""
-    fs, path = _fs(spark, root)
+    fs, path = file_system(spark, root)
     folder = path(f"{root}/log")
     if not fs.exists(folder):
         return []
@@ -72,7 +66,7 @@ def current(spark: SparkSession, root: str) -> dict | None:
 
 def _commit(spark: SparkSession, root: str, entry: dict) -> None:
     """The log file is written beside its place and renamed to it, which fails if it is taken."""
-    fs, path = _fs(spark, root)
+    fs, path = file_system(spark, root)
     fs.mkdirs(path(f"{root}/log"))
     draft, place = path(f"{root}/log/_{uuid.uuid4().hex}"), path(f"{root}/log/{entry['version']:08d}.json")
     out = fs.create(draft, False)
@@ -321,7 +315,7 @@ def expire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     Not to be run beside a writer: the folders of a run that has not yet committed look like those of a dead one."""
     entries = log(spark, root)
     stay = entries[-keep:]
-    fs, path = _fs(spark, root)
+    fs, path = file_system(spark, root)
     used = set()
     for e in stay:
         used |= {r["run"] for r in manifest(spark, root, e["version"]).select("run").distinct().collect()}

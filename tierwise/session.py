@@ -79,3 +79,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     elif "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and its path class: whatever store the cluster uses."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark._jsc.hadoopConfiguration()), at

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import TOPICS
+from . import levels
 
 BRIDGE_GROUP = "tierwise-bridge"
 # fixed values: the two fields that the bridge sets
@@ -90,43 +91,47 @@ def bridge_transform(records: DataFrame, now: Column | None = None) -> DataFrame
         F.col("_is_obj").alias("is_object"), ts.alias("_bridge_ts"), F.col("value").cast("string").alias("raw_value"))
 
 
-def observed_bridge(df: DataFrame, name: str = "bridge") -> DataFrame:
-    """Sent / failed counters as observed metrics (no extra job)."""
-    return df.observe(name, F.count_if(F.col("ok")).alias("sent"), F.count_if(~F.col("ok")).alias("failed"))
+SINK = "ok boolean, topic string, key string, value string, raw_value string, _bridge_ts long, _epoch long"
 
 
-def start_bridge(stream: DataFrame, path: str, checkpoint: str, quarantine: str | None = None,
-                 drain: bool = True, now: Column | None = None) -> StreamingQuery:
-    """T1 + K5 + T3: bridge a stream into a keyed, topic-partitioned JSON landing.
+def record_sink(path: str) -> levels.Sink:
+    """K5: records by outcome and topic; the folders of many batches merge by levels."""
+    return levels.Sink(path, partition_by=["ok", "topic"])
 
-    Each micro-batch is written under ``_epoch=<id>`` with overwrite, so a
-    batch replayed after a failure rewrites the same files (idempotent). Bad
-    records go to ``quarantine`` (``<path>_quarantine`` unless given), the
-    counters of each batch (A24) to ``<path>_counters``; ``read_bridge`` reads
-    all three. ``drain=True`` processes the backlog and stops (availableNow).
+
+def start_bridge(stream: DataFrame, path: str, checkpoint: str, drain: bool = True, now: Column | None = None) -> StreamingQuery:
+    """T1 + K5 + T3: bridge a stream into a keyed landing by outcome and topic.
+
+    A micro-batch is parsed once and written once: bad records stand beside the good ones in a
+    partition of their own (the quarantine). The counters of each batch (A24) go to ``<path>_counters``;
+    ``read_bridge`` reads all three. A replayed batch rewrites its own files. ``drain=True`` processes
+    the backlog and stops (availableNow).
     """
-    bad = quarantine or f"{path}_quarantine"
+    records, counters = record_sink(path), levels.Sink(f"{path}_counters")
 
     def write(batch: DataFrame, epoch: int) -> None:
         seen = Observation(f"bridge-{epoch}")
         counted = batch.observe(seen, F.count_if(F.col("ok")).alias("sent"), F.count_if(~F.col("ok")).alias("failed"))
-        counted.where("ok").select("topic", "key", "value", "_bridge_ts").write.mode("overwrite") \
-            .partitionBy("topic").json(f"{path}/_epoch={epoch}")
-        batch.where("NOT ok").select("topic", "raw_value").write.mode("overwrite").json(f"{bad}/_epoch={epoch}")
-        got = seen.get
-        batch.sparkSession.range(1).select(F.lit(got["sent"]).alias("sent"), F.lit(got["failed"]).alias("failed")) \
-            .write.mode("overwrite").json(f"{path}_counters/_epoch={epoch}")
+        done = any(a <= epoch <= b and a < b for a, b in levels.runs(batch.sparkSession, path))
+        records.write(counted.select("ok", "topic", "key", "value", F.when(~F.col("ok"), F.col("raw_value")).alias("raw_value"), "_bridge_ts"), epoch)
+        if done:                # replayed after its records were merged: counted from those
+            mine = records.read(batch.sparkSession, SINK).where(F.col("_epoch") == epoch)
+            got = mine.agg(F.count_if("ok").alias("sent"), F.count_if(~F.col("ok")).alias("failed")).first().asDict()
+        else:
+            got = seen.get
+        counters.write(batch.sparkSession.range(1).select(*[F.lit(got[c]).cast("long").alias(c) for c in ("sent", "failed")]), epoch)
 
     w = bridge_transform(stream, now).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if drain else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
-def read_bridge(spark: SparkSession, path: str, quarantine: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sent records, quarantined records, counters per epoch) of a bridge sink."""
-    sent = spark.read.schema("topic string, key string, value string, _bridge_ts long").json(path)
-    bad = spark.read.schema("topic string, raw_value string").json(quarantine or f"{path}_quarantine")
-    return sent, bad, spark.read.schema("sent long, failed long").json(f"{path}_counters")
+def read_bridge(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sent records, quarantined records, counters per batch) of a bridge sink."""
+    rows = record_sink(path).read(spark, SINK)
+    counted = levels.Sink(f"{path}_counters").read(spark, "sent long, failed long, _epoch long")
+    return (rows.where("ok").select("topic", "key", "value", "_bridge_ts"), rows.where("NOT ok").select("topic", "raw_value"),
+            counted.drop("_epoch"))
 
 
 def topic_volume(offsets: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import quality
 from ..schemas import RAW_LOAN
+from . import levels
 
 
 def stream_raw(spark: SparkSession, path: str, schema: T.StructType = RAW_LOAN,
@@ -55,28 +56,20 @@ def metric_rows(df: DataFrame, name: str = "critical_metrics") -> DataFrame:
                       F.count(F.lit(1)).alias("rows"))
 
 
-def upsert_sink(path: str, keys: list[str]):
-    """foreachBatch writer: each batch's updated rows land under ``_epoch=<id>``
-    (overwrite => idempotent on replay). Readers take the latest epoch per key
-    with ``latest_by_key``."""
-    def write(batch: DataFrame, epoch: int) -> None:
-        batch.withColumn("_epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{path}/_epoch={epoch}")
-    return write
+def keyed_sink(path: str, keys: list[str]) -> levels.Sink:
+    """Each batch's updated rows, merged by levels to the newest of each key."""
+    return levels.Sink(path, lambda df: levels.newest(df, keys))
 
 
 def latest_by_key(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Read an ``upsert_sink`` folder: the newest version of each key."""
-    df = spark.read.parquet(path)
-    # epoch directories may be read back as text (partition type inference off): order numerically
-    ep = F.col("_epoch").cast("long")
-    vals = [c for c in df.columns if c not in keys and c != "_epoch"]
-    return df.groupBy(*keys).agg(*[F.max_by(c, ep).alias(c) for c in vals])
+    """Read a ``keyed_sink``: the newest row of each key."""
+    return levels.newest(keyed_sink(path, keys).read(spark), keys).drop("_epoch")
 
 
 def start_update(agg: DataFrame, path: str, checkpoint: str, keys: list[str],
                  drain: bool = True) -> StreamingQuery:
-    """Run a streaming aggregate in update mode into an ``upsert_sink``."""
-    w = (agg.writeStream.outputMode("update").foreachBatch(upsert_sink(path, keys))
+    """Run a streaming aggregate in update mode into a ``keyed_sink``."""
+    w = (agg.writeStream.outputMode("update").foreachBatch(keyed_sink(path, keys).write)
          .option("checkpointLocation", checkpoint))
     return (w.trigger(availableNow=True) if drain else w.trigger(processingTime="1 minute")).start()
 
@@ -102,17 +95,34 @@ def read_quality(spark: SparkSession, report_path: str, columns, checks=quality.
 
 def start_hourly_alerts(scored: DataFrame, path: str, checkpoint: str, ts_col: str = "event_ts",
                         drain: bool = True) -> StreamingQuery:
-    """T5 end to end: hourly CRITICAL counts kept in state; every batch writes the hours that it changed."""
-    return start_update(hourly_critical(metric_rows(scored), ts_col), path, checkpoint, ["hour"], drain)
-
+    """T5 + W3: hourly CRITICAL counts in state; every batch emits the comparison of each hour that it touched.
 
-def read_hourly_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """The hour-over-hour comparison of the newest counts. A late row changes its own hour and the next
-    one's comparison, so the difference is taken when it is read, whatever the batches were."""
+    A changed count touches its hour and the next. Those are compared anew with the stored counts and leave
+    the stream in the same batch, so a late row corrects the alerts that it concerns (the row of an hour
+    with the highest ``_epoch`` stands). Counts and alerts are keyed sinks; a replayed batch writes the same."""
     from ..operators.scenarios import hourly_delta
 
-    counts = latest_by_key(spark, path, ["hour"])
-    return hourly_delta(counts.withColumn("hour", F.col("hour").cast("timestamp_ntz")))
+    counts, alerts = keyed_sink(f"{path}/counts", ["hour"]), keyed_sink(f"{path}/alerts", ["hour"])
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        counts.write(batch.withColumn("hour", F.col("hour").cast("timestamp_ntz")), epoch)
+        hour, one = F.col("hour"), F.expr("INTERVAL 1 HOUR")
+        stored = counts.read(spark)
+        changed = stored.where(F.col("_epoch") == epoch).select("hour")
+        touched = changed.select(F.explode(F.array(hour, hour + one)).alias("hour")).distinct()
+        near = changed.select(F.explode(F.array(hour - one, hour, hour + one)).alias("hour")).distinct()
+        now = levels.newest(stored, ["hour"]).drop("_epoch").join(near, "hour", "left_semi")
+        alerts.write(hourly_delta(now).join(touched, "hour", "left_semi"), epoch)
+
+    w = (hourly_critical(metric_rows(scored), ts_col).writeStream.outputMode("update").foreachBatch(write)
+         .option("checkpointLocation", checkpoint))
+    return (w.trigger(availableNow=True) if drain else w.trigger(processingTime="1 minute")).start()
+
+
+def read_hourly_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The alert row of each hour, as the stream last emitted it."""
+    return latest_by_key(spark, f"{path}/alerts", ["hour"])
 
 
 QUARANTINE = "_quarantine"
