@@ -146,6 +146,21 @@ def suite_partials(df: DataFrame, checks=REFERENCE_SUITE) -> DataFrame:
                          or ["count(1) AS n"])
 
 
+ROW_KINDS = ("not_null", "between", "in_set")
+
+
+def partials_by(df: DataFrame, keys: list[str], checks=REFERENCE_SUITE) -> DataFrame:
+    """Q13/Q14 on content: the partial results of each group (a file, a day), its rows, and in ``failed`` the checks on single
+    rows that it breaks. Checks on the whole (counts, means, shares, dates) are no group's own fault; they follow from
+    the groups' merged partial results."""
+    cols = set(df.columns) - set(keys)
+    parts = [(i, c, p) for i, c in enumerate(checks) for p in _partials(c, i, cols)]
+    out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *[F.expr(expr).alias(name) for _, _, (name, expr, _) in parts])
+    broken = [F.when(F.col(name) > 0, F.lit(c.name)) for _, c, (name, _, _) in parts if c.kind in ROW_KINDS]
+    missing = [F.lit(c.name) for c in checks if c.column is not None and c.column not in cols]
+    return out.withColumn("failed", F.array_compact(F.array(*broken, *missing)) if broken or missing else F.array().cast("array<string>"))
+
+
 def finish_suite(partials: DataFrame, columns, checks=REFERENCE_SUITE, as_of: str | None = None,
                  layer: str = "gold") -> DataFrame:
     """Partial result rows of a table with these columns -> one row per check."""

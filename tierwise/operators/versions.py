@@ -4,6 +4,7 @@ Layout under ``root`` (a shared folder):
 
 * ``data/run=<id>/year=/month=/day=``: the files that one run wrote, never changed afterwards;
 * ``manifests/<id>``: of a version, a row per partition and run: the folder, its files (null: all), rows, rows by tier;
+* ``ledger/run=<id>``: the audit of a published run, a row per file;
 * ``log/<version>.json``: names a version's manifest and its parent. The highest number is the current
   version. A log file appears by a rename that fails if the number is taken, so a version is there
   whole or not at all, and of two runs from one parent the second is refused.
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 
 from ..schemas import PARTITION_COLS, TIERS
 from ..session import file_system
-from . import lake
+from . import lake, quality
 
 MANIFEST = "year string, month string, day string, run string, files array<string>, rows long, tiers map<string,bigint>"
 FIELDS = [*PARTITION_COLS, "run", "files", "rows", "tiers"]
@@ -199,6 +200,49 @@ def rewrite(spark: SparkSession, root: str, change: Callable[[DataFrame], DataFr
                           {"what": what}, before_commit)
 
 
+# ---------------------------------------------------------------- write, audit, publish
+
+def publish(spark: SparkSession, root: str, rows: DataFrame, checks=quality.REFERENCE_SUITE) -> dict:
+    """Q13, Q14, Q18: rows are written, audited file by file, and only the files that pass are published, as further rows of
+    the next version. A file that breaks a check on single rows is held back: it stays where it is, and the ledger
+    (``root/ledger/run=<id>``: a row per file with its partial results) says why. One scan audits and counts.
+
+    Returns the log entry; without a passing file the version stays (``{}`` if there is none)."""
+    run, parent = uuid.uuid4().hex, current(spark, root)
+    columns = [c for c in rows.columns if c not in PARTITION_COLS] + PARTITION_COLS
+    schema = T.StructType([T.StructField(c, rows.schema[c].dataType) for c in columns])
+    lake.write_gold(rows.select(*columns), f"{root}/data/run={run}")
+    keys = [*PARTITION_COLS, "file"]
+    staged = spark.read.schema(schema).parquet(f"{root}/data/run={run}").withColumn("file", F.col("_metadata.file_name"))
+    tiers = "risk_tier" in columns
+    by_tier = staged.select(*keys, F.coalesce("risk_tier", F.lit("")).alias("tier")).groupBy(*keys, "tier").agg(F.count(F.lit(1)).alias("n")) if tiers else None
+    place = f"{root}/ledger/run={run}"
+    quality.partials_by(staged, keys, checks).write.parquet(place)
+    good = spark.read.parquet(place).withColumns({c: F.col(c).cast("string") for c in PARTITION_COLS}).where(F.size("failed") == 0)
+    entries = good.groupBy(*PARTITION_COLS).agg(F.collect_list("file").alias("files"), F.sum("n_rows").alias("rows"))
+    if tiers:
+        mine = by_tier.join(good.select(*keys), keys, "left_semi").groupBy(*PARTITION_COLS, "tier").agg(F.sum("n").alias("n"))
+        mine = mine.groupBy(*PARTITION_COLS).agg(F.map_from_entries(F.collect_list(F.struct("tier", "n"))).alias("tiers"))
+        entries = entries.join(mine, PARTITION_COLS)
+    else:
+        entries = entries.withColumn("tiers", F.lit(None).cast("map<string,bigint>"))
+    entries = entries.withColumn("run", F.lit(run)).select(*FIELDS)
+    if good.isEmpty():
+        return parent or {}
+    if parent:
+        entries = entries.unionByName(manifest(spark, root, parent["version"]).select(*FIELDS))
+    entries.coalesce(1).write.parquet(f"{root}/manifests/{run}")
+    entry = {"version": (parent["version"] if parent else 0) + 1, "parent": parent["version"] if parent else None, "manifest": run,
+             "schema": schema.jsonValue(), "what": "publish"}
+    _commit(spark, root, entry)
+    return entry
+
+
+def ledger(spark: SparkSession, root: str) -> DataFrame:
+    """A row per audited file: run, partition, file, n_rows, failed (checks; empty: published) and its partial results."""
+    return spark.read.option("basePath", f"{root}/ledger").option("mergeSchema", True).parquet(f"{root}/ledger")
+
+
 # ---------------------------------------------------------------- compaction
 
 def file_sizes(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:

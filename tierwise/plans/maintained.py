@@ -8,18 +8,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sql_functions
 from ..functions.scoring import macro_stress
-from ..operators import cube, lake, scenarios, versions
+from ..operators import analytics, catalog, cube, lake, layout, marts, quality, scenarios, versions
+from ..policies import API, GOLD
 from ..schemas import PARTITION_COLS
 from ..session import scratch_path
 from ..sources import files
 from . import views
-from .registry import r6, register
+from .registry import SEGMENT_AMOUNT, SEGMENT_STATES, dbl, r6, register
 
 NEW_MACRO_FROM = "1997-01-01"
 LATE = ("1995-06-01", "VA")
 SMALL_FILE_ROWS = 200
 QUANTILES = [0.25, 0.5, 0.75]
+SECOND_DELIVERY = "1998-01-01"
 
 
 def monthly_gold(spark, sf_dir: str) -> DataFrame:
@@ -124,3 +127,72 @@ def q_compacted_layer(spark, sf_dir):
 
     out = rows.join(count(first, "before"), "month").join(count(last["version"], "after"), "month")
     return out.select("month", "rows", "files_before", "files_after", F.col("merged_after").alias("merged"))
+
+
+@register("audited_publish")
+def q_audited_publish(spark, sf_dir):
+    """Q13 + Q14 + Q18: two deliveries, audited by file before they are published. The second holds a planted file: one
+    month's loans of one state again, without a score and with an unknown tier. The suite over what was published, merged
+    from the ledger's partial results, and what was held back."""
+    root = scratch_path(spark, "published")
+    gold = monthly_gold(spark, sf_dir)
+    second = F.col("processing_date") >= F.lit(SECOND_DELIVERY).cast("date")
+    bad = gold.where((F.col("processing_date") == F.lit(LATE[0]).cast("date")) & (F.col("state") == LATE[1]))
+    bad = bad.withColumns({"risk_score": F.lit(None).cast("double"), "risk_tier": F.lit("UNKNOWN")})
+    versions.publish(spark, root, gold.where(~second))
+    versions.publish(spark, root, gold.where(second).unionByName(bad))
+    books = versions.ledger(spark, root)
+    held = books.where(F.size("failed") > 0).agg(F.struct(F.count(F.lit(1)).alias("files"), F.sum("n_rows").alias("rows")).alias("h")).scalar()
+    there = versions.read(spark, root)
+    suite = quality.finish_suite(books.where(F.size("failed") == 0), there.columns, as_of=views.AS_OF_DATE)
+    n = there.agg(F.count(F.lit(1))).scalar()
+    return suite.select("check_id", "check", F.col("column").alias("target"), r6("observed").alias("observed"), "passed", "unexpected_count",
+                        held["files"].alias("held_files"), held["rows"].alias("held_rows"), n.alias("published_rows"))
+
+
+@register("crawled_layer")
+def q_crawled_layer(spark, sf_dir):
+    """The scored layer crawled twice; before the second crawl later months arrive, with one more column. The second
+    crawl's log, each partition with its rows and the column with its values in the table."""
+    path = scratch_path(spark, "crawled")
+    name = "crawled_" + path.rsplit("-", 1)[-1]
+    gold = monthly_gold(spark, sf_dir)
+    second = F.col("processing_date") >= F.lit(SECOND_DELIVERY).cast("date")
+    lake.write_gold(gold.where(~second), path)
+    catalog.crawl(spark, path, name)
+    newer = gold.where(second).withColumn("is_high", F.col("risk_tier").isin("HIGH", "CRITICAL"))
+    lake.write_gold(newer, path, mode="append")
+    log = catalog.crawl(spark, path, name)
+    t = spark.table(name)
+    rows = t.groupBy(F.concat_ws("-", "year", "month", "day").alias("place")).agg(F.count(F.lit(1)).alias("n"))
+    columns = t.agg(F.count("is_high").alias("n")).select(F.lit("is_high").alias("place"), "n")
+    return log.join(rows.unionByName(columns), F.col("item") == F.col("place")).select("what", "item", F.col("n").alias("rows"))
+
+
+@register("sql_scoring")
+def q_sql_scoring(spark, sf_dir):
+    """K11 + M1-M6: raw columns scored in SQL under two policies, by functions made from the policies."""
+    views.silver(spark, sf_dir).createOrReplaceTempView("silver_for_sql")
+    for p in (GOLD, API):
+        sql_functions.register(spark, p)
+    one, two = (sql_functions.scored_select(p, "silver_for_sql", "loan_id, state") for p in (GOLD, API))
+    return lake.sql(spark, f"""
+        SELECT policy, state, risk_tier, count(*) AS loan_count, round(avg(risk_score), 6) AS avg_risk_score
+        FROM (SELECT 'gold' AS policy, * FROM ({one}) UNION ALL SELECT 'api' AS policy, * FROM ({two}))
+        GROUP BY policy, state, risk_tier""")
+
+
+CLUSTER_BY = ["state", "loan_amount", "risk_score"]
+
+
+@register("clustered_lookup")
+def q_clustered_lookup(spark, sf_dir):
+    """F9 + F17 on the clustered layer: a segment's loans and one loan by its key, read through statistics and Bloom filters."""
+    path = scratch_path(spark, "clustered")
+    layout.write_clustered(views.stg(spark, sf_dir), path, CLUSTER_BY, "loan_id")
+    there = spark.read.parquet(path)
+    segment = analytics.segment(there, SEGMENT_STATES, SEGMENT_AMOUNT)
+    first = there.agg(F.min("loan_id")).scalar()
+    cols = ["loan_id", "state", dbl("loan_amount"), r6("risk_score").alias("risk_score"), "risk_tier"]
+    return files.union_all([segment.select(F.lit("segment").alias("what"), *cols),
+                            marts.loan_by_id(there, first).select(F.lit("loan").alias("what"), *cols)])

@@ -755,3 +755,26 @@ SQL["compacted_layer"] = BASE + _MONTHLY + """
 SELECT strftime(processing_date, '%Y-%m') AS month, count(*) AS rows, CAST(ceil(count(*) / 200.0) AS BIGINT) AS files_before,
        CAST(1 AS BIGINT) AS files_after, count(*) > 200 AS merged
 FROM mg GROUP BY processing_date"""
+
+_BY_MONTH = SILVER.replace("landed_date AS processing_date", "CAST(date_trunc('month', landed_date) AS DATE) AS processing_date")
+SQL["audited_publish"] = with_(RAW_LOANS, _BY_MONTH, GOLD_CTE, STG) + ", suite AS (" + _suite_sql() + """)
+SELECT suite.*, 1 AS held_files, (SELECT count(*) FROM stg WHERE processing_date = DATE '1995-06-01' AND state = 'VA') AS held_rows,
+       (SELECT count(*) FROM stg) AS published_rows
+FROM suite"""
+
+SQL["crawled_layer"] = BASE + _MONTHLY + """
+SELECT 'partition added' AS what, strftime(processing_date, '%Y-%m-%d') AS item, count(*) AS rows FROM mg
+WHERE processing_date >= DATE '1998-01-01' GROUP BY processing_date
+UNION ALL SELECT 'column added', 'is_high', count(*) FROM mg WHERE processing_date >= DATE '1998-01-01'"""
+
+_API_ALL = _API_CTE.replace("FROM valid", "FROM silver")
+SQL["sql_scoring"] = with_(RAW_LOANS, SILVER, GOLD_CTE, _API_ALL) + f"""
+SELECT policy, state, risk_tier, count(*) AS loan_count, {r6('avg(risk_score)')} AS avg_risk_score
+FROM (SELECT 'gold' AS policy, state, risk_tier, risk_score FROM gold UNION ALL SELECT 'api', state, risk_tier, risk_score FROM api)
+GROUP BY policy, state, risk_tier"""
+
+SQL["clustered_lookup"] = BASE + f"""
+SELECT 'segment' AS what, loan_id, state, {_AMT} AS loan_amount, {r6('risk_score')} AS risk_score, risk_tier
+FROM stg WHERE state IN ('VA', 'MD') AND {_AMT} BETWEEN {D(10000.0)} AND {D(60000.0)}
+UNION ALL SELECT 'loan', loan_id, state, {_AMT}, {r6('risk_score')}, risk_tier
+FROM stg WHERE loan_id = (SELECT min(loan_id) FROM stg)"""
