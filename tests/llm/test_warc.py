@@ -31,7 +31,8 @@ def test_records_cut_anywhere_and_members():
 def rows():
     big = "<p>" + "z" * 300000 + "</p>"
     return [(1, "http://a", "<p>é</p>"), (2, "http://b", "<p>é</p>"), (9, "http://c", "<p>é</p>"), (3, None, None), (4, "u", ""),
-            (5, "u", big), (6, "u", "\r\n\r\nWARC/1.0"), (7, "x", big + "!"), (7, "x", big + "!"), (8, "line\nbreak", "y")]
+            (5, "u", big), (6, "u", "\r\n\r\nWARC/1.0"), (7, "x", big + "!"), (7, "x", big + "!"), (8, "line\nbreak", "y"),
+            (None, "u", big), (None, "u", "alone"), (None, "u", "two"), (None, "u", "two")]
 
 
 @pytest.mark.parametrize("min_bytes", [0, 5])
@@ -42,11 +43,31 @@ def test_round_trip(spark, min_bytes):
     want = []
     for i, _, html in rows():
         b = (html or "").encode()
-        same = [j for j, _, h in rows() if (h or "").encode() == b]
-        to = max(same) if len(b) >= min_bytes and max(same) != i else None
+        same = [j for j, _, h in rows() if (h or "").encode() == b and j is not None]
+        to = max(same) if len(b) >= min_bytes and same and max(same) != i else None
         want.append((i, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "revisit" if to is not None else "response",
                      to, b"" if to is not None else b))
-    assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, bytes(r.payload)) for r in got) == sorted(want)
+    found = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, bytes(r.payload)) for r in got]
+    assert sorted(found, key=str) == sorted(want, key=str)
+
+
+def test_null_ids_agree_with_sql(spark):
+    import duckdb
+    from tierwise.llm import sql
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows())
+    cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    want = con.execute(f"SELECT {', '.join(cols)} FROM ({sql.WARC})").fetchall()
+    pages = spark.createDataFrame(rows(), "page_id long, url string, html string")
+    assert sorted(map(tuple, warc.round_trip(pages).select(cols).collect()), key=str) == sorted(want, key=str)
+
+
+def test_an_archive_is_a_task(spark):
+    pages = spark.createDataFrame([(i, "u", f"page {i} " * 50) for i in range(60)], "page_id long, url string, html string").coalesce(1)
+    mono = warc.write_archives(pages, scratch_path(spark, "warc-tasks"), roll_bytes=4000)
+    assert mono.count() > 3 and warc._dealt(mono).rdd.getNumPartitions() == mono.count()
 
 
 def test_archives_roll_and_index_points_at_members(spark, tmp_dir):

@@ -24,8 +24,8 @@ SELECT p.page_id, CAST(strlen(p.html) AS BIGINT) AS payload_bytes,
       ((strpos('0123456789abcdef', substr(p.h, 1 + (5 * i) // 4, 1)) - 1) * 16
        + strpos('0123456789abcdef', substr(p.h, 2 + (5 * i) // 4, 1)) - 1) >> (3 - (5 * i) % 4)) & 31) AS BIGINT), 1)),
     'string_agg', '') AS payload_digest,
-  CASE WHEN p.page_id = r.last THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN p.page_id = r.last THEN NULL ELSE r.last END AS refers_to
+  CASE WHEN p.page_id IS NOT DISTINCT FROM r.last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN p.page_id IS NOT DISTINCT FROM r.last THEN NULL ELSE r.last END AS refers_to
 FROM p JOIN r ON p.h = r.h
 '''
 

@@ -21,7 +21,8 @@ Memory: a task holds one Arrow batch and one record; archives are rolled at
 ``ROLL_BYTES`` of payload.
 
 Defined cases: a null html or url is empty; rows that repeat a page_id and a
-payload are all responses; an empty table gives no archives and no records;
+payload are all responses; a null page_id is never the largest: its record revisits the response of an
+equal payload that has an id, and is a response where none has; a very long payload is one record in memory; an empty table gives no archives and no records;
 other columns are ignored.
 """
 
@@ -145,11 +146,11 @@ def typed(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """pages with refers_to: the page_id of the response that a revisit repeats, else null."""
     p = with_digests(pages)
     again = (p.where(F.octet_length("payload") >= min_bytes).groupBy("digest")
-             .agg(F.max("page_id").alias("last"), F.min("page_id").alias("least")).where("last <> least")
+             .agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1 AND last IS NOT NULL")
              .select(F.col("digest").alias("again"), "last"))
     again = written(again, "warc-repeats")
     p = p.join(again, (F.col("digest") == F.col("again")) & (F.octet_length("payload") >= min_bytes), "left")
-    return p.select("page_id", "url", "payload", F.when(F.col("page_id") != F.col("last"), F.col("last")).alias("refers_to"))
+    return p.select("page_id", "url", "payload", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, roll_bytes: int = ROLL_BYTES) -> DataFrame:
@@ -188,6 +189,11 @@ def _paths(folder: str, batches: Iterator[pa.RecordBatch]):
             yield fs, path
 
 
+def _dealt(archives: DataFrame) -> DataFrame:
+    """path, an archive a task: these few rows stand for many bytes, so their partitions are not to be put together."""
+    return archives.select("path").repartitionByRange(max(1, archives.count()), "path")
+
+
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
     """archives: path. Rewrite each with a gzip member per record and write its index; gives path, index, records."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,8 +213,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
             index.close()
             yield pa.RecordBatch.from_pydict({"path": [new], "index": [f"{new}.idx"], "records": pa.array([n], pa.int64())})
 
-    few = archives.select("path").repartition("path")
-    return written(few.mapInArrow(rows, "path string, index string, records long"), "warc-normalised")
+    return written(_dealt(archives).mapInArrow(rows, "path string, index string, records long"), "warc-normalised")
 
 
 def read_records(archives: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
@@ -244,7 +249,7 @@ def read_records(archives: DataFrame, folder: str, payloads: bool = False) -> Da
                         got = []
             yield batch(got)
 
-    return archives.select("path").repartition("path").mapInArrow(rows, RECORDS)
+    return _dealt(archives).mapInArrow(rows, RECORDS)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0, payloads: bool = False) -> DataFrame:
