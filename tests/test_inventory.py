@@ -30,7 +30,12 @@ REACHED = {
     "K1": ("write_silver", "lake_round_trip"), "K3": ("write_lookup", "lake_round_trip"),
     "K5": ("start_bridge", "stream_bridge_sink"), "K6": ("land_bridged", "stream_landing_to_lake"),
     "K7": ("materialize", "lake_round_trip"), "K9": ("load_gold", "lake_round_trip"),
-    "K12": ("write_report", "lake_round_trip"), "K13": ("compact", "lake_round_trip"),
+    "K12": ("write_report", "lake_round_trip"), "K13": ("compact", "compacted_layer"),
+    "K4": ("publish", "published_records"), "K10": ("crawl", "crawled_layer"), "K11": ("scored_select", "sql_scoring"),
+    "M9": ("rewrite", "refresh_versions"), "M10": ("compare", "refresh_versions"), "Q11": ("model_tests", "model_tests"),
+    "Q13": ("partials_by", "audited_publish"), "Q14": ("publish", "audited_publish"), "T6": ("read_metrics", "stream_metrics"),
+    "A3": ("daily_trend", "cube_answers"), "A4": ("portfolio_stats", "cube_answers"), "A9": ("merged_quantiles", "merged_quantiles"),
+    "F9": ("write_clustered", "clustered_lookup"),
     "P4": ("with_partition_cols", "lake_round_trip"), "A18": ("critical_count", "critical_count"),
     "A22": ("topic_volume", "topic_volume"), "F14": ("user_topics", "topic_volume"), "F15": ("match", "topic_volume"),
     "F16": ("failed", "layer_report"), "F17": ("loan_by_id", "loan_drilldown"), "Q17": ("quality_alerts", "layer_report"),

@@ -55,7 +55,7 @@ def scans(df) -> int:
     return plan.count("FileScan")
 
 
-@pytest.mark.parametrize("name", ["describe_stats", "box_by_type", "model_tests", "trend_delta", "critical_count",
+@pytest.mark.parametrize("name", ["describe_stats", "box_by_type", "trend_delta", "critical_count",
                                   "refresh_report", "quality_suite", "portfolio_stats"])
 def test_one_scan(spark, name):
     assert scans(E.queries()[name](spark, SF_SMALL)) == 1
@@ -71,6 +71,20 @@ def test_no_job_over_rows_while_the_plan_is_built(spark, name):
     sc.setJobGroup("", "")
 
 
+def test_rate_changes_read_the_table_twice(spark):
+    """Once for the bounds of the ranges, once for the rows; all that follows reads the ranged copy."""
+    from tierwise.operators import ordered
+    df = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_type", "ts", "value")
+    assert physical(ordered.ranged(df, "event_type", ["ts", "value"], "value")).count("FileScan") == 1
+    plan = physical(E.queries()["rate_bps"](spark, SF_SMALL))
+    assert "events.parquet" not in plan and "rangepartitioning" not in plan
+
+
+def test_scoring_functions_are_inlined(spark):
+    plan = physical(E.queries()["sql_scoring"](spark, SF_SMALL))
+    assert "gold_ltv_score" not in plan and "Python" not in plan and "CASE WHEN" in plan
+
+
 def test_streams_run_no_python_operator():
     import inspect
 

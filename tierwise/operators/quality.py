@@ -228,41 +228,6 @@ def model_tests(models: dict[str, DataFrame], tests: dict = MODEL_TESTS) -> Data
     return out.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
 
 
-def model_tests_of_staging(stg: DataFrame) -> DataFrame:
-    """The same tests on the staging rows alone, before the marts are written: all of them follow from one
-    (day, tier) aggregate, so the table is read once."""
-    g = stg.groupBy("processing_date", "risk_tier").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("risk_score").isNull()).alias("no_score"),
-        F.count_if(F.col("loan_amount").isNull()).alias("no_amount"))
-    tier = F.col("risk_tier")
-    high = tier.isin(HIGH_RISK_TIERS)
-    odd = lambda allowed: tier.isNotNull() & ~tier.isin(list(allowed))       # noqa: E731
-
-    def total(value: Column) -> Column:
-        return F.coalesce(F.sum(value), F.lit(0)).cast("long")
-
-    n = F.col("n")
-    found = {
-        ("stg_loan_risk_scores", "risk_score", "not_null"): total(F.col("no_score")),
-        ("stg_loan_risk_scores", "risk_tier", "not_null"): total(F.when(tier.isNull(), n)),
-        ("stg_loan_risk_scores", "risk_tier", "accepted_values"): total(F.when(odd(TIERS), n)),
-        ("stg_loan_risk_scores", "loan_amount", "not_null"): total(F.col("no_amount")),
-        ("mart_risk_summary", "risk_tier", "not_null"): F.coalesce(F.max(F.when(tier.isNull(), 1)), F.lit(0)).cast("long"),
-        ("mart_risk_summary", "risk_tier", "accepted_values"): F.countDistinct(F.when(odd(TIERS), tier)),
-        ("mart_high_risk_loans", "risk_score", "not_null"): total(F.when(high, F.col("no_score"))),
-        ("mart_high_risk_loans", "risk_tier", "not_null"): total(F.when(high & tier.isNull(), n)),
-        ("mart_high_risk_loans", "risk_tier", "accepted_values"): total(F.when(high & odd(HIGH_RISK_TIERS), n)),
-        ("mart_high_risk_loans", "loan_amount", "not_null"): total(F.when(high, F.col("no_amount"))),
-        ("mart_daily_risk_trend", "risk_tier", "not_null"): F.count(F.when(tier.isNull(), 1)),
-        ("mart_daily_risk_trend", "risk_tier", "accepted_values"): F.count(F.when(odd(TIERS), 1)),
-    }
-    row = g.agg(*[c.alias(f"f{i}") for i, c in enumerate(found.values())])
-    cells = [F.struct(F.lit(m).alias("model"), F.lit(c).alias("column"), F.lit(t).alias("test"), F.col(f"f{i}").alias("failures"))
-             for i, (m, c, t) in enumerate(found)]
-    out = row.select(F.explode(F.array(*cells)).alias("t")).select("t.*")
-    return out.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
-
-
 # ---------------------------------------------------------------- table and file checks
 
 def null_count(col: str) -> Column:

@@ -116,16 +116,16 @@ def q_compacted_layer(spark, sf_dir):
     """The scored layer landed in small files, then compacted: by month its rows, its files before and after, and
     whether it was rewritten (a month of a single file is not)."""
     root = scratch_path(spark, "scores")
-    first = versions.create(spark, root, monthly_gold(spark, sf_dir), max_records=SMALL_FILE_ROWS)["version"]
+    first = versions.create(spark, root, monthly_gold(spark, sf_dir), max_records=SMALL_FILE_ROWS)
     last = versions.compact(spark, root)
     month = F.concat_ws("-", "year", "month").alias("month")
     rows = versions.read(spark, root).groupBy(month).agg(F.count(F.lit(1)).alias("rows"))
 
     def count(version: int, name: str) -> DataFrame:
         return versions.file_sizes(spark, root, version).groupBy(month).agg(
-            F.count(F.lit(1)).alias(f"files_{name}"), F.max(F.col("run") == last["manifest"]).alias(f"merged_{name}"))
+            F.count(F.lit(1)).alias(f"files_{name}"), F.max(F.col("run") != first["manifest"]).alias(f"merged_{name}"))
 
-    out = rows.join(count(first, "before"), "month").join(count(last["version"], "after"), "month")
+    out = rows.join(count(first["version"], "before"), "month").join(count(last["version"], "after"), "month")
     return out.select("month", "rows", "files_before", "files_after", F.col("merged_after").alias("merged"))
 
 

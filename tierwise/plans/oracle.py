@@ -778,3 +778,11 @@ SELECT 'segment' AS what, loan_id, state, {_AMT} AS loan_amount, {r6('risk_score
 FROM stg WHERE state IN ('VA', 'MD') AND {_AMT} BETWEEN {D(10000.0)} AND {D(60000.0)}
 UNION ALL SELECT 'loan', loan_id, state, {_AMT}, {r6('risk_score')}, risk_tier
 FROM stg WHERE loan_id = (SELECT min(loan_id) FROM stg)"""
+
+SQL["published_records"] = BASE + f"""
+SELECT 'high-risk-loans' AS topic, risk_tier, count(*) AS records, count(*) AS keyed, round(sum({_AMT}), 2) AS amount,
+       {r6('avg(risk_score)')} AS avg_risk_score
+FROM stg WHERE risk_tier IN ('CRITICAL', 'HIGH') GROUP BY risk_tier"""
+
+SQL["stream_metrics"] = BASE + """
+SELECT count(*) FILTER (WHERE risk_tier = 'CRITICAL') AS critical_count, count(*) AS rows FROM gold"""

@@ -306,7 +306,11 @@ def q_quality_summary(spark, sf_dir):
 
 @register("model_tests")
 def q_model_tests(spark, sf_dir):
-    return quality.model_tests_of_staging(views.stg(spark, sf_dir))
+    """Q11 + Q12 on the models' own rows: the staging rows and the three marts as they are built."""
+    stg = views.stg(spark, sf_dir)
+    return quality.model_tests({"stg_loan_risk_scores": stg, "mart_risk_summary": marts.mart_risk_summary(stg),
+                                "mart_high_risk_loans": marts.mart_high_risk_loans(stg),
+                                "mart_daily_risk_trend": marts.mart_daily_risk_trend(stg)})
 
 
 @register("warehouse_check")

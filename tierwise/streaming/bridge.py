@@ -155,10 +155,15 @@ def user_topics(df: DataFrame, col: str = "topic") -> DataFrame:
     return df.where(~F.col(col).startswith("_"))
 
 
-def publish(df: DataFrame, topic: str, bootstrap: str = "localhost:9092", key: str | None = None) -> None:
-    """K4: batch-publish rows as JSON records (needs the Kafka connector jar)."""
-    (to_topic(df, topic, key).write.format("kafka")
-     .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
+def publish(df: DataFrame, topic: str, bootstrap: str = "localhost:9092", key: str | None = None, sink: str = "kafka",
+            path: str | None = None) -> None:
+    """K4: batch-publish rows as JSON records: to the topic (needs the Kafka connector jar), or as the same records to
+    files (``sink`` a file format, ``path``)."""
+    w = to_topic(df, topic, key).write.format(sink)
+    if sink == "kafka":
+        w.option("kafka.bootstrap.servers", bootstrap).save()       # the records name their topic
+    else:
+        w.mode("overwrite").save(path)
 
 
 def parse_events(df: DataFrame, schema, col: str = "value") -> DataFrame:

@@ -56,6 +56,22 @@ def metric_rows(df: DataFrame, name: str = "critical_metrics") -> DataFrame:
                       F.count(F.lit(1)).alias("rows"))
 
 
+def start_metrics(scored: DataFrame, path: str, checkpoint: str, drain: bool = True) -> StreamingQuery:
+    """Every micro-batch emits one row of metrics (its critical count and its rows) to a sink that merges by levels."""
+    sink = levels.Sink(path)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        sink.write(batch.agg(F.count_if(F.col("risk_tier") == "CRITICAL").alias("critical_count"), F.count(F.lit(1)).alias("rows")), epoch)
+
+    w = scored.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if drain else w.trigger(processingTime="1 minute")).start()
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """critical_count and rows of each batch (``_epoch``)."""
+    return levels.Sink(path).read(spark, "critical_count long, rows long, _epoch long")
+
+
 def keyed_sink(path: str, keys: list[str]) -> levels.Sink:
     """Each batch's updated rows, merged by levels to the newest of each key."""
     return levels.Sink(path, lambda df: levels.newest(df, keys))
