@@ -53,6 +53,24 @@ def test_forest_is_brute_force(n, bits):
     assert simhash.forest(x, bits).tolist() == brute_components(x, bits)
 
 
+def test_groups_are_pruned():
+    """On a node of the usual size most pairs of leaves are dropped above them or by their shared bits."""
+    x = clustered(simhash.MEMBERS)
+    g = x[np.argsort(simhash.gray_rank(x))]
+    levels = simhash._levels(g)
+    leaves = len(levels[0][0])
+    a, _ = simhash.near_leaves(levels, 4)
+    assert len(levels) > 3
+    assert leaves <= len(a) < leaves * (leaves + 1) / 2 / 5
+
+
+def test_nodes_keep_their_size_as_the_table_grows():
+    for n in (0, 1, 10**3, 10**5, 10**6):
+        s = simhash.segment_count(n)
+        nodes = 2 ** (simhash.leading_bits(n, s) * (s - 4))
+        assert n / nodes <= simhash.MEMBERS and (nodes == 1 or n / nodes * 4 > simhash.MEMBERS / 2)
+
+
 def test_local_components():
     assert local_components(6, np.array([4, 2, 5]), np.array([2, 0, 5])).tolist() == [0, 1, 0, 3, 0, 5]
 
@@ -63,7 +81,7 @@ def test_spark_components_of_chains_and_stars(spark):
     assert got == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 160)}}
 
 
-@pytest.mark.parametrize("segments,node", [(None, 2048), (5, 50), (6, 2048)])
+@pytest.mark.parametrize("segments,node", [(None, 2048), (5, 50), (6, 2048), (8, 100)])
 def test_links_give_brute_force_components(spark, segments, node):
     x = clustered(1500)
     df = spark.createDataFrame([(int(v),) for v in x.view(np.int64)], "fp long")

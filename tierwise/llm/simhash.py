@@ -5,22 +5,23 @@ shingles have it. Equal fingerprints are one class, so copies meet no pairs.
 
 Index: the 64 bits are cut into segments, more of them than bits may differ, so
 two linked fingerprints agree on some choice of segments. Each choice is one
-index over fingerprints whose chosen segments lead; the value of the leading
-bits is its upper node, which is the unit that Spark deals out. Inside a node
-the fingerprints are sorted by Gray rank, which brings those with few differing
-bits together; leaves of ``LEAF`` neighbours and their parents keep the bits
+index over fingerprints whose chosen segments lead; some first bits of these,
+as many as leave about ``MEMBERS`` fingerprints together, name its upper node,
+which is the unit that Spark deals out. Inside a node the fingerprints are
+sorted by Gray rank, which brings those with few differing bits together;
+leaves of ``LEAF`` neighbours and their parents (``FAN`` each) keep the bits
 that all members share (mask and pattern). A search goes down pairs of nodes
-and adds up the differences of their shared bits: beyond the limit the whole
-pair of groups is dropped; pairs of leaves that are left are compared
-member by member.
+from the root and counts the differences of their shared bits: beyond the limit
+the whole pair of groups is dropped; members of pairs of leaves that are left
+are compared.
 
 A node with more than ``NODE`` fingerprints is cut into chunks, and every pair
 of chunks is a task's unit, so no task holds an unbounded node. From a unit only
 a spanning forest of its links leaves, not all pairs; the components of these
 are those of all links.
 
-The number of segments follows from the number of fingerprints alone and only
-sets the cost: any choice finds all links.
+The numbers of segments and leading bits follow from the number of fingerprints
+alone and only set the cost: any choice finds all links.
 
 Defined cases: a null text has no words, fingerprint zero; texts of fewer words
 than a shingle are one shingle; repeated rows give repeated results; a null
@@ -46,9 +47,10 @@ from .graph import components, local_components
 WORDS = 4
 SEED = 42
 MAX_BITS = 4
-LEAF, FAN = 64, 8
-NODE = 2048                 # fingerprints of a chunk of a node
-PAIRS = 256                 # pairs of leaves compared at once
+LEAF, FAN = 2, 4
+MEMBERS = 256               # fingerprints of a node on average, if the chosen segments have bits enough
+NODE = 1024                 # fingerprints of a chunk of a node
+PAIRS = 65536               # pairs of leaves compared at once
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -110,32 +112,40 @@ def _levels(x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return levels
 
 
-def forest(x: np.ndarray, max_bits: int) -> np.ndarray:
-    """For each of the distinct fingerprints x, the smallest index of its component within x."""
-    order = np.argsort(gray_rank(x), kind="stable")
-    g = x[order]
-    levels = _levels(g)
+def near_leaves(levels: list[tuple[np.ndarray, np.ndarray]], max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of leaves that a search from the root of levels doesn't drop."""
     a = b = np.zeros(1, np.int64)
+    child = np.arange(FAN)
     for depth in range(len(levels) - 1, -1, -1):
         mask, pattern = levels[depth]
         if depth < len(levels) - 1:                         # children of the pairs that are left
-            child = np.arange(FAN)
             shape = (len(a), FAN, FAN)
             a = np.broadcast_to((a[:, None] * FAN + child)[:, :, None], shape).reshape(-1)
             b = np.broadcast_to((b[:, None] * FAN + child)[:, None, :], shape).reshape(-1)
-            there = (a < len(mask)) & (b < len(mask)) & (a <= b)
+            there = (a <= b) & (b < len(mask))
             a, b = a[there], b[there]
         apart = np.bitwise_count((pattern[a] ^ pattern[b]) & mask[a] & mask[b])
         a, b = a[apart <= max_bits], b[apart <= max_bits]
+    return a, b
+
+
+def forest(x: np.ndarray, max_bits: int) -> np.ndarray:
+    """For each of the distinct fingerprints x, the smallest index of its component within x."""
+    order = np.argsort(gray_rank(x), kind="stable")
+    g = x[order]
+    a, b = near_leaves(_levels(g), max_bits)
     root = np.arange(len(g))
     at = np.arange(LEAF)
     for lo in range(0, len(a), PAIRS):
-        i, j = a[lo:lo + PAIRS, None] * LEAF + at, b[lo:lo + PAIRS, None] * LEAF + at
-        near = np.bitwise_count(g[np.minimum(i, len(g) - 1)][:, :, None] ^ g[np.minimum(j, len(g) - 1)][:, None, :]) <= max_bits
-        near &= (i < len(g))[:, :, None] & (j < len(g))[:, None, :]
-        p, m, n = np.nonzero(near)
-        u, v = i[p, m], j[p, n]
-        root = local_components(len(g), np.concatenate([np.arange(len(g)), u]), np.concatenate([root, v]))
+        shape = (len(a[lo:lo + PAIRS]), LEAF, LEAF)
+        i = np.broadcast_to((a[lo:lo + PAIRS, None] * LEAF + at)[:, :, None], shape).reshape(-1)
+        j = np.broadcast_to((b[lo:lo + PAIRS, None] * LEAF + at)[:, None, :], shape).reshape(-1)
+        there = (i < j) & (j < len(g))
+        i, j = i[there], j[there]
+        near = np.bitwise_count(g[i] ^ g[j]) <= max_bits
+        if near.any():
+            root = local_components(len(g), np.concatenate([np.arange(len(g)), i[near]]),
+                                    np.concatenate([root, j[near]]))
     # back to the order of x, with the smallest index of x as root
     comp = np.empty(len(x), np.int64)
     comp[order] = root
@@ -145,8 +155,8 @@ def forest(x: np.ndarray, max_bits: int) -> np.ndarray:
 
 
 def _unit_links(max_bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """batches: (unit, fp) with the rows of a unit together. Small units, which are single leaves, are
-    compared together by shifting; others go through the index."""
+    """batches: (unit, fp) with the rows of a unit together. Units of a single leaf are compared together
+    by shifting; others go through the index."""
     kept_unit, kept_fp = np.empty(0, np.int64), np.empty(0, np.uint64)
 
     def links(unit: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
@@ -186,28 +196,37 @@ def _unit_links(max_bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
     yield links(kept_unit, kept_fp)
 
 
+def leading_bits(n: int, segments: int, max_bits: int = MAX_BITS) -> int:
+    """How many first bits of each chosen segment name a node."""
+    chosen = segments - max_bits
+    wanted = max(0, n // MEMBERS).bit_length()
+    return min(64 // segments, -(-wanted // chosen))
+
+
 def segment_count(n: int, max_bits: int = MAX_BITS) -> int:
     """The number of segments with the least work for n fingerprints: rows dealt out, and comparisons."""
     def work(s: int) -> float:
-        tables, bits = comb(s, max_bits), 64 * (s - max_bits) // s
-        return tables * n * (1 + n / 2 ** bits / 500)
+        bits = leading_bits(n, s, max_bits) * (s - max_bits)
+        return comb(s, max_bits) * n * (1 + n / 2 ** bits / 500)
 
     return min(range(max_bits + 1, max_bits + 6), key=work)
 
 
-def _leading(fp: Column, choice: tuple[int, ...], segments: int) -> Column:
-    """The bits of the chosen segments."""
-    edge = [64 * i // segments for i in range(segments + 1)]
-    mask = sum(((1 << (edge[i + 1] - edge[i])) - 1) << edge[i] for i in choice)
+def _leading(fp: Column, choice: tuple[int, ...], segments: int, bits: int) -> Column:
+    """The first bits of the chosen segments."""
+    ends = [64 * (i + 1) // segments for i in choice]
+    mask = sum(((1 << bits) - 1) << (end - bits) for end in ends)
     return fp.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
 
 
 def links(distinct: DataFrame, max_bits: int = MAX_BITS, segments: int | None = None, node: int = NODE) -> DataFrame:
     """distinct: fp. Links (u, v) whose components are those of all pairs at most max_bits apart."""
-    s = segments or segment_count(distinct.count(), max_bits)
+    n = distinct.count()
+    s = segments or segment_count(n, max_bits)
+    bits = leading_bits(n, s, max_bits)
     choices = list(combinations(range(s), s - max_bits))
     upper = distinct.select("fp", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("t"), _leading(F.col("fp"), c, s).alias("lead")) for i, c in enumerate(choices)])).alias("n"))
+        F.struct(F.lit(i).alias("t"), _leading(F.col("fp"), c, s, bits).alias("lead")) for i, c in enumerate(choices)])).alias("n"))
     upper = upper.select("fp", F.xxhash64("n.t", "n.lead").alias("node"))
     large = upper.groupBy("node").agg(F.count("*").alias("size")).where(F.col("size") > node)
     chunks = F.ceil(F.col("size") / F.lit(node)).cast("int")
