@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -29,6 +33,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def text_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Arrow batches of at most ``size`` (or one row): a worker's memory follows neither the length of texts
+    nor the number of rows a batch. For jobs that run inside; results don't depend on it."""
+    before = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
+
+
 def crc32_text(c: Column) -> Column:
     """crc32 of a value as text."""
     return F.crc32(c.cast("string").cast("binary"))
