@@ -112,9 +112,9 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(tokenizer_file: str) -> WordEncoder:
+def encoder(tokenizer_file: str, limit: int = CACHE_WORDS) -> WordEncoder:
     """One per Python worker, so that later tasks find its words."""
-    return WordEncoder(tokenizer_file)
+    return WordEncoder(tokenizer_file, limit)
 
 
 class LevelPacker:
@@ -185,7 +185,7 @@ class LevelPacker:
         self.count[:] = 0
 
 
-def _rows(tokenizer_file: str, capacity: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rows(tokenizer_file: str, capacity: int, cache_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     enc, packer = encoder(tokenizer_file), LevelPacker(capacity)
     end = np.asarray([END_ID], "<u4").tobytes()
     first = TaskContext.get().partitionId() << 36
@@ -214,7 +214,8 @@ def _rows(tokenizer_file: str, capacity: int, batches: Iterator[pa.RecordBatch])
     yield out(list(packer.finish()))
 
 
-def pack(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+def pack(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, cache_words: int = CACHE_WORDS) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. cache_words: words
+    that a worker keeps (it keeps them after its task too); sets the cost only."""
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(lambda batches: _rows(tokenizer_file, capacity, batches), SCHEMA)
+    return texts.mapInArrow(lambda batches: _rows(tokenizer_file, capacity, cache_words, batches), SCHEMA)
