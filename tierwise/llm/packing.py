@@ -186,7 +186,7 @@ class LevelPacker:
 
 
 def _rows(tokenizer_file: str, capacity: int, cache_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    enc, packer = encoder(tokenizer_file), LevelPacker(capacity)
+    enc, packer = encoder(tokenizer_file, cache_words), LevelPacker(capacity)
     end = np.asarray([END_ID], "<u4").tobytes()
     first = TaskContext.get().partitionId() << 36
     names = [c.split()[0] for c in SCHEMA.split(", ")]
