@@ -50,6 +50,32 @@ def test_bridge_keeps_payloads_that_text_cutting_would_lose(spark):
     assert not out[6].ok and out[6].raw_value == '{"a": 1} trailing'
 
 
+def test_bridge_takes_plain_objects_over_as_text(spark):
+    from pyspark.sql import Row
+    plain = {   # text: (key, the members before the two that the bridge sets)
+        '{"loan_id":"L1","a":"x, y:z{}"}': ("L1", '"loan_id":"L1","a":"x, y:z{}",'),
+        '{"id":12345678.25,"b":true}': ("12345678.25", '"id":12345678.25,"b":true,'),
+        '{"_bridge_ts":3,"a":"_bridge_ts"}': ("t", '"a":"_bridge_ts",'),
+        '{"loan_id":"","_source_topic":",","id":5}': ("", '"loan_id":"","id":5,'),
+        '{"_source_topic":"q"}': ("t", ""),
+    }
+    parsed = {  # these have another form when written anew, or are bad
+        '{"a":1.50}': '"a":1.5,', '{ "a":1}': '"a":1,', '{"a":1,"a":2}': '"a":2,', '{"a":-0}': '"a":0,',
+        '{"a":"\\u0041"}': '"a":"A",', '{"a":01}': None, '{"a":"\t"}': None, '{"a":1} x': None, '{"a":1,}': None,
+    }
+    recs = spark.createDataFrame([Row(topic="t", value=v) for v in [*plain, *parsed]])
+    out = bridge.bridge_transform(recs, now=F.lit(100))
+    got = {r.raw_value: r for r in out.collect()}
+    end = '"_source_topic":"t","_bridge_ts":100}'
+    for text, (key, members) in plain.items():
+        assert (got[text].key, got[text].value, got[text].ok, got[text].is_object) == (key, "{" + members + end, True, True)
+    for text, members in parsed.items():
+        assert (got[text].value, got[text].ok) == (None if members is None else "{" + members + end, members is not None)
+    # the text of plain records is not parsed into variants: that is behind a condition
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN NOT _plain" in plan and "RLIKE" in plan
+
+
 def test_bridge_sink_with_quarantine(spark, tmp_dir):
     src = os.path.join(tmp_dir, "src")
     os.makedirs(src)

@@ -17,6 +17,12 @@ from . import levels
 BRIDGE_GROUP = "tierwise-bridge"
 # fixed values: the two fields that the bridge sets
 META = ("_source_topic", "_bridge_ts")
+# a flat object as it is written anew: no blanks, escapes, nulls, or numbers with another form
+_TEXT = r'"[^"\x00-\x1f]*+"'
+_MEMBER = _TEXT + r":(?:" + _TEXT + r"|true|false|0|-?+[1-9][0-9]{0,16}+(?![0-9.eE])|-?+(?:0|[1-9][0-9]{0,12}+)\.[0-9]{0,12}[1-9](?![0-9eE]))"
+PLAIN = r"\A\{" + _MEMBER + "(?:," + _MEMBER + r")*+\}\z"
+PLAIN_BYTES = 4000          # longer ones are parsed: a pattern's stack follows the number of members
+_SET = r',"_(?:' + "|".join(m[1:] for m in META) + r')":(?:"[^"]*+"|[^,"]*+)'
 
 
 def read_topics(spark: SparkSession, topics=TOPICS, bootstrap: str = "localhost:9092",
@@ -54,14 +60,22 @@ def bridge_transform(records: DataFrame, now: Column | None = None) -> DataFrame
     * ``ok`` is false for unparseable payloads (quarantined by the sink).
 
     An object is parsed into a map of variants and written anew: its text is
-    never cut or spliced, so line breaks and nesting don't matter.
+    never cut or spliced, so line breaks and nesting don't matter. Only a flat
+    object that already is what would be written (``PLAIN``: no quote or comma
+    of it can be part of another token, no key repeated) is taken over as text.
     """
-    v = F.trim(F.col("value").cast("string"), F.lit(" \t\r\n"))
+    v = F.col("value").cast("string")
+    v = F.when(v.startswith("{") & v.endswith("}"), v).otherwise(F.trim(v, F.lit(" \t\r\n")))
     ts = (now if now is not None else F.unix_timestamp()).cast("long")
-    # as the one element of an array: what stands behind a complete value makes it bad JSON
     r = records.withColumn("_v", v)
+    flat = (F.octet_length("_v") <= PLAIN_BYTES) & F.col("topic").isNotNull() & ~F.col("_v").contains("\\") & F.col("_v").rlike(PLAIN)
+    r = r.withColumn("_names", F.when(flat, F.json_object_keys("_v")))
+    r = r.withColumn("_plain", F.coalesce(F.size("_names") == F.size(F.array_distinct("_names")), F.lit(False)))
+    plain = F.col("_plain")
+    # as the one element of an array: what stands behind a complete value makes it bad JSON
     boxed = F.concat(F.lit("["), "_v", F.lit("]"))
-    r = r.withColumns({"_any": F.from_json(boxed, "array<variant>"), "_map": F.from_json(boxed, "array<map<string,variant>>")})
+    r = r.withColumn("_map", F.when(~plain & F.col("_v").startswith("{"), F.from_json(boxed, "array<map<string,variant>>")))
+    r = r.withColumn("_any", F.when(~plain, F.from_json(boxed, "array<variant>")))
     r = r.withColumns({c: F.when(F.size(c) == 1, F.col(c)[0]) for c in ("_any", "_map")})
     keys = F.map_keys("_map")
     repeated = F.size(keys) > F.size(F.array_distinct(keys))
@@ -77,17 +91,23 @@ def bridge_transform(records: DataFrame, now: Column | None = None) -> DataFrame
     data = F.array(F.struct(F.lit("data").alias("key"), F.col("_any").alias("value")), *meta)
     whole = (F.when(empty, F.array(*meta)).when(is_obj, F.concat(own, F.array(*meta)))
               .when(F.col("_any").isNotNull(), data))
-    r = r.withColumns({"_entries": whole, "_is_obj": F.coalesce(is_obj, F.lit(False)) | empty})
+    r = r.withColumns({"_new": F.when(~plain, F.map_from_entries(whole)), "_is_obj": plain | F.coalesce(is_obj, F.lit(False)) | empty})
 
     def field(name: str) -> Column:
-        found = F.get(F.filter("_entries", lambda e: e["key"] == name), F.lit(0))
-        return F.try_variant_get(found["value"], "$", "string")
+        token = F.regexp_extract("_v", rf'[{{,]"{name}":("[^"]*+"|[^,"}}]*+)', 1)
+        token = F.when(token != "", F.btrim(token, F.lit('"')))
+        return F.when(plain, token).otherwise(F.try_variant_get(F.try_element_at("_new", F.lit(name)), "$", "string"))
 
+    members = F.concat(F.lit(","), F.substring("_v", F.lit(2), F.length("_v") - 2))
+    added = F.to_json(F.struct(F.col("topic").alias(META[0]), ts.alias(META[1])))
+    text = F.concat(F.regexp_replace(members, _SET, ""), F.lit(","), F.substring(added, 2, 2 ** 31 - 1))
     key = F.coalesce(field("loan_id"), field("id"), F.col("topic"))
     extra = [c for c in ("partition", "offset") if c in records.columns]
     return r.select(
         F.col("topic"), *extra, F.when(F.col("_is_obj") & ~empty, key).otherwise(F.col("topic")).alias("key"),
-        F.to_json(F.map_from_entries("_entries")).alias("value"), F.col("_entries").isNotNull().alias("ok"),
+        F.when(plain, F.concat(F.lit("{"), F.substring(text, 2, 2 ** 31 - 1)))
+         .otherwise(F.to_json("_new")).alias("value"),
+        (plain | F.col("_new").isNotNull()).alias("ok"),
         F.col("_is_obj").alias("is_object"), ts.alias("_bridge_ts"), F.col("value").cast("string").alias("raw_value"))
 
 
