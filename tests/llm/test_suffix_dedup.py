@@ -95,3 +95,24 @@ def test_nothing_repeats_and_empty_table(spark):
     assert sd.deduplicated(df.where("false")).count() == 0
     with pytest.raises(ValueError):
         sd.repeated_spans(df, 400, 33)
+
+
+def test_quarter_anchors_split_all_windows():
+    """Fewer, longer segments than with anchors of half a window, and every window is in one of them."""
+    rng = np.random.default_rng(6)
+    for text in some_texts(rng, 26):
+        found = list(sd.segments_of(text, 40, sd.anchor_width(40)))
+        got = [w for _, first, last, at in found for a, b, p in zip(first, last, at) for w in range(a, b + 1) if w <= p <= w + 30]
+        assert got == list(range(max(0, len(text) - 39)))
+    text = bytes(rng.integers(97, 123, 40000).astype(np.uint8))
+    few, many = (sum(len(g) for g, *_ in sd.segments_of(text, 400, width)) for width in (sd.anchor_width(400), None))
+    assert few < 0.8 * many
+
+
+def test_bytes_of_segments_travel_once(spark):
+    """Units come from the written segments without a join or a shuffle of their bytes."""
+    rows = [(g, i, i, 1, 1, 3, 3, bytes([97 + i]) * 45) for g in range(4) for i in range(3)]
+    cut = spark.createDataFrame(rows, "unit long, i1 long, i2 long, n long, fan int, off int, members long, bytes binary")
+    done, maps = sd._units(cut, 40, 10)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert done.count() == 12 and not maps and "Join" not in plan and "Exchange" not in plan
