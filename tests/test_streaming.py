@@ -220,3 +220,21 @@ def test_land_bridged_routes_by_topic_and_day(spark, tmp_dir):
     landed = spark.read.text(f"{tmp_dir}/raw/_source_topic=mortgage-rates").collect()
     assert len(landed) == 1 and json.loads(landed[0].value)["data"] == 2.5
     assert [r.value for r in spark.read.text(f"{tmp_dir}/raw/_source_topic=_quarantine").collect()] == ["{oops"]
+
+
+def test_landed_files_are_compressed_and_bounded(spark, tmp_dir):
+    """A landing takes a fraction of its JSON's bytes on disk, in files of a bounded number of records."""
+    rows = [(i, "loan-applications", json.dumps({"loan_id": str(i), "loan_amount": "5", "property_value": "100000", "state": "VA"})) for i in range(1000)]
+    rows += [(1000 + i, "mortgage-rates", "{oops") for i in range(3)]
+    spark.createDataFrame(rows, "n long, topic string, value string").coalesce(1).write.parquet(f"{tmp_dir}/src")
+    stream = spark.readStream.schema("n long, topic string, value string").parquet(f"{tmp_dir}/src").drop("n")
+    bridged = bridge.bridge_transform(stream, now=F.lit(1_700_000_000))
+    counters.land_bridged(bridged, f"{tmp_dir}/raw", f"{tmp_dir}/ck", per_file=300).awaitTermination()
+    files = [os.path.join(d, f) for d, _, names in os.walk(f"{tmp_dir}/raw") for f in names if f.startswith("part-")]
+    assert len(files) == 5 and sum(map(os.path.getsize, files)) < sum(len(v) for _, _, v in rows) / 3
+    loans = counters.stream_raw(spark, f"{tmp_dir}/raw/_source_topic=loan-applications")
+    q = counters.start_update(loans.groupBy("state").count(), f"{tmp_dir}/out", f"{tmp_dir}/ck2", ["state"])
+    q.awaitTermination()
+    assert [tuple(r) for r in counters.latest_by_key(spark, f"{tmp_dir}/out", ["state"]).collect()] == [("VA", 1000)]
+    assert {int(r.loan_id) for r in spark.read.json(f"{tmp_dir}/raw/_source_topic=loan-applications").collect()} == set(range(1000))
+    assert spark.read.text(f"{tmp_dir}/raw/_source_topic=_quarantine").count() == 3
